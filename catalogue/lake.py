@@ -19,7 +19,16 @@ from catalogue.tables import (
 )
 from lagloom.operators.reports import summary_with_total
 from lagloom.plans.jobs import BackfillSource, backfill, load_tables, sample_report
-from lagloom.schemas import ALT_DATA, CANDLES, LAKE_CATALOG, candle_lake, observation_lake
+from lagloom.schemas import (
+    ALT_DATA,
+    CANDLES,
+    LAKE_CATALOG,
+    LAKE_OBSERVATION_COLUMNS,
+    OBSERVATION_KEYS,
+    LakeSpec,
+    candle_lake,
+    observation_lake,
+)
 from lagloom.session import work_path
 from lagloom.sinks.lake import LOADS, LoadSpec, archive, build_catalog, lake_rows, load_rows, verify_write
 from lagloom.sinks.merge import upsert
@@ -71,7 +80,7 @@ def _upsert(spark, sf_dir):
 def _mixed_granularity(spark, sf_dir):
     """History by year, updates by month: a key in both is read once, the later one."""
     root = work_path(spark, "lake")
-    spec = observation_lake("orders")
+    spec = LakeSpec("alternative", "orders", LAKE_OBSERVATION_COLUMNS, OBSERVATION_KEYS, ())
     first, second = _two_batches(spark, sf_dir)
     archive(spark, first, root, spec, FIRST, "year")
     archive(spark, second, root, spec, SECOND, "month")

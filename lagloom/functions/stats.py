@@ -32,9 +32,7 @@ def _inverse_beta_half(a: Column) -> Column:
         - 1.0 / (640.0 * F.pow(moved, 5))
         + 17.0 / (14336.0 * F.pow(moved, 7))
     )
-    undo = F.lit(1.0)
-    for step in range(15):
-        undo = undo * ((a + float(step)) / (a + step + 0.5))
+    undo = F.aggregate(F.sequence(F.lit(0), F.lit(14)), F.lit(1.0), lambda done, k: done * ((a + k) / (a + k + 0.5)))
     return F.exp(log_ratio) * undo / F.sqrt(F.pi())
 
 
@@ -45,11 +43,10 @@ def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
     """
     terms = F.ceil(40.0 + 6.0 * F.sqrt(a + b)).cast("int")
 
-    def fold(tail: Column, m: Column) -> Column:
-        k = m.cast("double")
-        even = k * (b - k) * x / ((a + 2.0 * k - 1.0) * (a + 2.0 * k))
-        odd = -(a + k) * (a + b + k) * x / ((a + 2.0 * k) * (a + 2.0 * k + 1.0))
-        return 1.0 + even / (1.0 + odd / tail)
+    def fold(tail: Column, k: Column) -> Column:
+        even = k * (b - k) * x / ((a + 2 * k - 1.0) * (a + 2 * k))
+        odd = (a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1.0))
+        return 1.0 + even / (1.0 - odd / tail)
 
     tail = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0), fold)
     return 1.0 / (1.0 - (a + b) * x / (a + 1.0) / tail)
@@ -58,19 +55,24 @@ def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
 def pearson_p(r: Column, n: Column) -> Column:
     """Two-sided p-value of a correlation over n pairs (n >= 3): I_x((n-2)/2, 1/2) at x = 1 - r².
 
-    Near r = 0 the complement converges faster; there p is large, so subtracting loses nothing.
+    Near r = 0 the complement converges faster; there p is large, so subtracting loses nothing. NULL where
+    r is NULL or NaN or n is below 3. The terms are bound once by a transform over one element: written
+    out in place they would repeat in every expression that uses p.
     """
     a = (F.greatest(n, F.lit(3)).cast("double") - 2.0) / 2.0
-    half = F.lit(0.5)
-    square = r * r
-    x = (1.0 - r) * (1.0 + r)
-    scale = _inverse_beta_half(a) * F.pow(x, a) * F.abs(r)
-    tail_side = scale * _beta_fraction(a, half, x) / a
-    centre_side = 1.0 - scale * _beta_fraction(half, a, square) / 0.5
-    return (
-        F.when(r.isNull() | F.isnan(r) | (n < 3), F.lit(None).cast("double"))
-        .when(F.abs(r) >= 1.0, F.lit(0.0))
-        .when(r == 0.0, F.lit(1.0))
-        .when(square * (a + 2.5) > 1.5, tail_side)
-        .otherwise(centre_side)
+    bound = F.struct(
+        r.alias("r"), a.alias("a"), (r * r).alias("square"), ((1.0 - r) * (1.0 + r)).alias("rest")
     )
+    half = F.lit(0.5)
+
+    def value(t: Column) -> Column:
+        scale = _inverse_beta_half(t["a"]) * F.pow(t["rest"], t["a"]) * F.abs(t["r"])
+        return (
+            F.when(F.abs(t["r"]) >= 1.0, F.lit(0.0))
+            .when(t["r"] == 0.0, F.lit(1.0))
+            .when(t["square"] * (t["a"] + 2.5) > 1.5, scale * _beta_fraction(t["a"], half, t["rest"]) / t["a"])
+            .otherwise(1.0 - scale * _beta_fraction(half, t["a"], t["square"]) / 0.5)
+        )
+
+    defined = r.isNotNull() & ~F.isnan(r) & (n >= 3)
+    return F.when(defined, F.transform(F.array(bound), value)[0])

@@ -103,13 +103,12 @@ def _with_outcome(stats: DataFrame, params: AnalysisParams) -> DataFrame:
     usable = (F.col("sample_size") >= params.min_samples) & F.col("spread")
     guarded = stats.withColumn("usable", usable).withColumn("pearson_r", F.when(F.col("usable"), F.col("r")))
     tested = guarded.withColumn("p_value", pearson_p(F.col("pearson_r"), F.col("sample_size")))
-    # A NaN compares above every number here, so undefined results are taken out by name.
-    undefined = F.col("pearson_r").isNull() | F.isnan("pearson_r") | F.isnan("p_value")
+    # A NaN compares above every number here; a NaN or missing r has no p-value, which takes it out.
     strong = (F.abs("pearson_r") > params.min_abs_r) & (F.col("p_value") < params.max_p)
     return tested.withColumn(
         "outcome",
         F.when(~F.col("usable"), "insufficient")
-        .when(undefined, "undefined")
+        .when(F.col("p_value").isNull(), "undefined")
         .when(strong, "significant")
         .otherwise("weak"),
     ).drop("r", "spread", "usable")
@@ -147,39 +146,34 @@ def first_results(results: DataFrame, n: int = 10) -> DataFrame:
     return results.orderBy("dataset_a", "lag_hours").limit(n)
 
 
-def run_summary(statistics: DataFrame, samples: DataFrame, params: AnalysisParams = AnalysisParams()) -> DataFrame:
+def run_summary(statistics: DataFrame, params: AnalysisParams = AnalysisParams()) -> DataFrame:
     """One row on the run: status, counts, and the sources that are short or still waiting.
 
-    ``samples`` is the table of operators.series.source_samples. A waiting source that is short does not
-    make the run insufficient; any other short source does. The lists hold source names, which are
-    configuration and do not grow with the rows.
+    A waiting source that is short does not make the run insufficient; any other short source does, also
+    an expected one without a row. The grid is read once, reduced per source, and then to one row; the
+    lists hold source names, which do not grow with the rows.
     """
-    waiting = list(params.skip_until_ready)
-    rows = (
-        evaluated(statistics)
-        .select(*SERIES, "outcome")
-        .unionByName(samples.select("source", "samples"), allowMissingColumns=True)
-    )
-    waits = F.col("source").isin(waiting)
-    short = F.col("samples") < params.min_samples
-    names_of = lambda test: F.array_sort(F.collect_set(F.when(test, F.col("source"))))
-    summed = rows.agg(
-        F.count("outcome").alias("evaluated"),
-        F.count_if(F.col("outcome") == "insufficient").alias("insufficient"),
-        F.count_if(F.col("outcome") == "significant").alias("significant"),
-        F.count_distinct(*SERIES).alias("feature_series"),
-        names_of(short & ~waits).alias("insufficient_sources"),
-        names_of((F.col("samples") >= params.min_samples) & waits).alias("ready_waiting"),
+    spark = statistics.sparkSession
+    used = ~F.col("skipped")
+    per_source = statistics.groupBy("source").agg(
+        F.max("final_samples").alias("samples"),
+        F.count_if(used).alias("evaluated"),
+        F.count_if(used & (F.col("outcome") == "insufficient")).alias("insufficient"),
+        F.count_if(used & (F.col("outcome") == "significant")).alias("significant"),
+        F.count_distinct(F.when(used, F.col("metric_name"))).alias("feature_series"),
     )
-    return summed.select(
-        F.when(F.size("insufficient_sources") > 0, "insufficient_data").otherwise("ok").alias("status"),
-        "evaluated",
-        "insufficient",
-        "significant",
-        "feature_series",
-        "insufficient_sources",
-        # A source that has to wait is skipped until it is ready, also while it has no rows at all.
-        F.array_except(F.array(*[F.lit(name) for name in sorted(waiting)]), "ready_waiting").alias("skipped_sources"),
+    named = sorted({*params.expected_sources, *params.skip_until_ready})
+    known = spark.createDataFrame([(name,) for name in named], "source string")
+    every = known.join(per_source, "source", "full_outer")
+    waits = F.col("source").isin(list(params.skip_until_ready))
+    short = F.coalesce("samples", F.lit(0)) < params.min_samples
+    listed = lambda test: F.array_sort(F.collect_set(F.when(test, F.col("source"))))
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return every.agg(
+        F.when(F.bool_or(short & ~waits), "insufficient_data").otherwise("ok").alias("status"),
+        *[total(name) for name in ("evaluated", "insufficient", "significant", "feature_series")],
+        listed(short & ~waits).alias("insufficient_sources"),
+        listed(short & waits).alias("skipped_sources"),
     )
 
 

@@ -14,44 +14,41 @@ from lagloom.params import INTERVAL_MILLIS, AnalysisParams
 SERIES = ("source", "metric_name")
 
 
-def hourly_close(candles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def _clean(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    tie = ["fetched_at"] if "fetched_at" in rows.columns else []
+    typed = rows.select(
+        *by, utc_timestamp(F.col("timestamp")).alias("timestamp"), number_column(rows, value).alias(value), *tie
+    )
+    return has_values(typed, *by, "timestamp", value)
+
+
+def _last_in_hour(rows: DataFrame, by: Sequence[str], value: str, unique_stamps: bool) -> DataFrame:
+    """Last value per group and ``hour``.
+
+    Where each stamp occurs once per group, as in the tables, a hash aggregate on the stamp is enough. In
+    general ties go to the later fetched, then to the larger value, which needs a sorting aggregate.
+    """
+    if unique_stamps:
+        return rows.groupBy(*by, "hour").agg(F.max_by(value, "timestamp").alias(value))
+    tie = ["fetched_at"] if "fetched_at" in rows.columns else []
+    return keep_last(rows, [*by, "hour"], ["timestamp", *tie]).select(*by, "hour", value)
+
+
+def hourly_close(candles: DataFrame, by: Sequence[str] = (), unique_stamps: bool = False) -> DataFrame:
     """Last close of each hour, labelled with the hour's end; hours without a candle stay absent.
 
-    A candle stamped 10:45 belongs to [10:00, 11:00) and is labelled 11:00. Of several candles with one
-    stamp the later fetched wins, then the larger close.
+    A candle stamped 10:45 belongs to [10:00, 11:00) and is labelled 11:00.
     """
-    tie = ["fetched_at"] if "fetched_at" in candles.columns else []
-    clean = has_values(
-        candles.select(
-            *by,
-            utc_timestamp(F.col("timestamp")).alias("timestamp"),
-            number_column(candles, "close").alias("close"),
-            *tie,
-        ),
-        "timestamp",
-        "close",
-    )
-    hours = clean.withColumn("hour", shift_hours(floor_hour(F.col("timestamp")), 1))
-    last = keep_last(hours, [*by, "hour"], ["timestamp", *tie])
-    return last.select(*by, "hour", "close")
+    rows = _clean(candles, by, "close")
+    hours = rows.withColumn("hour", shift_hours(floor_hour(F.col("timestamp")), 1))
+    return _last_in_hour(hours, by, "close", unique_stamps)
 
 
-def feature_series(observations: DataFrame) -> DataFrame:
+def feature_series(observations: DataFrame, unique_stamps: bool = False) -> DataFrame:
     """One value per series and hour, the hour being the floor of the stamp: the last observed there."""
-    tie = ["fetched_at"] if "fetched_at" in observations.columns else []
-    clean = has_values(
-        observations.select(
-            *SERIES,
-            utc_timestamp(F.col("timestamp")).alias("timestamp"),
-            number_column(observations, "value").alias("value"),
-            *tie,
-        ),
-        *SERIES,
-        "timestamp",
-        "value",
-    )
-    hours = clean.withColumn("hour", floor_hour(F.col("timestamp")))
-    return keep_last(hours, [*SERIES, "hour"], ["timestamp", *tie]).select(*SERIES, "hour", "value")
+    rows = _clean(observations, SERIES, "value")
+    hours = rows.withColumn("hour", floor_hour(F.col("timestamp")))
+    return _last_in_hour(hours, SERIES, "value", unique_stamps)
 
 
 def window_columns(params: AnalysisParams) -> dict:

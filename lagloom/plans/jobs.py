@@ -25,35 +25,47 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class CorrelationRun:
-    """The tables of one run; all of them lazy."""
+    """One run: the statistics grid and the tables read off it, all of them lazy."""
 
     statistics: DataFrame
-    results: DataFrame
-    details: DataFrame
-    samples: DataFrame
-    summary: DataFrame
+    now: datetime
+    params: AnalysisParams
+
+    @property
+    def results(self) -> DataFrame:
+        return significant(self.statistics, self.now, self.params)
+
+    @property
+    def details(self) -> DataFrame:
+        return window_details(self.statistics)
+
+    @property
+    def samples(self) -> DataFrame:
+        return source_samples(self.details, self.params)
+
+    @property
+    def summary(self) -> DataFrame:
+        return run_summary(self.statistics, self.params)
 
 
 def lag_correlation(
-    candles: DataFrame, observations: DataFrame, now: datetime, params: AnalysisParams = AnalysisParams()
+    candles: DataFrame,
+    observations: DataFrame,
+    now: datetime,
+    params: AnalysisParams = AnalysisParams(),
+    unique_stamps: bool = False,
 ) -> CorrelationRun:
     """Lagged correlation of every feature series with the hourly close of one symbol.
 
-    Both inputs are cut to the longest window first, which prunes their scans.
+    Both inputs are cut to the longest window first, which prunes their scans. Set ``unique_stamps`` for
+    rows that come from the keyed tables or from scan_dataset.
     """
     cutoff = params.max_cutoff(now)
-    closes = hourly_close(read_closes_since(candles, cutoff, params.interval, params.symbol))
-    series = feature_series(since(observations, cutoff))
-    statistics = lag_statistics(series, closes, now, params)
-    details = window_details(statistics)
-    samples = source_samples(details, params)
-    return CorrelationRun(
-        statistics,
-        significant(statistics, now, params),
-        details,
-        samples,
-        run_summary(statistics, samples, params),
+    closes = hourly_close(
+        read_closes_since(candles, cutoff, params.interval, params.symbol), unique_stamps=unique_stamps
     )
+    series = feature_series(since(observations, cutoff), unique_stamps)
+    return CorrelationRun(lag_statistics(series, closes, now, params), now, params)
 
 
 def save_results(spark: SparkSession, path: str, results: DataFrame) -> None:

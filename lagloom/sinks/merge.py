@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -60,37 +61,41 @@ def touched_partitions(incoming: DataFrame, partition_by: Sequence[str]) -> Data
 def partition_filter(
     stored: DataFrame, touched: DataFrame, partition_by: Sequence[str], listed: int = LISTED_PARTITIONS
 ) -> DataFrame:
-    """The stored rows of the touched partitions, read from those directories only.
+    """The stored rows of the touched partitions, read from few other directories.
 
-    Up to ``listed`` directories are named in the filter. More are bounded by their smallest and largest
-    values for pruning, and a semi join keeps the exact ones.
+    Up to ``listed`` partitions, the values of each column are named in the filter; beyond, their smallest
+    and largest bound it. Either prunes directories. Unless the named values admit the touched partitions
+    and no others, a semi join keeps exactly those.
     """
     named = touched.select(*partition_by).limit(listed + 1).collect()
     if len(named) <= listed:
-        return stored.where(_any_of([_all_equal(row.asDict()) for row in named]))
-    bounds = touched.agg(
-        *[f(name).alias(f"{tag}_{name}") for name in partition_by for tag, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
-    inside = [
-        F.col(name).isNull() | F.col(name).between(bounds[f"lo_{name}"], bounds[f"hi_{name}"]) for name in partition_by
-    ]
-    ranged = stored.where(reduce(Column.__and__, inside))
-    on = reduce(Column.__and__, [ranged[name].eqNullSafe(touched[name]) for name in partition_by])
-    return ranged.join(touched, on, "left_semi")
-
-
-def _all_equal(values: dict) -> Column:
-    return reduce(Column.__and__, [F.col(name).eqNullSafe(F.lit(value)) for name, value in values.items()])
-
-
-def _any_of(tests: list[Column]) -> Column:
-    """A balanced OR, so that a long list does not nest deeply."""
-    if not tests:
-        return F.lit(False)
-    if len(tests) == 1:
-        return tests[0]
-    middle = len(tests) // 2
-    return _any_of(tests[:middle]) | _any_of(tests[middle:])
+        values = {name: {row[name] for row in named} for name in partition_by}
+        admitted = stored.where(_all_of([_is_one_of(name, found) for name, found in values.items()]))
+        if len(named) == prod(len(found) for found in values.values()):
+            return admitted
+    else:
+        bounds = touched.agg(
+            *[f(name).alias(f"{tag}_{name}") for name in partition_by for tag, f in (("lo", F.min), ("hi", F.max))]
+        ).first()
+        admitted = stored.where(
+            _all_of(
+                [
+                    F.col(name).isNull() | F.col(name).between(bounds[f"lo_{name}"], bounds[f"hi_{name}"])
+                    for name in partition_by
+                ]
+            )
+        )
+    on = _all_of([admitted[name].eqNullSafe(touched[name]) for name in partition_by])
+    return admitted.join(touched, on, "left_semi")
+
+
+def _is_one_of(name: str, values: set) -> Column:
+    present = F.col(name).isin([value for value in values if value is not None])
+    return present | F.col(name).isNull() if None in values else present
+
+
+def _all_of(tests: list[Column]) -> Column:
+    return reduce(Column.__and__, tests)
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
@@ -138,7 +143,7 @@ def merge_into(
         write_partitions(merged, path, partition_by, sort_by)
         return
     staging = work_path(spark, "merge")
-    write_partitions(merged, staging, partition_by, sort_by)
+    merged.write.option("compression", "zstd").parquet(staging)
     publish(spark, staging, path, schema, partition_by, sort_by)
     remove_path(spark, staging)
 
@@ -146,7 +151,7 @@ def merge_into(
 def publish(
     spark: SparkSession, staging: str, path: str, schema: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
 ) -> None:
-    """Replace the partitions of ``path`` by their staged copies; may be repeated."""
+    """Replace the partitions of ``path`` by the staged rows; may be repeated."""
     staged = spark.read.schema(schema).parquet(staging)
     write_partitions(staged, path, partition_by, sort_by)
 
