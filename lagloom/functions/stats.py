@@ -15,7 +15,7 @@ def pearson_r(x: Column, y: Column) -> Column:
     left = F.when(y.isNotNull(), x)
     right = F.when(x.isNotNull(), y)
     ratio = F.try_divide(F.covar_pop(x, y), F.stddev_pop(left) * F.stddev_pop(right))
-    return F.when(F.isnan(ratio), ratio).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
+    return F.when(F.abs(ratio) > 1.0, F.when(F.isnan(ratio), ratio).otherwise(F.signum(ratio))).otherwise(ratio)
 
 
 def _inverse_beta_half(a: Column) -> Column:

@@ -130,7 +130,9 @@ def build_catalog(
         F.count("*").alias("row_count"),
         F.first("_size").alias("size_bytes"),
     )
-    folder = F.regexp_extract("_path", r"(raw/.*)/[^/]+$", 1)
+    # The metadata column holds a URI; the directory itself is its decoded form.
+    plain = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract(plain, r"(raw/.*)/[^/]+$", 1)
     objects = files.groupBy(folder.alias("object_key"), *spec.partition_by).agg(
         F.min("min_timestamp").alias("min_timestamp"),
         F.max("max_timestamp").alias("max_timestamp"),
@@ -235,12 +237,12 @@ def _fill_per_file(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, DataFram
     return filled.drop("no_source", "no_metric"), judged
 
 
-def listed_files(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame:
-    """Paths of the Parquet files below the prefixes; the contents are not read."""
-    found = spark.createDataFrame([], "object_path string")
+def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame:
+    """Path and content of the Parquet files below the prefixes; a query for paths alone reads no content."""
+    found = spark.createDataFrame([], "object_path string, content binary")
     for prefix in prefixes:
         try:
-            listing = (
+            files = (
                 spark.read.format("binaryFile")
                 .option("pathGlobFilter", "*.parquet")
                 .option("recursiveFileLookup", "true")
@@ -250,10 +252,25 @@ def listed_files(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        found = found.unionByName(listing.select(F.col("_metadata.file_path").alias("object_path")))
+        found = found.unionByName(files.select(F.col("_metadata.file_path").alias("object_path"), "content"))
     return found
 
 
+def _broken_files(files: DataFrame, silent: DataFrame, listed: int = 1000) -> int:
+    """How many of the files that gave no row are no Parquet; the others are just empty.
+
+    Only those files are opened: their paths are named in the filter, or joined if they are too many.
+    """
+    paths = [row.object_path for row in silent.limit(listed + 1).collect()]
+    if not paths:
+        return 0
+    if len(paths) <= listed:
+        opened = files.where(F.col("object_path").isin(paths))
+    else:
+        opened = files.join(silent, "object_path", "left_semi")
+    return opened.where(F.substring("content", -4, 4) != F.lit(b"PAR1")).count()
+
+
 def load_rows(spark: SparkSession, root: str, spec: LoadSpec) -> DataFrame:
     """Rows of all files of a load, one per key; the file whose path sorts last wins."""
     prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
@@ -267,16 +284,17 @@ def lake_to_table(
 ) -> dict:
     """Load one dataset from the lake into its table; a dry run only counts.
 
-    Status is ``partial`` if a file could not be read or lacks a required column; a file that yields no
-    row at all counts as unreadable.
+    Status is ``partial`` if a file could not be read or lacks a required column.
     """
     prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
     raw = scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True)
     _, judged = _fill_per_file(raw, spec)
-    files = listed_files(spark, prefixes).join(judged, "object_path", "left")
-    counts = files.agg(
-        F.count("*").alias("files"), F.count_if(~F.coalesce("usable", F.lit(False))).alias("failed_files")
-    ).first()
+    files = file_bytes(spark, prefixes)
+    paths = files.select("object_path")
+    listed = paths.join(judged, "object_path", "left")
+    counts = listed.agg(F.count("*").alias("files"), F.count_if(~F.col("usable")).alias("lacking")).first()
+    silent = paths.join(judged.select("object_path"), "object_path", "left_anti")
+    failed = counts["lacking"] + _broken_files(files, silent)
     rows = load_rows(spark, root, spec).withColumn("fetched_at", moment(run_ts))
     total = rows.count()
     if not dry_run and total:
@@ -284,9 +302,9 @@ def lake_to_table(
     return {
         "source": spec.name,
         "table": spec.table.name,
-        "status": "partial" if counts["failed_files"] else "ok",
+        "status": "partial" if failed else "ok",
         "files": counts["files"],
-        "failed_files": counts["failed_files"],
+        "failed_files": failed,
         "rows": total,
         "upserted": 0 if dry_run else total,
     }
