@@ -106,9 +106,8 @@ def backfill(
     use_utc(spark)
 
     def run(source: BackfillSource) -> tuple[int, int]:
-        rows = source.rows()
-        outcome = archive(spark, rows, root, source.lake, run_ts, source.granularity, catalog_path)
-        return rows.count(), outcome.rows
+        outcome = archive(spark, source.rows(), root, source.lake, run_ts, source.granularity, catalog_path)
+        return outcome.fetched, outcome.rows
 
     results = [isolated(name, lambda source=source: run(source)) for name, source in sources.items()]
     table = spark.createDataFrame(results, RESULT_COLUMNS)

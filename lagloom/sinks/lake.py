@@ -13,7 +13,8 @@ from lagloom.functions.coerce import has_values, moment, number_column, utc_time
 from lagloom.functions.text import value_text
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import ALT_DATA, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
-from lagloom.sinks.merge import merge_into, partition_filter, touched_partitions, upsert
+from lagloom.session import remove_path
+from lagloom.sinks.merge import Touched, merge_into, staged, upsert
 from lagloom.sources.lake import read_existing, scan_lake
 
 GRANULARITIES = ("day", "month", "year")
@@ -66,7 +67,10 @@ def lake_rows(rows: DataFrame, spec: LakeSpec, granularity: str, run_ts: datetim
 
 @dataclass(frozen=True)
 class ArchiveResult:
+    """What an archive did; files and rows are of the touched partitions after the merge."""
+
     status: str
+    fetched: int
     files: int
     rows: int
 
@@ -83,34 +87,41 @@ def archive(
     """Merge rows into a lake dataset and record the touched partitions in the catalog.
 
     Of rows with one key the later fetched wins. No rows at all is ``skip``; rows without a single valid
-    stamp are an error. The counts are of the touched partitions after the merge.
+    stamp are an error. The incoming rows are used several times, so they are parsed once and staged.
     """
-    stored = lake_rows(rows, spec, granularity, run_ts)
-    if stored.isEmpty():
-        if rows.isEmpty():
-            return ArchiveResult("skip", 0, 0)
-        raise ValueError(f"{spec.dataset} has no valid timestamps")
-    merge_into(
-        spark,
-        spec.path(root),
-        stored,
-        spec.schema,
-        spec.unique_keys,
-        spec.partition_by,
-        ["fetched_at"],
-        incoming_wins=False,
-        sort_by=["timestamp"],
-    )
-    touched = touched_partitions(stored, spec.partition_by)
-    objects = build_catalog(spark, root, spec, run_ts, touched)
-    if catalog_path is not None:
-        upsert(spark, catalog_path, objects, LAKE_CATALOG)
-    totals = objects.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
-    return ArchiveResult("ok", totals["files"], totals["rows"])
+    incoming, staging = staged(spark, lake_rows(rows, spec, granularity, run_ts), "incoming")
+    try:
+        fetched = incoming.count()
+        if not fetched:
+            if rows.isEmpty():
+                return ArchiveResult("skip", 0, 0, 0)
+            raise ValueError(f"{spec.dataset} has no valid timestamps")
+        touched = merge_into(
+            spark,
+            spec.path(root),
+            incoming,
+            spec.schema,
+            spec.unique_keys,
+            spec.partition_by,
+            ["fetched_at"],
+            incoming_wins=False,
+            sort_by=["timestamp"],
+        )
+        # One row per touched partition.
+        objects = build_catalog(spark, root, spec, run_ts, touched).persist()
+        try:
+            totals = objects.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
+            if catalog_path is not None:
+                upsert(spark, catalog_path, objects, LAKE_CATALOG)
+        finally:
+            objects.unpersist()
+    finally:
+        remove_path(spark, staging)
+    return ArchiveResult("ok", fetched, totals["files"], totals["rows"])
 
 
 def build_catalog(
-    spark: SparkSession, root: str, spec: LakeSpec, run_ts: datetime | str, touched: DataFrame | None = None
+    spark: SparkSession, root: str, spec: LakeSpec, run_ts: datetime | str, touched: Touched | None = None
 ) -> DataFrame:
     """One row per partition directory: time range, rows and bytes. Parquet has no etag; it stays NULL."""
     stored = read_existing(spark, spec.schema, spec.path(root))
@@ -123,7 +134,7 @@ def build_catalog(
         F.col("_metadata.file_size").alias("_size"),
     )
     if touched is not None:
-        rows = partition_filter(rows, touched, spec.partition_by)
+        rows = touched.select(rows)
     files = rows.groupBy("_path", *spec.partition_by).agg(
         F.min("timestamp").alias("min_timestamp"),
         F.max("timestamp").alias("max_timestamp"),
@@ -156,11 +167,11 @@ def build_catalog(
 
 def verify_write(expected: DataFrame, stored: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Row counts per partition, expected against stored; ``matches`` is false where they differ."""
-    wrote = expected.groupBy(*partition_by).agg(F.count("*").alias("expected_rows"))
-    found = stored.groupBy(*partition_by).agg(F.count("*").alias("stored_rows"))
-    both = wrote.join(found, list(partition_by), "full_outer")
-    counted = both.withColumns(
-        {name: F.coalesce(name, F.lit(0)).cast("bigint") for name in ("expected_rows", "stored_rows")}
+    tagged = expected.select(*partition_by, F.lit(1).alias("_wrote"), F.lit(0).alias("_found")).unionByName(
+        stored.select(*partition_by, F.lit(0).alias("_wrote"), F.lit(1).alias("_found"))
+    )
+    counted = tagged.groupBy(*partition_by).agg(
+        F.sum("_wrote").alias("expected_rows"), F.sum("_found").alias("stored_rows")
     )
     return counted.withColumn("matches", F.col("expected_rows") == F.col("stored_rows"))
 
@@ -296,9 +307,16 @@ def lake_to_table(
     silent = paths.join(judged.select("object_path"), "object_path", "left_anti")
     failed = counts["lacking"] + _broken_files(files, silent)
     rows = load_rows(spark, root, spec).withColumn("fetched_at", moment(run_ts))
-    total = rows.count()
-    if not dry_run and total:
-        upsert(spark, table_path, rows, spec.table)
+    if dry_run:
+        total = rows.count()
+    else:
+        loaded, staging = staged(spark, rows, "load")
+        try:
+            total = loaded.count()
+            if total:
+                upsert(spark, table_path, loaded, spec.table)
+        finally:
+            remove_path(spark, staging)
     return {
         "source": spec.name,
         "table": spec.table.name,

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from math import prod
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import TableSpec
 from lagloom.session import remove_path, work_path
 from lagloom.sources.lake import read_existing
 
+log = logging.getLogger(__name__)
+
 # Partitions named one by one in the read filter; beyond this a range and a semi join select them.
 LISTED_PARTITIONS = 500
 
+# Largest counted batch whose keys are broadcast; keys are a few names and a stamp, so some tens of MB.
+BROADCAST_ROWS = 200_000
+
 
 def with_period(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Adds the month directory of a table that is split by month."""
@@ -30,17 +37,26 @@ def merged_rows(
     keys: Sequence[str],
     order: Sequence[str] = (),
     incoming_wins: bool = True,
+    incoming_rows: int | None = None,
 ) -> DataFrame:
-    """One row per key out of both sides.
+    """One row per key out of both sides; the existing side has one row per key already.
 
-    With ``incoming_wins`` a new row replaces an old one whatever its stamps, as an upsert does;
-    otherwise ``order`` decides first, and the new row wins a tie.
+    With ``incoming_wins`` a new row replaces an old one whatever its stamps, as an upsert does. Then the
+    old rows are only checked against the new keys, and if the batch is known to be small its keys are
+    broadcast, so that the old rows need no shuffle. Otherwise ``order`` decides first, and the new row
+    wins a tie.
     """
-    tagged = incoming.withColumn("_incoming", F.lit(1))
-    if existing is not None:
-        tagged = tagged.unionByName(existing.withColumn("_incoming", F.lit(0)), allowMissingColumns=True)
-    ranked = ["_incoming", *order] if incoming_wins else [*order, "_incoming"]
-    return keep_last(tagged, keys, ranked).drop("_incoming")
+    if existing is None:
+        return keep_last(incoming, keys, order)
+    if incoming_wins:
+        new = keep_last(incoming, keys, order)
+        known = new.select(*[F.col(name).alias(f"_{name}") for name in keys])
+        if incoming_rows is not None and incoming_rows <= BROADCAST_ROWS:
+            known = F.broadcast(known)
+        same = _all_of([existing[name].eqNullSafe(known[f"_{name}"]) for name in keys])
+        return existing.join(known, same, "left_anti").unionByName(new)
+    tagged = existing.withColumn("_incoming", F.lit(0)).unionByName(incoming.withColumn("_incoming", F.lit(1)))
+    return keep_last(tagged, keys, [*order, "_incoming"]).drop("_incoming")
 
 
 def conformed(df: DataFrame, schema: str) -> DataFrame:
@@ -54,39 +70,47 @@ def conformed(df: DataFrame, schema: str) -> DataFrame:
     )
 
 
-def touched_partitions(incoming: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    return incoming.groupBy(*partition_by).agg(F.count("*").alias("rows"))
-
-
-def partition_filter(
-    stored: DataFrame, touched: DataFrame, partition_by: Sequence[str], listed: int = LISTED_PARTITIONS
-) -> DataFrame:
-    """The stored rows of the touched partitions, read from few other directories.
-
-    Up to ``listed`` partitions, the values of each column are named in the filter; beyond, their smallest
-    and largest bound it. Either prunes directories. Unless the named values admit the touched partitions
-    and no others, a semi join keeps exactly those.
-    """
-    named = touched.select(*partition_by).limit(listed + 1).collect()
-    if len(named) <= listed:
-        values = {name: {row[name] for row in named} for name in partition_by}
-        admitted = stored.where(_all_of([_is_one_of(name, found) for name, found in values.items()]))
-        if len(named) == prod(len(found) for found in values.values()):
-            return admitted
-    else:
-        bounds = touched.agg(
-            *[f(name).alias(f"{tag}_{name}") for name in partition_by for tag, f in (("lo", F.min), ("hi", F.max))]
-        ).first()
-        admitted = stored.where(
-            _all_of(
-                [
-                    F.col(name).isNull() | F.col(name).between(bounds[f"lo_{name}"], bounds[f"hi_{name}"])
-                    for name in partition_by
-                ]
-            )
-        )
-    on = _all_of([admitted[name].eqNullSafe(touched[name]) for name in partition_by])
-    return admitted.join(touched, on, "left_semi")
+@dataclass(frozen=True)
+class Touched:
+    """The partitions a batch falls into; named one by one, with the row total, if they are few."""
+
+    rows: DataFrame
+    partition_by: tuple[str, ...]
+    named: tuple[Row, ...] | None
+
+    @classmethod
+    def by(cls, incoming: DataFrame, partition_by: Sequence[str], listed: int = LISTED_PARTITIONS) -> Touched:
+        rows = incoming.groupBy(*partition_by).agg(F.count("*").alias("_rows"))
+        named = rows.limit(listed + 1).collect()
+        return cls(rows, tuple(partition_by), tuple(named) if len(named) <= listed else None)
+
+    @property
+    def total(self) -> int | None:
+        return None if self.named is None else sum(row["_rows"] for row in self.named)
+
+    def select(self, stored: DataFrame) -> DataFrame:
+        """The stored rows of these partitions, read from few other directories.
+
+        The values of each column are named in the filter, or bounded by their smallest and largest if there
+        are too many partitions. Either prunes directories. Unless the named values admit these partitions
+        and no others, a semi join keeps exactly these.
+        """
+        if self.named is not None:
+            values = {name: {row[name] for row in self.named} for name in self.partition_by}
+            admitted = stored.where(_all_of([_is_one_of(name, found) for name, found in values.items()]))
+            if len(self.named) == prod(len(found) for found in values.values()):
+                return admitted
+        else:
+            ends = [f(name).alias(f"{tag}_{name}") for name in self.partition_by for tag, f in (("lo", F.min), ("hi", F.max))]
+            bounds = self.rows.agg(*ends).first()
+            inside = [
+                F.col(name).isNull() | F.col(name).between(bounds[f"lo_{name}"], bounds[f"hi_{name}"])
+                for name in self.partition_by
+            ]
+            admitted = stored.where(_all_of(inside))
+        wanted = self.rows.select(*[F.col(name).alias(f"_{name}") for name in self.partition_by])
+        same = _all_of([admitted[name].eqNullSafe(wanted[f"_{name}"]) for name in self.partition_by])
+        return admitted.join(wanted, same, "left_semi")
 
 
 def _is_one_of(name: str, values: set) -> Column:
@@ -115,6 +139,13 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort
     )
 
 
+def staged(spark: SparkSession, rows: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Rows written to the shared folder and read back, for results that are used several times."""
+    path = work_path(spark, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), path
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -126,7 +157,7 @@ def merge_into(
     incoming_wins: bool = True,
     sort_by: Sequence[str] = (),
     listed: int = LISTED_PARTITIONS,
-) -> None:
+) -> Touched:
     """Merge rows into a partitioned directory, rewriting only the partitions they touch.
 
     The merged partitions are first written to the shared folder and published from there: a run that
@@ -135,25 +166,25 @@ def merge_into(
     """
     stored = read_existing(spark, schema, path)
     new = conformed(incoming, schema)
-    touched = touched_partitions(new, partition_by)
-    existing = None if stored is None else partition_filter(stored, touched, partition_by, listed)
-    merged = merged_rows(existing, new, keys, order, incoming_wins)
+    touched = Touched.by(new, partition_by, listed)
     if stored is None:
         # Nothing to lose yet: the first write goes straight to its place.
-        write_partitions(merged, path, partition_by, sort_by)
-        return
-    staging = work_path(spark, "merge")
-    merged.write.option("compression", "zstd").parquet(staging)
-    publish(spark, staging, path, schema, partition_by, sort_by)
+        write_partitions(merged_rows(None, new, keys, order), path, partition_by, sort_by)
+        return touched
+    merged = merged_rows(touched.select(stored), new, keys, order, incoming_wins, touched.total)
+    rows, staging = staged(spark, merged, "merge")
+    try:
+        publish(rows, path, partition_by, sort_by)
+    except Exception:
+        log.error("publishing to %s failed; the merged partitions are kept at %s", path, staging)
+        raise
     remove_path(spark, staging)
+    return touched
 
 
-def publish(
-    spark: SparkSession, staging: str, path: str, schema: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
-) -> None:
-    """Replace the partitions of ``path`` by the staged rows; may be repeated."""
-    staged = spark.read.schema(schema).parquet(staging)
-    write_partitions(staged, path, partition_by, sort_by)
+def publish(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+    """Replace the partitions of ``path`` that occur in the staged rows; may be repeated."""
+    write_partitions(rows, path, partition_by, sort_by)
 
 
 def upsert(spark: SparkSession, path: str, rows: DataFrame, spec: TableSpec, order: Sequence[str] = ()) -> None:

@@ -28,7 +28,7 @@ from lagloom.sinks.lake import (
     validate_and_fill,
     verify_write,
 )
-from lagloom.sinks.merge import merge_into, partition_filter, publish, touched_partitions, upsert
+from lagloom.sinks.merge import Touched, merge_into, publish, upsert
 from lagloom.sources.lake import (
     catalog_objects_since,
     partitions_since,
@@ -240,7 +240,7 @@ def test_merge_selects_exactly_the_touched_partitions(spark, root, listed):
     update = [(0, 100, "a0", "b0"), (7, 107, "a2", "b1"), (100, 1, None, "b1")]
     new = spark.createDataFrame(update, schema)
     table = spark.read.schema(schema).parquet(root)
-    exact = partition_filter(table, touched_partitions(new, ["a", "b"]), ["a", "b"], listed)
+    exact = Touched.by(new, ["a", "b"], listed).select(table)
     assert {(r.a, r.b) for r in exact.collect()} == {("a0", "b0"), ("a2", "b1")}
     merge_into(spark, root, new, schema, keys, ["a", "b"], listed=listed)
     want = {row[0]: row for row in stored} | {row[0]: row for row in update}
@@ -249,12 +249,41 @@ def test_merge_selects_exactly_the_touched_partitions(spark, root, listed):
 
 def test_publishing_twice_is_harmless(spark, root):
     schema = "k int, v int, a string"
-    spark.createDataFrame([(1, 1, "x"), (2, 2, "y")], schema).write.parquet(f"{root}/staged")
+    rows = spark.createDataFrame([(1, 1, "x"), (2, 2, "y")], schema)
     for _ in range(2):
-        publish(spark, f"{root}/staged", f"{root}/table", schema, ["a"])
+        publish(rows, f"{root}/table", ["a"])
     assert spark.read.schema(schema).parquet(f"{root}/table").count() == 2
 
 
+def test_a_failed_publish_keeps_the_merged_rows(spark, root, monkeypatch):
+    upsert(spark, root, alt(spark, ("dxy", "close", "2026-06-09T00:00:00", "1", None)), ALT_DATA)
+    kept = []
+    real = merge.work_path
+    monkeypatch.setattr(merge, "work_path", lambda *args: kept.append(real(*args)) or kept[-1])
+
+    def lost(*args):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(merge, "publish", lost)
+        upsert(spark, root, alt(spark, ("dxy", "close", "2026-06-09T00:00:00", "2", None)), ALT_DATA)
+    assert tuples(read_table(spark, root, ALT_DATA), "value") == [(Decimal(1),)]
+    rows = spark.read.schema(ALT_DATA.schema).parquet(kept[0])
+    publish(rows, root, ALT_DATA.partition_by)
+    assert tuples(read_table(spark, root, ALT_DATA), "value") == [(Decimal(2),)]
+
+
+def test_a_small_upsert_does_not_shuffle_the_stored_rows(spark, root):
+    upsert(spark, root, alt(spark, *[("dxy", "close", f"2026-06-{d:02d}T00:00:00", "1", None) for d in range(1, 29)]), ALT_DATA)
+    stored = read_table(spark, root, ALT_DATA)
+    new = merge.conformed(merge.with_period(alt(spark, ("dxy", "close", "2026-06-09T00:00:00", "2", None)), ALT_DATA), ALT_DATA.schema)
+    touched = Touched.by(new, ALT_DATA.partition_by)
+    merged = merge.merged_rows(touched.select(stored), new, ALT_DATA.keys, incoming_rows=touched.total)
+    assert touched.total == 1 and merged.count() == 28 and merged.where("value = 2").count() == 1
+    plan = plan_of(merged)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_staging_lies_in_the_shared_folder_and_is_removed(spark, root, monkeypatch):
     staged = []
     real = merge.work_path
