@@ -14,6 +14,7 @@ from catalogue.tables import (
     PLANTED_SQL,
     PRICE,
     candles,
+    events,
     features,
     last_per_hour_sql,
     observations,
@@ -155,7 +156,7 @@ SELECT CASE WHEN (SELECT count(*) FROM per_source WHERE n < 30 AND source <> 'po
        (SELECT count(*) FROM samples) AS feature_series,
        (SELECT string_agg(source, ',' ORDER BY source) FROM per_source WHERE n < 30 AND source <> 'polymarket')
          AS insufficient_sources,
-       'polymarket' AS skipped_sources""",
+       'polymarket' AS skipped_sources, 120 AS lookback_days, 365 AS max_lookback_days, '1m' AS price_interval""",
 )
 def _summary(spark, sf_dir):
     return _run(spark, sf_dir).summary.withColumns(
@@ -203,6 +204,4 @@ def _closes_since(spark, sf_dir):
 
 @query("since_filter", "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-15 12:00:00'")
 def _since(spark, sf_dir):
-    from catalogue.tables import events
-
     return since(events(spark, sf_dir).select("event_id", "ts"), "2024-01-15 12:00:00", "ts")

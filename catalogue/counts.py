@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.registry import query, rounded
 from catalogue.tables import CLOSES_SQL, EVENTS_NOW, PRICE, candles, events, observations, orders
 from lagloom.operators.reports import (
+    catalog_counts,
     close_with_change,
     count_with_fallback,
     daily_report,
@@ -59,16 +60,12 @@ def _day_catalog(spark, sf_dir, interval="1m"):
     "count_fallback",
     """
 SELECT '1m' AS "interval", count(*) AS rows FROM events WHERE event_type = 'click'
-UNION ALL SELECT '5m', count(*) FROM events WHERE event_type = 'purchase' AND event_id % 2 = 0
+UNION ALL SELECT '5m', count(*) FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT '15m', 0""",
 )
 def _count_fallback(spark, sf_dir):
     """1m comes from the catalog, 5m from the table, 15m is nowhere."""
-    table = candles(spark, sf_dir).drop("interval").join(
-        events(spark, sf_dir).select(F.col("ts").alias("timestamp"), F.col("event_type").alias("symbol"), "event_id"),
-        ["timestamp", "symbol"],
-    )
-    table = table.withColumn("interval", F.when(F.col("event_id") % 2 == 0, "5m").otherwise("1m"))
+    table = candles(spark, sf_dir).withColumn("interval", F.when(F.col("symbol") == PRICE, "5m").otherwise("1m"))
     return count_with_fallback(_day_catalog(spark, sf_dir), table, PRICE)
 
 
@@ -77,8 +74,6 @@ def _count_fallback(spark, sf_dir):
     """SELECT event_type AS "interval", count(*) AS rows FROM events GROUP BY 1""",
 )
 def _catalog_counts(spark, sf_dir):
-    from lagloom.operators.reports import catalog_counts
-
     objects = (
         events(spark, sf_dir)
         .groupBy(F.col("event_type").alias("interval"), F.date_trunc("day", "ts").alias("day"))

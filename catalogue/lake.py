@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from catalogue.registry import query, rounded
 from catalogue.tables import (
     EVENT_PARAMS,
-    EVENT_TYPES,
     candles,
     daily_priority,
     daily_priority_sql,
@@ -17,7 +16,7 @@ from catalogue.tables import (
     observations,
     orders,
 )
-from lagloom.operators.reports import summary_with_total
+from lagloom.operators.dedupe import keep_last
 from lagloom.plans.jobs import BackfillSource, backfill, load_tables, sample_report
 from lagloom.schemas import (
     ALT_DATA,
@@ -30,16 +29,16 @@ from lagloom.schemas import (
     observation_lake,
 )
 from lagloom.session import work_path
-from lagloom.sinks.lake import LOADS, LoadSpec, archive, build_catalog, lake_rows, load_rows, verify_write
+from lagloom.sinks.lake import LOADS, archive, build_catalog, lake_rows, load_rows, verify_write
 from lagloom.sinks.merge import upsert
-from lagloom.sources.lake import read_table, scan_catalogued, scan_dataset, scan_lake
+from lagloom.sources.lake import read_table, scan_catalogued, scan_dataset, scan_files, scan_lake
 
 FIRST = datetime(2024, 2, 1, tzinfo=timezone.utc)
 SECOND = datetime(2024, 2, 2, tzinfo=timezone.utc)
 
-# Daily turnover, replaced on the days that have an order with a key divisible by three.
+# Daily turnover, replaced on the days that have a finished order.
 MERGED_SQL = f"""
-WITH a AS ({daily_priority_sql()}), b AS ({daily_priority_sql("o_orderkey % 3 = 0")})
+WITH a AS ({daily_priority_sql()}), b AS ({daily_priority_sql("o_orderstatus = 'F'")})
 SELECT a.metric_name, a.ts AS "timestamp", round(coalesce(b.value, a.value), 6) AS value,
        CASE WHEN b.value IS NULL THEN 1 ELSE 2 END AS batch
 FROM a LEFT JOIN b USING (metric_name, ts)"""
@@ -47,7 +46,7 @@ FROM a LEFT JOIN b USING (metric_name, ts)"""
 
 def _two_batches(spark, sf_dir):
     rows = orders(spark, sf_dir)
-    return daily_priority(rows), daily_priority(rows.where(F.col("o_orderkey") % 3 == 0))
+    return daily_priority(rows), daily_priority(rows.where(F.col("o_orderstatus") == "F"))
 
 
 def _with_batch(rows):
@@ -192,7 +191,7 @@ def _validate_and_fill(spark, sf_dir):
 @query(
     "lake_to_table",
     f"""{LOADED_SQL}
-SELECT 'fear_greed' AS source, 'ok' AS status, 2 AS files, 0 AS failed_files, count(*) AS rows, count(*) AS upserted, '' AS error FROM k
+SELECT 'fear_greed' AS source, 'ok' AS status, 2::BIGINT AS files, 0::BIGINT AS failed_files, count(*) AS rows, count(*) AS upserted, '' AS error FROM k
 UNION ALL SELECT 'dxy', 'ok', 0, 0, 0, 0, '' UNION ALL SELECT 'treasury_10y', 'ok', 0, 0, 0, 0, ''
 UNION ALL SELECT 'google_trends', 'ok', 0, 0, 0, 0, ''""",
 )
@@ -224,9 +223,6 @@ def _scan_lake(spark, sf_dir):
   count(DISTINCT ts) AS expected_rows, count(DISTINCT ts) AS stored_rows, TRUE AS matches FROM events GROUP BY ALL""",
 )
 def _verify_write(spark, sf_dir):
-    from lagloom.operators.dedupe import keep_last
-    from lagloom.sources.lake import scan_files
-
     root, spec = _archived_events(spark, sf_dir, "month")
     written = keep_last(lake_rows(observations(spark, sf_dir), spec, "month", FIRST), list(spec.unique_keys))
     return verify_write(written, scan_files(spark, root, spec), spec.partition_by)
@@ -238,7 +234,7 @@ def _verify_write(spark, sf_dir):
 WITH n AS (SELECT event_type, count(*) AS fetched, count(DISTINCT ts) AS archived FROM events GROUP BY 1)
 SELECT event_type AS source, 'ok' AS status, fetched, archived FROM n WHERE event_type IN ('click', 'view')
 UNION ALL SELECT 'broken', 'error', 0, 0
-UNION ALL SELECT 'TOTAL', NULL, sum(fetched), sum(archived) FROM n WHERE event_type IN ('click', 'view')""",
+UNION ALL SELECT 'TOTAL', NULL, sum(fetched)::BIGINT, sum(archived)::BIGINT FROM n WHERE event_type IN ('click', 'view')""",
 )
 def _backfill(spark, sf_dir):
     """Two sources that work and one without stamps."""

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from catalogue.registry import query, rounded
 from catalogue.scalars import SPOILT_SQL, spoilt
 from catalogue.tables import EVENT_TYPES, EVENTS_NOW, events, observations, orders
-from lagloom.functions.coerce import since
+from lagloom.functions.coerce import number, since
 from lagloom.session import work_path
+from lagloom.sources.lake import read_features_since
 from lagloom.sources.observations import (
     features_union,
     first_available,
@@ -201,8 +202,6 @@ SELECT 'user' AS source, CAST(user_id AS VARCHAR) AS metric_name, priority, ts A
 QUALIFY priority = min(priority) OVER (PARTITION BY user_id)""",
 )
 def _first_available(spark, sf_dir):
-    from lagloom.functions.coerce import number
-
     rank = F.when(F.col("event_type") == "purchase", 1).when(F.col("event_type") == "signup", 2).otherwise(3)
     candidates = events(spark, sf_dir).select(
         F.lit("user").alias("source"),
@@ -233,8 +232,6 @@ UNION ALL
 SELECT 'macro_data', 'events', event_type, ts, value, NULL FROM events WHERE ts >= TIMESTAMP '2000-01-01'""",
 )
 def _features_union(spark, sf_dir):
-    from lagloom.sources.lake import read_features_since
-
     return read_features_since(_order_observations(spark, sf_dir), observations(spark, sf_dir), "2000-01-01")
 
 

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from catalogue.registry import query
 from catalogue.tables import EVENTS_NOW, events, observations, orders
 from lagloom.functions import coerce, text
-from lagloom.sinks.lake import partition_key
+from lagloom.sinks.lake import normalize_value, partition_key
+from lagloom.sources.payloads import stamped
 
 # Every tenth value is spoilt in one of several ways.
 SPOILT_SQL = """CASE WHEN event_id % 10 = 1 THEN 'n/a' WHEN event_id % 10 = 2 THEN '' WHEN event_id % 10 = 3 THEN 'NaN'
   WHEN event_id % 10 = 4 THEN '1d' WHEN event_id % 10 = 5 THEN '.' ELSE CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) END"""
 
 
-def spoilt(value=None):
+def spoilt():
     plain = F.col("value").cast("decimal(18,2)").cast("string")
     kind = F.col("event_id") % 10
     return (
@@ -140,8 +141,6 @@ def _exact_decimals(spark, sf_dir):
 FROM events""",
 )
 def _value_text(spark, sf_dir):
-    from lagloom.sinks.lake import normalize_value
-
     rows = events(spark, sf_dir).select(
         "event_id",
         F.col("value").alias("float_text"),
@@ -189,6 +188,4 @@ def _path_parts(spark, sf_dir):
     """SELECT event_id, ts, value, TIMESTAMP '2024-01-31 00:00:00' AS fetched_at FROM events""",
 )
 def _stamped(spark, sf_dir):
-    from lagloom.sources.payloads import stamped
-
     return stamped(events(spark, sf_dir).select("event_id", "ts", "value"), EVENTS_NOW)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalogue.raw import kline_payloads
 from catalogue.registry import query, rounded
-from catalogue.tables import EVENT_SCHEMA
-from lagloom.schemas import ALT_DATA, RUN_LOG_COLUMNS
+from catalogue.tables import EVENT_SCHEMA, EVENTS_NOW
+from lagloom.plans.jobs import incremental_ingest
+from lagloom.schemas import ALT_DATA, CANDLES, RUN_LOG_COLUMNS, candle_lake
 from lagloom.session import work_path
 from lagloom.sinks.merge import upsert
-from lagloom.sources.lake import read_table
-from lagloom.streaming.ingest import distinct_stream, dual_write, ingest_stream, landing_stream
+from lagloom.sources.lake import read_table, scan_dataset
+from lagloom.sources.payloads import normalize_klines
+from lagloom.streaming.ingest import distinct_stream, dual_write, ingest_stream, landing_stream, payload_stream
 from lagloom.streaming.series import hourly_close_stream
 
 
@@ -41,6 +44,41 @@ def _stream_ingest(spark, sf_dir):
     return rows.select("metric_name", "timestamp", rounded(F.col("value")).alias("value"))
 
 
+@query(
+    "incremental_ingest",
+    """
+WITH k AS (SELECT event_type, make_timestamp((epoch_us(ts) // 1000) * 1000) + m * INTERVAL 1 MINUTE AS stamp
+  FROM events CROSS JOIN (SELECT unnest([0, 1]) AS m) WHERE event_id % 10 <> 3)
+SELECT event_type AS symbol, count(DISTINCT stamp) AS table_rows, count(DISTINCT stamp) AS lake_rows,
+  min(stamp) AS first_ts, max(stamp) AS last_ts FROM k GROUP BY 1""",
+)
+def _incremental_ingest(spark, sf_dir):
+    """Candle responses landed as files, parsed on the stream, merged into the table and the lake."""
+    base = work_path(spark, "ingest")
+    kline_payloads(spark, sf_dir).select(F.to_json(F.struct("payload", "symbol", "interval"))).write.text(f"{base}/landing")
+    fields = F.from_json("payload", "payload string, symbol string, interval string")
+    rows = normalize_klines(payload_stream(spark, f"{base}/landing").select(fields.alias("f")).select("f.*"))
+    lake = candle_lake()
+    incremental_ingest(
+        rows, f"{base}/table", CANDLES, f"{base}/lake", lake, f"{base}/log", f"{base}/offsets", EVENTS_NOW
+    ).awaitTermination()
+    both = (
+        read_table(spark, f"{base}/table", CANDLES)
+        .select("symbol", "timestamp", F.lit(1).alias("table"), F.lit(0).alias("lake"))
+        .unionByName(
+            scan_dataset(spark, f"{base}/lake", lake).select(
+                "symbol", "timestamp", F.lit(0).alias("table"), F.lit(1).alias("lake")
+            )
+        )
+    )
+    return both.groupBy("symbol").agg(
+        F.sum("table").alias("table_rows"),
+        F.sum("lake").alias("lake_rows"),
+        F.min("timestamp").alias("first_ts"),
+        F.max("timestamp").alias("last_ts"),
+    )
+
+
 @query(
     "stream_hourly_close",
     """

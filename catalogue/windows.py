@@ -186,8 +186,8 @@ def _price_spike(spark, sf_dir):
 @query(
     "sentiment_shift",
     """
-WITH l AS (SELECT 'group_' || (user_id % 20) AS metric_name, date_trunc('hour', ts) AS hour, event_type AS label FROM events
-  QUALIFY row_number() OVER (PARTITION BY user_id % 20, date_trunc('hour', ts) ORDER BY ts DESC, event_type DESC) = 1),
+WITH l AS (SELECT 'user_' || user_id AS metric_name, date_trunc('hour', ts) AS hour, event_type AS label FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC, event_type DESC) = 1),
 p AS (SELECT *, lag(label) OVER (PARTITION BY metric_name ORDER BY hour) AS previous_label,
   row_number() OVER (PARTITION BY metric_name ORDER BY hour) AS nth FROM l)
 SELECT 'events' AS source, metric_name, hour, previous_label, label FROM p
@@ -196,7 +196,7 @@ WHERE nth > 1 AND label IS DISTINCT FROM previous_label""",
 def _sentiment_shift(spark, sf_dir):
     rows = events(spark, sf_dir).select(
         F.lit("events").alias("source"),
-        F.concat(F.lit("group_"), (F.col("user_id") % 20).cast("string")).alias("metric_name"),
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("metric_name"),
         F.col("ts").alias("timestamp"),
         F.col("event_type").alias("label"),
     )

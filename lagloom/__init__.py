@@ -5,6 +5,7 @@ from lagloom.plans.jobs import (
     BackfillSource,
     CorrelationRun,
     backfill,
+    incremental_ingest,
     lag_correlation,
     load_tables,
     sample_report,
@@ -17,6 +18,7 @@ __all__ = [
     "BackfillSource",
     "CorrelationRun",
     "backfill",
+    "incremental_ingest",
     "lag_correlation",
     "load_tables",
     "sample_report",

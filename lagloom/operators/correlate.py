@@ -174,6 +174,11 @@ def run_summary(statistics: DataFrame, params: AnalysisParams = AnalysisParams()
         *[total(name) for name in ("evaluated", "insufficient", "significant", "feature_series")],
         listed(short & ~waits).alias("insufficient_sources"),
         listed(short & waits).alias("skipped_sources"),
+    ).select(
+        "*",
+        F.lit(params.base_window_days).alias("lookback_days"),
+        F.lit(params.max_window_days).alias("max_lookback_days"),
+        F.lit(params.interval).alias("price_interval"),
     )
 
 

@@ -8,25 +8,29 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from lagloom.functions.coerce import since
 from lagloom.operators.correlate import lag_statistics, run_summary, significant, window_details
 from lagloom.operators.reports import count_with_fallback, sample_counts, summary_with_total
 from lagloom.operators.series import feature_series, hourly_close, source_samples
 from lagloom.params import AnalysisParams
-from lagloom.schemas import CORRELATION_RESULTS, LakeSpec
+from lagloom.schemas import CORRELATION_RESULTS, LakeSpec, TableSpec
+from lagloom.session import use_utc
 from lagloom.sinks.lake import LOADS, LoadSpec, archive, lake_to_table
 from lagloom.sinks.merge import upsert
 from lagloom.sources.lake import read_closes_since
-from lagloom.functions.coerce import since
-from lagloom.session import use_utc
+from lagloom.sources.payloads import stamped
+from lagloom.streaming.ingest import dual_write
 
 log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class CorrelationRun:
-    """One run: the statistics grid and the tables read off it, all of them lazy."""
+    """One run: the hourly closes, the statistics grid and the tables read off it, all of them lazy."""
 
+    closes: DataFrame
     statistics: DataFrame
     now: datetime
     params: AnalysisParams
@@ -65,7 +69,7 @@ def lag_correlation(
         read_closes_since(candles, cutoff, params.interval, params.symbol), unique_stamps=unique_stamps
     )
     series = feature_series(since(observations, cutoff), unique_stamps)
-    return CorrelationRun(lag_statistics(series, closes, now, params), now, params)
+    return CorrelationRun(closes, lag_statistics(series, closes, now, params), now, params)
 
 
 def save_results(spark: SparkSession, path: str, results: DataFrame) -> None:
@@ -151,3 +155,25 @@ def sample_report(
     counts = sample_counts(observations).unionByName(candle_rows)
     waits = F.col("name").isin(list(params.skip_until_ready))
     return counts.withColumn("pending", waits & (F.col("samples") < params.min_samples))
+
+
+def incremental_ingest(
+    rows: DataFrame,
+    table_path: str,
+    table: TableSpec,
+    root: str,
+    lake: LakeSpec,
+    run_log_path: str,
+    checkpoint: str,
+    run_ts: datetime | str,
+) -> StreamingQuery:
+    """Take in everything that has landed since the last run: into the table, and on its own into the lake.
+
+    ``rows`` is a stream of parsed rows. Polls may overlap and batches may be repeated; both sides merge by
+    key. The run log has one row per batch and side, which run_totals sums up.
+    """
+    sinks = {
+        "table": lambda batch: upsert(batch.sparkSession, table_path, stamped(batch, run_ts), table),
+        "lake": lambda batch: archive(batch.sparkSession, batch, root, lake, run_ts, catalog_path=f"{root}/catalog"),
+    }
+    return dual_write(rows, sinks, run_log_path, checkpoint)

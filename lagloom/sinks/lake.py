@@ -248,9 +248,12 @@ def _fill_per_file(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, DataFram
     return filled.drop("no_source", "no_metric"), judged
 
 
-def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame:
-    """Path and content of the Parquet files below the prefixes; a query for paths alone reads no content."""
-    found = spark.createDataFrame([], "object_path string, content binary")
+def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame | None:
+    """Path and content of the Parquet files below the prefixes, None if no prefix exists.
+
+    A query for the paths alone reads no content.
+    """
+    found = None
     for prefix in prefixes:
         try:
             files = (
@@ -263,7 +266,8 @@ def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        found = found.unionByName(files.select(F.col("_metadata.file_path").alias("object_path"), "content"))
+        files = files.select(F.col("_metadata.file_path").alias("object_path"), "content")
+        found = files if found is None else found.unionByName(files)
     return found
 
 
@@ -298,9 +302,11 @@ def lake_to_table(
     Status is ``partial`` if a file could not be read or lacks a required column.
     """
     prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
-    raw = scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True)
-    _, judged = _fill_per_file(raw, spec)
+    result = {"source": spec.name, "table": spec.table.name, "status": "ok"}
     files = file_bytes(spark, prefixes)
+    if files is None:
+        return result | {"files": 0, "failed_files": 0, "rows": 0, "upserted": 0}
+    _, judged = _fill_per_file(scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True), spec)
     paths = files.select("object_path")
     listed = paths.join(judged, "object_path", "left")
     counts = listed.agg(F.count("*").alias("files"), F.count_if(~F.col("usable")).alias("lacking")).first()
@@ -317,9 +323,7 @@ def lake_to_table(
                 upsert(spark, table_path, loaded, spec.table)
         finally:
             remove_path(spark, staging)
-    return {
-        "source": spec.name,
-        "table": spec.table.name,
+    return result | {
         "status": "partial" if failed else "ok",
         "files": counts["files"],
         "failed_files": failed,

@@ -60,9 +60,13 @@ def _sentiment_valid(item: Column) -> Column:
 
 
 def _valid_items(df: DataFrame, items: Column, valid, *keep: str) -> DataFrame:
-    """One row per item of the responses that are valid throughout."""
-    parsed = df.select(*keep, items.alias("_items"))
-    return parsed.where(F.forall("_items", valid)).select(*keep, F.explode("_items").alias("_item"))
+    """One row per item of the responses that are valid throughout.
+
+    The test and the outer explode are nested around one parse: as a filter on the parsed column, or with
+    the filter an inner explode brings along, the parse would be repeated for each.
+    """
+    whole = F.flatten(F.filter(F.array(items), lambda found: F.forall(found, valid)))
+    return df.select(*keep, F.explode_outer(whole).alias("_item")).where(F.col("_item").isNotNull())
 
 
 def normalize_klines(raw: DataFrame) -> DataFrame:

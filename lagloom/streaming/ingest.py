@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lagloom.schemas import RUN_LOG_COLUMNS, TableSpec
@@ -25,6 +25,14 @@ def landing_stream(
     return reader.parquet(path)
 
 
+def payload_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Newly landed response files as a stream, one response per line, for the parsers of sources.payloads."""
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path).withColumnRenamed("value", "payload")
+
+
 def ingest_stream(
     stream: DataFrame, table_path: str, spec: TableSpec, checkpoint: str, order: Sequence[str] = ("fetched_at",)
 ) -> StreamingQuery:

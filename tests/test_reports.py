@@ -1,8 +1,6 @@
 from datetime import timedelta
-from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from lagloom.operators.alerts import daily_moves, price_spikes, sentiment_shifts, stale_series
 from lagloom.operators.reports import (

@@ -1,12 +1,10 @@
 from datetime import timedelta
-from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from lagloom.operators.series import hourly_close
-from lagloom.schemas import CANDLES, RUN_LOG_COLUMNS
+from lagloom.schemas import CANDLES, RUN_LOG_COLUMNS, candle_lake
 from lagloom.sinks.lake import archive
-from lagloom.schemas import candle_lake
 from lagloom.sinks.merge import upsert
 from lagloom.sources.lake import read_table, scan_dataset
 from lagloom.streaming.ingest import distinct_stream, dual_write, ingest_stream, landing_stream
