@@ -185,7 +185,7 @@ k AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY ts ORDER BY path D
 SELECT 'fear_greed' AS source, 'index' AS metric_name, ts AS "timestamp", value, label FROM k""",
 )
 def _validate_and_fill(spark, sf_dir):
-    return load_rows(spark, _loadable_lake(spark, sf_dir), LOADS[0])
+    return load_rows(spark, _loadable_lake(spark, sf_dir), LOADS[0], SECOND).rows.drop("fetched_at")
 
 
 @query(

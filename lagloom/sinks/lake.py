@@ -15,6 +15,7 @@ from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import ALT_DATA, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
 from lagloom.session import remove_path
 from lagloom.sinks.merge import Touched, merge_into, staged, upsert
+from lagloom.sources.foreign import read_foreign
 from lagloom.sources.lake import read_existing, scan_lake
 
 GRANULARITIES = ("day", "month", "year")
@@ -195,6 +196,9 @@ LOADS = (
     LoadSpec("google_trends", MACRO_DATA, ("raw/macro/google_trends/", "raw/market/macro_data/google_trends/"), "google_trends"),
 )
 
+# Most file paths named in one filter; beyond this they are joined.
+LISTED_FILES = 1000
+
 LOAD_COLUMNS = "source string, metric_name string, timestamp timestamp, value string, label string"
 
 
@@ -223,15 +227,10 @@ def _fill_per_file(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, DataFram
     a column that is NULL in every row of a file counts as absent from it.
     """
     names = ("source", "metric_name", "timestamp", "value")
-    files = rows.groupBy("object_path").agg(
-        F.count("*").alias("rows"), *[F.count(name).alias(f"has_{name}") for name in names]
-    )
-    needed = [F.col("has_timestamp") > 0, F.col("has_value") > 0]
+    files = rows.groupBy("object_path").agg(*[F.count(name).alias(f"has_{name}") for name in names])
+    usable = (F.col("has_timestamp") > 0) & (F.col("has_value") > 0)
     if spec.metric is None:
-        needed.append(F.col("has_metric_name") > 0)
-    usable = needed[0]
-    for test in needed[1:]:
-        usable = usable & test
+        usable = usable & (F.col("has_metric_name") > 0)
     judged = files.withColumn("usable", usable)
     absent = judged.where("usable").select(
         "object_path",
@@ -271,27 +270,60 @@ def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame | None
     return found
 
 
-def _broken_files(files: DataFrame, silent: DataFrame, listed: int = 1000) -> int:
-    """How many of the files that gave no row are no Parquet; the others are just empty.
+def _silent_files(files: DataFrame, listing: DataFrame, listed: int) -> DataFrame | None:
+    """Path and content of the files the native scan got no row from, None if there are none.
 
-    Only those files are opened: their paths are named in the filter, or joined if they are too many.
+    Only those are opened: their paths are named in the filter, or joined if they are too many.
     """
+    silent = listing.where(F.col("usable").isNull()).select("object_path")
     paths = [row.object_path for row in silent.limit(listed + 1).collect()]
     if not paths:
-        return 0
+        return None
     if len(paths) <= listed:
-        opened = files.where(F.col("object_path").isin(paths))
-    else:
-        opened = files.join(silent, "object_path", "left_semi")
-    return opened.where(F.substring("content", -4, 4) != F.lit(b"PAR1")).count()
+        return files.where(F.col("object_path").isin(paths))
+    return files.join(silent, "object_path", "left_semi")
+
 
+@dataclass(frozen=True)
+class LakeLoad:
+    """Valid rows of a load, one per key, staged at a path, and what happened to its files."""
+
+    rows: DataFrame
+    files: int
+    failed_files: int
+    staging: str | None
 
-def load_rows(spark: SparkSession, root: str, spec: LoadSpec) -> DataFrame:
-    """Rows of all files of a load, one per key; the file whose path sorts last wins."""
+
+def load_rows(
+    spark: SparkSession, root: str, spec: LoadSpec, run_ts: datetime | str, listed: int = LISTED_FILES
+) -> LakeLoad:
+    """All files of a load; of rows with one key the file whose path sorts last wins.
+
+    Spark reads what it can, once: whether a file fails depends on the columns asked for, so its rows and
+    the verdict on it must come from one and the same read. Files it gets no row from are empty, broken,
+    or typed in a way it refuses; they are decoded one by one in tasks.
+    """
     prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
-    rows, _ = _fill_per_file(scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True), spec)
-    valid = validate_and_fill(rows, spec)
-    return keep_last(valid, ["source", "metric_name", "timestamp"], ["object_path"]).drop("object_path")
+    files = file_bytes(spark, prefixes)
+    if files is None:
+        return LakeLoad(spark.createDataFrame([], spec.table.columns), 0, 0, None)
+    scan, scanned = staged(spark, scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True), "scan")
+    try:
+        rows, judged = _fill_per_file(scan, spec)
+        listing = files.select("object_path").join(judged, "object_path", "left")
+        counts = listing.agg(F.count("*").alias("files"), F.count_if(~F.col("usable")).alias("lacking")).first()
+        failed = counts["lacking"]
+        silent = _silent_files(files, listing, listed)
+        if silent is not None:
+            foreign = read_foreign(silent, spec.source, spec.metric)
+            failed += foreign.where(F.col("failure").isNotNull()).count()
+            rows = rows.unionByName(foreign.where(F.col("failure").isNull()).drop("failure"))
+        valid = validate_and_fill(rows, spec)
+        kept = keep_last(valid, ["source", "metric_name", "timestamp"], ["object_path"]).drop("object_path")
+        loaded, staging = staged(spark, kept.withColumn("fetched_at", moment(run_ts)), "load")
+    finally:
+        remove_path(spark, scanned)
+    return LakeLoad(loaded, counts["files"], failed, staging)
 
 
 def lake_to_table(
@@ -301,32 +333,20 @@ def lake_to_table(
 
     Status is ``partial`` if a file could not be read or lacks a required column.
     """
-    prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
-    result = {"source": spec.name, "table": spec.table.name, "status": "ok"}
-    files = file_bytes(spark, prefixes)
-    if files is None:
-        return result | {"files": 0, "failed_files": 0, "rows": 0, "upserted": 0}
-    _, judged = _fill_per_file(scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True), spec)
-    paths = files.select("object_path")
-    listed = paths.join(judged, "object_path", "left")
-    counts = listed.agg(F.count("*").alias("files"), F.count_if(~F.col("usable")).alias("lacking")).first()
-    silent = paths.join(judged.select("object_path"), "object_path", "left_anti")
-    failed = counts["lacking"] + _broken_files(files, silent)
-    rows = load_rows(spark, root, spec).withColumn("fetched_at", moment(run_ts))
-    if dry_run:
-        total = rows.count()
-    else:
-        loaded, staging = staged(spark, rows, "load")
-        try:
-            total = loaded.count()
-            if total:
-                upsert(spark, table_path, loaded, spec.table)
-        finally:
-            remove_path(spark, staging)
-    return result | {
-        "status": "partial" if failed else "ok",
-        "files": counts["files"],
-        "failed_files": failed,
+    load = load_rows(spark, root, spec, run_ts)
+    try:
+        total = load.rows.count()
+        if total and not dry_run:
+            upsert(spark, table_path, load.rows, spec.table)
+    finally:
+        if load.staging is not None:
+            remove_path(spark, load.staging)
+    return {
+        "source": spec.name,
+        "table": spec.table.name,
+        "status": "partial" if load.failed_files else "ok",
+        "files": load.files,
+        "failed_files": load.failed_files,
         "rows": total,
         "upserted": 0 if dry_run else total,
     }

@@ -2,6 +2,7 @@
 
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from lagloom.sinks.lake import (
     build_catalog,
     lake_rows,
     lake_to_table,
+    load_rows,
     partition_key,
     validate_and_fill,
     verify_write,
@@ -329,6 +331,27 @@ def test_load_is_partial_when_a_file_fails_and_defaults_absent_names(spark, root
     assert tuples(read_table(spark, f"{root}/t", ALT_DATA), "source", "metric_name", "value") == [("fear_greed", "index", Decimal(2))]
 
 
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_files_written_by_pandas_are_loaded(spark, root, tmp_path, listed):
+    """Nanosecond stamps, a typeless label, numbers in one file and text in another, no source column."""
+    folder = tmp_path / "lake" / "raw" / "alternative" / "dxy"
+    folder.mkdir(parents=True)
+    stamps = pd.to_datetime(["2026-06-09T00:00:00Z", "2026-06-10T00:00:00Z"], utc=True).astype("datetime64[ns, UTC]")
+    pd.DataFrame({"source": "dxy", "metric_name": "close", "timestamp": stamps, "value": [1.5, float("nan")], "label": None}).to_parquet(folder / "a.parquet")
+    pd.DataFrame({"timestamp": stamps[:1], "value": ["2.50"], "label": ["x"]}).to_parquet(folder / "b.parquet")
+    pd.DataFrame({"timestamp": stamps[:0], "value": []}).to_parquet(folder / "empty.parquet")
+    pd.DataFrame({"timestamp": stamps}).to_parquet(folder / "lacking.parquet")
+    micros = stamps[:1].astype("datetime64[us, UTC]") + pd.Timedelta(days=5)
+    pd.DataFrame({"source": "dxy", "metric_name": "close", "timestamp": micros, "value": ["7"], "label": None}).to_parquet(folder / "micros.parquet")
+    (folder / "broken.parquet").write_bytes(b"PAR1 no more PAR1")
+    load = load_rows(spark, root, LOADS[1], RUN1, listed)
+    assert (load.files, load.failed_files) == (6, 2)
+    day = F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("day")
+    assert tuples(load.rows, day, "source", "metric_name", "value", "label") == [
+        ("2026-06-09 00:00", "dxy", "close", 2.5, "x"), ("2026-06-14 00:00", "dxy", "close", 7.0, None),
+    ]
+
+
 def test_required_columns_are_checked(spark):
     spec = LoadSpec("google_trends", MACRO_DATA, (), "google_trends")
     rows = observations(spark, ("google_trends", "bitcoin", "2026-06-09T00:00:00Z", "1"))
