@@ -24,8 +24,10 @@ from catalogue.tables import (
 from lagloom.functions.coerce import since
 from lagloom.operators.correlate import all_pairs, evaluated, first_results, lag_join, pair_statistics
 from lagloom.operators.series import feature_series, hourly_close
-from lagloom.plans.jobs import lag_correlation
-from lagloom.sources.lake import read_closes_since
+from lagloom.plans.jobs import lag_correlation, save_results
+from lagloom.schemas import CORRELATION_RESULTS
+from lagloom.session import work_path
+from lagloom.sources.lake import read_closes_since, read_table
 
 WITH_INPUTS = f"""
 WITH closes AS ({CLOSES_SQL}),
@@ -57,7 +59,7 @@ judged AS (
   FROM tested)"""
 
 
-def _run(spark, sf_dir):
+def planted_run(spark, sf_dir):
     every = features(spark, sf_dir).unionByName(planted(spark, sf_dir))
     return lag_correlation(candles(spark, sf_dir), every, EVENTS_NOW, EVENT_PARAMS)
 
@@ -99,7 +101,7 @@ SELECT source, metric_name, lag_hours, base_samples, sample_size, round(pearson_
        round(p_value, 6) AS p_value, outcome FROM judged""",
 )
 def _lag_correlation(spark, sf_dir):
-    return evaluated(_run(spark, sf_dir).statistics).select(
+    return evaluated(planted_run(spark, sf_dir).statistics).select(
         "source",
         "metric_name",
         "lag_hours",
@@ -120,7 +122,7 @@ SELECT CASE WHEN source = 'fred' THEN 'macro_data' ELSE 'alt_data' END || '.' ||
 FROM judged WHERE outcome = 'significant'""",
 )
 def _significant(spark, sf_dir):
-    return _run(spark, sf_dir).results.withColumns(
+    return planted_run(spark, sf_dir).results.withColumns(
         {
             "pearson_r": rounded(F.col("pearson_r")),
             "p_value": rounded(F.col("p_value")),
@@ -129,6 +131,22 @@ def _significant(spark, sf_dir):
     )
 
 
+@query(
+    "save_results",
+    f"""{WITH_INPUTS}, {grid_sql("every_series")}
+SELECT CASE WHEN source = 'fred' THEN 'macro_data' ELSE 'alt_data' END || '.' || source || '.' || metric_name AS dataset_a,
+       lag_hours, round(pearson_r, 6) AS pearson_r, sample_size, '2024-01' AS period
+FROM judged WHERE outcome = 'significant'""",
+)
+def _save_results(spark, sf_dir):
+    """Saved twice: the second save of a day replaces the first."""
+    path = work_path(spark, "correlation_results")
+    for _ in range(2):
+        save_results(spark, path, planted_run(spark, sf_dir).results)
+    rows = read_table(spark, path, CORRELATION_RESULTS)
+    return rows.select("dataset_a", "lag_hours", rounded(F.col("pearson_r")).alias("pearson_r"), "sample_size", "period")
+
+
 @query(
     "first_results",
     f"""{WITH_INPUTS}, {grid_sql("every_series")}
@@ -137,7 +155,7 @@ SELECT CASE WHEN source = 'fred' THEN 'macro_data' ELSE 'alt_data' END || '.' ||
 FROM judged WHERE outcome = 'significant' ORDER BY dataset_a, lag_hours LIMIT 2""",
 )
 def _first_results(spark, sf_dir):
-    return first_results(_run(spark, sf_dir).results, 2).select(
+    return first_results(planted_run(spark, sf_dir).results, 2).select(
         "dataset_a", "lag_hours", rounded(F.col("pearson_r")).alias("pearson_r")
     )
 
@@ -159,7 +177,7 @@ SELECT CASE WHEN (SELECT count(*) FROM per_source WHERE n < 30 AND source <> 'po
        'polymarket' AS skipped_sources, 120 AS lookback_days, 365 AS max_lookback_days, '1m' AS price_interval""",
 )
 def _summary(spark, sf_dir):
-    return _run(spark, sf_dir).summary.withColumns(
+    return planted_run(spark, sf_dir).summary.withColumns(
         {name: F.array_join(name, ",") for name in ("insufficient_sources", "skipped_sources")}
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalogue.correlation import WITH_INPUTS, grid_sql, planted_run
 from catalogue.registry import query, rounded
 from catalogue.tables import CLOSES_SQL, EVENTS_NOW, PRICE, candles, events, observations, orders
 from lagloom.operators.reports import (
@@ -20,7 +21,6 @@ from lagloom.operators.reports import (
     summary_with_total,
 )
 from lagloom.operators.series import hourly_close
-from lagloom.schemas import CORRELATION_RESULTS
 
 NAMED = (
     ("alt_data", "clicks", "events", "click"),
@@ -159,15 +159,14 @@ def _latest_with_change(spark, sf_dir):
     return latest_with_change(observations(spark, sf_dir)).withColumn("change_pct", rounded(F.col("change_pct"), 4))
 
 
-PRICE_SQL = f"""
-closes AS ({CLOSES_SQL}),
+DAY_BEFORE_SQL = """
 price AS (SELECT c.hour, c.close, p.close AS earlier FROM closes c
   LEFT JOIN closes p ON p.hour = c.hour - INTERVAL 24 HOUR WHERE c.hour = (SELECT max(hour) FROM closes))"""
 
 
 @query(
     "close_with_change",
-    f"WITH {PRICE_SQL} SELECT hour, close, round(close / earlier * 100.0 - 100.0, 4) AS change_pct FROM price",
+    f"WITH closes AS ({CLOSES_SQL}), {DAY_BEFORE_SQL} SELECT hour, close, round(close / earlier * 100.0 - 100.0, 4) AS change_pct FROM price",
 )
 def _close_with_change(spark, sf_dir):
     closes = hourly_close(candles(spark, sf_dir).where(F.col("symbol") == PRICE))
@@ -193,13 +192,17 @@ def _hypothesis_counts(spark, sf_dir):
 
 @query(
     "daily_report",
-    f"""WITH {PRICE_SQL}, {LATEST_SQL}, {HYPOTHESES_SQL}
+    f"""{WITH_INPUTS}, {grid_sql("every_series")}, {DAY_BEFORE_SQL}, {LATEST_SQL}, {HYPOTHESES_SQL}
 SELECT 'price' AS section, 'close' AS name, close AS value, round(close / earlier * 100.0 - 100.0, 4) AS change_pct FROM price
+UNION ALL SELECT 'correlation', CASE WHEN source = 'fred' THEN 'macro_data' ELSE 'alt_data' END || '.' || source || '.' ||
+  metric_name || ' lag ' || lag_hours, round(pearson_r, 6), NULL FROM judged WHERE outcome = 'significant'
 UNION ALL SELECT 'metric', 'events.' || event_type, value, round(value / previous * 100.0 - 100.0, 4) FROM latest WHERE nth = 1
 UNION ALL SELECT 'hypothesis', status, hypotheses::DOUBLE, NULL FROM states""",
 )
 def _daily_report(spark, sf_dir):
     closes = hourly_close(candles(spark, sf_dir).where(F.col("symbol") == PRICE))
-    none_yet = spark.createDataFrame([], CORRELATION_RESULTS.columns)
-    report = daily_report(closes, observations(spark, sf_dir), none_yet, _hypotheses(spark, sf_dir), EVENTS_NOW)
-    return report.select("section", "name", "value", rounded(F.col("change_pct"), 4).alias("change_pct"))
+    results = planted_run(spark, sf_dir).results
+    report = daily_report(closes, observations(spark, sf_dir), results, _hypotheses(spark, sf_dir), EVENTS_NOW)
+    return report.select(
+        "section", "name", rounded(F.col("value")).alias("value"), rounded(F.col("change_pct"), 4).alias("change_pct")
+    )

@@ -14,7 +14,7 @@ from lagloom.functions.text import value_text
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import ALT_DATA, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
 from lagloom.session import remove_path
-from lagloom.sinks.merge import Touched, merge_into, staged, upsert
+from lagloom.sinks.merge import BROADCAST_ROWS, Touched, merge_into, staged, upsert
 from lagloom.sources.foreign import read_foreign
 from lagloom.sources.lake import read_existing, scan_lake
 
@@ -220,37 +220,39 @@ def validate_and_fill(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     return has_values(typed, "source", "metric_name", "timestamp", "value").select(*columns, *kept)
 
 
-def _fill_per_file(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, DataFrame]:
-    """Rows with file-level defaults, and per file whether its required columns are there.
+def _judged_files(rows: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Per file, which of the columns it has and whether it has all that are required.
 
     Files of different age differ in their columns, and a declared schema reads an absent column as NULL;
     a column that is NULL in every row of a file counts as absent from it.
     """
     names = ("source", "metric_name", "timestamp", "value")
-    files = rows.groupBy("object_path").agg(*[F.count(name).alias(f"has_{name}") for name in names])
-    usable = (F.col("has_timestamp") > 0) & (F.col("has_value") > 0)
+    files = rows.groupBy("object_path").agg(*[(F.count(name) > 0).alias(f"has_{name}") for name in names])
+    usable = F.col("has_timestamp") & F.col("has_value")
     if spec.metric is None:
-        usable = usable & (F.col("has_metric_name") > 0)
-    judged = files.withColumn("usable", usable)
-    absent = judged.where("usable").select(
-        "object_path",
-        (F.col("has_source") == 0).alias("no_source"),
-        (F.col("has_metric_name") == 0).alias("no_metric"),
-    )
-    filled = rows.join(absent, "object_path").withColumn(
-        "source", F.when(F.col("no_source"), spec.source).otherwise(F.col("source"))
+        usable = usable & F.col("has_metric_name")
+    return files.withColumn("usable", usable)
+
+
+def _fill_per_file(rows: DataFrame, judged: DataFrame, spec: LoadSpec, files: int) -> DataFrame:
+    """Rows of the usable files, with names filled in where the file lacks them."""
+    usable = judged.where("usable").select("object_path", "has_source", "has_metric_name")
+    if files <= BROADCAST_ROWS:
+        usable = F.broadcast(usable)
+    filled = rows.join(usable, "object_path").withColumn(
+        "source", F.when(F.col("has_source"), F.col("source")).otherwise(spec.source)
     )
     if spec.metric is not None:
         filled = filled.withColumn(
-            "metric_name", F.when(F.col("no_metric"), spec.metric).otherwise(F.col("metric_name"))
+            "metric_name", F.when(F.col("has_metric_name"), F.col("metric_name")).otherwise(spec.metric)
         )
-    return filled.drop("no_source", "no_metric"), judged
+    return filled.drop("has_source", "has_metric_name")
 
 
 def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame | None:
     """Path and content of the Parquet files below the prefixes, None if no prefix exists.
 
-    A query for the paths alone reads no content.
+    A query for the paths alone reads no content. Content is limited to 2 GB per file.
     """
     found = None
     for prefix in prefixes:
@@ -309,10 +311,11 @@ def load_rows(
         return LakeLoad(spark.createDataFrame([], spec.table.columns), 0, 0, None)
     scan, scanned = staged(spark, scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True), "scan")
     try:
-        rows, judged = _fill_per_file(scan, spec)
+        judged = _judged_files(scan, spec)
         listing = files.select("object_path").join(judged, "object_path", "left")
         counts = listing.agg(F.count("*").alias("files"), F.count_if(~F.col("usable")).alias("lacking")).first()
         failed = counts["lacking"]
+        rows = _fill_per_file(scan, judged, spec, counts["files"])
         silent = _silent_files(files, listing, listed)
         if silent is not None:
             foreign = read_foreign(silent, spec.source, spec.metric)

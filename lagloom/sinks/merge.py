@@ -20,7 +20,7 @@ log = logging.getLogger(__name__)
 # Partitions named one by one in the read filter; beyond this a range and a semi join select them.
 LISTED_PARTITIONS = 500
 
-# Largest counted batch whose keys are broadcast; keys are a few names and a stamp, so some tens of MB.
+# Most counted rows of a few names and a stamp that are broadcast: some tens of MB.
 BROADCAST_ROWS = 200_000
 
 
