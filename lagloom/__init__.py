@@ -8,6 +8,7 @@ from lagloom.plans.jobs import (
     incremental_ingest,
     lag_correlation,
     load_tables,
+    run_correlation,
     sample_report,
     save_results,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "incremental_ingest",
     "lag_correlation",
     "load_tables",
+    "run_correlation",
     "sample_report",
     "save_results",
     "use_utc",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +18,7 @@ from lagloom.params import AnalysisParams
 from lagloom.schemas import CORRELATION_RESULTS, LakeSpec, TableSpec
 from lagloom.session import use_utc
 from lagloom.sinks.lake import LOADS, LoadSpec, archive, lake_to_table
-from lagloom.sinks.merge import upsert
+from lagloom.sinks.merge import staged, upsert
 from lagloom.sources.lake import read_closes_since
 from lagloom.sources.payloads import stamped
 from lagloom.streaming.ingest import dual_write
@@ -72,6 +72,28 @@ def lag_correlation(
     return CorrelationRun(closes, lag_statistics(series, closes, now, params), now, params)
 
 
+def run_correlation(
+    spark: SparkSession,
+    candles: DataFrame,
+    observations: DataFrame,
+    now: datetime,
+    results_path: str,
+    params: AnalysisParams = AnalysisParams(),
+    unique_stamps: bool = False,
+) -> CorrelationRun:
+    """Compute, store the results, and hand back the run.
+
+    The statistics grid, a row per series and lag, is staged in the shared folder: results, details and
+    summary then read it there instead of running the whole job once each.
+    """
+    use_utc(spark)
+    run = lag_correlation(candles, observations, now, params, unique_stamps)
+    grid, _ = staged(spark, run.statistics, "grid")
+    run = replace(run, statistics=grid)
+    upsert(spark, results_path, run.results, CORRELATION_RESULTS, cheap_to_reread=True)
+    return run
+
+
 def save_results(spark: SparkSession, path: str, results: DataFrame) -> None:
     """Store result rows; a rerun on the same day replaces them."""
     upsert(spark, path, results, CORRELATION_RESULTS)
@@ -173,7 +195,9 @@ def incremental_ingest(
     key. The run log has one row per batch and side, which run_totals sums up.
     """
     sinks = {
-        "table": lambda batch: upsert(batch.sparkSession, table_path, stamped(batch, run_ts), table),
+        "table": lambda batch: upsert(
+            batch.sparkSession, table_path, stamped(batch, run_ts), table, cheap_to_reread=True
+        ),
         "lake": lambda batch: archive(batch.sparkSession, batch, root, lake, run_ts, catalog_path=f"{root}/catalog"),
     }
     return dual_write(rows, sinks, run_log_path, checkpoint)

@@ -113,7 +113,7 @@ def archive(
         try:
             totals = objects.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
             if catalog_path is not None:
-                upsert(spark, catalog_path, objects, LAKE_CATALOG)
+                upsert(spark, catalog_path, objects, LAKE_CATALOG, cheap_to_reread=True)
         finally:
             objects.unpersist()
     finally:
@@ -340,7 +340,7 @@ def lake_to_table(
     try:
         total = load.rows.count()
         if total and not dry_run:
-            upsert(spark, table_path, load.rows, spec.table)
+            upsert(spark, table_path, load.rows, spec.table, cheap_to_reread=True)
     finally:
         if load.staging is not None:
             remove_path(spark, load.staging)

@@ -187,18 +187,33 @@ def publish(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Se
     write_partitions(rows, path, partition_by, sort_by)
 
 
-def upsert(spark: SparkSession, path: str, rows: DataFrame, spec: TableSpec, order: Sequence[str] = ()) -> None:
-    """Insert or replace by the table's natural key; of several new rows with one key the last by ``order``."""
+def upsert(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    spec: TableSpec,
+    order: Sequence[str] = (),
+    cheap_to_reread: bool = False,
+) -> None:
+    """Insert or replace by the table's natural key; of several new rows with one key the last by ``order``.
+
+    A merge reads its rows more than once, so they are staged first, unless they already are stored or cached.
+    """
     missing = [name for name in spec.keys if name not in rows.columns]
     if missing:
         raise ValueError(f"{spec.name}: missing key columns {missing}")
-    merge_into(
-        spark,
-        path,
-        with_period(rows, spec),
-        spec.schema,
-        spec.keys,
-        spec.partition_by,
-        order,
-        sort_by=[spec.time_column] if spec.time_column else (),
-    )
+    incoming, staging = (rows, None) if cheap_to_reread else staged(spark, rows, "incoming")
+    try:
+        merge_into(
+            spark,
+            path,
+            with_period(incoming, spec),
+            spec.schema,
+            spec.keys,
+            spec.partition_by,
+            order,
+            sort_by=[spec.time_column] if spec.time_column else (),
+        )
+    finally:
+        if staging is not None:
+            remove_path(spark, staging)

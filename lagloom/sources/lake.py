@@ -56,8 +56,13 @@ def scan_lake(
     return rows if cutoff is None else since(rows, cutoff)
 
 
-def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    return read_or_empty(spark, spec.schema, path)
+def read_table(spark: SparkSession, path: str, spec: TableSpec, cutoff: datetime | None = None) -> DataFrame:
+    """A keyed table, from the cutoff on if one is given; earlier month directories are not read."""
+    rows = read_or_empty(spark, spec.schema, path)
+    if cutoff is None:
+        return rows
+    moment_utc = cutoff.astimezone(timezone.utc) if cutoff.tzinfo else cutoff
+    return since(rows.where(F.col("period") >= f"{moment_utc:%Y-%m}"), cutoff, spec.time_column)
 
 
 def partitions_since(cutoff: datetime) -> Column:

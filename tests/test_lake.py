@@ -270,7 +270,7 @@ def test_a_failed_publish_keeps_the_merged_rows(spark, root, monkeypatch):
         patch.setattr(merge, "publish", lost)
         upsert(spark, root, alt(spark, ("dxy", "close", "2026-06-09T00:00:00", "2", None)), ALT_DATA)
     assert tuples(read_table(spark, root, ALT_DATA), "value") == [(Decimal(1),)]
-    rows = spark.read.schema(ALT_DATA.schema).parquet(kept[0])
+    rows = spark.read.schema(ALT_DATA.schema).parquet(next(path for path in kept if "/merge-" in path))
     publish(rows, root, ALT_DATA.partition_by)
     assert tuples(read_table(spark, root, ALT_DATA), "value") == [(Decimal(2),)]
 
@@ -292,8 +292,9 @@ def test_staging_lies_in_the_shared_folder_and_is_removed(spark, root, monkeypat
     monkeypatch.setattr(merge, "work_path", lambda *args: staged.append(real(*args)) or staged[-1])
     for _ in range(2):
         upsert(spark, root, alt(spark, ("dxy", "close", "2026-06-09T00:00:00", "1", None)), ALT_DATA)
-    assert len(staged) == 1 and staged[0].startswith(shared_dir(spark))
-    assert read_existing(spark, "source string", staged[0]) is None
+    # The rows of both upserts, and the merged partitions of the second.
+    assert len(staged) == 3 and all(path.startswith(shared_dir(spark)) for path in staged)
+    assert all(read_existing(spark, "source string", path) is None for path in staged)
 
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
@@ -407,6 +408,14 @@ def test_sample_report_takes_the_catalog_first(spark, root):
     }
 
 
+def test_a_table_read_from_a_cutoff_skips_earlier_months(spark, root):
+    rows = [("dxy", "close", f"2026-0{m}-09T00:00:00", str(m), None) for m in (4, 5, 6)]
+    upsert(spark, root, alt(spark, *rows, ("dxy", "close", "2026-05-20T00:00:00", "9", None)), ALT_DATA)
+    recent = read_table(spark, root, ALT_DATA, utc("2026-05-10T00:00:00"))
+    assert tuples(recent.select(F.col("value").cast("int"))) == [(6,), (9,)]
+    assert "period" in next(line for line in plan_of(recent, "formatted").splitlines() if "PartitionFilters" in line)
+
+
 def test_features_since(spark, root):
     upsert(spark, f"{root}/alt", alt(spark, ("dxy", "close", "2026-06-09T00:00:00", "1", "L"), ("dxy", "close", "2026-01-09T00:00:00", "1", None)), ALT_DATA)
     upsert(spark, f"{root}/macro", alt(spark, ("fred", "t", "2026-06-09T00:00:00", "2", None)).drop("label"), MACRO_DATA)

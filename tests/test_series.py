@@ -30,7 +30,9 @@ from lagloom.operators.series import (
     source_samples,
 )
 from lagloom.params import AnalysisParams
-from lagloom.plans.jobs import lag_correlation
+from lagloom.plans.jobs import lag_correlation, run_correlation
+from lagloom.schemas import CORRELATION_RESULTS
+from lagloom.sources.lake import read_table
 from tests.conftest import plan_of, tuples, utc
 
 PARAMS = AnalysisParams()
@@ -127,6 +129,21 @@ def test_a_series_leading_by_one_hour_is_found(spark):
         assert grid[lag].pearson_r == pytest.approx(np.corrcoef(*zip(*pairs))[0, 1], abs=1e-12)
 
 
+def test_a_stored_run_gives_the_same_tables(spark, tmp_path):
+    rng = random.Random(4)
+    values = [rng.uniform(0, 100) for _ in range(60)]
+    c = candles(spark, [(START + timedelta(hours=i, minutes=45), v) for i, v in enumerate(values)])
+    o = observations(spark, [("fred", "signal", START + timedelta(hours=i), v) for i, v in enumerate(values)])
+    path = f"file://{tmp_path}/results"
+    lazy = lag_correlation(c, o, NOW, PARAMS)
+    for _ in range(2):
+        run = run_correlation(spark, c, o, NOW, path, PARAMS, unique_stamps=True)
+    assert run.summary.collect() == lazy.summary.collect() and run.closes.count() == 60
+    stored = read_table(spark, path, CORRELATION_RESULTS)
+    assert tuples(stored, "dataset_a", "lag_hours", "sample_size") == [("macro_data.fred.signal", 1, 60)]
+    assert tuples(run.results, "pearson_r", "p_value") == tuples(lazy.results, "pearson_r", "p_value")
+
+
 def test_short_sources_make_the_run_insufficient(spark):
     o = observations(spark, [("fear_greed", "index", START + timedelta(days=i), i) for i in range(3)])
     c = candles(spark, [(START + timedelta(hours=i), 60_000 + i) for i in range(10)])
