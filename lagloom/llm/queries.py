@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagloom.llm.bpe import map_tokens
+from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
+from lagloom.session import work_path
 
 QUERIES = {}
 ORACLES = {}
@@ -18,6 +24,31 @@ def query(function):
     return function
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "op5-token-files")
+    write_tokens(table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    return read_tokens(spark, folder)
+
+
+def token_digest(code, ids) -> tuple[int, str, str]:
+    """Number of tokens, digest of the decimal ids, digest of the decoded text."""
+    own = ids.tolist()
+    decimals = b" ".join(map(code.decimals.__getitem__, own))
+    return len(own), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(code.decode(own).encode("utf-8")).hexdigest()
+
+
+TOKEN_DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+@query
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return map_tokens(table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"], token_digest, TOKEN_DIGEST)
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
