@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagloom.llm.bpe import map_tokens
+from lagloom.llm.chat import format_conversations, read_back
 from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
+from lagloom.llm.toxicity import THRESHOLD, fit, score
 from lagloom.session import work_path
 
 QUERIES = {}
@@ -24,6 +26,15 @@ def query(function):
     return function
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1).alias("held_out")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = score(docs, fit(docs, labels))
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -62,3 +73,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, whose texts hold control strings of the template."""
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return read_back(format_conversations(turns, public_tokenizers.path("byte_bpe_50k.json")))
