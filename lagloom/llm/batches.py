@@ -42,9 +42,10 @@ def _byte_at(codes: np.ndarray) -> np.ndarray:
 _TABLE = _byte_at(np.arange(256 * _TABLE_POSITIONS))
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
+def texts_of(batch: pa.RecordBatch | pa.Table, column: str = "text") -> pa.Array:
     """The text column without nulls, with 64-bit offsets."""
-    return pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
+    values = pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
+    return values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,6 +14,7 @@ from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
+from lagloom.llm.substrings import kept_digest, remove_repeats
 from lagloom.llm.toxicity import THRESHOLD, fit, score
 from lagloom.session import work_path
 
@@ -45,6 +46,36 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, folder)
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "n_words long, n_removed long, kept_sha256 string"
+    return remove_repeats(table(spark, sf_dir, "documents"), finish=kept_digest, schema=schema)
+
+
+# Words by white space, every 20-word window with the place it first starts at, and the words that later starts cover.
+ORACLES["op6_substring_dedup"] = """
+WITH w AS (
+  SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x <> ''] AS words
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS seq
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
+), kept AS (
+  SELECT o.doc_id, string_agg(o.word, ' ' ORDER BY o.i) AS words, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) o
+  ANTI JOIN gone g ON o.doc_id = g.doc_id AND o.i = g.i
+  GROUP BY o.doc_id
+)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(len(w.words) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+
 def token_digest(code, ids) -> tuple[int, str, str]:
     """Number of tokens, digest of the decimal ids, digest of the decoded text."""
     own = ids.tolist()
