@@ -12,6 +12,7 @@ from lagloom.llm.bpe import map_tokens
 from lagloom.llm.chat import format_conversations, read_back
 from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
+from lagloom.llm.jaccard import jaccard_components
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
 from lagloom.llm.substrings import kept_digest, remove_repeats
@@ -27,6 +28,35 @@ def query(function):
     return function
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+# Distinct 3-word shingles, all pairs that share one, and the smallest doc_id reachable over their links.
+ORACLES["op1_ngram_jaccard_join"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT w.doc_id, CAST(coalesce((SELECT n FROM sizes s WHERE s.doc_id = w.doc_id), 0) AS BIGINT) AS n_shingles,
+  least(w.doc_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = w.doc_id), w.doc_id)) AS component_id,
+  CAST(coalesce((SELECT count(*) FROM links l WHERE l.a = w.doc_id), 0) AS BIGINT) AS n_links
+FROM w
+"""
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1).alias("held_out")
