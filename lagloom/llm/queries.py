@@ -12,6 +12,7 @@ from lagloom.llm.bpe import map_tokens
 from lagloom.llm.chat import format_conversations, read_back
 from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
+from lagloom.llm.hamming import top_k
 from lagloom.llm.jaccard import jaccard_components
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
@@ -57,6 +58,24 @@ FROM w
 """
 
 
+@query
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors, by the Hamming distance of their signs, of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLES["op2_exact_top_k"] = """
+WITH c AS (SELECT DISTINCT vec_id, [x >= 0 for x in embedding] AS code FROM embeddings
+), d AS (
+  SELECT q.vec_id AS query_id, n.vec_id AS neighbor_id,
+    CAST(list_sum([CASE WHEN q.code[i] = n.code[i] THEN 0 ELSE 1 END for i in range(1, len(q.code) + 1)]) AS INTEGER) AS distance
+  FROM c q, c n WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS k FROM d)
+SELECT query_id, CAST(k AS INTEGER) AS rank, neighbor_id, distance FROM r WHERE k <= 10
+"""
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1).alias("held_out")
