@@ -14,6 +14,7 @@ from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
 from lagloom.llm.hamming import top_k
 from lagloom.llm.jaccard import jaccard_components
+from lagloom.llm.pseudo_likelihood import pseudo_likelihood
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
 from lagloom.llm.substrings import kept_digest, remove_repeats
@@ -76,6 +77,11 @@ SELECT query_id, CAST(k AS INTEGER) AS rank, neighbor_id, distance FROM r WHERE
 """
 
 
+@query
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1).alias("held_out")
