@@ -1,28 +1,66 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
+
+Every stage takes the rows that the one before kept, texts as that one left them, and returns the columns of
+``documents``; only the last adds its own. Null and empty texts are clean, alike to nothing, without secrets and
+without tokens, so they pass all stages. Columns beyond those of ``documents`` pass too, up to the last stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from lagloom.llm.bpe import map_tokens
 from lagloom.llm.decontaminate import clean_documents
+from lagloom.llm.jaccard import jaccard_components
+from lagloom.llm.queries import TOKEN_DIGEST, TOKENIZER, learning_labels, token_digest
 from lagloom.llm.secret_scan import redact
 from lagloom.llm.staging import staged, table
+from lagloom.llm.toxicity import THRESHOLD, fit, score
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    scored = score(docs, fit(docs, learning_labels(table(spark, sf_dir, "labels"))))
+    return scored.where(F.col("score") < THRESHOLD).select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 0.8 of their five-word shingles, directly or not, the one with the smallest id stays.
+
+    Rows that share an id stay or go together, and of those with equal texts one stays; rows without an id stay.
+    """
+    kept = jaccard_components(docs, size=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
+    same_id = Window.partitionBy("doc_id").orderBy("text")
+    first = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_before", F.lag("text").over(same_id))
+    first = first.where("_before is null or _before <> text").select(docs.columns)
+    return first.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by their kind."""
     return redact(docs)
 
 
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens and digests of the ids and of the decoded text, beside the document's other columns."""
+    return map_tokens(docs, TOKENIZER, [c for c in docs.columns if c != "text"], token_digest, TOKEN_DIGEST)
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
     ("benchmark_decontamination", decontamination_stage),
     ("secret_scans", secret_stage),
+    ("bpe_round_trip", token_stage),
 ]
 
-#: SQL can't express the scans; tests compare with brute force.
+#: SQL can't express the models and scans; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagloom.llm.bpe import map_tokens
@@ -82,13 +82,21 @@ def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
+def held_out() -> Column:
+    """True for documents whose labels no model may learn from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+
+
+def learning_labels(labels: DataFrame) -> DataFrame:
+    return labels.where(~held_out())
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1).alias("held_out")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(~held_out)
-    scored = score(docs, fit(docs, labels))
-    return scored.select("doc_id", held_out, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = score(docs, fit(docs, learning_labels(table(spark, sf_dir, "labels"))))
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
