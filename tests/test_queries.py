@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalogue import ORACLES, QUERIES
 from tools.compare import TABLES, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,17 +18,22 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_gives_the_rows_of_its_sql(spark, db, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     got = rows_of(frame.columns, frame.collect())
-    result = db.execute(oracle_sql()[name])
+    result = db.execute(ORACLES[name])
     want = rows_of([column[0] for column in result.description], result.fetchall())
     assert got == want
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_the_entry_lists_them_all():
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_runs(spark):
