@@ -27,6 +27,7 @@ from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
 from lagloom.llm.batches import pieces
+from lagloom.llm.staging import arrow_schema
 
 PIECE_CHARS = 1 << 15
 LEAF_CHARS = 64
@@ -244,12 +245,12 @@ def map_tokens(
     """
     kept = docs.select(*columns).schema
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept] + [result_schema])
-    names = [part.split()[0] for part in result_schema.split(", ")]
+    fields = list(arrow_schema(result_schema))
 
     def rows(batch: pa.RecordBatch, results: list[tuple]) -> pa.RecordBatch:
-        values = list(zip(*results)) if results else [[] for _ in names]
+        values = [pa.array(list(column), field.type) for column, field in zip(zip(*results), fields)]
         own = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-        return pa.record_batch([*own, *(pa.array(list(v)) for v in values)], names=[*columns, *names])
+        return pa.record_batch([*own, *values], names=[*columns, *(field.name for field in fields)])
 
     def short_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path)

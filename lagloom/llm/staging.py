@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lagloom.session import work_path
 
@@ -16,3 +19,8 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a DDL string, as tasks have to return it."""
+    return to_arrow_schema(StructType.fromDDL(ddl))

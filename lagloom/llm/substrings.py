@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagloom.llm.batches import in_row, pieces, texts_of, window_hashes, words_of
+from lagloom.llm.staging import arrow_schema
 
 WINDOW_WORDS = 20
 BLOCK_BYTES = 16 << 20
@@ -144,7 +145,7 @@ def remove_repeats(
         kinds = (pa.int32(), pa.binary(), pa.int32())
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["block", "hashes", "first"])
 
-    names = ["doc_id", *(part.strip().split()[0] for part in _split_schema(schema))]
+    fields = list(arrow_schema(schema))
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         left = _in_order(left)
@@ -153,26 +154,14 @@ def remove_repeats(
         earlier = [unpack(b.as_py(), f.as_py(), cells) for b, f in zip(right.column("hashes"), right.column("first"))]
         flags = windows.removed(np.sort(np.concatenate(earlier)) if earlier else np.zeros(0, dtype=np.uint64), size)
         results = [finish(t, flags[a:b]) for t, a, b in zip(texts.to_pylist(), windows.rows[:-1], windows.rows[1:])]
-        columns = [pa.array(list(c)) for c in zip(*results)]
-        return pa.table([left.column("doc_id").combine_chunks(), *columns], names=names)
+        columns = [pa.array(list(c), field.type) for c, field in zip(zip(*results), fields)]
+        return pa.table([left.column("doc_id"), *columns], names=["doc_id", *(field.name for field in fields)])
 
     messages = spread.groupBy("block").applyInArrow(send, "range int, block int, hashes binary")
     answers = messages.groupBy("range").applyInArrow(answer, "block int, hashes binary, first int")
     return spread.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(settle, f"doc_id {id_type}, {schema}")
 
 
-def _split_schema(schema: str) -> list[str]:
-    """The columns of a DDL string, whose types may hold commas."""
-    parts, depth = [""], 0
-    for char in schema:
-        depth += (char == "<") - (char == ">")
-        if char == "," and not depth:
-            parts.append("")
-        else:
-            parts[-1] += char
-    return parts
-
-
 def with_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """The rows with the number of their block, blocks being ranges of doc_id of about ``block_bytes`` of text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
