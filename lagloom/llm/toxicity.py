@@ -15,7 +15,7 @@ rows that the counts have not seen. Counting takes at most ``CLASS_ROWS`` labell
 a hash of the id (a documented bound of the training sample, which bounds the model); every document is scored.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z, without punctuation ASCII has at their ends. Defined results: null and
-empty texts have a ratio of 0; without labelled rows of both classes every score is 0; labels with a null class or id
+empty texts score as a single word that tells nothing; without labelled rows of both classes every score is 0; labels with a null class or id
 count for nothing; of repeated labels of a document the larger holds.
 """
 
@@ -174,7 +174,7 @@ def fit_tables(words: dict, pairs: dict, heads: dict, prefixes: dict, totals: di
 
 
 def ratios(model: Model, texts: pa.Array) -> np.ndarray:
-    """Mean log-likelihood ratio per word of every row, 0 without words."""
+    """Mean log-likelihood ratio per word of every row; without words that of a word that tells nothing."""
     words, rows, prefixes = expressions(texts)
     before = contexts(words, rows)
     direct, known = _look_up(model.bigrams, model.bigram_ratios, bigrams(before, words), 0.0)
@@ -186,7 +186,7 @@ def ratios(model: Model, texts: pa.Array) -> np.ndarray:
     by_context = _look_up(model.contexts, model.context_ratios, before, 0.0)[0]
     each = np.concatenate([[0.0], np.cumsum(np.where(known, direct, by_word + by_context))])
     counts = np.diff(rows)
-    return (each[rows[1:]] - each[rows[:-1]]) / np.maximum(counts, 1)
+    return np.where(counts > 0, (each[rows[1:]] - each[rows[:-1]]) / np.maximum(counts, 1), model.unseen_ratio)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
