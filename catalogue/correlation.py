@@ -8,7 +8,6 @@ from catalogue.registry import query, rounded
 from catalogue.tables import (
     CLOSES_SQL,
     EVENT_PARAMS,
-    EVENT_TYPES,
     EVENTS_NOW,
     FEATURES_SQL,
     PLANTED_SQL,
@@ -22,7 +21,7 @@ from catalogue.tables import (
     planted,
 )
 from lagloom.functions.coerce import since
-from lagloom.operators.correlate import all_pairs, evaluated, first_results, lag_join, pair_statistics
+from lagloom.operators.correlate import evaluated, first_results, lag_join, pair_statistics
 from lagloom.operators.series import feature_series, hourly_close
 from lagloom.plans.jobs import lag_correlation, save_results
 from lagloom.schemas import CORRELATION_RESULTS
@@ -183,14 +182,15 @@ def _summary(spark, sf_dir):
 
 
 @query(
-    "all_pairs_correlation",
+    "named_pairs_correlation",
     f"""
 WITH s AS ({last_per_hour_sql("SELECT 'events' AS source, event_type AS metric_name, ts, value FROM events")}),
 stats AS (
   SELECT a.metric_name AS series_a, b0.metric_name AS series_b, l.lag AS lag_hours, count(b.value) AS sample_size,
          corr(a.value, b.value) AS r
   FROM s a
-  JOIN (SELECT DISTINCT metric_name FROM s) b0 ON a.metric_name < b0.metric_name
+  JOIN (VALUES ('click', 'purchase'), ('view', 'purchase'), ('signup', 'click')) b0 (first_name, metric_name)
+    ON a.metric_name = b0.first_name
   CROSS JOIN (SELECT unnest([0, 1, 4, 6]) AS lag) l
   LEFT JOIN s b ON b.metric_name = b0.metric_name AND b.hour = a.hour + l.lag * INTERVAL 1 HOUR
   GROUP BY ALL)
@@ -199,9 +199,10 @@ SELECT series_a, series_b, lag_hours, sample_size,
        round(CASE WHEN sample_size >= 30 THEN {p_value_sql("r", "sample_size")} END, 6) AS p_value
 FROM stats""",
 )
-def _all_pairs(spark, sf_dir):
+def _named_pairs(spark, sf_dir):
+    pairs = [("click", "purchase"), ("view", "purchase"), ("signup", "click")]
     series = feature_series(observations(spark, sf_dir)).select(F.col("metric_name").alias("name"), "hour", "value")
-    return pair_statistics(series, all_pairs(EVENT_TYPES), EVENT_PARAMS).select(
+    return pair_statistics(series, pairs, EVENT_PARAMS).select(
         "series_a",
         "series_b",
         "lag_hours",

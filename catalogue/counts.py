@@ -46,10 +46,9 @@ def _exact_count(spark, sf_dir):
 
 
 def _day_catalog(spark, sf_dir, interval="1m"):
-    """The click events of each day as one catalogued object."""
+    """The events of each day, of all types, as one catalogued object."""
     return (
         events(spark, sf_dir)
-        .where(F.col("event_type") == "click")
         .groupBy(F.date_trunc("day", "ts").alias("day"))
         .agg(F.count("*").alias("row_count"))
         .select(F.lit("btc_ohlcv").alias("dataset"), F.lit(interval).alias("interval"), "row_count")
@@ -59,13 +58,14 @@ def _day_catalog(spark, sf_dir, interval="1m"):
 @query(
     "count_fallback",
     """
-SELECT '1m' AS "interval", count(*) AS rows FROM events WHERE event_type = 'click'
-UNION ALL SELECT '5m', count(*) FROM events WHERE event_type = 'purchase'
+SELECT '1m' AS "interval", count(*) AS rows FROM events
+UNION ALL SELECT '5m', count(*) FROM events WHERE event_id % 3 > 0
 UNION ALL SELECT '15m', 0""",
 )
 def _count_fallback(spark, sf_dir):
     """1m comes from the catalog, 5m from the table, 15m is nowhere."""
-    table = candles(spark, sf_dir).withColumn("interval", F.when(F.col("symbol") == PRICE, "5m").otherwise("1m"))
+    interval = F.when(F.col("event_id") % 3 > 0, "5m").otherwise("1m").alias("interval")
+    table = events(spark, sf_dir).select(F.lit(PRICE).alias("symbol"), interval)
     return count_with_fallback(_day_catalog(spark, sf_dir), table, PRICE)
 
 

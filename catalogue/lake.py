@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalogue.registry import query, rounded
 from catalogue.tables import (
     EVENT_PARAMS,
+    EVENT_TYPES,
     candles,
     daily_priority,
     daily_priority_sql,
@@ -17,6 +18,7 @@ from catalogue.tables import (
     orders,
 )
 from lagloom.operators.dedupe import keep_last
+from lagloom.params import NAMED_SERIES
 from lagloom.plans.jobs import BackfillSource, backfill, load_tables, sample_report
 from lagloom.schemas import (
     ALT_DATA,
@@ -129,7 +131,7 @@ def _lake_catalog(spark, sf_dir):
     "catalog_pruned_scan",
     """SELECT event_type AS symbol, ts AS "timestamp", CAST(value AS VARCHAR) AS close FROM events
 WHERE ts >= TIMESTAMP '2024-01-20 06:00:00'
-QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY CAST(value AS VARCHAR) DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY value DESC) = 1""",
 )
 def _catalog_pruned_scan(spark, sf_dir):
     """Candles archived by day, read through the catalog from a cutoff on."""
@@ -145,7 +147,7 @@ def _catalog_pruned_scan(spark, sf_dir):
     "partition_pruned_scan",
     """SELECT event_type AS metric_name, ts AS "timestamp", CAST(value AS VARCHAR) AS value FROM events
 WHERE ts >= TIMESTAMP '2024-01-25 12:00:00'
-QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY CAST(value AS VARCHAR) DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY value DESC) = 1""",
 )
 def _partition_pruned_scan(spark, sf_dir):
     root, spec = _archived_events(spark, sf_dir)
@@ -202,16 +204,16 @@ def _lake_to_table(spark, sf_dir):
 
 @query(
     "scan_lake",
-    """SELECT event_type AS folder, count(*) AS rows, min(ts) AS first_ts FROM events
-WHERE event_type IN ('click', 'view') GROUP BY 1""",
+    """SELECT event_type AS folder, count(*) AS rows, min(ts) AS first_ts FROM events GROUP BY 1""",
 )
 def _scan_lake(spark, sf_dir):
     """Two layouts below a lake, and a prefix that does not exist."""
     root = work_path(spark, "lake")
     rows = events(spark, sf_dir)
-    for event_type, layout in (("click", "click/year=2024"), ("view", "old/view/2024/01")):
-        rows.where(F.col("event_type") == event_type).select("ts", "event_type").write.parquet(f"{root}/{layout}")
-    found = scan_lake(spark, [f"{root}/click", f"{root}/old/view", f"{root}/nothing"], "ts timestamp, event_type string")
+    for number, layout in enumerate(("new/year=2024", "old/2024/01")):
+        part = rows.where(F.col("event_id") % 2 == number)
+        part.select("ts", "event_type").write.parquet(f"{root}/{layout}")
+    found = scan_lake(spark, [f"{root}/new", f"{root}/old", f"{root}/nothing"], "ts timestamp, event_type string")
     return found.groupBy(F.col("event_type").alias("folder")).agg(
         F.count("*").alias("rows"), F.min("ts").alias("first_ts")
     )
@@ -232,18 +234,18 @@ def _verify_write(spark, sf_dir):
     "backfill",
     """
 WITH n AS (SELECT event_type, count(*) AS fetched, count(DISTINCT ts) AS archived FROM events GROUP BY 1)
-SELECT event_type AS source, 'ok' AS status, fetched, archived FROM n WHERE event_type IN ('click', 'view')
+SELECT event_type AS source, 'ok' AS status, fetched, archived FROM n
 UNION ALL SELECT 'broken', 'error', 0, 0
-UNION ALL SELECT 'TOTAL', NULL, sum(fetched)::BIGINT, sum(archived)::BIGINT FROM n WHERE event_type IN ('click', 'view')""",
+UNION ALL SELECT 'TOTAL', NULL, sum(fetched)::BIGINT, sum(archived)::BIGINT FROM n""",
 )
 def _backfill(spark, sf_dir):
-    """Two sources that work and one without stamps."""
+    """Every event type as a source, and one without stamps."""
     rows = observations(spark, sf_dir)
 
     def one(event_type):
         return BackfillSource(lambda: rows.where(F.col("metric_name") == event_type), observation_lake(event_type))
 
-    sources = {name: one(name) for name in ("click", "view")}
+    sources = {name: one(name) for name in EVENT_TYPES}
     sources["broken"] = BackfillSource(lambda: rows.drop("timestamp"), observation_lake("broken"))
     results, summary = backfill(spark, sources, work_path(spark, "lake"), FIRST)
     total = summary.where(F.col("source") == "TOTAL").withColumn("status", F.lit(None).cast("string"))
@@ -253,16 +255,23 @@ def _backfill(spark, sf_dir):
 @query(
     "sample_report",
     """
-SELECT 'alt_data' AS dataset, unnest(['fear_greed', 'dxy', 'polymarket']) AS name, 0 AS samples, name = 'polymarket' AS pending
-UNION ALL SELECT 'macro_data', unnest(['treasury_10y', 'google_trends_btc', 'google_trends_crypto', 'bdi']), 0, FALSE
+SELECT n.dataset, n.name, count(e.event_id) AS samples, n.name = 'polymarket' AND count(e.event_id) < 30 AS pending
+FROM (VALUES ('alt_data', 'fear_greed', 'click'), ('alt_data', 'dxy', 'error'), ('alt_data', 'polymarket', 'purchase'),
+  ('macro_data', 'treasury_10y', 'signup'), ('macro_data', 'google_trends_btc', 'view'),
+  ('macro_data', 'google_trends_crypto', 'none'), ('macro_data', 'bdi', 'none')) n (dataset, name, event_type)
+LEFT JOIN events e USING (event_type) GROUP BY n.dataset, n.name
 UNION ALL SELECT 'events', '1m', count(DISTINCT ts), FALSE FROM events
 UNION ALL SELECT 'events', unnest(['5m', '15m']), 0, FALSE""",
 )
 def _sample_report(spark, sf_dir):
-    """Candles of one symbol archived and catalogued; the named series have no rows here."""
+    """Candles of one symbol archived and catalogued; five of the named series are the event types."""
     root = work_path(spark, "lake")
     spec = candle_lake("events")
     one_symbol = candles(spark, sf_dir).withColumn("symbol", F.lit("purchase"))
     archive(spark, one_symbol, root, spec, FIRST, "month", f"{root}/catalog")
     catalog = read_table(spark, f"{root}/catalog", LAKE_CATALOG)
-    return sample_report(observations(spark, sf_dir), catalog, read_table(spark, f"{root}/candles", CANDLES), EVENT_PARAMS)
+    found = zip(EVENT_TYPES, NAMED_SERIES)
+    names = spark.createDataFrame([(kind, s, m) for kind, (_, _, s, m) in found], "kind string, source string, metric string")
+    rows = observations(spark, sf_dir).drop("source").join(names, F.col("metric_name") == F.col("kind"))
+    rows = rows.select("source", F.col("metric").alias("metric_name"), "timestamp", "value")
+    return sample_report(rows, catalog, read_table(spark, f"{root}/candles", CANDLES), EVENT_PARAMS)

@@ -33,7 +33,7 @@ from lagloom.sources.payloads import (
 MONEY = "decimal(18,2)"
 
 
-def kline_payloads(spark, sf_dir):
+def kline_payloads(spark, sf_dir, *more):
     """Two candles per event as one response; every tenth response has an invalid close."""
     money = lambda step: (F.col("value") + step).cast(MONEY).cast("string")
     close = F.when(F.col("event_id") % 10 == 3, "oops").otherwise(money(3))
@@ -44,6 +44,7 @@ def kline_payloads(spark, sf_dir):
         F.to_json(F.array(item(0, money(3)), item(1, close))).alias("payload"),
         F.col("event_type").alias("symbol"),
         F.lit("1m").alias("interval"),
+        *more,
     )
 
 
@@ -150,14 +151,31 @@ WITH m AS (
   SELECT date_trunc('hour', ts) AS run, ts,
     CASE WHEN event_type <> 'error' AND event_id % 4 <> 1 THEN TRY_CAST({SPOILT_SQL} AS DECIMAL(18, 2)) END AS v
   FROM events),
-r AS (SELECT run, max(ts) AS fetched_at, coalesce(sum(v), 0) AS value FROM m GROUP BY 1)
+r AS (SELECT run, max(ts) AS fetched_at, coalesce(sum(v), 0) AS value FROM m GROUP BY 1
+  HAVING run NOT IN (SELECT date_trunc('hour', ts) FROM events WHERE event_id % 499 IN (7, 8)))
 SELECT time_bucket(INTERVAL 6 HOUR, fetched_at, TIMESTAMP '2000-01-01') AS "timestamp", round(value::DOUBLE, 6) AS value,
   fetched_at FROM r
 QUALIFY row_number() OVER (PARTITION BY time_bucket(INTERVAL 6 HOUR, fetched_at, TIMESTAMP '2000-01-01')
   ORDER BY fetched_at DESC) = 1""",
 )
 def _six_hour_volume(spark, sf_dir):
-    """One run per hour; a closed flag that is absent does not close a market."""
+    """One run per hour, some with an unreadable page; a closed flag that is absent does not close a market."""
+    raw = market_pages(spark, sf_dir)
+    return aggregate_market_volume(raw).select("timestamp", rounded(F.col("value")).alias("value"), "fetched_at")
+
+
+@query(
+    "market_status",
+    """SELECT CASE WHEN event_id % 499 IN (7, 8) THEN 'error' ELSE 'ok' END AS status, count(*) AS payloads,
+  sum(CASE WHEN event_id % 499 IN (7, 8) THEN 0 ELSE 1 END)::BIGINT AS items FROM events GROUP BY 1""",
+)
+def _market_status(spark, sf_dir):
+    found = payload_status(market_pages(spark, sf_dir), "markets").groupBy("status")
+    return found.agg(F.count("*").alias("payloads"), F.sum("items").alias("items"))
+
+
+def market_pages(spark, sf_dir):
+    """An event as a page with one market; two of 499 are an error message or no JSON at all."""
     market = F.struct(
         F.struct(
             spoilt().alias("volume24hr"),
@@ -165,12 +183,13 @@ def _six_hour_volume(spark, sf_dir):
             F.when(F.col("event_id") % 4 < 2, F.col("event_id") % 4 == 1).alias("closed"),
         ).alias("m")
     )
-    raw = events(spark, sf_dir).select(
-        F.to_json(F.struct(F.array(market["m"]).alias("markets"))).alias("payload"),
+    page = F.to_json(F.struct(F.array(market["m"]).alias("markets")))
+    broken = F.when(F.col("event_id") % 499 == 7, '{"error": "busy"}').when(F.col("event_id") % 499 == 8, "<html>")
+    return events(spark, sf_dir).select(
+        F.coalesce(broken, page).alias("payload"),
         F.date_trunc("hour", "ts").cast("string").alias("run_id"),
         F.col("ts").alias("fetched_at"),
     )
-    return aggregate_market_volume(raw).select("timestamp", rounded(F.col("value")).alias("value"), "fetched_at")
 
 
 @query(

@@ -111,11 +111,8 @@ def _zones(spark, sf_dir):
     "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '1-%'",
 )
 def _prefix(spark, sf_dir):
-    return (
-        orders(spark, sf_dir)
-        .where((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").startswith("1-"))
-        .select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    )
+    found = coerce.matching(orders(spark, sf_dir), {"o_orderpriority": "1-"}, o_orderstatus="F")
+    return found.select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
 @query(

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from catalogue.raw import kline_payloads
 from catalogue.registry import query, rounded
-from catalogue.tables import EVENT_SCHEMA, EVENTS_NOW
+from catalogue.tables import EVENT_SCHEMA, EVENTS_NOW, events
+from lagloom.operators.dedupe import keep_last
 from lagloom.plans.jobs import incremental_ingest
-from lagloom.schemas import ALT_DATA, CANDLES, RUN_LOG_COLUMNS, candle_lake
+from lagloom.schemas import ALT_DATA, CANDLES, HOURLY_CLOSES, PRICE_FIELDS, candle_lake, observation_lake
 from lagloom.session import work_path
+from lagloom.sinks.lake import archive
 from lagloom.sinks.merge import upsert
 from lagloom.sources.lake import read_table, scan_dataset
 from lagloom.sources.payloads import normalize_klines
-from lagloom.streaming.ingest import distinct_stream, dual_write, ingest_stream, landing_stream, payload_stream
+from lagloom.streaming.ingest import (
+    distinct_stream,
+    dual_write,
+    ingest_stream,
+    landing_stream,
+    payload_stream,
+    read_log,
+    repair_sink,
+)
 from lagloom.streaming.series import hourly_close_stream
 
 
@@ -47,61 +58,61 @@ def _stream_ingest(spark, sf_dir):
 @query(
     "incremental_ingest",
     """
-WITH k AS (SELECT event_type, make_timestamp((epoch_us(ts) // 1000) * 1000) + m * INTERVAL 1 MINUTE AS stamp
-  FROM events CROSS JOIN (SELECT unnest([0, 1]) AS m) WHERE event_id % 10 <> 3)
-SELECT event_type AS symbol, count(DISTINCT stamp) AS table_rows, count(DISTINCT stamp) AS lake_rows,
-  min(stamp) AS first_ts, max(stamp) AS last_ts FROM k GROUP BY 1""",
+WITH k AS (SELECT event_type, make_timestamp((epoch_us(ts) // 1000) * 1000) + m * INTERVAL 1 MINUTE AS stamp,
+    value, (event_id * 7919) % 10007 AS arrival
+  FROM events CROSS JOIN (SELECT unnest([0, 1]) AS m) WHERE event_id % 10 <> 3),
+l AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY event_type, stamp ORDER BY arrival DESC, value DESC) = 1)
+SELECT event_type AS symbol, stamp AS "timestamp", s.stored, round(value, 2) AS open, round(value + 1, 2) AS high,
+  round(value + 2, 2) AS low, round(value + 3, 2) AS close, round(value + 4, 2) AS volume
+FROM l CROSS JOIN (SELECT unnest(['lake', 'table']) AS stored) s""",
 )
 def _incremental_ingest(spark, sf_dir):
-    """Candle responses landed as files, parsed on the stream, merged into the table and the lake."""
+    """Candle responses landed as files, parsed on the stream, merged into the table and the lake.
+
+    Polls overlap, and arrive in another order than their stamps have: every price is that of the last arrival.
+    """
     base = work_path(spark, "ingest")
-    kline_payloads(spark, sf_dir).select(F.to_json(F.struct("payload", "symbol", "interval"))).write.text(f"{base}/landing")
-    fields = F.from_json("payload", "payload string, symbol string, interval string")
+    polls = kline_payloads(spark, sf_dir, (F.col("event_id") * 7919 % 10007).alias("arrival"))
+    polls.select(F.to_json(F.struct(*polls.columns))).write.text(f"{base}/landing")
+    fields = F.from_json("payload", "payload string, symbol string, interval string, arrival bigint")
     rows = normalize_klines(payload_stream(spark, f"{base}/landing").select(fields.alias("f")).select("f.*"))
     lake = candle_lake()
     incremental_ingest(
         rows, f"{base}/table", CANDLES, f"{base}/lake", lake, f"{base}/log", f"{base}/offsets", EVENTS_NOW
     ).awaitTermination()
-    both = (
-        read_table(spark, f"{base}/table", CANDLES)
-        .select("symbol", "timestamp", F.lit(1).alias("table"), F.lit(0).alias("lake"))
-        .unionByName(
-            scan_dataset(spark, f"{base}/lake", lake).select(
-                "symbol", "timestamp", F.lit(0).alias("table"), F.lit(1).alias("lake")
-            )
-        )
-    )
-    return both.groupBy("symbol").agg(
-        F.sum("table").alias("table_rows"),
-        F.sum("lake").alias("lake_rows"),
-        F.min("timestamp").alias("first_ts"),
-        F.max("timestamp").alias("last_ts"),
-    )
+    sides = {"table": read_table(spark, f"{base}/table", CANDLES), "lake": scan_dataset(spark, f"{base}/lake", lake)}
+    both = None
+    for name, side in sides.items():
+        prices = [rounded(F.col(price), 2).alias(price) for price in PRICE_FIELDS]
+        side = side.select("symbol", "timestamp", F.lit(name).alias("stored"), *prices)
+        both = side if both is None else both.unionByName(side)
+    return both
 
 
 @query(
     "stream_hourly_close",
     """
-WITH c AS (SELECT event_type AS symbol, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour, value AS close FROM events
-  QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts DESC, value DESC) = 1)
-SELECT * FROM c WHERE hour <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+SELECT event_type AS symbol, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour, value AS close FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts DESC, value DESC) = 1""",
 )
 def _stream_hourly_close(spark, sf_dir):
-    """The hours the watermark has closed."""
-    candles = _events(spark, sf_dir).select(
-        F.col("event_type").alias("symbol"), F.col("ts").alias("timestamp"), F.col("value").alias("close")
-    )
-    target, checkpoint = work_path(spark, "closes"), work_path(spark, "offsets")
-    (
-        hourly_close_stream(candles)
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+    """Several batches, dealt by number and not by time, so that most hours are revised; open hours included."""
+    base = work_path(spark, "closes")
+    rows = events(spark, sf_dir).select(
+        F.col("event_type").alias("symbol"),
+        F.lit("1m").alias("interval"),
+        F.col("ts").alias("timestamp"),
+        F.col("value").alias("close"),
+        (F.col("event_id") % 3).alias("part"),
     )
-    return spark.read.schema("symbol string, hour timestamp, close double").parquet(target)
+    # of candles with one stamp the largest close, as the batch form has it
+    rows = keep_last(rows, ["symbol", "interval", "timestamp"], ["close"])
+    schema = "symbol string, interval string, timestamp timestamp, close double"
+    for part in range(3):
+        rows.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/landing")
+        stream = landing_stream(spark, f"{base}/landing", schema, files_per_batch=1)
+        hourly_close_stream(stream, f"{base}/candles", f"{base}/hours", f"{base}/offsets", ()).awaitTermination()
+    return read_table(spark, f"{base}/hours", HOURLY_CLOSES).select("symbol", "hour", "close")
 
 
 @query("stream_dedupe", """SELECT DISTINCT event_type, date_trunc('minute', ts) AS "timestamp" FROM events""")
@@ -120,27 +131,46 @@ def _stream_dedupe(spark, sf_dir):
     return spark.read.schema("event_type string, timestamp timestamp").parquet(target)
 
 
+STORED_SQL = "(SELECT count(*) FROM (SELECT DISTINCT event_type, date_trunc('minute', ts) FROM events))"
+
+
 @query(
     "dual_write",
-    """SELECT 'lake' AS sink, 'error' AS status, count(*) AS fetched, 0 AS upserted,
-  (SELECT count(*) FROM (SELECT DISTINCT event_type, date_trunc('minute', ts) FROM events)) AS table_rows FROM events
-UNION ALL SELECT 'table', 'ok', count(*), count(*),
-  (SELECT count(*) FROM (SELECT DISTINCT event_type, date_trunc('minute', ts) FROM events)) FROM events""",
+    f"""SELECT 'lake' AS sink, unnest(['error', 'repaired']) AS status, count(*) AS fetched,
+  {STORED_SQL} AS table_rows, {STORED_SQL} AS lake_rows FROM events
+UNION ALL SELECT 'table', 'ok', count(*), {STORED_SQL}, {STORED_SQL} FROM events""",
 )
 def _dual_write(spark, sf_dir):
-    """The lake sink fails; the table is still written and both are logged."""
-    table, entries, checkpoint = (work_path(spark, name) for name in ("alt_data", "run_log", "offsets"))
-
-    def broken(batch):
-        raise OSError("lake not reachable")
-
-    sinks = {"table": lambda batch: upsert(spark, table, batch, ALT_DATA, ["fetched_at"]), "lake": broken}
-    dual_write(_minute_observations(_events(spark, sf_dir)), sinks, entries, checkpoint).awaitTermination()
-    stored = read_table(spark, table, ALT_DATA).count()
-    return (
-        spark.read.schema(RUN_LOG_COLUMNS)
-        .parquet(entries)
-        .groupBy(F.col("source").alias("sink"), "status")
-        .agg(F.sum("fetched").alias("fetched"), F.sum("upserted").alias("upserted"))
-        .withColumn("table_rows", F.lit(stored).cast("bigint"))
-    )
+    """Each sink fails once: the lost table batch is taken again, the lost lake batch repaired."""
+    base = work_path(spark, "dual")
+    lake = observation_lake("events")
+    failures = {"table": 1, "lake": 2}
+
+    def flaky(name, write):
+        def sink(batch):
+            failures[name] -= 1
+            if failures[name] >= 0:
+                raise OSError(f"{name} not reachable")
+            write(batch)
+
+        return sink
+
+    def archived(batch):
+        archive(spark, batch, base, lake, EVENTS_NOW, order=["polled"])
+
+    sinks = {
+        "table": flaky("table", lambda batch: upsert(spark, f"{base}/table", batch, ALT_DATA, ["fetched_at"])),
+        "lake": flaky("lake", archived),
+    }
+    rows = _minute_observations(_events(spark, sf_dir)).withColumn("polled", F.col("fetched_at"))
+    for lost in (True, False):
+        try:
+            dual_write(rows, sinks, f"{base}/log", f"{base}/offsets", EVENTS_NOW).awaitTermination()
+        except StreamingQueryException:
+            if not lost:
+                raise
+    repair_sink(spark, "lake", archived, f"{base}/log", EVENTS_NOW)
+    counts = {"table_rows": read_table(spark, f"{base}/table", ALT_DATA), "lake_rows": scan_dataset(spark, base, lake)}
+    log = read_log(spark, f"{base}/log").groupBy(F.col("source").alias("sink"), "status")
+    found = log.agg(F.sum("fetched").alias("fetched"))
+    return found.withColumns({name: F.lit(side.count()).cast("bigint") for name, side in counts.items()})

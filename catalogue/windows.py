@@ -19,6 +19,7 @@ from catalogue.tables import (
     order_series,
     orders,
 )
+from lagloom.functions.stats import has_spread
 from lagloom.operators.alerts import daily_moves, price_spikes, sentiment_shifts, stale_series
 from lagloom.operators.dedupe import in_time_order, keep_last, newest, newest_per_group
 from lagloom.operators.series import (
@@ -92,9 +93,8 @@ def _readiness(spark, sf_dir):
     """SELECT o_custkey, count(*) AS orders, count(DISTINCT o_totalprice) >= 2 AS has_spread FROM orders GROUP BY 1""",
 )
 def _distinct_guard(spark, sf_dir):
-    # Two distinct values exist exactly if the smallest is below the largest; no distinct set is kept.
     return orders(spark, sf_dir).groupBy("o_custkey").agg(
-        F.count("*").alias("orders"), (F.min("o_totalprice") < F.max("o_totalprice")).alias("has_spread")
+        F.count("*").alias("orders"), has_spread(F.col("o_totalprice")).alias("has_spread")
     )
 
 

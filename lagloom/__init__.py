@@ -8,6 +8,7 @@ from lagloom.plans.jobs import (
     incremental_ingest,
     lag_correlation,
     load_tables,
+    repair_lake,
     run_correlation,
     sample_report,
     save_results,
@@ -22,6 +23,7 @@ __all__ = [
     "incremental_ingest",
     "lag_correlation",
     "load_tables",
+    "repair_lake",
     "run_correlation",
     "sample_report",
     "save_results",

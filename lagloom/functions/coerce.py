@@ -85,6 +85,15 @@ def since(df: DataFrame, cutoff: datetime | str, column: str = "timestamp") -> D
     return df.where(F.col(column) >= moment(cutoff))
 
 
+def matching(df: DataFrame, prefixes: dict[str, str] | None = None, **equal) -> DataFrame:
+    """Rows that equal all given values and begin with all given prefixes; both reach the scan."""
+    for name, value in equal.items():
+        df = df.where(F.col(name) == value)
+    for name, prefix in (prefixes or {}).items():
+        df = df.where(F.col(name).startswith(prefix))
+    return df
+
+
 def has_values(df: DataFrame, *columns: str) -> DataFrame:
     """Drop rows that miss any of the named fields."""
     return df.na.drop(subset=list(columns))

@@ -76,3 +76,8 @@ def pearson_p(r: Column, n: Column) -> Column:
 
     defined = r.isNotNull() & ~F.isnan(r) & (n >= 3)
     return F.when(defined, F.transform(F.array(bound), value)[0])
+
+
+def has_spread(column: Column) -> Column:
+    """Aggregate: two distinct values exist exactly if the smallest is below the largest; no distinct set is kept."""
+    return F.min(column) < F.max(column)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lagloom.functions.coerce import moment, shift_hours
-from lagloom.functions.stats import pearson_p, pearson_r
+from lagloom.functions.stats import has_spread, pearson_p, pearson_r
 from lagloom.functions.text import dataset_name
 from lagloom.operators.series import DETAILS, SERIES, window_columns
 from lagloom.params import AnalysisParams
@@ -59,7 +59,7 @@ def _moments(mask: Column, suffix: str) -> list[Column]:
     y = F.when(paired, F.col("close"))
     return [
         F.count(x).alias(f"n_{suffix}"),
-        ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias(f"spread_{suffix}"),
+        (has_spread(x) & has_spread(y)).alias(f"spread_{suffix}"),
         pearson_r(x, y).alias(f"r_{suffix}"),
     ]
 
@@ -208,9 +208,3 @@ def pair_statistics(
         F.coalesce("spread_max", F.lit(False)).alias("spread"),
     )
     return _with_outcome(picked, params)
-
-
-def all_pairs(names: Iterable[str]) -> list[tuple[str, str]]:
-    """Every unordered pair of a list of dataset names."""
-    ordered = sorted(set(names))
-    return [(a, b) for i, a in enumerate(ordered) for b in ordered[i + 1 :]]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the greatest by ``order``, then by the remaining columns.
+    """One row per key: the greatest by ``order``, then by the remaining columns, texts of numbers as numbers.
 
     An aggregate rather than a ranking window: each task reduces its own rows before the shuffle, so a
     key with a third of all rows costs no more than any other. Ordering by every column makes the
@@ -20,7 +20,13 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
         return df.distinct()
     # Key columns named in the order are constant within a group, so they need not be carried.
     carried = [name for name in ranked if name not in keys]
-    last = df.groupBy(*keys).agg(F.max(F.struct(*carried)).alias("_last"))
+    texts = {field.name for field in df.schema.fields if field.dataType.simpleString() == "string"}
+    ranks = []
+    for name in carried:
+        if name in texts:  # "10.1" is more than "9.5", in the lake as in the tables
+            ranks.append(F.col(name).try_cast("double").alias(f"_number_{name}"))
+        ranks.append(F.col(name))
+    last = df.groupBy(*keys).agg(F.max(F.struct(*ranks)).alias("_last"))
     picked = {name: F.col("_last").getField(name).alias(name) for name in rest}
     return last.select(*[picked.get(name, F.col(name)) for name in df.columns])
 

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lagloom.functions.coerce import has_values, moment, number_column, shift_hours
+from lagloom.functions.coerce import has_values, matching, moment, number_column, shift_hours
 from lagloom.operators.dedupe import keep_last
 from lagloom.params import HYPOTHESIS_STATES, INTERVAL_MILLIS, NAMED_SERIES
 
@@ -31,9 +31,7 @@ def sample_counts(
 
 def exact_count(table: DataFrame, **filters) -> DataFrame:
     """One row with the number of rows that equal all filters."""
-    for name, value in filters.items():
-        table = table.where(F.col(name) == value)
-    return table.agg(F.count("*").alias("rows"))
+    return matching(table, **filters).agg(F.count("*").alias("rows"))
 
 
 def catalog_counts(catalog: DataFrame, dataset: str = "btc_ohlcv") -> DataFrame:

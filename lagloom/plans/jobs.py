@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -20,8 +20,8 @@ from lagloom.session import use_utc
 from lagloom.sinks.lake import LOADS, LoadSpec, archive, lake_to_table
 from lagloom.sinks.merge import staged, upsert
 from lagloom.sources.lake import read_closes_since
-from lagloom.sources.payloads import stamped
-from lagloom.streaming.ingest import dual_write
+from lagloom.sources.payloads import ARRIVAL, stamped
+from lagloom.streaming.ingest import dual_write, repair_sink
 
 log = logging.getLogger(__name__)
 
@@ -64,6 +64,7 @@ def lag_correlation(
     Both inputs are cut to the longest window first, which prunes their scans. Set ``unique_stamps`` for
     rows that come from the keyed tables or from scan_dataset.
     """
+    use_utc(candles.sparkSession)
     cutoff = params.max_cutoff(now)
     closes = hourly_close(
         read_closes_since(candles, cutoff, params.interval, params.symbol), unique_stamps=unique_stamps
@@ -192,12 +193,32 @@ def incremental_ingest(
     """Take in everything that has landed since the last run: into the table, and on its own into the lake.
 
     ``rows`` is a stream of parsed rows. Polls may overlap and batches may be repeated; both sides merge by
-    key. The run log has one row per batch and side, which run_totals sums up.
+    key; of rows with one key the one that arrived last is kept, if the rows have an ``arrival``. The run log has
+    one row per batch and side, which run_totals sums up. A table that can't be written fails the run, and the next
+    one takes the batch again; what only the lake missed is kept for :func:`repair_lake`.
     """
+    order = [ARRIVAL] if ARRIVAL in rows.columns else []
     sinks = {
         "table": lambda batch: upsert(
-            batch.sparkSession, table_path, stamped(batch, run_ts), table, cheap_to_reread=True
+            batch.sparkSession, table_path, stamped(batch, run_ts), table, order, cheap_to_reread=not order
         ),
-        "lake": lambda batch: archive(batch.sparkSession, batch, root, lake, run_ts, catalog_path=f"{root}/catalog"),
+        "lake": lake_sink(root, lake, run_ts, order),
     }
-    return dual_write(rows, sinks, run_log_path, checkpoint)
+    return dual_write(rows, sinks, run_log_path, checkpoint, run_ts)
+
+
+def lake_sink(root: str, lake: LakeSpec, run_ts: datetime | str, order: Sequence[str] = ()) -> Callable[[DataFrame], None]:
+    def write(batch: DataFrame) -> None:
+        archive(batch.sparkSession, batch, root, lake, run_ts, catalog_path=f"{root}/catalog", order=order)
+
+    return write
+
+
+def repair_lake(spark: SparkSession, root: str, lake: LakeSpec, run_log_path: str, run_ts: datetime | str) -> int:
+    """Archive the batches that incremental_ingest could write to the table only; returns how many."""
+    use_utc(spark)
+
+    def write(batch: DataFrame) -> None:
+        lake_sink(root, lake, run_ts, [ARRIVAL] if ARRIVAL in batch.columns else [])(batch)
+
+    return repair_sink(spark, "lake", write, run_log_path, run_ts)

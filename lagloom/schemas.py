@@ -62,6 +62,9 @@ ALT_DATA = TableSpec(
     OBSERVATION_KEYS,
     ("source", "period"),
 )
+HOURLY_CLOSES = TableSpec(
+    "hourly_closes", "symbol string, hour timestamp, close double", ("symbol", "hour"), ("symbol", "period"), "hour"
+)
 MACRO_DATA = TableSpec(
     "macro_data",
     f"source string, metric_name string, timestamp timestamp, value {DECIMAL}, fetched_at timestamp",

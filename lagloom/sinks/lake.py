@@ -13,8 +13,8 @@ from lagloom.functions.coerce import has_values, moment, number_column, utc_time
 from lagloom.functions.text import value_text
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import ALT_DATA, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
-from lagloom.session import remove_path
-from lagloom.sinks.merge import BROADCAST_ROWS, Touched, merge_into, staged, upsert
+from lagloom.session import remove_path, use_utc
+from lagloom.sinks.merge import BROADCAST_ROWS, Touched, last_by_outside, merge_into, staged, upsert
 from lagloom.sources.foreign import read_foreign
 from lagloom.sources.lake import read_existing, scan_lake
 
@@ -84,13 +84,16 @@ def archive(
     run_ts: datetime | str,
     granularity: str = "day",
     catalog_path: str | None = None,
+    order: Sequence[str] = (),
 ) -> ArchiveResult:
     """Merge rows into a lake dataset and record the touched partitions in the catalog.
 
-    Of rows with one key the later fetched wins. No rows at all is ``skip``; rows without a single valid
+    Of rows with one key the later fetched wins, and within ``rows`` the last by ``order``, such as their arrival. No rows at all is ``skip``; rows without a single valid
     stamp are an error. The incoming rows are used several times, so they are parsed once and staged.
     """
-    incoming, staging = staged(spark, lake_rows(rows, spec, granularity, run_ts), "incoming")
+    use_utc(spark)
+    parsed = lake_rows(rows, spec, granularity, run_ts)
+    incoming, staging = staged(spark, last_by_outside(parsed, spec.unique_keys, order, spec.schema), "incoming")
     try:
         fetched = incoming.count()
         if not fetched:
@@ -305,6 +308,7 @@ def load_rows(
     the verdict on it must come from one and the same read. Files it gets no row from are empty, broken,
     or typed in a way it refuses; they are decoded one by one in tasks.
     """
+    use_utc(spark)
     prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
     files = file_bytes(spark, prefixes)
     if files is None:

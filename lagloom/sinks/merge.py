@@ -9,10 +9,11 @@ from functools import reduce
 from math import prod
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import TableSpec
-from lagloom.session import remove_path, work_path
+from lagloom.session import remove_path, use_utc, work_path
 from lagloom.sources.lake import read_existing
 
 log = logging.getLogger(__name__)
@@ -164,6 +165,7 @@ def merge_into(
     dies half way leaves either the old partitions or a complete staged copy, and repeating the merge
     gives the same rows.
     """
+    use_utc(spark)
     stored = read_existing(spark, schema, path)
     new = conformed(incoming, schema)
     touched = Touched.by(new, partition_by, listed)
@@ -187,6 +189,12 @@ def publish(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Se
     write_partitions(rows, path, partition_by, sort_by)
 
 
+def last_by_outside(rows: DataFrame, keys: Sequence[str], order: Sequence[str], schema: str) -> DataFrame:
+    """The last row per key if the order names columns that are not stored; else the merge decides."""
+    stored = {field.name for field in StructType.fromDDL(schema).fields}
+    return rows if stored.issuperset(order) else keep_last(rows, keys, order)
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -197,11 +205,14 @@ def upsert(
 ) -> None:
     """Insert or replace by the table's natural key; of several new rows with one key the last by ``order``.
 
-    A merge reads its rows more than once, so they are staged first, unless they already are stored or cached.
+    ``order`` may name columns the table does not hold, such as the arrival of a row. A merge reads its rows more
+    than once, so they are staged first, unless they already are stored or cached.
     """
+    use_utc(spark)
     missing = [name for name in spec.keys if name not in rows.columns]
     if missing:
         raise ValueError(f"{spec.name}: missing key columns {missing}")
+    rows = last_by_outside(rows, spec.keys, order, spec.schema)
     incoming, staging = (rows, None) if cheap_to_reread else staged(spark, rows, "incoming")
     try:
         merge_into(
@@ -211,7 +222,7 @@ def upsert(
             spec.schema,
             spec.keys,
             spec.partition_by,
-            order,
+            [name for name in order if name in StructType.fromDDL(spec.schema).fieldNames()],
             sort_by=[spec.time_column] if spec.time_column else (),
         )
     finally:

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lagloom.functions.coerce import moment, since
+from lagloom.functions.coerce import matching, moment, since
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import LakeSpec, TableSpec
 from lagloom.sources.observations import features_union
@@ -123,12 +123,8 @@ def catalog_objects_since(
 ) -> DataFrame:
     """Catalogued objects that reach the cutoff, oldest first."""
     found = catalog.where(F.col("max_timestamp") >= moment(cutoff))
-    if dataset:
-        found = found.where(F.col("dataset") == dataset)
-    if interval:
-        found = found.where(F.col("interval") == interval)
-    if prefix:
-        found = found.where(F.col("object_key").startswith(prefix))
+    equal = {name: value for name, value in (("dataset", dataset), ("interval", interval)) if value}
+    found = matching(found, {"object_key": prefix} if prefix else None, **equal)
     return found.select(
         "dataset", "symbol", "interval", "object_key", "min_timestamp", "max_timestamp", "row_count", "size_bytes"
     ).orderBy("min_timestamp", "object_key")

@@ -27,6 +27,9 @@ from lagloom.functions.text import float_text
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import DECIMAL, PRICE_FIELDS
 
+#: Optional column of responses and rows: when they were polled.
+ARRIVAL = "arrival"
+
 KLINE_ITEMS = "array<array<string>>"
 SENTIMENT_BODY = "data array<struct<value: string, value_classification: string, timestamp: string>>"
 MARKET_BODY = "markets array<struct<volume24hr: string, active: boolean, closed: boolean>>"
@@ -59,6 +62,11 @@ def _sentiment_valid(item: Column) -> Column:
     )
 
 
+def _market_items() -> Column:
+    """The markets of a page; NULL if it is no such page."""
+    return F.from_json("payload", MARKET_BODY).getField("markets")
+
+
 def _valid_items(df: DataFrame, items: Column, valid, *keep: str) -> DataFrame:
     """One row per item of the responses that are valid throughout.
 
@@ -70,9 +78,14 @@ def _valid_items(df: DataFrame, items: Column, valid, *keep: str) -> DataFrame:
 
 
 def normalize_klines(raw: DataFrame) -> DataFrame:
-    """Array-of-arrays candles to rows; ``raw`` has payload, symbol and interval."""
-    rows = _valid_items(raw, _kline_items(), _kline_valid, "symbol", "interval")
+    """Array-of-arrays candles to rows; ``raw`` has payload, symbol and interval, and perhaps ``arrival``.
+
+    The arrival of a response (its poll time, say) goes to its rows: a later poll of a running candle replaces it.
+    """
+    kept = [name for name in (ARRIVAL,) if name in raw.columns]
+    rows = _valid_items(raw, _kline_items(), _kline_valid, "symbol", "interval", *kept)
     return rows.select(
+        *kept,
         "symbol",
         "interval",
         epoch_millis(F.get("_item", 0)).alias("timestamp"),
@@ -98,11 +111,12 @@ def normalize_sentiment(raw: DataFrame, latest_only: bool = False) -> DataFrame:
 def payload_status(raw: DataFrame, kind: str) -> DataFrame:
     """Adds status (ok or error) and the item count; an empty or unreadable response is an error.
 
-    An empty candle list is a valid answer with no rows.
+    An empty candle list or market page is a valid answer with no rows.
     """
     items, valid, least = {
         "klines": (_kline_items(), _kline_valid, 0),
         "sentiment": (_sentiment_items(), _sentiment_valid, 1),
+        "markets": (_market_items(), Column.isNotNull, 0),
     }[kind]
     good = F.coalesce(F.forall("_items", valid) & (F.size("_items") >= least), F.lit(False))
     return (
@@ -184,18 +198,21 @@ def aggregate_market_volume(raw: DataFrame) -> DataFrame:
     """Exact 24h volume over all open markets, one row per six-hour bucket.
 
     ``raw`` has payload, run_id and fetched_at; the pages of a run are summed, and a later run replaces
-    an earlier one in the same bucket. A market counts if it is active and not closed; volumes that are
+    an earlier one in the same bucket. A run with a page that cannot be read gives no row. A market counts if it is active and not closed; volumes that are
     missing or no number are left out of the sum.
     """
-    markets = raw.select(
-        "run_id", "fetched_at", F.explode_outer(F.from_json("payload", MARKET_BODY).getField("markets")).alias("market")
+    pages = raw.select("run_id", "fetched_at", _market_items().alias("_markets"))
+    markets = pages.select(
+        "run_id", "fetched_at", F.col("_markets").isNotNull().alias("_read"), F.explode_outer("_markets").alias("market")
     )
     counted = F.col("market.active").eqNullSafe(True) & ~F.col("market.closed").eqNullSafe(True)
     volume = F.when(counted, exact_decimal(F.col("market.volume24hr")))
     runs = markets.groupBy("run_id").agg(
         F.coalesce(F.sum(volume), F.lit(0).cast(DECIMAL)).cast(DECIMAL).alias("value"),
         F.max("fetched_at").alias("fetched_at"),
+        F.min("_read").alias("_read"),
     )
+    runs = runs.where("_read").drop("_read")
     stamped = runs.withColumn("timestamp", bucket_start(F.col("fetched_at"), 6))
     last = keep_last(stamped, ["timestamp"], ["fetched_at", "run_id"])
     return last.select(

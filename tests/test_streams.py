@@ -1,13 +1,15 @@
 from datetime import timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lagloom.operators.series import hourly_close
-from lagloom.schemas import CANDLES, RUN_LOG_COLUMNS, candle_lake
+from lagloom.schemas import ALT_DATA, CANDLES, HOURLY_CLOSES, candle_lake, observation_lake
 from lagloom.sinks.lake import archive
 from lagloom.sinks.merge import upsert
 from lagloom.sources.lake import read_table, scan_dataset
-from lagloom.streaming.ingest import distinct_stream, dual_write, ingest_stream, landing_stream
+from lagloom.streaming.ingest import distinct_stream, dual_write, ingest_stream, landing_stream, read_log, repair_sink
 from lagloom.streaming.series import hourly_close_stream
 from tests.conftest import tuples, utc
 
@@ -49,22 +51,22 @@ def collected(stream, root, schema):
     return stream.sparkSession.read.schema(schema).parquet(f"{root}/out")
 
 
-def test_hourly_close_on_a_stream_equals_the_batch_form(spark, root):
+def test_hourly_closes_follow_late_and_revised_candles(spark, root):
     landing = f"{root}/landing"
-    for run in range(4):
-        land(spark, landing, [(run * 100 + i * 7, run * 1000 + i) for i in range(20)], run)
-    stream = hourly_close_stream(landing_stream(spark, landing, SCHEMA, files_per_batch=1), lateness="10 hours")
-    got = collected(stream, root, "symbol string, hour timestamp, close double")
-    batch = hourly_close(spark.read.schema(SCHEMA).parquet(landing), ["symbol"])
-    assert got.exceptAll(batch).isEmpty()
-    # Newest stamp is minute 433; nothing is closed with ten hours of lateness, everything up to 05:00 with two.
-    assert got.count() == 0
-    closed = collected(
-        hourly_close_stream(landing_stream(spark, landing, SCHEMA, files_per_batch=1)), f"{root}/second", "symbol string, hour timestamp, close double"
-    )
-    limit = START + timedelta(minutes=433) - timedelta(hours=2)
-    want = batch.where(F.col("hour") <= F.lit(limit.isoformat()).cast("timestamp"))
-    assert closed.count() == 5 and closed.exceptAll(want).isEmpty() and want.exceptAll(closed).isEmpty()
+    runs = [
+        [(i * 7, 1000 + i) for i in range(20)],
+        [(300, 5), (301, 6)],
+        [(10, 77)],  # hours later: a revised candle
+        [(200, 88), (59, 99)],  # and one of an hour that was empty, one at the end of a published hour
+    ]
+    for run, rows in enumerate(runs):
+        land(spark, landing, rows, run)
+        stream = landing_stream(spark, landing, SCHEMA, files_per_batch=1)
+        hourly_close_stream(stream, f"{root}/candles", f"{root}/closes", f"{root}/offsets").awaitTermination()
+        got = read_table(spark, f"{root}/closes", HOURLY_CLOSES).select("symbol", "hour", "close")
+        want = hourly_close(spark.read.schema(SCHEMA).parquet(landing), ["symbol"])
+        assert tuples(got) == tuples(want)
+    assert got.count() == 5
 
 
 def test_repeated_keys_are_dropped(spark, root):
@@ -75,24 +77,70 @@ def test_repeated_keys_are_dropped(spark, root):
     assert collected(stream, root, SCHEMA).count() == 3
 
 
-def test_a_failing_sink_does_not_hold_up_the_other(spark, root):
-    landing, spec = f"{root}/landing", candle_lake()
-    land(spark, landing, [(0, 1), (1, 2)], 1)
+def flaky(write, failures):
+    """Fails so many times, then writes."""
+    left = [failures]
+
+    def sink(batch):
+        left[0] -= 1
+        if left[0] >= 0:
+            raise OSError("not reachable")
+        write(batch)
 
-    def broken(batch):
-        raise OSError("lake not reachable")
+    return sink
 
-    def run(lake_sink):
-        sinks = {"table": lambda b: upsert(spark, f"{root}/table", b, CANDLES), "lake": lake_sink}
-        dual_write(landing_stream(spark, landing, SCHEMA), sinks, f"{root}/log", f"{root}/offsets").awaitTermination()
 
-    run(broken)
+def test_neither_sink_loses_a_batch(spark, root):
+    landing, spec = f"{root}/landing", candle_lake()
+    land(spark, landing, [(0, 1), (1, 2)], 1)
+    table = flaky(lambda b: upsert(spark, f"{root}/table", b, CANDLES), 1)
+    write_lake = lambda b: archive(spark, b, root, spec, utc("2026-06-10T00:00:00"))
+    lake = flaky(write_lake, 2)
+
+    def run():
+        sinks = {"table": table, "lake": lake}
+        stream = landing_stream(spark, landing, SCHEMA)
+        dual_write(stream, sinks, f"{root}/log", f"{root}/offsets", utc("2026-06-10T00:00:00")).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert read_table(spark, f"{root}/table", CANDLES).count() == 0
+    run()  # the same batch again: the table takes it, the lake does not
     land(spark, landing, [(2, 3)], 2)
-    run(lambda batch: archive(spark, batch, root, spec, utc("2026-06-10T00:00:00")))
+    run()
     assert read_table(spark, f"{root}/table", CANDLES).count() == 3
     assert scan_dataset(spark, root, spec).count() == 1
-    log = spark.read.schema(RUN_LOG_COLUMNS).parquet(f"{root}/log")
-    assert tuples(log, "run_id", "source", "status", "fetched", "upserted") == [
-        ("0", "lake", "error", 2, 0), ("0", "table", "ok", 2, 2), ("1", "lake", "ok", 1, 1), ("1", "table", "ok", 1, 1),
-    ]
-    assert log.where("status = 'error'").first().error == "OSError: lake not reachable"
+    columns = ("run_id", "source", "status", "fetched", "upserted")
+    log = [("ingest-0", "lake", "error", 2, 0), ("ingest-0", "table", "ok", 2, 2), ("ingest-1", "lake", "ok", 1, 1), ("ingest-1", "table", "ok", 1, 1)]
+    assert tuples(read_log(spark, f"{root}/log"), *columns) == log
+    assert repair_sink(spark, "lake", write_lake, f"{root}/log", utc("2026-06-11T00:00:00")) == 1
+    assert scan_dataset(spark, root, spec).count() == 3
+    assert tuples(read_log(spark, f"{root}/log"), *columns) == sorted([*log, ("ingest-0", "lake", "repaired", 2, 2)])
+    assert repair_sink(spark, "lake", write_lake, f"{root}/log", utc("2026-06-11T00:00:00")) == 0
+
+
+def test_a_later_poll_replaces_higher_and_longer_numbers(spark, root):
+    """Of one batch the last to arrive is kept, in the table and in the lake; without arrivals the larger number."""
+    at, run = START, utc("2026-06-10T00:00:00")
+    rows = [("BTCUSDT", "1m", at, "99", "100", 1), ("BTCUSDT", "1m", at, "95", "96", 2)]
+    batch = spark.createDataFrame(rows, "symbol string, interval string, timestamp timestamp, low string, close string, arrival int")
+    upsert(spark, f"{root}/table", batch.withColumn("fetched_at", F.lit(run)), CANDLES, ["arrival"])
+    archive(spark, batch, root, candle_lake(), run, order=["arrival"])
+    for found in (read_table(spark, f"{root}/table", CANDLES), scan_dataset(spark, root, candle_lake())):
+        assert [(int(float(r.low)), int(float(r.close))) for r in found.collect()] == [(95, 96)]
+    ties = spark.createDataFrame([("s", "m", at, v) for v in ("9.5", "10.1")], "source string, metric_name string, timestamp timestamp, value string")
+    archive(spark, ties, root, observation_lake("s"), run)
+    assert [r.value for r in scan_dataset(spark, root, observation_lake("s")).collect()] == ["10.1"]
+
+
+def test_directories_do_not_follow_the_session_zone(spark, root):
+    row = spark.createDataFrame([("s", "m", utc("2024-02-01T02:00:00"), "1")], "source string, metric_name string, timestamp timestamp, value string")
+    for zone in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            upsert(spark, f"{root}/table", row.withColumn("fetched_at", F.lit(START)), ALT_DATA)
+            archive(spark, row, root, observation_lake("s"), START)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.period for r in read_table(spark, f"{root}/table", ALT_DATA).collect()] == ["2024-02"]
+    assert spark.read.parquet(f"{root}/raw/alternative/s").select("year", "month", "day").distinct().count() == 1
