@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, rounded
@@ -155,29 +156,41 @@ def _partition_pruned_scan(spark, sf_dir):
     return rows.select("metric_name", "timestamp", "value")
 
 
+# Every fifth event lies in a file of its own kind; the others in usable files, half of them in an older place.
+KINDS = {"damaged": 0, "lacking": 1, "unnamed": 2, "new": 3, "old": 4}
+
+
 def _loadable_lake(spark, sf_dir):
-    """Clicks under the current prefix without names, views under an older one, and one broken file each."""
+    """All events as lake files: without names under the current prefix, with names under an older one, with a
+    name column that is NULL, without values, and in a file damaged in the middle."""
     root = work_path(spark, "lake")
-    rows = events(spark, sf_dir)
-    clicks = rows.where(F.col("event_type") == "click").select(
-        F.col("ts").alias("timestamp"), F.col("value").cast("string").alias("value")
-    )
-    views = rows.where(F.col("event_type") == "view").select(
-        F.lit("fear_greed").alias("source"),
-        F.lit("index").alias("metric_name"),
-        F.col("ts").alias("timestamp"),
-        F.when(F.col("event_id") % 2 == 0, "bad").otherwise(F.col("value").cast("string")).alias("value"),
-        F.lit("old").alias("label"),
-    )
-    clicks.coalesce(1).write.parquet(f"{root}/raw/alternative/fear_greed/year=2024")
-    views.coalesce(1).write.parquet(f"{root}/raw/market/alt_data/fear_greed/2024/01")
+    current, older = f"{root}/raw/alternative/fear_greed", f"{root}/raw/market/alt_data/fear_greed"
+    value = F.when((F.col("event_id") % 10 == 9), "bad").otherwise(F.col("value").cast("string"))
+    rows = events(spark, sf_dir).select(F.col("ts").alias("timestamp"), value.alias("value"), (F.col("event_id") % 5).alias("kind"))
+    kind = {name: rows.where(F.col("kind") == number).drop("kind") for name, number in KINDS.items()}
+    # rows of one stamp share a file, so that the path decides between places only
+    kind["new"].repartition(3, "timestamp").write.parquet(f"{current}/year=2024")
+    named = kind["old"].withColumns({"source": F.lit("fear_greed"), "metric_name": F.lit("index"), "label": F.lit("old")})
+    named.repartition(3, "timestamp").write.parquet(f"{older}/2024/01")
+    kind["unnamed"].withColumn("source", F.lit(None).cast("string")).repartition(1).write.parquet(f"{current}/unnamed")
+    kind["lacking"].drop("value").repartition(1).write.parquet(f"{current}/lacking")
+    kind["damaged"].repartition(1).write.parquet(f"{root}/whole")
+    system, folder = FileSystem.from_uri(root if "://" in root else f"file://{root}")
+    whole = [f for f in system.get_file_info(FileSelector(f"{folder}/whole")) if f.base_name.endswith(".parquet")]
+    content = bytearray(system.open_input_file(whole[0].path).read())
+    middle = slice(len(content) // 4, len(content) // 2)
+    content[middle] = bytes(len(content[middle]))
+    place = FileSystem.from_uri(f"{current}/damaged" if "://" in root else f"file://{current}/damaged")[1]
+    system.create_dir(place)
+    with system.open_output_stream(f"{place}/part.parquet") as out:
+        out.write(bytes(content))
     return root
 
 
 LOADED_SQL = """
 WITH f AS (
-  SELECT ts, value, NULL::VARCHAR AS label, 1 AS path FROM events WHERE event_type = 'click'
-  UNION ALL SELECT ts, value, 'old', 2 FROM events WHERE event_type = 'view' AND event_id % 2 = 1),
+  SELECT ts, value, CASE WHEN event_id % 5 = 4 THEN 'old' END AS label, event_id % 5 AS path FROM events
+  WHERE event_id % 5 IN (3, 4) AND event_id % 10 <> 9),
 k AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY ts ORDER BY path DESC, value DESC) = 1)"""
 
 
@@ -193,7 +206,8 @@ def _validate_and_fill(spark, sf_dir):
 @query(
     "lake_to_table",
     f"""{LOADED_SQL}
-SELECT 'fear_greed' AS source, 'ok' AS status, 2::BIGINT AS files, 0::BIGINT AS failed_files, count(*) AS rows, count(*) AS upserted, '' AS error FROM k
+SELECT 'fear_greed' AS source, 'partial' AS status, 9::BIGINT AS files, 2::BIGINT AS failed_files, count(*) AS rows,
+  count(*) AS upserted, '' AS error FROM k
 UNION ALL SELECT 'dxy', 'ok', 0, 0, 0, 0, '' UNION ALL SELECT 'treasury_10y', 'ok', 0, 0, 0, 0, ''
 UNION ALL SELECT 'google_trends', 'ok', 0, 0, 0, 0, ''""",
 )

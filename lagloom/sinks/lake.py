@@ -14,9 +14,9 @@ from lagloom.functions.text import value_text
 from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import ALT_DATA, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
 from lagloom.session import remove_path, use_utc
-from lagloom.sinks.merge import BROADCAST_ROWS, Touched, last_by_outside, merge_into, staged, upsert
-from lagloom.sources.foreign import read_foreign
-from lagloom.sources.lake import read_existing, scan_lake
+from lagloom.sinks.merge import Touched, last_by_outside, merge_into, staged, upsert
+from lagloom.sources.foreign import read_footers, read_row_groups
+from lagloom.sources.lake import read_existing
 
 GRANULARITIES = ("day", "month", "year")
 
@@ -199,12 +199,6 @@ LOADS = (
     LoadSpec("google_trends", MACRO_DATA, ("raw/macro/google_trends/", "raw/market/macro_data/google_trends/"), "google_trends"),
 )
 
-# Most file paths named in one filter; beyond this they are joined.
-LISTED_FILES = 1000
-
-LOAD_COLUMNS = "source string, metric_name string, timestamp timestamp, value string, label string"
-
-
 def validate_and_fill(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     """Name columns defaulted where absent, required columns checked, invalid rows left out."""
     filled = with_absent(rows, source=spec.source)
@@ -223,40 +217,22 @@ def validate_and_fill(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     return has_values(typed, "source", "metric_name", "timestamp", "value").select(*columns, *kept)
 
 
-def _judged_files(rows: DataFrame, spec: LoadSpec) -> DataFrame:
-    """Per file, which of the columns it has and whether it has all that are required.
+def _required(spec: LoadSpec) -> list[str]:
+    return ["timestamp", "value", *([] if spec.metric is not None else ["metric_name"])]
 
-    Files of different age differ in their columns, and a declared schema reads an absent column as NULL;
-    a column that is NULL in every row of a file counts as absent from it.
-    """
-    names = ("source", "metric_name", "timestamp", "value")
-    files = rows.groupBy("object_path").agg(*[(F.count(name) > 0).alias(f"has_{name}") for name in names])
-    usable = F.col("has_timestamp") & F.col("has_value")
-    if spec.metric is None:
-        usable = usable & F.col("has_metric_name")
-    return files.withColumn("usable", usable)
-
-
-def _fill_per_file(rows: DataFrame, judged: DataFrame, spec: LoadSpec, files: int) -> DataFrame:
-    """Rows of the usable files, with names filled in where the file lacks them."""
-    usable = judged.where("usable").select("object_path", "has_source", "has_metric_name")
-    if files <= BROADCAST_ROWS:
-        usable = F.broadcast(usable)
-    filled = rows.join(usable, "object_path").withColumn(
-        "source", F.when(F.col("has_source"), F.col("source")).otherwise(spec.source)
-    )
-    if spec.metric is not None:
-        filled = filled.withColumn(
-            "metric_name", F.when(F.col("has_metric_name"), F.col("metric_name")).otherwise(spec.metric)
-        )
-    return filled.drop("has_source", "has_metric_name")
 
+def _fill_absent(rows: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Names filled in where the row's file has no such column; a NULL in a column it has stays one."""
+    lacks = lambda name: ~F.array_contains("columns", name)
+    filled = rows.withColumn("source", F.when(lacks("source"), spec.source).otherwise(F.col("source")))
+    if spec.metric is not None:
+        metric = F.when(lacks("metric_name"), spec.metric).otherwise(F.col("metric_name"))
+        filled = filled.withColumn("metric_name", metric)
+    return filled.drop("columns", "failure")
 
-def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame | None:
-    """Path and content of the Parquet files below the prefixes, None if no prefix exists.
 
-    A query for the paths alone reads no content. Content is limited to 2 GB per file.
-    """
+def list_files(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame | None:
+    """Paths of the Parquet files below the prefixes, None if no prefix exists; no content is read."""
     found = None
     for prefix in prefixes:
         try:
@@ -270,25 +246,11 @@ def file_bytes(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame | None
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        files = files.select(F.col("_metadata.file_path").alias("object_path"), "content")
+        files = files.select(F.col("_metadata.file_path").alias("object_path"))
         found = files if found is None else found.unionByName(files)
     return found
 
 
-def _silent_files(files: DataFrame, listing: DataFrame, listed: int) -> DataFrame | None:
-    """Path and content of the files the native scan got no row from, None if there are none.
-
-    Only those are opened: their paths are named in the filter, or joined if they are too many.
-    """
-    silent = listing.where(F.col("usable").isNull()).select("object_path")
-    paths = [row.object_path for row in silent.limit(listed + 1).collect()]
-    if not paths:
-        return None
-    if len(paths) <= listed:
-        return files.where(F.col("object_path").isin(paths))
-    return files.join(silent, "object_path", "left_semi")
-
-
 @dataclass(frozen=True)
 class LakeLoad:
     """Valid rows of a load, one per key, staged at a path, and what happened to its files."""
@@ -299,37 +261,36 @@ class LakeLoad:
     staging: str | None
 
 
-def load_rows(
-    spark: SparkSession, root: str, spec: LoadSpec, run_ts: datetime | str, listed: int = LISTED_FILES
-) -> LakeLoad:
+def load_rows(spark: SparkSession, root: str, spec: LoadSpec, run_ts: datetime | str) -> LakeLoad:
     """All files of a load; of rows with one key the file whose path sorts last wins.
 
-    Spark reads what it can, once: whether a file fails depends on the columns asked for, so its rows and
-    the verdict on it must come from one and the same read. Files it gets no row from are empty, broken,
-    or typed in a way it refuses; they are decoded one by one in tasks.
+    A file counts whole or not at all: its footer says which columns it has, its row groups are dealt out and
+    decoded in tasks, and if one of them fails no row of the file is taken.
     """
     use_utc(spark)
-    prefixes = [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes]
-    files = file_bytes(spark, prefixes)
+    files = list_files(spark, [f"{root.rstrip('/')}/{prefix}" for prefix in spec.prefixes])
     if files is None:
         return LakeLoad(spark.createDataFrame([], spec.table.columns), 0, 0, None)
-    scan, scanned = staged(spark, scan_lake(spark, prefixes, LOAD_COLUMNS, skip_corrupt=True), "scan")
+    footers, read_from = staged(spark, read_footers(files.repartition(F.xxhash64("object_path"))), "footers")
+    scratch = [read_from]
     try:
-        judged = _judged_files(scan, spec)
-        listing = files.select("object_path").join(judged, "object_path", "left")
-        counts = listing.agg(F.count("*").alias("files"), F.count_if(~F.col("usable")).alias("lacking")).first()
-        failed = counts["lacking"]
-        rows = _fill_per_file(scan, judged, spec, counts["files"])
-        silent = _silent_files(files, listing, listed)
-        if silent is not None:
-            foreign = read_foreign(silent, spec.source, spec.metric)
-            failed += foreign.where(F.col("failure").isNotNull()).count()
-            rows = rows.unionByName(foreign.where(F.col("failure").isNull()).drop("failure"))
-        valid = validate_and_fill(rows, spec)
+        usable = F.col("failure").isNull() & F.forall(F.array(*map(F.lit, _required(spec))), lambda c: F.array_contains("columns", c))
+        groups = footers.where(usable & F.col("row_group").isNotNull())
+        spread = groups.repartition(F.xxhash64("object_path", "row_group"))
+        scan, scanned = staged(spark, read_row_groups(spread), "scan")
+        scratch.append(scanned)
+        broken = scan.where(F.col("failure").isNotNull()).select("object_path").distinct()
+        counts = footers.agg(
+            F.count_distinct("object_path").alias("files"), F.count_distinct(F.when(~usable, F.col("object_path"))).alias("failed")
+        ).first()
+        rows = scan.join(broken, "object_path", "left_anti")
+        valid = validate_and_fill(_fill_absent(rows, spec), spec)
         kept = keep_last(valid, ["source", "metric_name", "timestamp"], ["object_path"]).drop("object_path")
         loaded, staging = staged(spark, kept.withColumn("fetched_at", moment(run_ts)), "load")
+        failed = counts["failed"] + broken.count()
     finally:
-        remove_path(spark, scanned)
+        for path in scratch:
+            remove_path(spark, path)
     return LakeLoad(loaded, counts["files"], failed, staging)
 
 

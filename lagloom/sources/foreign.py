@@ -1,66 +1,84 @@
-"""Observation files Spark's own reader refuses.
+"""Lake files decoded by Arrow in tasks, a row group at a time.
 
-Files written by pandas carry nanosecond stamps, typeless all-NULL columns, and numbers where others hold
-text. Spark lists, distributes and joins them; inside a task Arrow decodes one file at a time.
+Files come from many writers: nanosecond stamps, typeless all-NULL columns, numbers in one file and text in another.
+Spark lists them, deals out their row groups and joins the rows; a task opens a file by its path through
+``pyarrow.fs`` and reads the footer, or the wanted columns of one row group. All values leave as text.
 """
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 
-SCHEMA = (
-    "object_path string, source string, metric_name string, timestamp timestamp, value string, label string, "
-    "failure string"
-)
+NAMES = ("source", "metric_name", "timestamp", "value", "label")
+FOOTERS = "object_path string, row_group int, columns array<string>, failure string"
+ROWS = f"object_path string, {', '.join(f'{name} string' for name in NAMES)}, columns array<string>, failure string"
 
 
-def read_foreign(files: DataFrame, source: str, metric: str | None = None) -> DataFrame:
-    """Rows of the files in ``files`` (object_path, content).
+def opened(path: str) -> pq.ParquetFile:
+    system, place = pafs.FileSystem.from_uri(path)
+    return pq.ParquetFile(system.open_input_file(place), coerce_int96_timestamp_unit="us")
 
-    Names a file lacks are filled in. An unusable file gives one row with ``failure`` set. The decoder lies
-    inside this function so that it travels to the executors by itself, without the package.
+
+def read_footers(files: DataFrame) -> DataFrame:
+    """A row for every row group of the files in ``object_path``; one without a group for an empty or broken file."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    file = opened(path)
+                    found += [(path, g, file.schema_arrow.names, None) for g in range(file.num_row_groups)] or [
+                        (path, None, file.schema_arrow.names, None)
+                    ]
+                except Exception as error:  # any damage to a file concerns that file alone
+                    found.append((path, None, [], f"{type(error).__name__}: {error}"))
+            kinds = (pa.string(), pa.int32(), pa.list_(pa.string()), pa.string())
+            columns = list(zip(*found)) if found else [()] * 4
+            names = ["object_path", "row_group", "columns", "failure"]
+            yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
+
+    return files.select("object_path").mapInArrow(read, FOOTERS)
+
+
+def texts(values: pa.ChunkedArray) -> pa.ChunkedArray:
+    """Values as text: stamps as UTC with microseconds, NaN as NULL."""
+    kind = values.type
+    if pa.types.is_timestamp(kind) or pa.types.is_date(kind):
+        stamps = values.cast(pa.timestamp("us", kind.tz if pa.types.is_timestamp(kind) else None), safe=False)
+        return pc.strftime(stamps.cast(pa.timestamp("us", "UTC")), format="%Y-%m-%dT%H:%M:%SZ")
+    if pa.types.is_floating(kind):
+        values = pc.if_else(pc.is_nan(values), None, values)
+    return values.cast(pa.string())
+
+
+def read_row_groups(groups: DataFrame) -> DataFrame:
+    """Rows of the row groups in (object_path, row_group, columns), names a file lacks as NULL.
+
+    A row group that can't be read gives one row with ``failure`` set.
     """
-    defaults = {"source": source} | ({} if metric is None else {"metric_name": metric})
-
-    def decoded(content: bytes) -> pd.DataFrame:
-        rows = pq.read_table(io.BytesIO(content)).to_pandas()
-        for name, value in defaults.items():
-            if name not in rows.columns:
-                rows[name] = value
-        missing = sorted({"source", "metric_name", "timestamp", "value"} - set(rows.columns))
-        if missing:
-            raise ValueError(f"missing required columns {missing}")
-        rows["timestamp"] = pd.to_datetime(rows["timestamp"], utc=True, errors="coerce").astype("datetime64[us, UTC]")
-        return rows
-
-    def texts(rows: pd.DataFrame, name: str) -> pa.Array:
-        cells = rows[name] if name in rows.columns else [None] * len(rows)
-        return pa.array([None if pd.isna(cell) else str(cell) for cell in cells], pa.string())
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = [pa.string()] * (1 + len(NAMES)) + [pa.list_(pa.string()), pa.string()]
+        names = ["object_path", *NAMES, "columns", "failure"]
         for batch in batches:
-            for path, content in zip(batch.column("object_path").to_pylist(), batch.column("content").to_pylist()):
+            for path, group, columns in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 try:
-                    rows = decoded(content)
+                    rows = opened(path).read_row_group(group, columns=[name for name in NAMES if name in columns])
+                    held = {name: texts(rows.column(name)).combine_chunks() for name in rows.column_names}
+                    count, failure = rows.num_rows, None
                 except Exception as error:  # any damage to a file concerns that file alone
-                    rows = pd.DataFrame({"failure": [f"{type(error).__name__}: {error}"]})
-                    rows["timestamp"] = pd.Series([pd.NaT], dtype="datetime64[us, UTC]")
-                stamps = pa.array(rows["timestamp"].astype("int64"), pa.int64(), mask=rows["timestamp"].isna().to_numpy())
-                columns = {
-                    "object_path": pa.array([path] * len(rows), pa.string()),
-                    "source": texts(rows, "source"),
-                    "metric_name": texts(rows, "metric_name"),
-                    "timestamp": stamps.cast(pa.timestamp("us", "UTC")),
-                    "value": texts(rows, "value"),
-                    "label": texts(rows, "label"),
-                    "failure": texts(rows, "failure"),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-
-    return files.mapInArrow(decode, SCHEMA)
+                    held, count, failure = {}, 1, f"{type(error).__name__}: {error}"
+                constants = {"object_path": path, "columns": columns, "failure": failure}
+                arrays = [
+                    held[name] if name in held else pa.array([constants.get(name)] * count, kind) for name, kind in zip(names, schema)
+                ]
+                yield pa.record_batch(arrays, names=names)
+
+    return groups.select("object_path", "row_group", "columns").mapInArrow(read, ROWS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,10 +14,6 @@ from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import LakeSpec, TableSpec
 from lagloom.sources.observations import features_union
 
-# Most partition paths handed to one read; beyond this the date predicate alone prunes.
-LISTED_PATHS = 10_000
-
-
 def read_existing(spark: SparkSession, schema: str, path: str, **options) -> DataFrame | None:
     """Parquet under a path, or None if there is nothing at that path yet."""
     try:
@@ -37,17 +34,12 @@ def scan_lake(
     prefixes: Iterable[str],
     schema: str,
     cutoff: datetime | str | None = None,
-    skip_corrupt: bool = False,
 ) -> DataFrame:
     """All ``*.parquet`` files below the prefixes, whatever their directory layout, with their path.
 
-    Prefixes that do not exist count as empty. With ``skip_corrupt`` unreadable files are passed over.
+    Prefixes that do not exist count as empty; a damaged file fails the read.
     """
-    options = {
-        "recursiveFileLookup": "true",
-        "pathGlobFilter": "*.parquet",
-        "ignoreCorruptFiles": "true" if skip_corrupt else "false",
-    }
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet", "ignoreCorruptFiles": "false"}
     rows = spark.createDataFrame([], f"{schema}, object_path string")
     for prefix in prefixes:
         found = read_existing(spark, schema, prefix, **options)
@@ -137,23 +129,23 @@ def scan_catalogued(
     catalog: DataFrame,
     cutoff: datetime,
     interval: str | None = None,
-    listed_paths: int = LISTED_PATHS,
 ) -> DataFrame:
     """Read only the objects the catalog says reach the cutoff.
 
-    The list of directories is planning metadata; past ``listed_paths`` of them the scan falls back to
-    the date predicate on the directories. The row filter is exact either way.
+    An object is a partition directory. Its values are taken from the key and matched with the scan's partition
+    columns, the same plan for any number of objects: the date predicate prunes directories at planning, the match
+    at run time. A directory that has vanished gives no rows, one that is not in the catalog is not read.
     """
     objects = catalog_objects_since(catalog, cutoff, spec.dataset, interval).select("object_key")
-    keys = [row.object_key for row in objects.limit(listed_paths + 1).collect()]
-    if len(keys) > listed_paths:
-        rows = scan_files(spark, root, spec, cutoff)
-        if interval:
-            rows = rows.where(F.col("interval") == interval)
-    elif keys:
-        reader = spark.read.schema(spec.schema).option("basePath", spec.path(root))
-        rows = reader.parquet(*[f"{root.rstrip('/')}/{key}" for key in keys])
-        rows = rows.where(F.col("timestamp") >= moment(cutoff))
-    else:
-        rows = spark.createDataFrame([], spec.schema)
-    return _latest_rows(rows, spec)
+    values = {name: _directory_value("object_key", name) for name in spec.partition_by}
+    wanted = objects.select(*[value.alias(f"_{name}") for name, value in values.items()]).distinct()
+    rows = scan_files(spark, root, spec, cutoff)
+    same = [rows[name].eqNullSafe(wanted[f"_{name}"]) for name in spec.partition_by]
+    return _latest_rows(rows.join(wanted, reduce(Column.__and__, same), "left_semi"), spec)
+
+
+def _directory_value(key: str, name: str) -> Column:
+    """The value of a partition column in an object key, as the directory name has it escaped."""
+    text = F.regexp_extract(key, f"(?:^|/){name}=([^/]*)", 1)
+    decoded = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(text != "__HIVE_DEFAULT_PARTITION__", decoded)

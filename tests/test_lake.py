@@ -1,5 +1,6 @@
 """Lake and tables: merges, replays, granularities, catalog, loading, checking."""
 
+from datetime import datetime
 from decimal import Decimal
 
 import pandas as pd
@@ -16,7 +17,7 @@ from lagloom.schemas import (
     candle_lake,
     observation_lake,
 )
-from lagloom.session import shared_dir, work_path
+from lagloom.session import remove_path, shared_dir, work_path
 from lagloom.sinks import merge
 from lagloom.sinks.lake import (
     LOADS,
@@ -167,9 +168,8 @@ def test_reader_through_the_catalog(spark, root):
     cutoff = utc("2026-06-08T10:00:00")
     assert catalog_objects_since(catalog, cutoff, "btc_ohlcv", "15m").count() == 2
     assert catalog_objects_since(catalog, cutoff, prefix="raw/other/").count() == 0
-    for listed in (10_000, 1):
-        rows = scan_catalogued(spark, root, spec, catalog, cutoff, "15m", listed)
-        assert tuples(rows, "interval", "close") == [("15m", "8"), ("15m", "9")]
+    rows = scan_catalogued(spark, root, spec, catalog, cutoff, "15m")
+    assert tuples(rows, "interval", "close") == [("15m", "8"), ("15m", "9")]
     assert scan_catalogued(spark, root, spec, catalog, utc("2030-01-01T00:00:00")).count() == 0
     closes = read_closes_since(scan_dataset(spark, root, spec), cutoff, "1m", "BTCUSDT")
     assert tuples(closes, "close") == [("8",), ("9",)]
@@ -332,8 +332,7 @@ def test_load_is_partial_when_a_file_fails_and_defaults_absent_names(spark, root
     assert tuples(read_table(spark, f"{root}/t", ALT_DATA), "source", "metric_name", "value") == [("fear_greed", "index", Decimal(2))]
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_files_written_by_pandas_are_loaded(spark, root, tmp_path, listed):
+def test_files_written_by_pandas_are_loaded(spark, root, tmp_path):
     """Nanosecond stamps, a typeless label, numbers in one file and text in another, no source column."""
     folder = tmp_path / "lake" / "raw" / "alternative" / "dxy"
     folder.mkdir(parents=True)
@@ -345,7 +344,7 @@ def test_files_written_by_pandas_are_loaded(spark, root, tmp_path, listed):
     micros = stamps[:1].astype("datetime64[us, UTC]") + pd.Timedelta(days=5)
     pd.DataFrame({"source": "dxy", "metric_name": "close", "timestamp": micros, "value": ["7"], "label": None}).to_parquet(folder / "micros.parquet")
     (folder / "broken.parquet").write_bytes(b"PAR1 no more PAR1")
-    load = load_rows(spark, root, LOADS[1], RUN1, listed)
+    load = load_rows(spark, root, LOADS[1], RUN1)
     assert (load.files, load.failed_files) == (6, 2)
     day = F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("day")
     assert tuples(load.rows, day, "source", "metric_name", "value", "label") == [
@@ -353,6 +352,37 @@ def test_files_written_by_pandas_are_loaded(spark, root, tmp_path, listed):
     ]
 
 
+def test_a_file_damaged_in_the_middle_counts_for_nothing(spark, root, tmp_path):
+    folder = tmp_path / "lake" / "raw" / "alternative" / "dxy"
+    folder.mkdir(parents=True)
+    stamps = pd.date_range("2026-01-01", periods=4000, freq="min", tz="UTC")
+    rows = pd.DataFrame({"timestamp": stamps, "value": [str(i) for i in range(4000)]})
+    rows.to_parquet(folder / "whole.parquet", row_group_size=1000)
+    later = rows.assign(timestamp=stamps + pd.Timedelta(days=30))
+    later.to_parquet(folder / "damaged.parquet", row_group_size=1000)
+    content = bytearray((folder / "damaged.parquet").read_bytes())
+    content[len(content) // 2 : len(content) * 3 // 4] = bytes(len(content) * 3 // 4 - len(content) // 2)
+    (folder / "damaged.parquet").write_bytes(content)
+    rows.assign(timestamp=stamps + pd.Timedelta(days=60), source=None).to_parquet(folder / "unnamed.parquet")
+    load = load_rows(spark, root, LOADS[1], RUN1)
+    assert (load.files, load.failed_files, load.rows.count()) == (3, 1, 4000)
+    assert load.rows.agg(F.max("timestamp")).first()[0] < datetime(2026, 1, 4)
+    done = lake_to_table(spark, root, LOADS[1], f"{root}/t", RUN1)
+    assert (done["status"], done["upserted"]) == ("partial", 4000)
+
+
+def test_the_catalog_decides_whatever_directories_there_are(spark, root):
+    spec = candle_lake()
+    for days, recorded in ((range(1, 5), True), (range(5, 8), False)):
+        for day in days:
+            rows = candles(spark, (f"2026-06-0{day}T00:00:00Z", str(day)), interval="15m")
+            archive(spark, rows, root, spec, RUN1, catalog_path=f"{root}/catalog" if recorded else None)
+    gone = f"{spec.path(root)}/symbol=BTCUSDT/interval=15m/year=2026/month=06/day=04"
+    remove_path(spark, gone)
+    found = scan_catalogued(spark, root, spec, read_table(spark, f"{root}/catalog", LAKE_CATALOG), utc("2026-06-02T00:00:00"))
+    assert tuples(found, "close") == [("2",), ("3",)]
+
+
 def test_required_columns_are_checked(spark):
     spec = LoadSpec("google_trends", MACRO_DATA, (), "google_trends")
     rows = observations(spark, ("google_trends", "bitcoin", "2026-06-09T00:00:00Z", "1"))
