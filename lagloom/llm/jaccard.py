@@ -7,8 +7,8 @@ a prefix token in two further orders, both by other hashes, before sets are comp
 
 Steps: (1) count hashed tokens over all documents and keep the most frequent buckets, a bounded list; (2) per
 document the set's size, two sums that identify it, and its three prefixes; equal sets become one; (3) sets meet by
-prefix token, a group of many in blocks of pairs of parts; inside a group the filters are intersected and only a
-spanning star of what is left goes on, never the pairs; (4) stars give candidate clusters; (5) sets of a cluster meet
+prefix token, tokens shared by the same sets as one group, a group of many in blocks of pairs of parts; inside a group
+the filters are intersected and only a spanning star of what is left goes on, never the pairs; (4) stars give candidate clusters; (5) sets of a cluster meet
 once, a large cluster again in blocks of pairs of parts, and all its pairs of fitting sizes are verified exactly;
 (6) links, again as stars, give the components. No pair is dropped at any step.
 
@@ -25,7 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagloom.llm.batches import GOLDEN, in_row, mix64, pieces, texts_of, window_hashes, words_of
@@ -36,6 +36,8 @@ from lagloom.llm.staging import staged
 FREQUENT_MOST = 1 << 20
 FREQUENT_LEAST = 8
 COUNT_RANGES = 64
+#: Bits of the fixed-size filters in front of joins.
+MARK_BITS = 1 << 24
 #: Members of a part of a large token group or cluster; a task holds two parts.
 GROUP_PART = 512
 CLUSTER_PART = 768
@@ -196,7 +198,7 @@ def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
-def _paired(frame: DataFrame, key: str, parts, member: str) -> DataFrame:
+def _paired(frame: DataFrame, parts: Column, member: str) -> DataFrame:
     """Rows dealt to the blocks (low part, high part) of their group: each row to all blocks that its own part is in."""
     own = F.pmod(F.xxhash64(F.col(member), F.lit(7)), F.col("parts")).cast("int")
     frame = frame.withColumn("parts", parts.cast("int")).withColumn("part", own)
@@ -265,8 +267,38 @@ def _stars(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b)) for a, b in zip(label, ids) if a != b]
 
 
-def candidate_stars(described: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) spanning the candidates: sets that share prefix tokens in all orders and have fitting sizes."""
+def marks(values: DataFrame, column: str) -> np.ndarray:
+    """Packed bits of fixed size, set at a hash of every value: says which values are certainly not in the column.
+
+    The more values there are, the more others pass as well; an equality join behind it gives the exact answer.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(MARK_BITS))
+    flagged = values.select(bit.alias("bit")).selectExpr("shiftright(bit, 5) as word", "shiftleft(1L, cast(bit & 31 as int)) as flag")
+    words = flagged.groupBy("word").agg(F.bit_or("flag").alias("flags")).toArrow()
+    found = np.zeros(MARK_BITS // 32, dtype="<u4")
+    found[words.column("word").to_numpy()] = words.column("flags").to_numpy()
+    return found.view(np.uint8)
+
+
+def marked(frame: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """The rows whose value in ``column`` may be among those of ``bits``."""
+    shared = frame.sparkSession.sparkContext.broadcast(bits)
+    frame = frame.where(F.col(column).isNotNull()).withColumn("_bit", F.pmod(F.xxhash64(column), F.lit(MARK_BITS)))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.asarray(batch.column(batch.num_columns - 1))
+            flags = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            yield batch.filter(pa.array(flags.astype(bool)))
+
+    return frame.mapInArrow(some, frame.schema).drop("_bit")
+
+
+def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) spanning the candidates: sets that share prefix tokens in all orders and have fitting sizes.
+
+    Tokens that the same sets share are one group. ``reps`` has the id of every set and the row that stands for it.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,25 +307,29 @@ def candidate_stars(described: DataFrame, percent: int) -> DataFrame:
             tokens = np.frombuffer(b"".join(blobs), dtype="<i8")
             yield pa.record_batch([pa.array(tokens), pa.array(np.repeat(np.asarray(batch.column(0)), lengths))], names=["token", "id"])
 
-    tokens = described.select("id", "first").mapInArrow(spread, "token long, id long")
+    own = marked(described.select("doc_id", F.col("key1").alias("id"), "first"), "doc_id", marks(reps, "doc"))
+    tokens = own.select("id", "first").mapInArrow(spread, "token long, id long")
     group = Window.partitionBy("token")
-    shared = tokens.withColumn("members", F.count("*").over(group)).where("members > 1")
-    shared = shared.join(described.select("id", "n", "second", "third"), "id")
-    blocks = _paired(shared, "token", F.ceil(F.col("members") / GROUP_PART), "id")
-    ordered = blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-    ordered = ordered.select("token", "low", "high", "id", "n", "second", "third")
+    members, group_key = F.count("*").over(group), F.bit_xor(F.xxhash64("id", F.lit(3))).over(group)
+    shared = tokens.withColumn("members", members).withColumn("group", group_key).where("members > 1")
+    shared = staged(shared.select("group", "members", "id").distinct(), "jaccard-groups")
+    sketches = marked(described.selectExpr("key1 as id", "n", "second", "third"), "id", marks(shared, "id"))
+    shared = shared.join(sketches.dropDuplicates(["id"]), "id")
+    blocks = _paired(shared, F.ceil(F.col("members") / GROUP_PART), "id")
+    keys = ["group", "members", "low", "high"]
+    ordered = blocks.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "id", "n", "second", "third")
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = []
-        for group in _groups(batches, 3):
+        for group in _groups(batches, len(keys)):
             if group.num_rows < 2:
                 continue
             ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
             linked = _fitting(sizes, percent)
             for name in ("second", "third"):
                 if linked.any():
-                    lists = [np.sort(np.frombuffer(b.as_py(), "<u4")) for b in group.column(name)]
-                    linked &= _overlaps([np.unique(x) for x in lists]) > 0
+                    lists = [np.unique(np.frombuffer(b.as_py(), "<u4")) for b in group.column(name)]
+                    linked &= _overlaps(lists) > 0
             edges += _stars(linked, ids)
             if len(edges) > 10_000:
                 yield _edge_batch(edges)
@@ -321,28 +357,18 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
 
     A row says that the set links, directly or not, with ``root`` inside its block, and how many documents it links with.
     """
-    spark = docs.sparkSession
-    wanted = np.zeros(1 << 24, dtype=bool)  # of fixed size; marks documents whose sets have to be sent
-    bits = clusters.select(F.pmod(F.xxhash64("doc"), F.lit(1 << 24)).alias("bit")).distinct()
-    wanted[bits.toArrow().column("bit").to_numpy()] = True
-    marks = spark.sparkContext.broadcast(np.packbits(wanted))
-    marked = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)).alias("bit"))
-
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(marks.value).astype(bool)
-        for batch in batches:
-            some = batch.filter(pa.array(flags[np.asarray(batch.column(2))]))
-            for piece in pieces([some]):
-                sets = shingle_sets(texts_of(piece), size)
-                blobs = [sets.hashes[a:b].astype("<u8").tobytes() for a, b in zip(sets.rows[:-1], sets.rows[1:])]
-                columns = [piece.column(0).cast(pa.int64()), pa.array(set_keys(sets)[0]), pa.array(blobs, pa.binary())]
-                yield pa.record_batch(columns, names=["doc", "id", "hashes"])
+        for piece in pieces(batches):
+            sets = shingle_sets(texts_of(piece), size)
+            blobs = [sets.hashes[a:b].astype("<u8").tobytes() for a, b in zip(sets.rows[:-1], sets.rows[1:])]
+            columns = [piece.column(0).cast(pa.int64()), pa.array(set_keys(sets)[0]), pa.array(blobs, pa.binary())]
+            yield pa.record_batch(columns, names=["doc", "id", "hashes"])
 
     sizes = clusters.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
-    sets = marked.where("doc_id is not null").mapInArrow(sets_of, "doc long, id long, hashes binary")
+    sets = marked(docs.select("doc_id", "text"), "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
     sets = sets.join(clusters, ["id", "doc"]).dropDuplicates(["id"]).join(sizes, "component")
     parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("tokens") * 8 / CLUSTER_PART_BYTES))
-    blocks = _paired(sets, "component", parts, "id").repartition("component", "low", "high")
+    blocks = _paired(sets, parts, "id").repartition("component", "low", "high")
     ordered = blocks.sortWithinPartitions("component", "low", "high")
     ordered = ordered.select("component", "low", "high", "part", "id", "copies", "hashes")
 
@@ -373,10 +399,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     reps = some.groupBy(*same).agg(
         F.min("doc_id").cast("long").alias("doc"),
         F.count("*").alias("copies"),
-        *(F.first(c).alias(c) for c in ("first", "second", "third")),
     )
     reps = staged(reps.withColumn("id", F.col("key1")), "jaccard-sets")
-    candidates = components(staged(candidate_stars(reps, percent), "jaccard-candidates"))
+    candidates = components(staged(candidate_stars(described, reps, percent), "jaccard-candidates"))
     clusters = candidates.join(reps.select("id", "doc", "n", "copies"), "id")
     found = staged(verified(docs, staged(clusters, "jaccard-clusters"), size, percent), "jaccard-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
