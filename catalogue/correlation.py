@@ -23,9 +23,11 @@ from catalogue.tables import (
 from lagloom.functions.coerce import since
 from lagloom.operators.correlate import evaluated, first_results, lag_join, pair_statistics
 from lagloom.operators.series import feature_series, hourly_close
-from lagloom.plans.jobs import lag_correlation, save_results
-from lagloom.schemas import CORRELATION_RESULTS
+from lagloom.plans.jobs import correlate_stored, lag_correlation, save_results
+from lagloom.schemas import ALT_DATA, CANDLES, CORRELATION_RESULTS, MACRO_DATA, candle_lake
 from lagloom.session import work_path
+from lagloom.sinks.lake import archive
+from lagloom.sinks.merge import upsert
 from lagloom.sources.lake import read_closes_since, read_table
 
 WITH_INPUTS = f"""
@@ -173,14 +175,55 @@ SELECT CASE WHEN (SELECT count(*) FROM per_source WHERE n < 30 AND source <> 'po
        (SELECT count(*) FROM samples) AS feature_series,
        (SELECT string_agg(source, ',' ORDER BY source) FROM per_source WHERE n < 30 AND source <> 'polymarket')
          AS insufficient_sources,
-       'polymarket' AS skipped_sources, 120 AS lookback_days, 365 AS max_lookback_days, '1m' AS price_interval""",
+       'polymarket' AS skipped_sources,
+       (SELECT string_agg(source || '=' || n, ',' ORDER BY source) FROM per_source) AS source_samples,
+       120 AS lookback_days, 365 AS max_lookback_days, '1m' AS price_interval, 'given' AS input_source,
+       (SELECT count(*) FROM closes) AS hourly_price_samples, 0::BIGINT AS upserted""",
 )
 def _summary(spark, sf_dir):
+    samples = F.transform(F.map_entries("source_samples"), lambda e: F.concat(e.key, F.lit("="), e.value))
     return planted_run(spark, sf_dir).summary.withColumns(
         {name: F.array_join(name, ",") for name in ("insufficient_sources", "skipped_sources")}
+        | {"source_samples": F.array_join(samples, ",")}
     )
 
 
+def _stored_run(spark, sf_dir, in_lake):
+    """Features in the tables, prices in the lake or in the candle table; summary of the job over them."""
+    base = work_path(spark, "store")
+    every = features(spark, sf_dir).unionByName(planted(spark, sf_dir))
+    every = every.withColumns({"fetched_at": F.col("timestamp"), "label": F.lit(None).cast("string")})
+    macro = F.col("source").isin(list(EVENT_PARAMS.macro_sources))
+    upsert(spark, f"{base}/tables/alt_data", every.where(~macro), ALT_DATA)
+    upsert(spark, f"{base}/tables/macro_data", every.where(macro), MACRO_DATA)
+    lake, prices = candle_lake("events"), candles(spark, sf_dir)
+    if in_lake:
+        archive(spark, prices, base, lake, EVENTS_NOW, "day", f"{base}/catalog")
+    else:
+        upsert(spark, f"{base}/tables/candles", prices.withColumn("fetched_at", F.col("timestamp")), CANDLES)
+    with correlate_stored(spark, base, lake, f"{base}/tables", EVENTS_NOW, f"{base}/results", EVENT_PARAMS) as run:
+        found = run.summary.select("input_source", "hourly_price_samples", "evaluated", "significant", "upserted")
+        row = found.collect()  # one row; the grid goes with the run
+    stored = read_table(spark, f"{base}/results", CORRELATION_RESULTS).agg(F.count("*").alias("stored"))
+    return stored.select(*[F.lit(value).alias(name) for name, value in row[0].asDict().items()], "stored")
+
+
+STORED_SQL = """{inputs}, {grid}
+SELECT '{source}' AS input_source, (SELECT count(*) FROM closes) AS hourly_price_samples, count(*) AS evaluated,
+  count(*) FILTER (outcome = 'significant') AS significant, count(*) FILTER (outcome = 'significant') AS upserted,
+  count(*) FILTER (outcome = 'significant') AS stored FROM judged"""
+
+
+@query("stored_correlation", STORED_SQL.format(inputs=WITH_INPUTS, grid=grid_sql("every_series"), source="lake"))
+def _stored_correlation(spark, sf_dir):
+    return _stored_run(spark, sf_dir, in_lake=True)
+
+
+@query("stored_correlation_fallback", STORED_SQL.format(inputs=WITH_INPUTS, grid=grid_sql("every_series"), source="table"))
+def _stored_correlation_fallback(spark, sf_dir):
+    return _stored_run(spark, sf_dir, in_lake=False)
+
+
 @query(
     "named_pairs_correlation",
     f"""

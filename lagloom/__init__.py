@@ -5,6 +5,7 @@ from lagloom.plans.jobs import (
     BackfillSource,
     CorrelationRun,
     backfill,
+    correlate_stored,
     incremental_ingest,
     lag_correlation,
     load_tables,
@@ -20,6 +21,7 @@ __all__ = [
     "BackfillSource",
     "CorrelationRun",
     "backfill",
+    "correlate_stored",
     "incremental_ingest",
     "lag_correlation",
     "load_tables",

@@ -147,7 +147,7 @@ def first_results(results: DataFrame, n: int = 10) -> DataFrame:
 
 
 def run_summary(statistics: DataFrame, params: AnalysisParams = AnalysisParams()) -> DataFrame:
-    """One row on the run: status, counts, and the sources that are short or still waiting.
+    """One row on the run: status, counts, samples per source, and the sources that are short or still waiting.
 
     A waiting source that is short does not make the run insufficient; any other short source does, also
     an expected one without a row. The grid is read once, reduced per source, and then to one row; the
@@ -166,7 +166,8 @@ def run_summary(statistics: DataFrame, params: AnalysisParams = AnalysisParams()
     known = spark.createDataFrame([(name,) for name in named], "source string")
     every = known.join(per_source, "source", "full_outer")
     waits = F.col("source").isin(list(params.skip_until_ready))
-    short = F.coalesce("samples", F.lit(0)) < params.min_samples
+    samples = F.coalesce("samples", F.lit(0))
+    short = samples < params.min_samples
     listed = lambda test: F.array_sort(F.collect_set(F.when(test, F.col("source"))))
     total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
     return every.agg(
@@ -174,6 +175,7 @@ def run_summary(statistics: DataFrame, params: AnalysisParams = AnalysisParams()
         *[total(name) for name in ("evaluated", "insufficient", "significant", "feature_series")],
         listed(short & ~waits).alias("insufficient_sources"),
         listed(short & waits).alias("skipped_sources"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", samples.cast("bigint"))))).alias("source_samples"),
     ).select(
         "*",
         F.lit(params.base_window_days).alias("lookback_days"),

@@ -15,11 +15,12 @@ from lagloom.operators.correlate import lag_statistics, run_summary, significant
 from lagloom.operators.reports import count_with_fallback, sample_counts, summary_with_total
 from lagloom.operators.series import feature_series, hourly_close, source_samples
 from lagloom.params import AnalysisParams
-from lagloom.schemas import CORRELATION_RESULTS, LakeSpec, TableSpec
-from lagloom.session import use_utc
+from lagloom.schemas import ALT_DATA, CANDLES, CORRELATION_RESULTS, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
+from lagloom.session import remove_path, use_utc
 from lagloom.sinks.lake import LOADS, LoadSpec, archive, lake_to_table
 from lagloom.sinks.merge import staged, upsert
-from lagloom.sources.lake import read_closes_since
+from lagloom.sources.lake import read_closes_since, read_table, scan_catalogued
+from lagloom.sources.observations import features_union
 from lagloom.sources.payloads import ARRIVAL, stamped
 from lagloom.streaming.ingest import dual_write, repair_sink
 
@@ -28,12 +29,24 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class CorrelationRun:
-    """One run: the hourly closes, the statistics grid and the tables read off it, all of them lazy."""
+    """One run: the hourly closes, the statistics grid and the tables read off it, all of them lazy.
+
+    A run that has staged its grid is a context: leaving it removes the grid.
+    """
 
     closes: DataFrame
     statistics: DataFrame
     now: datetime
     params: AnalysisParams
+    input_source: str = "given"
+    staging: str | None = None
+
+    def __enter__(self) -> CorrelationRun:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.staging is not None:
+            remove_path(self.statistics.sparkSession, self.staging)
 
     @property
     def results(self) -> DataFrame:
@@ -49,7 +62,15 @@ class CorrelationRun:
 
     @property
     def summary(self) -> DataFrame:
-        return run_summary(self.statistics, self.params)
+        """The grid's summary, where the closes came from, how many hours they have, and the stored results."""
+        hours = self.closes.agg(F.count("*")).scalar()
+        stored = F.col("significant") if self.staging is not None else F.lit(0)
+        return run_summary(self.statistics, self.params).select(
+            "*",
+            F.lit(self.input_source).alias("input_source"),
+            hours.alias("hourly_price_samples"),
+            stored.cast("bigint").alias("upserted"),
+        )
 
 
 def lag_correlation(
@@ -82,19 +103,45 @@ def run_correlation(
     params: AnalysisParams = AnalysisParams(),
     unique_stamps: bool = False,
 ) -> CorrelationRun:
-    """Compute, store the results, and hand back the run.
+    """Compute, store the results, and hand back the run, as a context.
 
     The statistics grid, a row per series and lag, is staged in the shared folder: results, details and
     summary then read it there instead of running the whole job once each.
     """
     use_utc(spark)
     run = lag_correlation(candles, observations, now, params, unique_stamps)
-    grid, _ = staged(spark, run.statistics, "grid")
-    run = replace(run, statistics=grid)
+    grid, staging = staged(spark, run.statistics, "grid")
+    run = replace(run, statistics=grid, staging=staging)
     upsert(spark, results_path, run.results, CORRELATION_RESULTS, cheap_to_reread=True)
     return run
 
 
+def correlate_stored(
+    spark: SparkSession,
+    root: str,
+    prices: LakeSpec,
+    tables: str,
+    now: datetime,
+    results_path: str,
+    params: AnalysisParams = AnalysisParams(),
+) -> CorrelationRun:
+    """The job over what is stored: closes from the lake, through its catalog, or else from the candle table.
+
+    The table is taken only if the lake has no close of the symbol and interval in the longest window; the run's
+    ``input_source`` says which it was. Features come from the tables.
+    """
+    use_utc(spark)
+    cutoff = params.max_cutoff(now)
+    catalog = read_table(spark, f"{root}/catalog", LAKE_CATALOG)
+    candles, source = scan_catalogued(spark, root, prices, catalog, cutoff, params.interval), "lake"
+    if read_closes_since(candles, cutoff, params.interval, params.symbol).isEmpty():
+        log.warning("the lake has no closes of %s since %s; the candle table is used", params.symbol, cutoff)
+        candles, source = read_table(spark, f"{tables}/{CANDLES.name}", CANDLES, cutoff), "table"
+    features = features_union(*(read_table(spark, f"{tables}/{spec.name}", spec, cutoff) for spec in (ALT_DATA, MACRO_DATA)))
+    run = run_correlation(spark, candles, features, now, results_path, params, unique_stamps=True)
+    return replace(run, input_source=source)
+
+
 def save_results(spark: SparkSession, path: str, results: DataFrame) -> None:
     """Store result rows; a rerun on the same day replaces them."""
     upsert(spark, path, results, CORRELATION_RESULTS)
