@@ -89,6 +89,34 @@ def _mixed_granularity(spark, sf_dir):
     return _with_batch(scan_dataset(spark, root, spec))
 
 
+@query(
+    "mixed_layout",
+    """SELECT event_type AS metric_name, ts AS "timestamp", value,
+  CASE event_id % 3 WHEN 0 THEN 'year' WHEN 1 THEN 'month' ELSE 'day' END AS level FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id % 3 DESC, value DESC) = 1""",
+)
+def _mixed_layout(spark, sf_dir):
+    """A lake of other writers: year files, month files and day files of one dataset side by side."""
+    root = work_path(spark, "lake")
+    spec = observation_lake("events")
+    rows = lake_rows(with_id(spark, sf_dir), spec, "day", FIRST)
+    third = F.col("event_id") % 3
+    # a later level was fetched later
+    rows = rows.withColumn("fetched_at", F.timestamp_seconds(third))
+    for number, levels in enumerate((["year"], ["year", "month"], ["year", "month", "day"])):
+        part = rows.where(third == number).drop("event_id", *[name for name in ("year", "month", "day") if name not in levels])
+        part.write.mode("append").partitionBy("metric", *levels).parquet(spec.path(root))
+    level = F.element_at(F.array(*map(F.lit, ("year", "month", "day"))), F.unix_seconds("fetched_at").cast("int") + 1)
+    found = scan_dataset(spark, root, spec)
+    return found.select("metric_name", "timestamp", rounded(F.col("value")).alias("value"), level.alias("level"))
+
+
+def with_id(spark, sf_dir):
+    return events(spark, sf_dir).select(
+        "event_id", F.lit("events").alias("source"), F.col("event_type").alias("metric_name"), F.col("ts").alias("timestamp"), "value"
+    )
+
+
 def _archived_events(spark, sf_dir, granularity="day"):
     root = work_path(spark, "lake")
     spec = observation_lake("events")

@@ -10,7 +10,7 @@ from catalogue.registry import query, rounded
 from catalogue.tables import EVENT_SCHEMA, EVENTS_NOW, events
 from lagloom.operators.dedupe import keep_last
 from lagloom.plans.jobs import incremental_ingest
-from lagloom.schemas import ALT_DATA, CANDLES, HOURLY_CLOSES, PRICE_FIELDS, candle_lake, observation_lake
+from lagloom.schemas import ALT_DATA, CANDLES, HOURLY_CLOSES, PRICE_FIELDS, TableSpec, candle_lake, observation_lake
 from lagloom.session import work_path
 from lagloom.sinks.lake import archive
 from lagloom.sinks.merge import upsert
@@ -117,18 +117,15 @@ def _stream_hourly_close(spark, sf_dir):
 
 @query("stream_dedupe", """SELECT DISTINCT event_type, date_trunc('minute', ts) AS "timestamp" FROM events""")
 def _stream_dedupe(spark, sf_dir):
-    minutes = _events(spark, sf_dir).select("event_type", F.date_trunc("minute", "ts").alias("timestamp"))
-    target, checkpoint = work_path(spark, "minutes"), work_path(spark, "offsets")
-    (
-        distinct_stream(minutes, ["event_type", "timestamp"])
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema("event_type string, timestamp timestamp").parquet(target)
+    """The events in two batches, the second repeating the first."""
+    minutes = TableSpec("minutes", "event_type string, timestamp timestamp", ("event_type", "timestamp"), ("event_type", "period"))
+    base = work_path(spark, "minutes")
+    rows = events(spark, sf_dir).select("event_type", F.date_trunc("minute", "ts").alias("timestamp"))
+    for part in (rows.where(F.minute("timestamp") < 30), rows):
+        part.write.mode("append").parquet(f"{base}/landing")
+        stream = landing_stream(spark, f"{base}/landing", minutes.columns)
+        distinct_stream(stream, f"{base}/table", minutes, f"{base}/offsets").awaitTermination()
+    return read_table(spark, f"{base}/table", minutes).select("event_type", "timestamp")
 
 
 STORED_SQL = "(SELECT count(*) FROM (SELECT DISTINCT event_type, date_trunc('minute', ts) FROM events))"

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException as SparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lagloom.functions.coerce import matching, moment, since
@@ -80,13 +80,32 @@ def scan_dataset(
 def scan_files(
     spark: SparkSession, root: str, spec: LakeSpec, cutoff: datetime | None = None
 ) -> DataFrame:
-    """Rows of one dataset as stored, partition columns included."""
-    rows = read_or_empty(spark, spec.schema, spec.path(root))
+    """Rows of one dataset as stored, partition columns included.
+
+    A dataset may hold whole years or months as files of a ``year=`` or ``month=`` directory beside day directories.
+    Spark's partition discovery refuses such a mixture; then the directory values are taken from the file paths.
+    """
+    try:
+        rows = read_or_empty(spark, spec.schema, spec.path(root))
+    except SparkException as error:
+        if "CONFLICTING" not in f"{error.getCondition()} {error}":
+            raise
+        rows = scan_by_path(spark, root, spec)
     if cutoff is None:
         return rows
     return rows.where(partitions_since(cutoff)).where(F.col("timestamp") >= moment(cutoff))
 
 
+def scan_by_path(spark: SparkSession, root: str, spec: LakeSpec) -> DataFrame:
+    """Rows with partition columns from the path of their file; levels a path lacks are ``00``."""
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    rows = read_existing(spark, spec.columns, spec.path(root), **options)
+    path = rows.select("*", F.col("_metadata.file_path").alias("_path"))
+    values = {name: _directory_value("_path", name) for name in spec.partition_by}
+    dated = {name: F.when(values[name] == "", "00").otherwise(values[name]) for name in ("year", "month", "day")}
+    return path.withColumns(values | dated).drop("_path")
+
+
 def _latest_rows(rows: DataFrame, spec: LakeSpec) -> DataFrame:
     flat = rows.drop("year", "month", "day")
     return keep_last(flat, list(spec.unique_keys), ["fetched_at"])

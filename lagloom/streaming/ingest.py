@@ -58,9 +58,9 @@ def ingest_stream(
     )
 
 
-def distinct_stream(stream: DataFrame, keys: Sequence[str], time: str = "timestamp", lateness: str = "2 hours") -> DataFrame:
-    """Drop repeated keys within the lateness bound; keeps the first, so only for rows that never change."""
-    return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
+def distinct_stream(stream: DataFrame, table_path: str, spec: TableSpec, checkpoint: str) -> StreamingQuery:
+    """Rows without repeated keys, however late a repetition comes: the keyed table is what is remembered."""
+    return ingest_stream(stream, table_path, spec, checkpoint, ())
 
 
 def dual_write(

@@ -138,6 +138,20 @@ def test_day_and_year_partitions_lie_side_by_side(spark, root):
     assert scan_dataset(spark, root, spec).count() == 5
 
 
+def test_year_month_and_day_directories_of_other_writers(spark, root):
+    spec = candle_lake()
+    base = f"{spec.path(root)}/symbol=BTCUSDT/interval=1m"
+    rows = lambda day, close: lake_rows(candles(spark, (f"{day}T10:00:00Z", close)), spec, "day", RUN1).drop(*spec.partition_by)
+    rows("2023-05-01", "1").write.parquet(f"{base}/year=2023")
+    rows("2024-02-01", "2").write.parquet(f"{base}/year=2024/month=02")
+    rows("2024-03-05", "3").write.parquet(f"{base}/year=2024/month=03/day=05")
+    found = scan_files(spark, root, spec)
+    assert tuples(found, "symbol", "interval", "year", "month", "day", "close") == [
+        ("BTCUSDT", "1m", "2023", "00", "00", "1"), ("BTCUSDT", "1m", "2024", "02", "00", "2"), ("BTCUSDT", "1m", "2024", "03", "05", "3"),
+    ]
+    assert tuples(scan_dataset(spark, root, spec, utc("2024-02-01T10:00:00")), "close") == [("2",), ("3",)]
+
+
 def test_the_cutoff_prunes_directories(spark, root):
     spec = observation_lake("dxy")
     rows = [("dxy", "close", f"20{y}-06-{d:02d}T00:00:00Z", "1") for y in (24, 25, 26) for d in (1, 9, 20)]
