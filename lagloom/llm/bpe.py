@@ -17,7 +17,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from lagloom.llm.staging import arrow_schema
 PIECE_CHARS = 1 << 15
 LEAF_CHARS = 64
 #: Words whose ids a Python worker keeps.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 250_000
 
 _PLAIN_LIMIT = 0x180
 _WHITE = {*range(9, 14), 32, 0x85, 0xA0}
@@ -63,30 +63,35 @@ def byte_characters() -> list[str]:
 
 
 class Codec:
-    """A tokenizer file as words and merges. Only the parts that the file has are used, whatever its sizes."""
+    """A tokenizer file as words and merges. A Python worker holds one; merges for parts of words are read on demand."""
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        model = parts["model"]
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.suffix = model.get("end_of_word_suffix") or ""
+        if self.tokenizer.decoder is not None:
+            raise ValueError("only tokenizer files without a decoder are supported")
         self.whole = self.tokenizer.model
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.inner = BPE(vocab=model["vocab"], merges=merges)  # for parts that don't end a word
-        self.special = {token["content"]: token["id"] for token in parts["added_tokens"]}
+        self.suffix = self.whole.end_of_word_suffix or ""
+        self.special = {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.strings = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.decimals = [b"%d" % i for i in range(size)]
         self.bytes_to_chars = byte_characters()
-        self.plain = _PATTERN in json.dumps(parts["pre_tokenizer"]).replace("\\\\", "\\") and self.suffix == "</w>"
-        if parts.get("decoder") is not None:
-            raise ValueError("only tokenizer files without a decoder are supported")
+        with open(path, encoding="utf-8") as file:
+            self.plain = json.dumps(_PATTERN) in file.read() and self.suffix == "</w>"
         self.words = _Words(self)
 
+    @cached_property
+    def inner(self) -> BPE:
+        """The model for parts that don't end a word."""
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        return BPE(vocab=model["vocab"], merges=merges)
+
     def split(self, text: str) -> list[str]:
         """The words of a text in order, special tokens with SPECIAL in front."""
         if not self.special or "<" not in text:
