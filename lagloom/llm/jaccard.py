@@ -297,18 +297,23 @@ def marked(frame: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
 def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) spanning the candidates: sets that share prefix tokens in all orders and have fitting sizes.
 
-    Tokens that the same sets share are one group. ``reps`` has the id of every set and the row that stands for it.
+    A set leaves a token's group if no other there has a fitting size (the next smaller or larger one would). Tokens
+    that the same sets share are one group. ``reps`` has the id of every set and the row that stands for it.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column(1).to_pylist()
+            blobs = batch.column(2).to_pylist()
             lengths = [len(b) // 8 for b in blobs]
-            tokens = np.frombuffer(b"".join(blobs), dtype="<i8")
-            yield pa.record_batch([pa.array(tokens), pa.array(np.repeat(np.asarray(batch.column(0)), lengths))], names=["token", "id"])
-
-    own = marked(described.select("doc_id", F.col("key1").alias("id"), "first"), "doc_id", marks(reps, "doc"))
-    tokens = own.select("id", "first").mapInArrow(spread, "token long, id long")
+            columns = [np.frombuffer(b"".join(blobs), dtype="<i8"), *(np.repeat(np.asarray(batch.column(k)), lengths) for k in (0, 1))]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["token", "id", "n"])
+
+    own = marked(described.selectExpr("doc_id", "key1 as id", "cast(n as int) as n", "first"), "doc_id", marks(reps, "doc"))
+    tokens = own.select("id", "n", "first").mapInArrow(spread, "token long, id long, n int")
+    by_size = Window.partitionBy("token").orderBy("n", "id")
+    smaller, larger = F.lag("n").over(by_size).cast("long"), F.lead("n").over(by_size).cast("long")
+    tokens = tokens.withColumn("_fits", (100 * smaller >= percent * F.col("n")) | (100 * F.col("n").cast("long") >= percent * larger))
+    tokens = tokens.where("_fits")
     group = Window.partitionBy("token")
     members, group_key = F.count("*").over(group), F.bit_xor(F.xxhash64("id", F.lit(3))).over(group)
     shared = tokens.withColumn("members", members).withColumn("group", group_key).where("members > 1")
@@ -365,15 +370,18 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             yield pa.record_batch(columns, names=["doc", "id", "hashes"])
 
     sizes = clusters.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
-    sets = marked(docs.select("doc_id", "text"), "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
-    sets = sets.join(clusters, ["id", "doc"]).dropDuplicates(["id"]).join(sizes, "component")
     parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("tokens") * 8 / CLUSTER_PART_BYTES))
-    blocks = _paired(sets, parts, "id").repartition("component", "low", "high")
+    placed = _paired(clusters.join(sizes, "component"), parts, "id")
+    placed = placed.select("id", "doc", "component", "low", "high", "part", "copies")
+    sets = marked(docs.select("doc_id", "text"), "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
+    blocks = sets.join(placed, ["id", "doc"]).repartition("component", "low", "high")
     ordered = blocks.sortWithinPartitions("component", "low", "high")
     ordered = ordered.select("component", "low", "high", "part", "id", "copies", "hashes")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 3):
+            firsts = np.unique(group.column("id").to_numpy(), return_index=True)[1]  # a repeated row is one set
+            group = group.take(pa.array(firsts))
             ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
             own = group.column("part").to_numpy()
             lists = [np.frombuffer(b.as_py(), "<u8") for b in group.column("hashes")]
