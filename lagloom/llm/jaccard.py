@@ -42,7 +42,7 @@ MARK_BITS = 1 << 24
 GROUP_PART = 512
 CLUSTER_PART = 768
 #: Bytes of set hashes of a part of a cluster.
-CLUSTER_PART_BYTES = 24 << 20
+CLUSTER_PART_BYTES = 12 << 20
 
 _SEEDS = (np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
@@ -233,9 +233,10 @@ def _overlaps(lists: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sorted distinct arrays; tokens of one array alone are left out."""
     sizes = np.array([len(x) for x in lists])
     values = np.concatenate(lists)
-    owner = np.repeat(np.arange(len(lists)), sizes)
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), sizes)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
+    del order
     same = np.zeros(len(values), dtype=bool)
     same[1:] = values[1:] == values[:-1]
     shared = same.copy()
@@ -247,9 +248,9 @@ def _overlaps(lists: list[np.ndarray]) -> np.ndarray:
         return common
     column = np.unique(column, return_inverse=True)[1]
     width = 1 + int(column.max())
-    for first in range(0, width, 8192):  # a bounded slice of the incidence matrix at once
-        inside = (column >= first) & (column < first + 8192)
-        held = np.zeros((len(lists), min(8192, width - first)), dtype=np.float32)
+    for first in range(0, width, 4096):  # a bounded slice of the incidence matrix at once
+        inside = (column >= first) & (column < first + 4096)
+        held = np.zeros((len(lists), min(4096, width - first)), dtype=np.float32)
         held[owner[inside], column[inside] - first] = 1
         common += held @ held.T
     return common
@@ -357,6 +358,30 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*edges)], names=["a", "b"])
 
 
+def _placed(clusters: DataFrame, percent: int) -> DataFrame:
+    """The blocks every set of the clusters is compared in: (id, doc, component, pair, class, part, low, high, copies).
+
+    A small cluster is one block. In others sets are compared inside their class of sizes and with the next one;
+    a class is as wide as linked sizes can differ. What is still too large is cut into pairs of parts.
+    """
+    totals = [F.count("*").alias("members"), F.sum("n").alias("tokens")]
+    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("tokens") * 8 / CLUSTER_PART_BYTES)).cast("int")
+    small = clusters.groupBy("component").agg(*totals).select("component", (parts <= 1).alias("small"))
+    size_class = F.floor(F.log("n") / float(np.log(100 / percent + 1e-6))).cast("int")
+    sets = clusters.join(small, "component").withColumn("class", F.when(F.col("small"), 0).otherwise(size_class)).drop("small")
+    by_class = Window.partitionBy("component").orderBy("class")  # as many rows as sizes have classes
+    near = lambda step: F.lead("class", step).over(by_class) == F.col("class") + step
+    more = lambda name: F.col(name) + F.when(near(1), F.lead(name).over(by_class)).otherwise(0)
+    classes = sets.groupBy("component", "class").agg(*totals)
+    classes = classes.withColumns({"_members": more("members"), "_tokens": more("tokens"), "below": F.coalesce(near(-1), F.lit(False))})
+    classes = classes.drop("members", "tokens").withColumnsRenamed({"_members": "members", "_tokens": "tokens"})
+    pairs = classes.select("component", F.col("class").alias("pair"), parts.alias("parts"))
+    own = F.when(F.col("below"), F.array(F.col("class") - 1, "class")).otherwise(F.array("class"))
+    sets = sets.join(classes.select("component", "class", "below"), ["component", "class"]).withColumn("pair", F.explode(own))
+    placed = _paired(sets.join(pairs, ["component", "pair"]), F.col("parts"), "id")
+    return placed.select("id", "doc", "component", "pair", "class", "part", "low", "high", "copies")
+
+
 def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, root, links) of the sets of all clusters (id, component, doc, n, copies): exact links, as stars and numbers.
 
@@ -369,17 +394,14 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             columns = [piece.column(0).cast(pa.int64()), pa.array(set_keys(sets)[0]), pa.array(blobs, pa.binary())]
             yield pa.record_batch(columns, names=["doc", "id", "hashes"])
 
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
-    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("tokens") * 8 / CLUSTER_PART_BYTES))
-    placed = _paired(clusters.join(sizes, "component"), parts, "id")
-    placed = placed.select("id", "doc", "component", "low", "high", "part", "copies")
+    placed = _placed(clusters, percent)
     sets = marked(docs.select("doc_id", "text"), "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
-    blocks = sets.join(placed, ["id", "doc"]).repartition("component", "low", "high")
-    ordered = blocks.sortWithinPartitions("component", "low", "high")
-    ordered = ordered.select("component", "low", "high", "part", "id", "copies", "hashes")
+    keys = ["component", "pair", "low", "high"]
+    ordered = sets.join(placed, ["id", "doc"]).repartition(*keys).sortWithinPartitions(*keys)
+    ordered = ordered.select(*keys, "part", "class", "id", "copies", "hashes")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 3):
+        for group in _groups(batches, len(keys)):
             firsts = np.unique(group.column("id").to_numpy(), return_index=True)[1]  # a repeated row is one set
             group = group.take(pa.array(firsts))
             ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
@@ -389,6 +411,8 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             linked = _fitting(sizes, percent)
             if group.column("low")[0].as_py() != group.column("high")[0].as_py():
                 linked &= own[:, None] != own[None, :]  # pairs inside a part belong to that part's own block
+            upper = group.column("class").to_numpy() > group.column("pair").to_numpy()
+            linked &= ~(upper[:, None] & upper[None, :])  # and pairs of the upper class to the next pair of classes
             if linked.any():
                 common = _overlaps(lists).astype(np.int64)
                 linked &= 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
