@@ -6,8 +6,9 @@ from counts over the whole corpus. The network adds position-dependent projectio
 then tanh, then a linear layer.
 
 Counts are aggregated in Spark over all documents. Training is parallel: in each round every task trains a copy of the
-model on all documents it reads, predicting every STRIDE-th word (another offset each round), and Spark averages the
-copies weighted by their numbers of predictions, slice by slice, so that one model's size reaches the driver.
+model on all documents it reads, and Spark averages the copies weighted by their numbers of predictions, slice by slice,
+so that one model's size reaches the driver. The rounds share out the words by their places in the documents: every
+word of every document is a target in one round, wherever pieces begin.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z; those outside the VOCABULARY most frequent ones are one rare word.
 Defined results: null, empty and white texts have no words, a sum and a mean of 0; beyond the ends of a text stands a
@@ -33,7 +34,6 @@ CLASSES = 64
 REACH = 2
 WIDTH = 24
 HIDDEN = 32
-STRIDE = 8
 ROUNDS = 2
 LEARNING_RATE = 0.1
 BATCH = 512
@@ -132,10 +132,16 @@ def neighbours(numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return found
 
 
+def targets(rows: np.ndarray, number: int, rounds: int) -> np.ndarray:
+    """The words that are targets in a round: every ``rounds``-th of each row, from the ``number``-th on."""
+    return np.flatnonzero((np.arange(rows[-1]) - np.repeat(rows[:-1], np.diff(rows))) % rounds == number)
+
+
 def train_batch(net: Network, context: np.ndarray, target: np.ndarray, rate: float) -> None:
     """One gradient step on the mean negative log-likelihood of the targets' classes, in place."""
-    inputs = net.embed[context]  # batch, position, width
-    hidden = np.tanh(np.einsum("bpw,pwh->bh", inputs, net.project, optimize=True) + net.bias)
+    inputs = net.embed[context].reshape(len(target), -1)  # batch, position and width
+    project = net.project.reshape(-1, HIDDEN)
+    hidden = np.tanh(inputs @ project + net.bias)
     logits = hidden @ net.out + net.out_bias
     logits -= logits.max(axis=1, keepdims=True)
     delta = np.exp(logits)
@@ -143,12 +149,15 @@ def train_batch(net: Network, context: np.ndarray, target: np.ndarray, rate: flo
     delta[np.arange(len(target)), target] -= 1
     delta *= rate / len(target)
     back = (delta @ net.out.T) * (1 - hidden * hidden)
-    inner = np.einsum("bh,pwh->bpw", back, net.project, optimize=True)
+    inner = back @ project.T
     net.out[...] -= hidden.T @ delta
     net.out_bias[...] -= delta.sum(axis=0)
-    net.project[...] -= np.einsum("bpw,bh->pwh", inputs, back, optimize=True)
+    net.project[...] -= (inputs.T @ back).reshape(net.project.shape)
     net.bias[...] -= back.sum(axis=0)
-    np.subtract.at(net.embed, context.ravel(), inner.reshape(-1, WIDTH))
+    flat = context.ravel()
+    order = np.argsort(flat, kind="stable")  # sums per word first: much faster than np.subtract.at
+    begins = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0]))
+    net.embed[flat[order[begins]]] -= np.add.reduceat(inner.reshape(-1, WIDTH)[order], begins)
 
 
 AVERAGED = ["slice", "part", "weights", "seen"]
@@ -177,7 +186,7 @@ def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Network:
                 found = words_of(texts_of(piece), lower=True)
                 numbers = words.value.lookup(found.hashes)
                 context = neighbours(numbers, found.rows)
-                chosen = np.arange(number * STRIDE // rounds, len(numbers), STRIDE)
+                chosen = targets(found.rows, number, rounds)
                 for first in range(0, len(chosen), BATCH):
                     at = chosen[first : first + BATCH]
                     rate = LEARNING_RATE * BATCH ** 0.5 / (1 + number)

@@ -8,6 +8,7 @@ from lagloom.llm.pseudo_likelihood import (
     CLASSES,
     RARE,
     REACH,
+    ROUNDS,
     VOCABULARY,
     Network,
     Scorer,
@@ -16,6 +17,7 @@ from lagloom.llm.pseudo_likelihood import (
     neighbours,
     pseudo_likelihood,
     score,
+    targets,
     train,
     train_batch,
 )
@@ -41,6 +43,23 @@ def test_context_is_what_stands_around_in_the_same_row():
     assert BOUNDARY == 0 and REACH == 2
 
 
+def test_every_word_is_a_target_once():
+    rows = np.array([0, 1, 1, 6, 8, 21])
+    for rounds in (1, ROUNDS, 6):
+        chosen = [targets(rows, number, rounds) for number in range(rounds)]
+        assert sorted(np.concatenate(chosen).tolist()) == list(range(21))
+        behind = [targets(rows[2:] - 1, number, rounds) for number in range(rounds)]  # pieces that begin elsewhere
+        assert all((found[found >= 1] - 1).tolist() == other.tolist() for found, other in zip(chosen, behind))
+
+
+def test_every_word_of_a_short_text_teaches(spark):
+    docs = frame(spark, [(1, "alpha beta gamma", None, None, None)])
+    lexicon = build_lexicon(docs)
+    assert len(set(lexicon.classes[2:].tolist())) == 3
+    bias = train(docs, lexicon).out_bias
+    assert (bias[lexicon.classes[2:]] > 0).all() and (np.delete(bias, lexicon.classes[2:]) < 0).all()
+
+
 def test_gradient_is_the_slope_of_the_loss():
     random_ = np.random.default_rng(3)
     context, target = random_.integers(0, 30, (6, 2 * REACH)), random_.integers(0, CLASSES, 6)
