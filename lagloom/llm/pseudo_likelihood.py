@@ -2,7 +2,8 @@
 
 The score of a text is the sum over its words of log P(word | REACH words before and after it), the word itself
 masked. P(word | context) is P(class | context), a network's softmax over frequency classes, times P(word | class),
-from counts over the whole corpus. The network adds position-dependent projections of the neighbours' embeddings,
+from counts over the whole corpus: the VOCABULARY most frequent words reach the tasks, the count of every other word is
+joined by its hash. The network adds position-dependent projections of the neighbours' embeddings,
 then tanh, then a linear layer.
 
 Counts are aggregated in Spark over all documents. Training is parallel: in each round every task trains a copy of the
@@ -10,7 +11,9 @@ model on all documents it reads, and Spark averages the copies weighted by their
 so that one model's size reaches the driver. The rounds share out the words by their places in the documents: every
 word of every document is a target in one round, wherever pieces begin.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z; those outside the VOCABULARY most frequent ones are one rare word.
+Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z; those outside the VOCABULARY most frequent ones are rare. Rare words
+are one class, in which each has the probability of its own count (a word that was never counted that of one occurrence);
+as neighbours they share HASHED embeddings by hash.
 Defined results: null, empty and white texts have no words, a sum and a mean of 0; beyond the ends of a text stands a
 boundary; repeated rows have equal scores; an empty table gives no rows.
 """
@@ -28,8 +31,11 @@ from pyspark.sql import functions as F
 
 from lagloom.llm.batches import pieces, texts_of, words_of
 from lagloom.llm.staging import staged
+from lagloom.session import work_path
 
 VOCABULARY = 4096
+HASHED_BITS = 12
+HASHED = 1 << HASHED_BITS
 CLASSES = 64
 REACH = 2
 WIDTH = 24
@@ -40,6 +46,8 @@ BATCH = 512
 #: Words scored at once.
 CHUNK = 1 << 15
 SLICE = 1 << 14
+#: Logarithms of counts are summed in whole numbers of 1 / LOG_UNIT.
+LOG_UNIT = 1 << 32
 #: Copies of a model averaged in one group.
 COPIES = 64
 
@@ -47,18 +55,32 @@ BOUNDARY, RARE = 0, 1
 
 
 class Lexicon(NamedTuple):
-    """Sorted hashes of the known words with their numbers, every number's class and log P(word | class)."""
+    """Sorted hashes of the known words with their numbers, every number's class and log P(word | class).
+
+    That of RARE is for a single occurrence; ``counts`` is the folder with the occurrences of all words.
+    """
 
     hashes: np.ndarray
     numbers: np.ndarray
     classes: np.ndarray
     within: np.ndarray
+    counts: str
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of the words as neighbours; rare words have theirs from VOCABULARY on."""
+        hashed = VOCABULARY + (words >> np.uint64(64 - HASHED_BITS)).astype(np.int64)
         if not len(self.hashes):
-            return np.full(len(words), RARE)
+            return hashed
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, self.numbers[at], RARE)
+        return np.where(self.hashes[at] == words, self.numbers[at], hashed)
+
+
+def as_targets(numbers: np.ndarray) -> np.ndarray:
+    """Numbers of the words as targets: RARE for all rare words."""
+    return np.where(numbers < VOCABULARY, numbers, RARE)
+
+
+COUNTS = "word long, n long"
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -70,23 +92,25 @@ def count_words(docs: DataFrame) -> DataFrame:
             values, counts = np.unique(np.concatenate(hashes), return_counts=True)
             yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame) -> Lexicon:
-    """The VOCABULARY most frequent words in classes of about equal weight; the rare word is a class of its own."""
-    counts = staged(count_words(docs), "likelihood-words")
+    """The VOCABULARY most frequent words in classes of about equal weight; all others are a class of their own."""
+    folder = work_path(docs.sparkSession, "likelihood-words")
+    count_words(docs).write.parquet(folder)
+    counts = docs.sparkSession.read.schema(COUNTS).parquet(folder)
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 2).toArrow()
-    totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
+    total = counts.agg(F.sum("n")).first()[0] or 0
     hashes, n = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(float)
-    rare_types = max((totals["types"] or 0) - len(n), 1)
+    rare = max(total - n.sum(), 1)
     weight = np.cumsum(n) - n / 2
     known = 1 + np.minimum((weight / max(n.sum(), 1) * (CLASSES - 1)).astype(np.int64), CLASSES - 2)
     classes = np.concatenate([[0, 0], known])
     mass = np.bincount(known, weights=n, minlength=CLASSES)
-    within = np.concatenate([[0.0, -np.log(rare_types)], np.log(n) - np.log(mass[known])])
+    within = np.concatenate([[0.0, -np.log(rare)], np.log(n) - np.log(mass[known])])
     order = np.argsort(hashes)
-    return Lexicon(hashes[order], order + 2, classes, within.astype(np.float32))
+    return Lexicon(hashes[order], order + 2, classes, within.astype(np.float32), folder)
 
 
 class Network(NamedTuple):
@@ -100,7 +124,7 @@ class Network(NamedTuple):
 
     @staticmethod
     def shapes() -> list[tuple[int, ...]]:
-        return [(VOCABULARY, WIDTH), (2 * REACH, WIDTH, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+        return [(VOCABULARY + HASHED, WIDTH), (2 * REACH, WIDTH, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
 
     @classmethod
     def start(cls, seed: int = 7) -> Network:
@@ -190,7 +214,7 @@ def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Network:
                 for first in range(0, len(chosen), BATCH):
                     at = chosen[first : first + BATCH]
                     rate = LEARNING_RATE * BATCH ** 0.5 / (1 + number)
-                    train_batch(own, context[at], words.value.classes[numbers[at]], rate)
+                    train_batch(own, context[at], words.value.classes[as_targets(numbers[at])], rate)
                 seen += len(chosen)
             if seen:
                 values = own.flat()
@@ -210,7 +234,8 @@ def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Network:
 
 
 class Scorer:
-    """Log-probabilities of words; the projections of all words at all positions are worked out once."""
+    """Log-probabilities of words, of rare ones as if they occurred once; the projections of all words at all positions are
+    worked out once."""
 
     def __init__(self, net: Network, lexicon: Lexicon) -> None:
         self.net, self.lexicon = net, lexicon
@@ -221,7 +246,7 @@ class Scorer:
         context = neighbours(numbers, rows)
         for first in range(0, len(numbers), CHUNK):
             some = context[first : first + CHUNK]
-            target = numbers[first : first + CHUNK]
+            target = as_targets(numbers[first : first + CHUNK])
             hidden = np.tanh(sum(self.tables[p][some[:, p]] for p in range(2 * REACH)) + self.net.bias)
             logits = hidden @ self.net.out + self.net.out_bias
             top = logits.max(axis=1)
@@ -232,22 +257,35 @@ class Scorer:
 
 
 def score(docs: DataFrame, net: Network, lexicon: Lexicon) -> DataFrame:
-    """doc_id, n_words, the summed log-probability and its mean per word."""
-    shared = docs.sparkSession.sparkContext.broadcast((net, lexicon))
+    """doc_id, n_words, the summed log-probability and its mean per word.
+
+    Tasks score all words with what the lexicon holds; the logarithms of the rare words' counts are joined and added.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((net, lexicon))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*shared.value)
         for piece in pieces(batches):
             words = words_of(texts_of(piece), lower=True)
-            each = np.concatenate([[0.0], np.cumsum(scorer.words(scorer.lexicon.lookup(words.hashes), words.rows))])
-            counts = np.diff(words.rows)
-            sums = each[words.rows[1:]] - each[words.rows[:-1]]
-            columns = [piece.column(0), pa.array(counts), pa.array(sums), pa.array(sums / np.maximum(counts, 1))]
-            yield pa.record_batch(columns, names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    schema = f"doc_id {id_type}, n_words long, log_likelihood double, mean_log_likelihood double"
-    return docs.select("doc_id", "text").mapInArrow(rate, schema)
+            numbers = scorer.lexicon.lookup(words.hashes)
+            each = np.concatenate([[0.0], np.cumsum(scorer.words(numbers, words.rows))])
+            at = np.flatnonzero(numbers >= VOCABULARY)
+            rare = pa.ListArray.from_arrays(np.searchsorted(at, words.rows).astype(np.int32), words.hashes[at].view(np.int64))
+            columns = [piece.column(0), pa.array(np.diff(words.rows)), pa.array(each[words.rows[1:]] - each[words.rows[:-1]]), rare]
+            yield pa.record_batch(columns, names=["doc_id", "n_words", "sum", "rare"])
+
+    scored = docs.select("doc_id", "text").mapInArrow(rate, f"doc_id {id_type}, n_words long, sum double, rare array<long>")
+    scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "likelihood-scores")
+    # the logarithm of 1 is 0, also for words never counted; whole numbers, so that their order is of no influence
+    counts = spark.read.schema(COUNTS).parquet(lexicon.counts).where("n > 1")
+    counts = counts.select("word", F.round(F.log("n") * LOG_UNIT).cast("long").alias("log"))
+    own = scored.select("row", F.explode("rare").alias("word")).join(counts, "word").groupBy("row").agg(F.sum("log").alias("log"))
+    total = F.col("sum") + F.coalesce("log", F.lit(0)) / LOG_UNIT
+    return scored.drop("rare").join(own, "row", "left").select(
+        "doc_id", "n_words", total.alias("log_likelihood"), (total / F.greatest("n_words", F.lit(1))).alias("mean_log_likelihood")
+    )
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:

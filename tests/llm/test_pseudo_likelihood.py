@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from lagloom.llm.batches import words_of
 from lagloom.llm.pseudo_likelihood import (
     BOUNDARY,
     CLASSES,
@@ -115,6 +117,23 @@ def test_both_sides_tell_text_from_shuffled_text(spark):
     assert real.mean() > np.mean([untrained[10_000 + i] for i in range(40)]) + 0.2
 
 
+def test_rare_words_have_their_own_counts_and_contexts(spark):
+    common = [f"c{i}" for i in range(VOCABULARY - 2)]
+    texts = [" ".join(common)] * 4 + ["seldom twice seldom twice seldom single"]
+    docs = frame(spark, [(i, text, None, None, None) for i, text in enumerate(texts)])
+    lexicon = build_lexicon(docs)
+    held = ["seldom", "twice", "single", "unheard", "seldom c1", "single c1", "single seldom"]
+    net = Network.start()
+    found = score(frame(spark, [(i, text, None, None, None) for i, text in enumerate(held)]), net, lexicon).collect()
+    logs = [r.log_likelihood for r in sorted(found)]
+    assert logs[0] - logs[2] == pytest.approx(np.log(3), abs=1e-6) and logs[1] - logs[2] == pytest.approx(np.log(2), abs=1e-6)
+    assert logs[2] == logs[3]
+    before = {i: neighbours(lexicon.lookup(words_of(pa.array([held[i]], pa.large_string())).hashes), np.array([0, 2]))[1] for i in (4, 5)}
+    assert before[4].tolist() != before[5].tolist()
+    assert abs(logs[4] - logs[5] - np.log(3)) > 1e-7
+    assert np.exp(lexicon.within[RARE]) * (3 + 2 + 1) == pytest.approx(1)
+
+
 def test_average_is_weighted():
     import pyarrow as pa
 
