@@ -309,7 +309,7 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
             columns = [np.frombuffer(b"".join(blobs), dtype="<i8"), *(np.repeat(np.asarray(batch.column(k)), lengths) for k in (0, 1))]
             yield pa.record_batch([pa.array(c) for c in columns], names=["token", "id", "n"])
 
-    own = marked(described.selectExpr("doc_id", "key1 as id", "cast(n as int) as n", "first"), "doc_id", marks(reps, "doc"))
+    own = marked(described.selectExpr("cast(doc_id as long) as doc_id", "key1 as id", "cast(n as int) as n", "first"), "doc_id", marks(reps, "doc"))
     tokens = own.select("id", "n", "first").mapInArrow(spread, "token long, id long, n int")
     by_size = Window.partitionBy("token").orderBy("n", "id")
     smaller, larger = F.lag("n").over(by_size).cast("long"), F.lead("n").over(by_size).cast("long")
@@ -395,7 +395,8 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             yield pa.record_batch(columns, names=["doc", "id", "hashes"])
 
     placed = _placed(clusters, percent)
-    sets = marked(docs.select("doc_id", "text"), "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")  # hashed as ``doc`` is
+    sets = marked(own, "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
     keys = ["component", "pair", "low", "high"]
     ordered = sets.join(placed, ["id", "doc"]).repartition(*keys).sortWithinPartitions(*keys)
     ordered = ordered.select(*keys, "part", "class", "id", "copies", "hashes")

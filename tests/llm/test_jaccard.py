@@ -10,7 +10,7 @@ from lagloom.llm.batches import texts_of
 from lagloom.llm.components import components
 from lagloom.llm.jaccard import jaccard_components, prefixes, shingle_sets
 from lagloom.llm.queries import ORACLES, op1_ngram_jaccard_join
-from tests.llm.fixtures import edge_rows, frame, prose
+from tests.llm.fixtures import SCHEMA, edge_rows, frame, prose
 
 
 def shingles(text, size):
@@ -79,6 +79,12 @@ def test_large_groups_in_parts_give_the_same(spark, monkeypatch):
     assert result(jaccard_components(frame(spark, rows), 3, 90)) == brute(rows, 3, 90)
 
 
+def test_ids_of_another_type_make_the_same_links(spark):
+    rows = corpus(6)
+    found = jaccard_components(frame(spark, rows, SCHEMA.replace("doc_id long", "doc_id int")), 3, 90)
+    assert result(found) == brute(rows, 3, 90) and any(links for *_, links in result(found))
+
+
 def test_no_documents(spark):
     assert jaccard_components(frame(spark, []), 3, 90).count() == 0
     assert result(jaccard_components(frame(spark, [(1, None, None, None, None)]), 3, 90)) == [(1, 0, 1, 0)]
