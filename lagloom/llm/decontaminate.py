@@ -191,7 +191,7 @@ def matches(texts: list[str], items: Items, q: int) -> list[tuple[int, int, int,
         (row, item_id, 0, at, at + len(short))
         for item_id, short in items.short
         for row, text in enumerate(texts)
-        if (at := f" {text} ".find(f" {short} ")) >= 0
+        for at in _places(f" {text} ", f" {short} ")
     ]
     if items.ids:
         codes = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -201,6 +201,14 @@ def matches(texts: list[str], items: Items, q: int) -> list[tuple[int, int, int,
     return sorted(found)
 
 
+def _places(text: str, item: str) -> Iterator[int]:
+    """Where the item occurs; occurrences share at most the blank between them."""
+    at = text.find(item)
+    while at >= 0:
+        yield at
+        at = text.find(item, at + len(item) - 1)
+
+
 def _verified(codes, heads, ends, bands, items: Items) -> list[tuple[int, int, int, int, int]]:
     hits: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
     for first in range(0, len(bands), BANDS_AT_ONCE):

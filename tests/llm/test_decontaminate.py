@@ -59,6 +59,12 @@ def test_short_items_need_the_whole_item_between_blanks():
     assert matches(["a tiny item b", "a tiny items b", ""], items, Q) == [(0, 1, 0, 2, 11)]
 
 
+def test_a_short_item_has_a_row_for_every_place():
+    items = build_items([(1, "Tiny Item"), (2, "x y x")], Q, EDIT_RATE)
+    assert matches(["tiny item tiny item b tiny items tiny item"], items, Q) == [(0, 1, 0, 0, 9), (0, 1, 0, 10, 19), (0, 1, 0, 33, 42)]
+    assert matches(["x y x y x x y x"], items, Q) == [(0, 2, 0, 0, 5), (0, 2, 0, 10, 15)]
+
+
 def test_frames_with_edge_rows_and_slices(spark, monkeypatch):
     hit = f"{prose(1)}\n{ITEMS[2][1].upper()}  {prose(2)}"
     docs = frame(spark, [*edge_rows(), (70, hit, None, None, None), (70, hit, None, None, None), (71, f"{LONG} {ITEMS[4][1]}", "en", "s", 1)])
