@@ -5,7 +5,8 @@ interpolated with absolute discounting: bigram counts of the class, then the cla
 (in how many contexts it occurs), then continuation counts of both classes together. An expression (word or bigram) has
 counts of its own only if it is in ``MIN_COUNT`` documents or more and its document frequencies in the two classes differ
 by ``MIN_Z`` standard errors or more; a rare or indifferent one is scored by the shared backoff counts alone, so that the
-classes' sizes, topics and languages don't pass for evidence.
+classes' sizes, topics and languages don't pass for evidence. A bigram is judged by its own counts, whatever its words
+tell alone.
 
 A word without counts of its own backs off to its beginning: the longest of its prefixes (PREFIXES bytes) that has counts,
 with the words of the prefix in the proportions that both classes share; only then to the shared counts of all words.
@@ -136,18 +137,16 @@ def fit_tables(words: dict, pairs: dict, heads: dict, prefixes: dict, totals: di
     """
     known = telling(words["docs1"], words["docs0"], documents[1], documents[0])
     order = np.argsort(words["word"])
-    order = order[known[order]]
-    vocabulary, shared = words["word"][order], words["types"][order] / totals["types"]
+    vocabulary, known, shared = words["word"][order], known[order], words["types"][order] / totals["types"]
     used = telling(pairs["docs1"], pairs["docs0"], documents[1], documents[0])
-    used &= np.isin(pairs["word"], vocabulary)  # a word that tells nothing alone is scored by its beginning
     pairs = {name: column[used] for name, column in pairs.items()}
-    at = np.searchsorted(vocabulary, pairs["word"])
+    at = np.searchsorted(vocabulary, pairs["word"])  # the words of a bigram are in no fewer documents, so all are there
     heads_kept, ctx = np.unique(pairs["before"], return_inverse=True)
     place = np.argsort(heads["before"])
     place = place[np.searchsorted(heads["before"][place], heads_kept)] if len(heads_kept) else place[:0]
     word_log, gamma_log, pair_log, spare_log = [], [], [], []
     for c in "01":
-        held = np.maximum(words["types" + c][order] - DISCOUNT, 0) / max(totals["types" + c], 1)
+        held = np.where(known, np.maximum(words["types" + c][order] - DISCOUNT, 0) / max(totals["types" + c], 1), 0)
         spare = 1 - held.sum()  # discounts and words without counts of their own go to the shared counts
         p_word = held + spare * shared
         occurrences = np.maximum(heads["n" + c][place], 1)
@@ -166,7 +165,7 @@ def fit_tables(words: dict, pairs: dict, heads: dict, prefixes: dict, totals: di
     by_hash = np.argsort(prefixes["word"])
     return Model(
         keys[sort], (pair_log[1] - pair_log[0])[sort],
-        vocabulary, word_log[1] - word_log[0],
+        vocabulary[known], (word_log[1] - word_log[0])[known],
         heads_kept, gamma_log[1] - gamma_log[0],
         float(spare_log[1] - spare_log[0]),
         prefixes["word"][by_hash], (p[1] - p[0])[by_hash],

@@ -89,6 +89,21 @@ def test_words_lose_marks_and_case_at_their_ends():
     assert len(set(found.words[:3].tolist())) == 1 and found.rows.tolist() == [0, 3, 4]
 
 
+def test_phrases_of_ordinary_words_are_known_by_their_own_counts(spark):
+    pick = random.Random(4)
+    rows = []
+    for i in range(300):
+        words = [f"plain{pick.randrange(20)}" for _ in range(40)]
+        words[7:7] = ["green", "door"] if i % 2 else ["door", "green"]
+        rows.append((i, " ".join(words), None, None, None))
+    model = fit(frame(spark, rows), spark.createDataFrame([(i, 1, i % 2) for i in range(300)], LABELS))
+    texts = texts_of(pa.record_batch([pa.array(["plain1 green door plain2", "plain1 door green plain2"])], names=["text"]))
+    toxic, ordinary = ratios(model, texts)
+    assert not np.isin(expressions(texts).words, model.words).any()
+    assert toxic > 0.2 and ordinary < -0.2
+    assert score(frame(spark, rows), model).where("(score >= 0.5) <> (doc_id % 2 = 1)").count() == 0
+
+
 def test_curve_meets_the_odds():
     random = np.random.default_rng(1)
     x = random.normal(size=4_000)
