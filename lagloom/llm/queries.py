@@ -19,6 +19,7 @@ from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
 from lagloom.llm.substrings import kept_digest, remove_repeats
 from lagloom.llm.toxicity import THRESHOLD, fit, score
+from lagloom.llm.url_rules import judge_urls
 from lagloom.session import work_path
 
 QUERIES = {}
@@ -176,3 +177,39 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return read_back(format_conversations(turns, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+#: The rules of the query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(host, path, verdict)")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+# Every rule against every URL, the longest that fits.
+ORACLES["op12_url_filters"] = """
+WITH rules(rh, rp, rv) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), cut AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parsed AS (
+  SELECT page_id, url, row_number() OVER () AS row, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), best AS (
+  SELECT row, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS rv
+  FROM parsed JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  GROUP BY row
+)
+SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM parsed LEFT JOIN best ON parsed.row = best.row
+"""
