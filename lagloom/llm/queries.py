@@ -18,6 +18,7 @@ from lagloom.llm.pseudo_likelihood import pseudo_likelihood
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
 from lagloom.llm.substrings import kept_digest, remove_repeats
+from lagloom.llm.token_alignment import align_tokenizers
 from lagloom.llm.toxicity import THRESHOLD, fit, score
 from lagloom.llm.url_rules import judge_urls
 from lagloom.session import work_path
@@ -213,3 +214,9 @@ WITH rules(rh, rp, rv) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/',
 )
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM parsed LEFT JOIN best ON parsed.row = best.row
 """
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf_dir, "documents"), *paths)
