@@ -6,9 +6,9 @@ for every A id the B id with the same bytes. Groups of one token each that follo
 long as A's vocabulary, which tasks add up before they are shuffled; only pairs of the other groups go
 through the shuffle by pair. A pair of the map that such a group holds too counts in the vector.
 
-Texts are cut before a space that stands between a printable ASCII character and an ASCII letter. Neither tokenizer
-has a token across such a place (A's words begin there; no piece of B has a space behind another character, which is
-checked), so both encode the chunks apart, groups end there, and a worker keeps what it found for short chunks.
+Long texts are cut into sections, before a space that stands between a printable ASCII character and an ASCII letter.
+Neither tokenizer has a token across such a place (A's words begin there; no piece of B has a space behind another
+character, which is checked), so both encode the sections apart. The groups of a batch of texts are found in flat arrays.
 
 The counts that a document needs come back by equality joins: the 65,536 most frequent pairs, a bounded table, by
 broadcast, and the rest, none of which can be hot then, by a shuffle join. That bound only deals out work.
@@ -16,21 +16,24 @@ broadcast, and the rest, none of which can be hot then, by a shuffle join. That
 Defined results: a text that is null or empty, or whose joined token bytes of A or B differ from space + text (a text
 with U+2581), has no tokens: zeros, and '' for the digest. Rows are aligned one by one, so repeated rows and equal
 or null ids count as documents of their own; extra columns are ignored; an empty table gives no rows. Memory follows
-the longest text and its distinct links.
+the longest text and the distinct links of its largest group.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,14 +44,17 @@ from lagloom.llm.staging import arrow_schema, staged
 
 #: Pairs whose counts are broadcast; all others are joined by a shuffle.
 FREQUENT_PAIRS = 1 << 16
-#: What a worker remembers: chunks, and characters of one.
-KEPT_CHUNKS = 1 << 17
-KEPT_CHARS = 64
 PIECE_BYTES = 1 << 19
+#: Characters of a section of a long text, at least.
+SECTION_CHARS = 1 << 15
+#: Links expanded at once, unless one group has more.
+EXPANDED_LINKS = 1 << 20
 
 #: Both tokenizers' vocabularies fit 16 bits: a pair is A's id * 2^16 + B's id.
 ID_BITS = 16
+_ID, _PAIR = (1 << ID_BITS) - 1, (1 << 2 * ID_BITS) - 1
 
+_LONG_RUN = re.compile(r"[^ ]{1000}|\s{1000}")
 _CUT = re.compile("(?<=[!-~])(?= [A-Za-z])")
 
 ALIGNED = (
@@ -64,8 +70,17 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def sections(text: str) -> list[str]:
+    """The text in sections that both tokenizers encode apart, each beginning with a space."""
+    found, start = [], 0
+    while cut := _CUT.search(text, start + SECTION_CHARS):
+        found.append(text[start : cut.start()])
+        start = cut.start()
+    return [*found, text[start:]]
+
+
 class Aligner:
-    """Both tokenizers, the bytes of their tokens, the identity map, and the chunks seen so far."""
+    """Both tokenizers, the bytes of their tokens, and the identity map."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -79,75 +94,54 @@ class Aligner:
         self.a_bytes = [b""] * (entries[-1][1] + 1)
         for entry, i in entries:
             self.a_bytes[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
-        pieces_of_b = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces_of_b)
-        ]
+        model = self.b
+        pieces_of_b = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces_of_b)]
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << ID_BITS:
             raise ValueError("vocabularies of more than 65,536 ids")
         if any(re.search("[^▁]▁", p) for p in pieces_of_b):
             raise ValueError("a piece goes on over a space, so texts can't be cut there")
-        written = {v: i for i, v in enumerate(self.b_bytes) if self.b.is_byte(i)}
-        written |= {v: i for i, v in enumerate(self.b_bytes) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))}
-        self.same = [written.get(v, -1) for v in self.a_bytes]
-        self.index: dict[str, int] = {}
-        self.chunks: list[tuple] = []
-
-    def align(self, chunk: bytes, a: list[int], b: list[int]) -> tuple:
-        """(whole, n_a, n_b, n_groups, n_links, groups as text, ids of the fast path, other pairs, links of each)."""
-        a_bytes, b_bytes, same = self.a_bytes, self.b_bytes, self.same
-        if b"".join(map(a_bytes.__getitem__, a)) != chunk or b"".join(map(b_bytes.__getitem__, b)) != chunk:
-            return False, 0, 0, 0, 0, "", (), (), ()
-        texts, fast, n_links = [], [], 0
-        other = Counter()
-        i = j = a_end = b_end = 0
-        while i < len(a):
-            i_first, j_first = i, j
-            while i == i_first or a_end != b_end:
-                if a_end <= b_end:
-                    a_end += len(a_bytes[a[i]])
-                    i += 1
-                else:
-                    b_end += len(b_bytes[b[j]])
-                    j += 1
-            if i - i_first == 1 and j - j_first == 1:
-                left, right = a[i_first], b[j_first]
-                texts.append(f"{left}|{right}")
-                n_links += 1
-                if same[left] == right:
-                    fast.append(left)
-                else:
-                    other[left << ID_BITS | right] += 1
-                continue
-            lefts, rights = a[i_first:i], b[j_first:j]
-            texts.append(f"{','.join(map(str, lefts))}|{','.join(map(str, rights))}")
-            n_links += len(lefts) * len(rights)
-            rights = Counter(rights).items()
-            for left, n in Counter(lefts).items():
-                for right, m in rights:
-                    other[left << ID_BITS | right] += n * m
-        return True, len(a), len(b), len(texts), n_links, ";".join(texts), fast, list(other), list(other.values())
-
-    def records(self, chunks: list[str]) -> list[tuple]:
-        """What ``align`` gives for each chunk; every chunk begins with a space."""
-        if len(self.index) > KEPT_CHUNKS:
-            self.index, self.chunks = {}, []
-        index = self.index
-        new = [c for c in dict.fromkeys(chunks) if c not in index]
-        lent = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            b = self.b.encode([c[1:] for c in part], num_threads=1)  # the model adds the space
-            for chunk, a_ids, b_ids in zip(part, a, b):
-                found = self.align(chunk.encode(), a_ids, b_ids)
-                if len(chunk) > KEPT_CHARS:
-                    lent[chunk] = found
-                else:
-                    index[chunk] = len(self.chunks)
-                    self.chunks.append(found)
-        kept = self.chunks
-        return [lent[c] if c in lent else kept[index[c]] for c in chunks]
+        written = {v: i for i, v in enumerate(self.b_bytes) if model.is_byte(i)}
+        written |= {v: i for i, v in enumerate(self.b_bytes) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+        self.same = np.array([written.get(v, -1) for v in self.a_bytes])
+        self.fast_a = self.ranked(a_path)
+        self.a_sizes, self.b_sizes = (np.array([len(v) for v in table]) for table in (self.a_bytes, self.b_bytes))
+
+    def ranked(self, path: str) -> tiktoken.Encoding | None:
+        """A by ranks, which is faster, where its file says the same: ids in the order of merges, the public word pattern."""
+        with open(path, encoding="utf-8") as file:
+            written = json.load(file)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in written["model"]["merges"]]
+        in_order = all(self.a.token_to_id(x + y) == 256 + i for i, (x, y) in enumerate(merges))
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if not in_order or written["normalizer"] or plain.items() - (written["pre_tokenizer"] or {}).items():
+            return None
+        ranks = {token: i for i, token in enumerate(self.a_bytes[: 256 + len(merges)])}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def a_ids(self, parts: list[str]) -> Iterator[list[int]]:
+        """A's ids of every part; parts with a very long word or gap go through its own library, which takes them in bounded time."""
+        long = [self.fast_a is None or _LONG_RUN.search(part) is not None for part in parts]
+        others = iter(self.a.encode_batch_fast([p for p, own in zip(parts, long) if own], add_special_tokens=False))
+        return (next(others).ids if own else self.fast_a.encode_ordinary(p) for p, own in zip(parts, long))
+
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B of every text; none where a text has no tokens by definition."""
+        parts = [sections(f" {text}") if text else [] for text in texts]
+        flat = [part for own in parts for part in own]
+        a = self.a_ids(flat)
+        b = iter(self.b.encode([part[1:] for part in flat], num_threads=1))  # the model adds the space
+        found = []
+        for own in parts:
+            a_ids, b_ids = [], []
+            for part in own:
+                whole, a_part, b_part = part.encode(), next(a), next(b)
+                a_ids.append(a_part if b"".join(map(self.a_bytes.__getitem__, a_part)) == whole else None)
+                b_ids.append(b_part if b"".join(map(self.b_bytes.__getitem__, b_part)) == whole else None)
+            # a section that differs loses bytes, so the whole text differs too
+            equal = None not in a_ids and None not in b_ids
+            found.append((list(chain(*a_ids)), list(chain(*b_ids))) if equal else ([], []))
+        return [f[0] for f in found], [f[1] for f in found]
 
 
 @lru_cache(maxsize=2)
@@ -157,30 +151,96 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 def summed(keys: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of links of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, links = keys[order], links[order]
     heads = np.flatnonzero(np.diff(keys, prepend=-1))
     return keys[heads], np.add.reduceat(links, heads) if len(heads) else links
 
 
-def align_text(own: Aligner, text: str) -> tuple:
-    """n_a, n_b, n_groups, n_links, digest, then distinct fast-path ids and other pairs, with the links of each."""
-    nothing = (0, 0, 0, 0, "", [], [], [], [])
-    if not text:
-        return nothing
-    found = own.records(_CUT.split(f" {text}"))
-    if not all(r[0] for r in found):
-        return nothing
-    n_a, n_b, n_groups, n_links = (sum(r[k] for r in found) for k in range(1, 5))
-    digest = hashlib.sha256(";".join([r[5] for r in found]).encode()).hexdigest()
-    fast = np.fromiter((i for r in found for i in r[6]), np.int64)
-    pairs = np.fromiter((p for r in found for p in r[7]), np.int64)
-    links = np.fromiter((n for r in found for n in r[8]), np.int64)
-    same = np.array(own.same)[pairs >> ID_BITS] == (pairs & ((1 << ID_BITS) - 1)) if len(pairs) else np.zeros(0, dtype=bool)
-    fast_links = np.concatenate([np.ones(len(fast), dtype=np.int64), links[same]])
-    fast, fast_links = summed(np.concatenate([fast, pairs[same] >> ID_BITS]), fast_links)
-    pairs, links = summed(pairs[~same], links[~same])
-    return n_a, n_b, n_groups, n_links, digest, fast, fast_links, pairs, links
+_DIGITS = np.array([list(f"{i:<5}".encode()) + [0] for i in range(1 << ID_BITS)], dtype=np.uint8)
+_N_DIGITS = np.array([len(str(i)) for i in range(1 << ID_BITS)])
+
+
+def ragged(counts: np.ndarray) -> np.ndarray:
+    """0, 1, … up to each count, one behind the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def align_texts(own: Aligner, texts: list[str]) -> list[tuple]:
+    """Per text n_a, n_b, n_groups, n_links, digest, then distinct fast-path ids and other pairs, with the links of each."""
+    a_lists, b_lists = own.encode(texts)
+    n = len(texts)
+    n_a, n_b = (np.array([len(ids) for ids in lists], dtype=np.int64) for lists in (a_lists, b_lists))
+    a, b = (np.fromiter(chain.from_iterable(lists), np.int64) for lists in (a_lists, b_lists))
+    a_ends, b_ends = np.cumsum(own.a_sizes[a]), np.cumsum(own.b_sizes[b])  # over all texts, alike for both
+    ends = np.zeros(int(a_ends[-1]) + 1 if len(a_ends) else 1, dtype=np.uint8)
+    ends[a_ends] += 1
+    ends[b_ends] += 1
+    a_cuts, b_cuts = ends[a_ends] == 2, ends[b_ends] == 2
+    a_group, b_group = np.cumsum(a_cuts) - a_cuts, np.cumsum(b_cuts) - b_cuts
+    groups = int(a_cuts.sum())
+    a_count, b_count = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
+    a_first, b_first = np.cumsum(a_count) - a_count, np.cumsum(b_count) - b_count
+    doc = np.repeat(np.arange(n), n_a)[a_first]  # of each group
+    n_groups = np.bincount(doc, minlength=n)
+    link_ends = np.concatenate([[0], np.cumsum(a_count * b_count)])[np.concatenate([[0], np.cumsum(n_groups)])]
+
+    # the digest's text: A's tokens of a group, then B's
+    places = np.concatenate([np.arange(len(a)) + b_first[a_group], np.arange(len(b)) + (a_first + a_count)[b_group]])
+    merged, marks = np.empty(len(places), dtype=np.int64), np.empty(len(places), dtype=np.uint8)
+    merged[places] = np.concatenate([a, b])
+    marks[places] = np.concatenate([np.where(a_cuts, ord("|"), ord(",")), np.where(b_cuts, ord(";"), ord(","))])
+    letters, sizes = _DIGITS[merged], _N_DIGITS[merged]
+    letters[np.arange(len(merged)), sizes] = marks
+    text = letters[np.arange(6) <= sizes[:, None]].tobytes()
+    text_ends = np.concatenate([[0], np.cumsum(sizes + 1)])[np.concatenate([[0], np.cumsum(n_a + n_b)])]
+
+    single = (a_count == 1) & (b_count == 1)
+    fast = single.copy()
+    fast[single] = own.same[a[a_first[single]]] == b[b_first[single]]
+    keys, links = other_links(a, a_group, b, b_group, ~fast, doc)
+    mapped = own.same[keys >> ID_BITS & _ID] == (keys & _ID)
+    fast_keys = np.concatenate([doc[fast] << ID_BITS | a[a_first[fast]], keys[mapped] >> ID_BITS])
+    fast_keys, fast_links = summed(fast_keys, np.concatenate([np.ones(int(fast.sum()), dtype=np.int64), links[mapped]]))
+    keys, links = keys[~mapped], links[~mapped]
+    fast_at = np.searchsorted(fast_keys, np.arange(n + 1) << ID_BITS)
+    other_at = np.searchsorted(keys, np.arange(n + 1) << 2 * ID_BITS)
+    fast_keys, keys = fast_keys & _ID, keys & _PAIR
+    found = []
+    for k in range(n):
+        digest = hashlib.sha256(text[text_ends[k] : text_ends[k + 1] - 1]).hexdigest() if n_a[k] else ""
+        f, o = slice(fast_at[k], fast_at[k + 1]), slice(other_at[k], other_at[k + 1])
+        found.append((n_a[k], n_b[k], n_groups[k], link_ends[k + 1] - link_ends[k], digest, fast_keys[f], fast_links[f], keys[o], links[o]))
+    return found
+
+
+def other_links(
+    a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray, wanted: np.ndarray, doc: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(text, a, b) as one ascending key, and links, of the wanted groups; equal ids of a group are multiplied, not paired one by one."""
+    sides, counts = [], []
+    for ids, group in ((a, a_group), (b, b_group)):
+        chosen = wanted[group]
+        sides.append(summed(group[chosen] << ID_BITS | ids[chosen], np.ones(int(chosen.sum()), dtype=np.int64)))
+        counts.append(np.bincount(sides[-1][0] >> ID_BITS, minlength=len(wanted)))
+    (left, left_n), (right, right_n) = sides
+    right_first = np.cumsum(counts[1]) - counts[1]
+    many = counts[1][left >> ID_BITS]  # partners of each left id
+    keys, links, start = [], [], 0
+    running = np.cumsum(many)
+    while start < len(left):
+        stop = max(start + 1, int(np.searchsorted(running, (running[start - 1] if start else 0) + EXPANDED_LINKS, side="right")))
+        part = slice(start, stop)
+        group = left[part] >> ID_BITS
+        at = np.repeat(right_first[group], many[part]) + ragged(many[part])
+        key = np.repeat(doc[group] << 2 * ID_BITS | (left[part] & _ID) << ID_BITS, many[part]) | right[at] & _ID
+        key, n = summed(key, np.repeat(left_n[part], many[part]) * right_n[at])
+        keys.append(key)
+        links.append(n)
+        start = stop
+    if not keys:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return summed(np.concatenate(keys), np.concatenate(links))
 
 
 def aligned_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -190,7 +250,7 @@ def aligned_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = aligner(a_path, b_path), TaskContext.get().partitionId() << 40
         for piece in pieces(batches, size=PIECE_BYTES):
-            found = [align_text(own, text) for text in piece.column(1).to_pylist()]
+            found = align_texts(own, piece.column(1).to_pylist())
             ids = [range(row, row + len(found)), piece.column(0).to_pylist()]
             columns = [*ids, *zip(*found)]
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from lagloom.llm import token_alignment
 from lagloom.llm.queries import op11_token_alignment
-from lagloom.llm.token_alignment import Aligner, align_text, align_tokenizers
+from lagloom.llm.token_alignment import Aligner, align_texts, align_tokenizers, sections
 from tests.llm.fixtures import edge_rows, frame, prose, rows
 
 PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -75,9 +75,10 @@ def compared(frame_of_docs):
 
 @given(st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=3)), max_size=14).map("".join))
 @settings(max_examples=400, deadline=None)
-def test_chunks_agree_with_whole_texts(text):
+def test_batches_agree_with_whole_texts(text):
     text = text.encode("utf-8", "ignore").decode()
-    n_a, n_b, n_groups, n_links, digest, same, same_links, pairs, pair_links = align_text(OWN, text)
+    # between texts that leave nothing and something
+    n_a, n_b, n_groups, n_links, digest, same, same_links, pairs, pair_links = align_texts(OWN, ["one", "", text, "two"])[2]
     [(want_a, want_b, want_groups, want_links, _, _, want_digest)] = brute([text])
     assert (n_a, n_b, n_groups, n_links, digest) == (want_a, want_b, want_groups, want_links, want_digest)
     own = Counter((a, b) for left, right in groups_of(text) for a in left for b in right)
@@ -86,6 +87,29 @@ def test_chunks_agree_with_whole_texts(text):
     assert not any(OWN.same[p >> 16] == p & 65535 for p in pairs)
 
 
+@given(st.lists(st.sampled_from([*PARTS, " a", "b c", ". D", "! e"]), max_size=60).map("".join))
+@settings(max_examples=150, deadline=None)
+def test_sections_are_encoded_apart(text):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_alignment, "SECTION_CHARS", 2)
+        patch.setattr(token_alignment, "EXPANDED_LINKS", 3)
+        assert "".join(sections(f" {text}")) == f" {text}"
+        [found] = align_texts(OWN, [text])
+    [(n_a, n_b, n_groups, n_links, _, _, digest)] = brute([text])
+    assert found[:5] == (n_a, n_b, n_groups, n_links, digest)
+
+
+def test_ranks_agree_with_the_library():
+    """Every code point beside letters, digits, spaces and itself: the word pattern has the same classes in both."""
+    points = [chr(i) for i in [*range(0x3400), *range(0x3400, 0x110000, 251)] if not 0xD800 <= i < 0xE000]
+    texts = [f" {c} a{c}a 1{c}1 .{c}. {c}  {c}\n{c}" for c in points]
+    assert OWN.fast_a is not None
+    wanted = [e.ids for e in A.encode_batch_fast(texts, add_special_tokens=False)]
+    assert list(map(OWN.fast_a.encode_ordinary, texts)) == wanted
+    long = [" " + "x" * 50_000, " " * 30_000 + "a", "a b c", " ab" * 3_000 + "é" * 2_000]
+    assert list(OWN.a_ids(long)) == [A.encode(t, add_special_tokens=False).ids for t in long]
+
+
 def test_vocabulary_bytes():
     assert len(set(OWN.a_bytes)) == len(OWN.a_bytes) and all(bytes([b]) in OWN.a_bytes for b in range(256))
     assert OWN.same[A.token_to_id("Ġthe")] == B.piece_to_id("▁the")
