@@ -14,6 +14,7 @@ from lagloom.llm.dac import read_tokens, write_tokens
 from lagloom.llm.decontaminate import find_contamination
 from lagloom.llm.hamming import top_k
 from lagloom.llm.jaccard import jaccard_components
+from lagloom.llm.prefix_trie import prefix_trie
 from lagloom.llm.pseudo_likelihood import pseudo_likelihood
 from lagloom.llm.secret_scan import BASE_KINDS, find_secrets
 from lagloom.llm.staging import table
@@ -220,3 +221,46 @@ SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM parsed L
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return align_tokenizers(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# Every prefix of every rebuilt conversation as a list of turns; a subtree is what the owners of its nodes pass through.
+ORACLES["op13_prefix_trie"] = """
+WITH RECURSIVE crc(b, r) AS (
+  SELECT CAST(range AS BIGINT), CAST(range AS BIGINT) FROM range(256)
+), step(b, r, k) AS (
+  SELECT b, r, 0 FROM crc UNION ALL
+  SELECT b, CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END, k + 1 FROM step WHERE k < 8
+), tab AS (SELECT list(r ORDER BY b) AS t FROM step WHERE k = 8
+), own AS (
+  SELECT conv_id, list([coalesce(role, ''), coalesce(text, '')] ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), digits AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS d FROM own
+), crcs(conv_id, d, c, i) AS (
+  SELECT conv_id, d, 4294967295, 1 FROM digits UNION ALL
+  SELECT conv_id, d, xor(c // 256, t[xor(c % 256, ascii(d[i])) + 1]), i + 1 FROM crcs, tab WHERE i <= length(d)
+), h AS (SELECT conv_id, xor(c, 4294967295) % 6 AS h FROM crcs WHERE i = length(d) + 1
+), built AS (
+  SELECT o.conv_id, list_concat(coalesce(l.turns, [])[:h], o.turns[h + 1:]) AS turns
+  FROM own o JOIN h ON h.conv_id = o.conv_id LEFT JOIN own l ON l.conv_id = o.conv_id - o.conv_id % 100
+), pairs AS (
+  SELECT conv_id, d, turns[:d] AS p, d = len(turns) AS at_end
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built)
+), nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (at_end), '')) AS ends
+  FROM pairs GROUP BY p, d
+), tree AS (
+  SELECT c.*, u.conv_id AS up, CASE WHEN c.d > 0 THEN (c.n - 1) * length(c.p[c.d][2]) ELSE 0 END AS saved,
+    (SELECT count(*) FROM nodes k WHERE k.d = c.d + 1 AND k.p[:c.d] = c.p) AS children
+  FROM nodes c LEFT JOIN nodes u ON u.d = c.d - 1 AND u.p = c.p[:c.d - 1]
+)
+SELECT t.conv_id, CAST(t.d AS BIGINT) AS depth, t.up AS parent_conv_id, t.n AS n_convs, t.children AS n_children,
+  CAST(count(*) FILTER (s.children = 0) AS BIGINT) AS n_leaves, CAST(sum(s.saved) AS BIGINT) AS saved_tokens, t.ends AS ends_sha256
+FROM tree t JOIN pairs q ON q.d = t.d AND q.p = t.p JOIN tree s ON s.conv_id = q.conv_id AND s.d >= t.d
+GROUP BY ALL
+"""
