@@ -271,6 +271,8 @@ class PerfectHash:
         return np.where((self.hi[slots] == hi) & (self.lo[slots] == lo), slots, -1)
 
 
+#: What pieces pass up to the parents of their roots.
+SUMS = ("n_children", "n_leaves", "saved_tokens")
 #: A node with what its piece and the pieces below say of it; ``top`` nodes are their pieces' roots.
 NODES = (
     "hi long, lo long, up_hi long, up_lo long, owner long, depth long, n_convs long, n_children long, n_leaves long, "
@@ -315,8 +317,7 @@ def shared_nodes(pairs: DataFrame, nodes: DataFrame, single_tops: DataFrame) ->
     own = roots.where("conv_id = owner").drop("conv_id", "last")
     own = staged(own, "trie-shared")
     passed = single_tops.select("up_hi", "up_lo", F.lit(1).alias("n_children"), F.lit(1).alias("n_leaves"), F.lit(0).alias("saved_tokens"))
-    sums = ("n_children", "n_leaves", "saved_tokens")
-    passed = staged(passed.groupBy("up_hi", "up_lo").agg(*(F.sum(c).alias(c) for c in sums)), "trie-passed")
+    passed = staged(passed.groupBy("up_hi", "up_lo").agg(*(F.sum(c).alias(c) for c in SUMS)), "trie-passed")
     schema = arrow_schema(NODES)
 
     def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,9 +328,9 @@ def shared_nodes(pairs: DataFrame, nodes: DataFrame, single_tops: DataFrame) ->
     rounds = own.groupBy("level", "band").count().orderBy("level", F.desc("band")).collect()  # orders of magnitude x bands
     for at in rounds:
         here = own.where((F.col("level") == at.level) & (F.col("band") == at.band))
-        below = passed.groupBy("up_hi", "up_lo").agg(*(F.sum(c).alias(c) for c in sums)).withColumnsRenamed({"up_hi": "hi", "up_lo": "lo"})
-        filled = here.join(below, ["hi", "lo"], "left").fillna(0, list(sums))
-        columns = ["hi", "lo", "up_hi", "up_lo", "root_hi", "root_lo", "owner", "depth", "n_convs", "chars", *sums]
+        below = passed.groupBy("up_hi", "up_lo").agg(*(F.sum(c).alias(c) for c in SUMS)).withColumnsRenamed({"up_hi": "hi", "up_lo": "lo"})
+        filled = here.join(below, ["hi", "lo"], "left").fillna(0, list(SUMS))
+        columns = ["hi", "lo", "up_hi", "up_lo", "root_hi", "root_lo", "owner", "depth", "n_convs", "chars", *SUMS]
         shards = max(1, -(-at["count"] // SHARD_NODES))
         dealt = filled.select(*columns).repartition(shards, "root_hi", "root_lo")
         done = staged(dealt.mapInArrow(accumulate, NODES), "trie-nodes")
@@ -392,29 +393,32 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     chains = staged(chains, "trie-chains")
     found, passed, ends = shared_nodes(pairs, nodes, chains.where("single is not null").select("single.up_hi", "single.up_lo"))
 
-    whole = begun.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("owner")).where("n_convs > 0")
-    total = passed.where("up_hi = 0 and up_lo = 0").agg(
-        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_children", "n_leaves", "saved_tokens"))
-    )
-    zero = F.lit(0).cast("long")
-    leaves = F.greatest("n_leaves", F.lit(1)).alias("n_leaves")
-    root = whole.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one")
-    root = root.select(zero.alias("hi"), zero.alias("lo"), "owner", zero.alias("depth"), "n_convs", "n_children", leaves, "saved_tokens")
-    several = root if found is None else root.unionByName(found.drop("up_hi", "up_lo", "top"))
+    whole = begun.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("owner")).first()
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    least, n_convs = F.lit(whole.owner).cast("long"), F.lit(whole.n_convs).cast("long")
+    root = passed.where("up_hi = 0 and up_lo = 0").agg(*(F.coalesce(F.sum(c), zero).alias(c) for c in SUMS))
+    root = root.select(
+        zero.alias("hi"),
+        zero.alias("lo"),
+        least.alias("owner"),
+        zero.alias("depth"),
+        n_convs.alias("n_convs"),
+        "n_children",
+        F.greatest("n_leaves", one).alias("n_leaves"),
+        "saved_tokens",
+    ).where(n_convs > 0)
     turnless = begun.where("size = 0").select(zero.alias("hi"), zero.alias("lo"), "conv_id")
     several = several.join(end_digests(spark, ends.unionByName(turnless)), ["hi", "lo"], "left").drop("hi", "lo")
-    ended = F.when(F.col("ends") == 1, F.sha2(F.col("owner").cast("string"), 256)).alias("ends_sha256")
+    ended = F.when(F.col("ends") == one, F.sha2(F.col("owner").cast("string"), 256)).alias("ends_sha256")
     children = (1 - F.col("ends")).cast("long").alias("n_children")
     single = nodes.where("n_convs = 1").select(
-        "owner", "depth", "n_convs", children, F.lit(1).cast("long").alias("n_leaves"), zero.alias("saved_tokens"), ended
+        "owner", "depth", "n_convs", children, one.alias("n_leaves"), zero.alias("saved_tokens"), ended
     )
     # only the first node of an owner's own has another owner's parent
     above = nodes.select(F.col("hi").alias("up_hi"), F.col("lo").alias("up_lo"), F.col("owner").alias("above"))
     first = chains.select("owner", "own.*").withColumnRenamed("depth", "from")
     deep = first.where("from > 1").join(above, ["up_hi", "up_lo"])
-    # depth 1 is below the root, whose owner is one value
-    least = whole.select(F.lit(1).cast("long").alias("from"), F.col("owner").alias("above"))
-    flat = first.where("from = 1").join(F.broadcast(least), "from")
+    flat = first.where("from = 1").withColumn("above", least)  # below the root
     begins = deep.unionByName(flat, allowMissingColumns=True).select("owner", "from", "above")
     every = several.unionByName(single).join(begins, "owner", "left")
     parent = F.when(F.col("depth") == 0, None).when(F.col("depth") > F.col("from"), F.col("owner")).otherwise(F.col("above"))

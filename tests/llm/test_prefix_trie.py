@@ -104,5 +104,11 @@ def test_slots_are_a_bijection():
         PerfectHash(np.array([1, 1]), np.array([2, 2]))
 
 
+def test_plan_has_no_nested_loops(spark, capsys):
+    op13_prefix_trie(spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_query_agrees_with_sql(spark, agrees):
     agrees("op13_prefix_trie", op13_prefix_trie, ORACLES)
