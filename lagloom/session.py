@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """All timestamps of the engine are UTC; naive text is read as UTC."""
+    """All timestamps of the engine are UTC; naive text is read as UTC. Files get stamps whose footers tell their range."""
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

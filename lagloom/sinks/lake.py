@@ -15,8 +15,8 @@ from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import ALT_DATA, LAKE_CATALOG, MACRO_DATA, LakeSpec, TableSpec
 from lagloom.session import remove_path, use_utc
 from lagloom.sinks.merge import Touched, last_by_outside, merge_into, staged, upsert
-from lagloom.sources.foreign import read_footers, read_row_groups
-from lagloom.sources.lake import read_existing
+from lagloom.sources.foreign import read_footers, read_row_groups, read_time_ranges
+from lagloom.sources.lake import stored_rows
 
 GRANULARITIES = ("day", "month", "year")
 
@@ -110,15 +110,14 @@ def archive(
             ["fetched_at"],
             incoming_wins=False,
             sort_by=["timestamp"],
+            lake=(root, spec),
         )
         # One row per touched partition.
-        objects = build_catalog(spark, root, spec, run_ts, touched).persist()
-        try:
-            totals = objects.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
-            if catalog_path is not None:
-                upsert(spark, catalog_path, objects, LAKE_CATALOG, cheap_to_reread=True)
-        finally:
-            objects.unpersist()
+        objects, figures = staged(spark, build_catalog(spark, root, spec, run_ts, touched), "catalog")
+        totals = objects.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
+        if catalog_path is not None:
+            upsert(spark, catalog_path, objects, LAKE_CATALOG, cheap_to_reread=True)
+        remove_path(spark, figures)
     finally:
         remove_path(spark, staging)
     return ArchiveResult("ok", fetched, totals["files"], totals["rows"])
@@ -127,30 +126,31 @@ def archive(
 def build_catalog(
     spark: SparkSession, root: str, spec: LakeSpec, run_ts: datetime | str, touched: Touched | None = None
 ) -> DataFrame:
-    """One row per partition directory: time range, rows and bytes. Parquet has no etag; it stays NULL."""
-    stored = read_existing(spark, spec.schema, spec.path(root))
+    """One row per partition directory: time range, rows and bytes. Parquet has no etag; it stays NULL.
+
+    Rows are counted by a scan without columns, time ranges taken from the footers, both of the touched files only. The
+    stamps of a file are read only if its footer has no range.
+    """
+    stored = stored_rows(spark, root, spec, files=True)
     if stored is None:
         return spark.createDataFrame([], LAKE_CATALOG.schema)
-    rows = stored.select(
-        "timestamp",
-        *spec.partition_by,
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_size").alias("_size"),
-    )
-    if touched is not None:
-        rows = touched.select(rows)
-    files = rows.groupBy("_path", *spec.partition_by).agg(
-        F.min("timestamp").alias("min_timestamp"),
-        F.max("timestamp").alias("max_timestamp"),
-        F.count("*").alias("row_count"),
-        F.first("_size").alias("size_bytes"),
-    )
+    rows = stored if touched is None else touched.select(stored)
+    counted = rows.groupBy("_path", *spec.partition_by).agg(F.count("*").alias("row_count"), F.first("_size").alias("size_bytes"))
+    counted, staging = staged(spark, counted, "catalog-files")
+    ranges = read_time_ranges(counted.select(F.col("_path").alias("object_path"))).withColumnRenamed("object_path", "_path")
+    files, _ = staged(spark, counted.join(ranges, "_path"), "catalog-ranges")  # a row per file, read lazily by the result
+    remove_path(spark, staging)
+    unknown = files.where("not complete").select("_path")
+    if not unknown.isEmpty():
+        scanned = rows.select("_path", "timestamp").join(unknown, "_path").groupBy("_path")
+        scanned = scanned.agg(F.min("timestamp").alias("_low"), F.max("timestamp").alias("_high"))
+        files = files.join(scanned, "_path", "left").withColumns({"low": F.coalesce("low", "_low"), "high": F.coalesce("high", "_high")})
     # The metadata column holds a URI; the directory itself is its decoded form.
     plain = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
     folder = F.regexp_extract(plain, r"(raw/.*)/[^/]+$", 1)
     objects = files.groupBy(folder.alias("object_key"), *spec.partition_by).agg(
-        F.min("min_timestamp").alias("min_timestamp"),
-        F.max("max_timestamp").alias("max_timestamp"),
+        F.min("low").alias("min_timestamp"),
+        F.max("high").alias("max_timestamp"),
         F.sum("row_count").alias("row_count"),
         F.sum("size_bytes").alias("size_bytes"),
     )

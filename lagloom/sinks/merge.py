@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lagloom.operators.dedupe import keep_last
-from lagloom.schemas import TableSpec
+from lagloom.schemas import LakeSpec, TableSpec
 from lagloom.session import remove_path, use_utc, work_path
-from lagloom.sources.lake import read_existing
+from lagloom.sources.lake import read_existing, stored_rows
 
 log = logging.getLogger(__name__)
 
@@ -158,25 +158,36 @@ def merge_into(
     incoming_wins: bool = True,
     sort_by: Sequence[str] = (),
     listed: int = LISTED_PARTITIONS,
+    lake: tuple[str, LakeSpec] | None = None,
 ) -> Touched:
     """Merge rows into a partitioned directory, rewriting only the partitions they touch.
 
-    The merged partitions are first written to the shared folder and published from there: a run that
-    dies half way leaves either the old partitions or a complete staged copy, and repeating the merge
-    gives the same rows.
+    The merged partitions are written once, to the shared folder, and then change places with the files that were
+    read: a run that dies half way leaves either the old partitions or a complete staged copy, and repeating the
+    merge gives the same rows. Files that another writer adds meanwhile stay. For a ``lake`` (root and dataset) the
+    files read may also lie in year or month directories.
     """
     use_utc(spark)
-    stored = read_existing(spark, schema, path)
+    if lake is None:
+        found = read_existing(spark, schema, path)
+        stored = None if found is None else found.withColumn("_path", F.col("_metadata.file_path"))
+    else:
+        stored = stored_rows(spark, *lake, files=True)
     new = conformed(incoming, schema)
     touched = Touched.by(new, partition_by, listed)
     if stored is None:
         # Nothing to lose yet: the first write goes straight to its place.
         write_partitions(merged_rows(None, new, keys, order), path, partition_by, sort_by)
         return touched
-    merged = merged_rows(touched.select(stored), new, keys, order, incoming_wins, touched.total)
-    rows, staging = staged(spark, merged, "merge")
+    admitted = touched.select(stored)
+    replaced = admitted.select("_path").distinct()
+    merged = merged_rows(admitted.select(*new.columns), new, keys, order, incoming_wins, touched.total)
+    staging = work_path(spark, "merge")
+    write_partitions(merged, staging, partition_by, sort_by)
+    replaced.write.parquet(f"{staging}/{REPLACED}")
+    rows = spark.read.schema(schema).parquet(staging)
     try:
-        publish(rows, path, partition_by, sort_by)
+        publish(rows, path, partition_by, sort_by, staging)
     except Exception:
         log.error("publishing to %s failed; the merged partitions are kept at %s", path, staging)
         raise
@@ -184,9 +195,44 @@ def merge_into(
     return touched
 
 
-def publish(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
-    """Replace the partitions of ``path`` that occur in the staged rows; may be repeated."""
-    write_partitions(rows, path, partition_by, sort_by)
+#: Beside staged partitions, hidden from readers: the files that they replace.
+REPLACED = "_replaced"
+
+
+def publish(
+    rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (), staging: str | None = None
+) -> None:
+    """Replace the partitions of ``path`` that occur in the staged rows; may be repeated.
+
+    With the folder they are staged in, files change places and no row is written again, unless the two folders
+    lie in different file systems.
+    """
+    spark = rows.sparkSession
+    if staging is None:
+        write_partitions(rows, path, partition_by, sort_by)
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    configuration = spark._jsc.hadoopConfiguration()
+    source, target = hadoop.Path(staging), hadoop.Path(path)
+    system = target.getFileSystem(configuration)
+    together = system.getUri().equals(source.getFileSystem(configuration).getUri())
+    if not together:
+        write_partitions(rows, path, partition_by, sort_by)
+    for row in spark.read.schema("_path string").parquet(f"{staging}/{REPLACED}").toLocalIterator():
+        system.delete(hadoop.Path(spark._jvm.java.net.URI(row[0])), False)
+    if not together:
+        return
+    base = system.makeQualified(source).toString()
+    files = system.listFiles(source, True)
+    while files.hasNext():
+        found = files.next().getPath()
+        inside = found.toString().removeprefix(base).lstrip("/")
+        if "=" not in inside.split("/")[0] or not inside.endswith(".parquet"):
+            continue  # markers, and the list of replaced files
+        place = hadoop.Path(target, inside)
+        system.mkdirs(place.getParent())
+        if not system.rename(found, place):
+            raise OSError(f"could not move {found.toString()} to {place.toString()}")
 
 
 def last_by_outside(rows: DataFrame, keys: Sequence[str], order: Sequence[str], schema: str) -> DataFrame:

@@ -7,7 +7,10 @@ Spark lists them, deals out their row groups and joins the rows; a task opens a
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
+from datetime import datetime
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,10 +24,48 @@ ROWS = f"object_path string, {', '.join(f'{name} string' for name in NAMES)}, co
 
 
 def opened(path: str) -> pq.ParquetFile:
-    system, place = pafs.FileSystem.from_uri(path)
+    system, place = pafs.FileSystem.from_uri(quote(path, safe=string.printable))  # Spark leaves letters like é as they are
     return pq.ParquetFile(system.open_input_file(place), coerce_int96_timestamp_unit="us")
 
 
+STATISTICS = "object_path string, low timestamp, high timestamp, complete boolean"
+
+
+def read_time_ranges(files: DataFrame, column: str = "timestamp") -> DataFrame:
+    """Smallest and largest stamp of each file in ``object_path`` by its footer; no data page is read.
+
+    ``complete`` is false where a row group has rows but no such statistics (stamps of 96 bits have none).
+    """
+    stamp = pa.timestamp("us", "UTC")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lows, highs, complete = [], [], []
+            paths = batch.column(0).to_pylist()
+            for path in paths:
+                try:
+                    groups = opened(path).metadata
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError):  # a store that only Spark reads, or a broken file
+                    for found, value in ((lows, None), (highs, None), (complete, False)):
+                        found.append(value)
+                    continue
+                ends = []
+                for group in (groups.row_group(g) for g in range(groups.num_row_groups)):
+                    if not group.num_rows:
+                        continue
+                    own = [group.column(c) for c in range(group.num_columns) if group.column(c).path_in_schema == column]
+                    found = own[0].statistics if own and own[0].physical_type == "INT64" else None
+                    ends.append((found.min, found.max) if found is not None and found.has_min_max else None)
+                known = None not in ends and all(isinstance(v, datetime) for end in ends for v in end)
+                lows.append(min(low for low, _ in ends) if known and ends else None)
+                highs.append(max(high for _, high in ends) if known and ends else None)
+                complete.append(known)
+            columns = [pa.array(paths, pa.string()), pa.array(lows, stamp), pa.array(highs, stamp), pa.array(complete)]
+            yield pa.record_batch(columns, names=["object_path", "low", "high", "complete"])
+
+    return files.select("object_path").mapInArrow(read, STATISTICS)
+
+
 def read_footers(files: DataFrame) -> DataFrame:
     """A row for every row group of the files in ``object_path``; one without a group for an empty or broken file."""
 

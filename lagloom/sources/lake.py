@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException as SparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lagloom.functions.coerce import matching, moment, since
@@ -14,6 +14,7 @@ from lagloom.operators.dedupe import keep_last
 from lagloom.schemas import LakeSpec, TableSpec
 from lagloom.sources.observations import features_union
 
+
 def read_existing(spark: SparkSession, schema: str, path: str, **options) -> DataFrame | None:
     """Parquet under a path, or None if there is nothing at that path yet."""
     try:
@@ -83,27 +84,61 @@ def scan_files(
     """Rows of one dataset as stored, partition columns included.
 
     A dataset may hold whole years or months as files of a ``year=`` or ``month=`` directory beside day directories.
-    Spark's partition discovery refuses such a mixture; then the directory values are taken from the file paths.
     """
-    try:
-        rows = read_or_empty(spark, spec.schema, spec.path(root))
-    except SparkException as error:
-        if "CONFLICTING" not in f"{error.getCondition()} {error}":
-            raise
-        rows = scan_by_path(spark, root, spec)
+    rows = stored_rows(spark, root, spec)
+    if rows is None:
+        return spark.createDataFrame([], spec.schema)
     if cutoff is None:
         return rows
     return rows.where(partitions_since(cutoff)).where(F.col("timestamp") >= moment(cutoff))
 
 
-def scan_by_path(spark: SparkSession, root: str, spec: LakeSpec) -> DataFrame:
-    """Rows with partition columns from the path of their file; levels a path lacks are ``00``."""
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
-    rows = read_existing(spark, spec.columns, spec.path(root), **options)
-    path = rows.select("*", F.col("_metadata.file_path").alias("_path"))
-    values = {name: _directory_value("_path", name) for name in spec.partition_by}
-    dated = {name: F.when(values[name] == "", "00").otherwise(values[name]) for name in ("year", "month", "day")}
-    return path.withColumns(values | dated).drop("_path")
+DATE_LEVELS = ("year", "month", "day")
+
+
+def shallow_levels(spark: SparkSession, root: str, spec: LakeSpec) -> tuple[int, ...]:
+    """The levels above the day (1 year, 2 month) whose directories hold files themselves.
+
+    Only year and month directories are listed for that, by the driver, as Spark lists directories to find partitions.
+    """
+    found = []
+    for level in (1, 2):
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(_file_pattern(root, spec, level))
+        if spark._jvm.org.apache.hadoop.fs.Path(spec.path(root)).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern):
+            found.append(level)
+    return tuple(found)
+
+
+def _file_pattern(root: str, spec: LakeSpec, level: int) -> str:
+    directories = [*spec.split_by, *DATE_LEVELS[:level]]
+    return "/".join([spec.path(root), *[f"{name}=*" for name in directories], "*.parquet"])
+
+
+def stored_rows(spark: SparkSession, root: str, spec: LakeSpec, files: bool = False) -> DataFrame | None:
+    """All rows of a dataset with their partition columns, or None if nothing is there; with ``files`` also _path and _size.
+
+    Spark's partition discovery takes one depth of directories. Where files lie at several, each depth is a scan of its own
+    that prunes its directories, and the scans are united by name; date levels that a depth lacks are ``00``.
+    """
+    shallow = shallow_levels(spark, root, spec)
+    if not shallow:
+        rows = read_existing(spark, spec.schema, spec.path(root))
+        return None if rows is None else _with_files(rows, files)
+    scans = []
+    for level in (*shallow, 3):
+        directories = [*spec.split_by, *DATE_LEVELS[:level]]
+        schema = ", ".join([spec.columns, *[f"{name} string" for name in directories]])
+        found = read_existing(spark, schema, _file_pattern(root, spec, level), basePath=spec.path(root))
+        if found is not None:
+            absent = {name: F.lit("00") for name in DATE_LEVELS[level:]}
+            scans.append(_with_files(found, files).withColumns(absent))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _with_files(rows: DataFrame, files: bool) -> DataFrame:
+    if not files:
+        return rows
+    return rows.withColumns({"_path": F.col("_metadata.file_path"), "_size": F.col("_metadata.file_size")})
 
 
 def _latest_rows(rows: DataFrame, spec: LakeSpec) -> DataFrame:
@@ -157,6 +192,7 @@ def scan_catalogued(
     """
     objects = catalog_objects_since(catalog, cutoff, spec.dataset, interval).select("object_key")
     values = {name: _directory_value("object_key", name) for name in spec.partition_by}
+    values |= {name: F.when(values[name] == "", "00").otherwise(values[name]) for name in DATE_LEVELS}
     wanted = objects.select(*[value.alias(f"_{name}") for name, value in values.items()]).distinct()
     rows = scan_files(spark, root, spec, cutoff)
     same = [rows[name].eqNullSafe(wanted[f"_{name}"]) for name in spec.partition_by]

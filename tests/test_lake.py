@@ -32,6 +32,7 @@ from lagloom.sinks.lake import (
     verify_write,
 )
 from lagloom.sinks.merge import Touched, merge_into, publish, upsert
+from lagloom.sources.foreign import read_time_ranges
 from lagloom.sources.lake import (
     catalog_objects_since,
     partitions_since,
@@ -43,6 +44,7 @@ from lagloom.sources.lake import (
     scan_dataset,
     scan_files,
     scan_lake,
+    stored_rows,
 )
 from lagloom.sources.observations import with_placeholders
 from tests.conftest import plan_of, tuples, utc
@@ -152,6 +154,83 @@ def test_year_month_and_day_directories_of_other_writers(spark, root):
     assert tuples(scan_dataset(spark, root, spec, utc("2024-02-01T10:00:00")), "close") == [("2",), ("3",)]
 
 
+def mixed_lake(spark, root):
+    """Files of another writer in year, month and day directories."""
+    spec = candle_lake()
+    base = f"{spec.path(root)}/symbol=BTCUSDT/interval=1m"
+    rows = lambda *stamps: lake_rows(candles(spark, *stamps), spec, "day", RUN1).drop(*spec.partition_by)
+    rows(("2023-05-01T10:00:00Z", "1"), ("2023-06-01T10:00:00Z", "1.5")).write.parquet(f"{base}/year=2023")
+    rows(("2024-02-01T10:00:00Z", "2")).write.parquet(f"{base}/year=2024/month=02")
+    rows(("2024-03-05T10:00:00Z", "3")).write.parquet(f"{base}/year=2024/month=03/day=05")
+    return spec
+
+
+def test_each_depth_of_a_mixed_layout_prunes_its_directories(spark, root):
+    spec = mixed_lake(spark, root)
+    found = scan_files(spark, root, spec, utc("2024-03-01T00:00:00"))
+    assert tuples(found, "close") == [("3",)]
+    plan = plan_of(found, "formatted")
+    assert plan.count("PartitionFilters: [") == 3 and plan.count("PushedFilters: [") == 3
+    recent = stored_rows(spark, root, spec, files=True).where(partitions_since(utc("2024-03-01T00:00:00")))
+    assert recent.select("_path").distinct().count() == 1
+
+
+@pytest.mark.parametrize("granularity", ["day", "month", "year"])
+def test_archive_into_a_mixed_layout(spark, root, granularity):
+    spec = mixed_lake(spark, root)
+    new = [("2023-05-01T10:00:00Z", "9"), ("2024-02-01T10:00:00Z", "8"), ("2024-03-05T11:00:00Z", "7")]
+    for _ in range(2):
+        result = archive(spark, candles(spark, *new), root, spec, RUN2, granularity, f"{root}/catalog")
+        assert result.status == "ok" and result.fetched == 3
+    want = [("9",), ("1.5",), ("8",), ("3",), ("7",)]
+    assert tuples(scan_dataset(spark, root, spec).orderBy("timestamp"), "close") == sorted(want)
+    # files of a rewritten partition are replaced, wherever they lay
+    stored = stored_rows(spark, root, spec, files=True)
+    levels = {row[0] for row in tuples(stored.selectExpr("size(split(_path, '/(year|month|day)='))").distinct())}
+    assert levels == {"day": {2, 3, 4}, "month": {2, 4}, "year": {3, 4}}[granularity]
+    whole = build_catalog(spark, root, spec, RUN2)
+    assert whole.agg(F.sum("row_count")).first()[0] == stored.count()
+    assert whole.agg(F.min("min_timestamp"), F.max("max_timestamp")).first() == stored.agg(F.min("timestamp"), F.max("timestamp")).first()
+    catalog = read_table(spark, f"{root}/catalog", LAKE_CATALOG)
+    found = scan_catalogued(spark, root, spec, catalog, utc("2024-02-01T00:00:00"))
+    assert {("8",), ("7",)} <= set(tuples(found, "close"))
+
+
+def test_footers_tell_the_range_without_reading_pages(spark, root):
+    spec = candle_lake()
+    archive(spark, candles(spark, *BATCH1, ("2026-06-10T10:00:00Z", "1")), root, spec, RUN1)
+    files = stored_rows(spark, root, spec, files=True).select(F.col("_path").alias("object_path")).distinct()
+    ranges = read_time_ranges(files)
+    assert "ReadSchema: struct<>" in plan_of(files, "formatted")
+    assert sorted(r.complete for r in ranges.collect()) == [True, True]
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:  # stamps without statistics
+        rows = lake_rows(candles(spark, ("2026-06-11T10:00:00Z", "4"), ("2026-06-11T12:00:00Z", "5")), spec, "day", RUN1)
+        spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+        rows.write.mode("append").partitionBy(*spec.partition_by).parquet(spec.path(root))
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", before)
+    assert ranges.where("not complete").count() == 0
+    catalog = build_catalog(spark, root, spec, RUN1)
+    assert tuples(catalog, hm("min_timestamp"), hm("max_timestamp"), "row_count")[-1] == ("10:00", "12:00", 2)
+
+
+def test_writers_of_different_partitions_both_survive(spark, root, monkeypatch):
+    spec = candle_lake()
+    archive(spark, candles(spark, ("2026-06-08T10:00:00Z", "1"), ("2026-06-09T10:00:00Z", "1")), root, spec, RUN1)
+    real = merge.publish
+
+    def other_first(*args):
+        monkeypatch.setattr(merge, "publish", real)
+        archive(spark, candles(spark, ("2026-06-09T11:00:00Z", "3")), root, spec, RUN2)
+        real(*args)
+
+    monkeypatch.setattr(merge, "publish", other_first)
+    archive(spark, candles(spark, ("2026-06-08T11:00:00Z", "2")), root, spec, RUN2)
+    assert tuples(scan_files(spark, root, spec), "day", "close") == [("08", "1"), ("08", "2"), ("09", "1"), ("09", "3")]
+
+
 def test_the_cutoff_prunes_directories(spark, root):
     spec = observation_lake("dxy")
     rows = [("dxy", "close", f"20{y}-06-{d:02d}T00:00:00Z", "1") for y in (24, 25, 26) for d in (1, 9, 20)]
