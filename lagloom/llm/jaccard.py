@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagloom.llm.batches import GOLDEN, in_row, mix64, pieces, texts_of, window_hashes, words_of
-from lagloom.llm.components import components
+from lagloom.llm.components import components, contracted
 from lagloom.llm.staging import staged
 
 #: The list of frequent buckets has at most so many entries (4 + 4 bytes each in a broadcast).
@@ -343,7 +343,7 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
         if edges:
             yield _edge_batch(edges)
 
-    return ordered.mapInArrow(filtered, "a long, b long").distinct()
+    return contracted(ordered.mapInArrow(filtered, "a long, b long"))
 
 
 def _fitting(sizes: np.ndarray, percent: int) -> np.ndarray:

@@ -12,9 +12,14 @@ from lagloom.session import work_path
 
 def staged(frame: DataFrame, label: str) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: cuts its lineage, survives lost executors."""
+    return staged_at(frame, label)[0]
+
+
+def staged_at(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``staged``, and the path, for tables that are removed once later ones are written."""
     path = work_path(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path
 
 
 #: Rows of an Arrow batch between Spark and a task's Python: whole texts, so fewer than Spark's default.
@@ -30,3 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a DDL string, as tasks have to return it."""
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or with underscores in front so that no column has it, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -292,10 +292,11 @@ def _arrays(counts: DataFrame) -> dict[str, np.ndarray]:
     return {name: column.view(np.uint64) if name in ("before", "word") else column for name, column in columns.items()}
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All rows and columns with a column ``score`` from 0 to 1, computed from the text alone."""
+def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """All rows and columns with a column ``name`` from 0 to 1, computed from the text alone; one of that name is replaced."""
+    docs = docs.drop(name)
     if model is None:
-        return docs.withColumn("score", F.lit(0.0))
+        return docs.withColumn(name, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 
@@ -306,10 +307,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 x = shared.value.slope * ratios(shared.value, texts_of(piece)) + shared.value.intercept
                 values.append(1 / (1 + np.exp(-np.clip(x, -500, 500))))
             if values:
-                yield pa.record_batch([*batch.columns, pa.array(np.concatenate(values))], names=[*names, "_score"])
+                yield pa.record_batch([*batch.columns, pa.array(np.concatenate(values))], names=[*names, name])
 
-    if "score" in names:
-        docs = docs.drop("score")
-        names = docs.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(rate, f"{fields}, _score double").withColumnRenamed("_score", "score")
+    return docs.mapInArrow(rate, f"{fields}, `{name}` double")

@@ -8,6 +8,7 @@ import pytest
 from lagloom.llm import jaccard
 from lagloom.llm.batches import texts_of
 from lagloom.llm.components import components
+from lagloom.llm.components import stars
 from lagloom.llm.jaccard import jaccard_components, prefixes, shingle_sets
 from lagloom.llm.queries import ORACLES, op1_ngram_jaccard_join
 from tests.llm.fixtures import SCHEMA, edge_rows, frame, prose
@@ -117,3 +118,22 @@ def test_components_of_chains_and_stars(spark):
 
 def test_query_against_its_sql(spark, agrees):
     agrees("op1_ngram_jaccard_join", op1_ngram_jaccard_join, ORACLES)
+
+
+def test_stars_connect_what_edges_connect():
+    pick = np.random.default_rng(5)
+    for n, edges in ((5, 3), (300, 200), (300, 900), (2000, 1999)):
+        a, b = pick.integers(0, n, edges), pick.integers(0, n, edges)
+        if n == 2000:
+            a, b = np.arange(1999), np.arange(1, 2000)  # a chain
+        label = {i: i for i in {*a.tolist(), *b.tolist()}}
+        moved = True
+        while moved:
+            moved = False
+            for x, y in zip(a.tolist(), b.tolist()) if n != 2000 else ():
+                least = min(label[x], label[y])
+                moved |= label[x] != least or label[y] != least
+                label[x] = label[y] = least
+        want = {i: 0 for i in label} if n == 2000 else label
+        roots, ids = stars(a, b)
+        assert dict(zip(ids.tolist(), roots.tolist())) == {i: r for i, r in want.items() if i != r}

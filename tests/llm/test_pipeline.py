@@ -12,7 +12,7 @@ from tests.llm.test_toxicity import BAD, LABELS, corpus
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = [name.split("_")[0] for name in QUERIES]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
@@ -60,6 +60,22 @@ def test_stages_against_brute_force(spark, tmp_path):
             assert row.n_tokens == len(want(kept[row.doc_id]))
 
 
+def test_extra_columns_come_out_unchanged(spark, tmp_path):
+    extra = {"score": "42", "_score": "7", "n_tokens": "'x'", "_before": "1", "_part": "2", "nth": "3", "_row": "4", "_ids": "5"}
+    rows = [(i, prose(i), "en", "s", 1) for i in range(20)] + [(20, None, "en", "s", 1)] * 2 + [(3, prose(3), "en", "s", 1)]
+    found = frame(spark, rows).selectExpr("*", *[f"{value} as {name}" for name, value in extra.items()])
+    found.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, 1), (2, 0, 0)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    frame(spark, ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    want_columns = [*[c for c in found.columns if c != "text"], "_n_tokens", "ids_sha256", "decoded_sha256"]
+    assert result.columns == want_columns
+    kept = result.collect()
+    assert len({r.doc_id for r in kept}) == len(kept)  # repeated rows, also without a text, stay once
+    for row in kept:
+        assert {name: getattr(row, name) for name in extra} == {n: (v.strip("'") if v[0] == "'" else int(v)) for n, v in extra.items()}
+
+
 def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
