@@ -15,14 +15,15 @@ from lagloom.llm.decontaminate import clean_documents
 from lagloom.llm.jaccard import jaccard_components
 from lagloom.llm.queries import TOKEN_DIGEST, TOKENIZER, learning_labels, token_digest
 from lagloom.llm.secret_scan import redact
-from lagloom.llm.staging import staged, table
+from lagloom.llm.staging import free_name, staged, table
 from lagloom.llm.toxicity import THRESHOLD, fit, score
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
-    scored = score(docs, fit(docs, learning_labels(table(spark, sf_dir, "labels"))))
-    return scored.where(F.col("score") < THRESHOLD).select(docs.columns)
+    own = free_name(docs.columns, "score")
+    scored = score(docs, fit(docs, learning_labels(table(spark, sf_dir, "labels"))), own)
+    return scored.where(F.col(own) < THRESHOLD).select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +31,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share an id stay or go together, and of those with equal texts one stays; rows without an id stay.
     """
-    kept = jaccard_components(docs, size=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
-    same_id = Window.partitionBy("doc_id").orderBy("text")
-    first = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_before", F.lag("text").over(same_id))
-    first = first.where("_before is null or _before <> text").select(docs.columns)
-    return first.unionByName(docs.where("doc_id is null"))
+    kept = jaccard_components(docs.select("doc_id", "text"), size=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
+    nth = free_name(docs.columns, "nth")
+    same = Window.partitionBy("doc_id", "text").orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")] or ["doc_id"])
+    first = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn(nth, F.row_number().over(same))
+    return first.where(F.col(nth) == 1).select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +49,19 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens and digests of the ids and of the decoded text, beside the document's other columns."""
-    return map_tokens(docs, TOKENIZER, [c for c in docs.columns if c != "text"], token_digest, TOKEN_DIGEST)
+    """Number of tokens and digests of the ids and of the decoded text, beside the document's other columns.
 
+    A column that the document has under such a name, or under one that the work needs, keeps its name; the stage's own
+    gets underscores in front.
+    """
+    columns = [c for c in docs.columns if c != "text"]
+    plain = {c: f"c{i}" for i, c in enumerate(columns)}
+    found = map_tokens(docs.select(*[F.col(f"`{c}`").alias(plain[c]) for c in columns], "text"), TOKENIZER, list(plain.values()), token_digest, TOKEN_DIGEST)
+    own = [F.col(c).alias(free_name(columns, c)) for c in TOKEN_COLUMNS]
+    return found.select(*[F.col(plain[c]).alias(c) for c in columns], *own)
+
+
+TOKEN_COLUMNS = ("n_tokens", "ids_sha256", "decoded_sha256")
 
 STAGES = [
     ("toxicity", toxicity_stage),
