@@ -34,7 +34,7 @@ from lagloom.schemas import (
 from lagloom.session import work_path
 from lagloom.sinks.lake import LOADS, archive, build_catalog, lake_rows, load_rows, verify_write
 from lagloom.sinks.merge import upsert
-from lagloom.sources.lake import read_table, scan_catalogued, scan_dataset, scan_files, scan_lake
+from lagloom.sources.lake import read_table, scan_catalogued, scan_dataset, scan_features_since, scan_files, scan_lake
 
 FIRST = datetime(2024, 2, 1, tzinfo=timezone.utc)
 SECOND = datetime(2024, 2, 2, tzinfo=timezone.utc)
@@ -97,18 +97,72 @@ QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id % 3 DES
 )
 def _mixed_layout(spark, sf_dir):
     """A lake of other writers: year files, month files and day files of one dataset side by side."""
+    root, spec = _mixed_lake(spark, sf_dir)
+    return _with_level(scan_dataset(spark, root, spec))
+
+
+LEVELS = ("year", "month", "day")
+
+
+def _with_level(found):
+    """What a row was stored as, by its ingestion time: the epoch's first seconds, or an archive's."""
+    seconds = F.unix_seconds("fetched_at")
+    level = F.when(seconds == 0, LEVELS[0]).when(seconds == 1, LEVELS[1]).when(seconds == 2, LEVELS[2]).otherwise("archived")
+    return found.select("metric_name", "timestamp", rounded(F.col("value")).alias("value"), level.alias("level"))
+
+
+def _mixed_lake(spark, sf_dir):
     root = work_path(spark, "lake")
     spec = observation_lake("events")
     rows = lake_rows(with_id(spark, sf_dir), spec, "day", FIRST)
     third = F.col("event_id") % 3
     # a later level was fetched later
     rows = rows.withColumn("fetched_at", F.timestamp_seconds(third))
-    for number, levels in enumerate((["year"], ["year", "month"], ["year", "month", "day"])):
-        part = rows.where(third == number).drop("event_id", *[name for name in ("year", "month", "day") if name not in levels])
+    for number in range(3):
+        levels = LEVELS[: number + 1]
+        part = rows.where(third == number).drop("event_id", *[name for name in LEVELS if name not in levels])
         part.write.mode("append").partitionBy("metric", *levels).parquet(spec.path(root))
-    level = F.element_at(F.array(*map(F.lit, ("year", "month", "day"))), F.unix_seconds("fetched_at").cast("int") + 1)
-    found = scan_dataset(spark, root, spec)
-    return found.select("metric_name", "timestamp", rounded(F.col("value")).alias("value"), level.alias("level"))
+    return root, spec
+
+
+@query(
+    "mixed_layout_archive",
+    """WITH lake AS (SELECT event_type, ts, value, CASE event_id % 3 WHEN 0 THEN 'year' WHEN 1 THEN 'month' ELSE 'day' END AS level
+  FROM events QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id % 3 DESC, value DESC) = 1
+), fresh AS (SELECT event_type, ts, max(value + 1) AS value FROM events WHERE event_id % 5 = 0 GROUP BY ALL)
+SELECT l.event_type AS metric_name, l.ts AS "timestamp", round(coalesce(f.value, l.value), 6) AS value,
+  CASE WHEN f.value IS NULL THEN l.level ELSE 'archived' END AS level
+FROM lake l LEFT JOIN fresh f USING (event_type, ts) WHERE l.ts >= TIMESTAMP '2024-01-10 12:00:00'""",
+)
+def _mixed_layout_archive(spark, sf_dir):
+    """Revised values archived by month into a lake of year, month and day files, read from a cutoff on."""
+    root, spec = _mixed_lake(spark, sf_dir)
+    revised = with_id(spark, sf_dir).where("event_id % 5 = 0").withColumn("value", F.col("value") + 1).drop("event_id")
+    archive(spark, revised, root, spec, FIRST, "month", f"{root}/catalog")
+    found = scan_dataset(spark, root, spec, datetime(2024, 1, 10, 12, tzinfo=timezone.utc))
+    return _with_level(found)
+
+
+@query(
+    "catalogued_features",
+    f"""SELECT 'alt_data' AS dataset, 'events' AS source, event_type AS metric_name, ts AS "timestamp", round(max(value), 6) AS value,
+  'L' || event_type AS label
+FROM events WHERE ts >= TIMESTAMP '2001-01-15 12:00:00' GROUP BY ALL
+UNION ALL
+SELECT 'macro_data', 'orders', metric_name, ts, round(value, 6), NULL FROM ({daily_priority_sql()})
+WHERE ts >= TIMESTAMP '2001-01-15 12:00:00'""",
+)
+def _catalogued_features(spark, sf_dir):
+    """Two datasets, one split by metric and labelled, one neither, found and read through the catalog from a cutoff on."""
+    root = work_path(spark, "lake")
+    labelled = observations(spark, sf_dir).withColumn("label", F.concat(F.lit("L"), "metric_name"))
+    archive(spark, labelled, root, observation_lake("events"), FIRST, "day", f"{root}/catalog")
+    plain = LakeSpec("macro", "orders", LAKE_OBSERVATION_COLUMNS, OBSERVATION_KEYS, ())
+    archive(spark, daily_priority(orders(spark, sf_dir)), root, plain, FIRST, "year", f"{root}/catalog")
+    archive(spark, candles(spark, sf_dir), root, candle_lake(), FIRST, "month", f"{root}/catalog")  # not a feature
+    catalog = read_table(spark, f"{root}/catalog", LAKE_CATALOG)
+    found = scan_features_since(spark, root, catalog, datetime(2001, 1, 15, 12, tzinfo=timezone.utc))
+    return found.withColumn("value", rounded(F.col("value")))
 
 
 def with_id(spark, sf_dir):

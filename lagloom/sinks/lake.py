@@ -170,14 +170,23 @@ def build_catalog(
 
 
 def verify_write(expected: DataFrame, stored: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Row counts per partition, expected against stored; ``matches`` is false where they differ."""
-    tagged = expected.select(*partition_by, F.lit(1).alias("_wrote"), F.lit(0).alias("_found")).unionByName(
-        stored.select(*partition_by, F.lit(0).alias("_wrote"), F.lit(1).alias("_found"))
-    )
-    counted = tagged.groupBy(*partition_by).agg(
-        F.sum("_wrote").alias("expected_rows"), F.sum("_found").alias("stored_rows")
+    """Rows per partition, expected against stored; ``matches`` is false where their number or their values differ.
+
+    Values are compared by the sum of a hash of every row, over the columns that both sides have: order doesn't
+    matter, and both sides are read once, side by side.
+    """
+    values = [name for name in expected.columns if name in stored.columns and name not in partition_by]
+    parts = [part for name in values for part in (F.col(name).cast("string"), F.col(name).isNull())]
+    content = F.xxhash64(*parts, F.lit(0)).cast("decimal(20,0)").alias("_content")
+    sides = [rows.select(*partition_by, content, F.lit(wrote).alias("_wrote")) for rows, wrote in ((expected, 1), (stored, 0))]
+    wrote = F.col("_wrote") == 1
+    counted = sides[0].unionByName(sides[1]).groupBy(*partition_by).agg(
+        F.sum("_wrote").alias("expected_rows"),
+        F.count_if(~wrote).alias("stored_rows"),
+        F.sum(F.when(wrote, F.col("_content")).otherwise(-F.col("_content"))).alias("_difference"),
     )
-    return counted.withColumn("matches", F.col("expected_rows") == F.col("stored_rows"))
+    equal = (F.col("expected_rows") == F.col("stored_rows")) & (F.col("_difference") == 0)
+    return counted.withColumn("matches", equal).drop("_difference")
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lagloom.functions.coerce import matching, moment, since
 from lagloom.operators.dedupe import keep_last
-from lagloom.schemas import LakeSpec, TableSpec
+from lagloom.schemas import LAKE_OBSERVATION_COLUMNS, OBSERVATION_KEYS, LakeSpec, TableSpec
 from lagloom.sources.observations import features_union
 
 
@@ -183,6 +183,7 @@ def scan_catalogued(
     catalog: DataFrame,
     cutoff: datetime,
     interval: str | None = None,
+    prefix: str | None = None,
 ) -> DataFrame:
     """Read only the objects the catalog says reach the cutoff.
 
@@ -190,7 +191,7 @@ def scan_catalogued(
     columns, the same plan for any number of objects: the date predicate prunes directories at planning, the match
     at run time. A directory that has vanished gives no rows, one that is not in the catalog is not read.
     """
-    objects = catalog_objects_since(catalog, cutoff, spec.dataset, interval).select("object_key")
+    objects = catalog_objects_since(catalog, cutoff, spec.dataset, interval, prefix).select("object_key")
     values = {name: _directory_value("object_key", name) for name in spec.partition_by}
     values |= {name: F.when(values[name] == "", "00").otherwise(values[name]) for name in DATE_LEVELS}
     wanted = objects.select(*[value.alias(f"_{name}") for name, value in values.items()]).distinct()
@@ -199,6 +200,42 @@ def scan_catalogued(
     return _latest_rows(rows.join(wanted, reduce(Column.__and__, same), "left_semi"), spec)
 
 
+#: The prefixes that features are catalogued under, and the table that each stands for.
+FEATURE_PREFIXES = {"raw/alternative/": "alt_data", "raw/macro/": "macro_data"}
+
+
+def scan_features_since(
+    spark: SparkSession,
+    root: str,
+    catalog: DataFrame,
+    cutoff: datetime,
+    prefixes: Mapping[str, str] = FEATURE_PREFIXES,
+) -> DataFrame:
+    """Observations from the cutoff on of all datasets that the catalog has below the prefixes, one per natural key.
+
+    The catalog says which datasets there are, how their directories are split, and which objects reach the cutoff;
+    only these are read. Datasets are aligned by name: ``label`` is NULL where files have none. What reaches the
+    driver is a row per dataset.
+    """
+    found = None
+    for prefix, name in prefixes.items():
+        objects = catalog_objects_since(catalog, cutoff, prefix=prefix).select("object_key")
+        parts = F.split("object_key", "/")
+        named = F.filter(F.transform(parts, lambda part: F.regexp_extract(part, "^([^=]+)=", 1)), lambda n: ~n.isin("", *DATE_LEVELS))
+        layouts = objects.select(parts[1].alias("namespace"), parts[2].alias("dataset"), named.alias("split_by")).distinct()
+        for row in layouts.orderBy("namespace", "dataset").collect():
+            spec = LakeSpec(row.namespace, row.dataset, LAKE_OBSERVATION_COLUMNS, OBSERVATION_KEYS, tuple(row.split_by))
+            rows = scan_catalogued(spark, root, spec, catalog, cutoff, prefix=f"raw/{row.namespace}/{row.dataset}/")
+            rows = rows.select(F.lit(name).alias("dataset"), *FEATURES)
+            found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        return spark.createDataFrame([], f"dataset string, {LAKE_OBSERVATION_COLUMNS}").select("dataset", *FEATURES)
+    return found
+
+
+FEATURES = ("source", "metric_name", "timestamp", "value", "label")
+
+
 def _directory_value(key: str, name: str) -> Column:
     """The value of a partition column in an object key, as the directory name has it escaped."""
     text = F.regexp_extract(key, f"(?:^|/){name}=([^/]*)", 1)

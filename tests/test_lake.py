@@ -42,6 +42,7 @@ from lagloom.sources.lake import (
     read_table,
     scan_catalogued,
     scan_dataset,
+    scan_features_since,
     scan_files,
     scan_lake,
     stored_rows,
@@ -285,6 +286,36 @@ def test_verify_write_reports_missing_rows(spark, root):
     assert tuples(check, "day", "expected_rows", "stored_rows", "matches") == [("09", 2, 2, True), ("10", 1, 0, False)]
 
 
+def test_verify_write_finds_a_changed_value_at_an_equal_count(spark, root):
+    spec = candle_lake()
+    rows = candles(spark, *BATCH1, ("2026-06-10T10:00:00Z", "5"))
+    archive(spark, rows, root, spec, RUN1)
+    changed = lake_rows(candles(spark, BATCH1[0], (BATCH1[1][0], "999"), ("2026-06-10T10:00:00Z", "5")), spec, "day", RUN1)
+    stored = scan_files(spark, root, spec)
+    check = verify_write(changed.repartition(3), stored, spec.partition_by)
+    assert tuples(check, "day", "expected_rows", "stored_rows", "matches") == [("09", 2, 2, False), ("10", 1, 1, True)]
+    same = verify_write(lake_rows(rows, spec, "day", RUN1).repartition(3), stored, spec.partition_by)
+    assert tuples(same, "day", "matches") == [("09", True), ("10", True)]
+
+
+def test_features_by_prefix_through_the_catalog(spark, root):
+    day = "2026-06-09T00:00:00Z"
+    labelled = observations(spark, ("fear_greed", "index", day, "10"), ("fear_greed", "index", "2026-05-01T00:00:00Z", "9"))
+    archive(spark, labelled.withColumn("label", F.lit("Extreme Fear")), root, observation_lake("fear_greed"), RUN1, catalog_path=f"{root}/catalog")
+    macro = observations(spark, ("fred", "treasury_10y", day, "4.5"), ("fred", "treasury_10y", "2026-06-08T00:00:00Z", "4.4"))
+    archive(spark, macro, root, observation_lake("fred", "macro"), RUN1, "year", catalog_path=f"{root}/catalog")
+    archive(spark, candles(spark, *BATCH1), root, candle_lake(), RUN1, catalog_path=f"{root}/catalog")
+    catalog = read_table(spark, f"{root}/catalog", LAKE_CATALOG)
+    found = scan_features_since(spark, root, catalog, utc("2026-06-08T12:00:00"))
+    assert tuples(found, "dataset", "source", "value", "label") == [
+        ("alt_data", "fear_greed", "10", "Extreme Fear"), ("macro_data", "fred", "4.5", None)
+    ]
+    # the catalog decides: what it does not have is not read
+    only = scan_features_since(spark, root, catalog.where("dataset = 'fred'"), utc("2026-06-01T00:00:00"))
+    assert only.count() == 2
+    assert scan_features_since(spark, root, catalog, utc("2030-01-01T00:00:00")).count() == 0
+
+
 def test_prefix_scan_takes_parquet_files_of_any_layout(spark, root, tmp_path):
     one = spark.createDataFrame([(1,)], "v int")
     one.write.parquet(f"{root}/dxy/year=2026")
