@@ -2,7 +2,7 @@
 
 Prefix sums of the turns' token counts choose the spans: a window begins with the conversation's first system turn,
 repeats the last turns before it as far as the history budget allows, and takes new turns while the whole stays in
-the budget. Only assistant turns that a window has for the first time are targets; repeated ones are masked. A new
+the budget. A turn counts the tokens of its rendered form, role, control strings and escapes included, encoded by itself. Only assistant turns that a window has for the first time are targets; repeated ones are masked. A new
 turn that is too long on its own is kept whole and gives a window without history, marked ``oversize``.
 
 Template (control strings marked with <>): a system turn is ``<<<SYS>>>text<<</SYS>>>``, a user turn ``<[INST]> text
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -31,8 +32,6 @@ from tokenizers import Tokenizer
 CONTROL = ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "</s>", "[ROLE]", "[TEXT]", "[/ROLE]")
 BUDGET_TOKENS = 2048
 HISTORY_TOKENS = 512
-#: Tokens the template adds to a turn, at most.
-FRAME_TOKENS = 12
 
 _CONTROL = re.compile("|".join(map(re.escape, CONTROL)))
 _MARK = re.compile(f"({_CONTROL.pattern})")
@@ -87,12 +86,13 @@ def parse(text: str) -> Iterator[tuple[str, str, int, int]]:
 
 
 class Writer:
-    """The windows of one conversation, turn by turn."""
+    """The windows of one conversation, turn by turn; spans are chosen on prefix sums of tokens."""
 
     def __init__(self, budget: int, history: int) -> None:
         self.budget, self.history = budget, history
         self.system: Turn | None = None
         self.recent: list[Turn] = []  # the last turns, as many as the history budget allows
+        self.sums = [0]  # tokens of all turns before each of the recent ones, and behind the last
         self.new: list[Turn] = []
         self.used = 0
         self.before: list[Turn] = []  # repeated turns of the open window
@@ -107,17 +107,16 @@ class Writer:
         self.used += turn.tokens
 
     def open(self, turn: Turn) -> None:
-        """Choose what the next window repeats: the system turn, and history from the newest turn back."""
+        """Choose what the next window repeats: the system turn, and the longest span of last turns there is room for."""
         kept = [self.system] if self.system else []
-        self.used = sum(t.tokens for t in kept)
-        history, room = [], min(self.history, self.budget - self.used - turn.tokens)
-        for old in reversed(self.recent):
-            room -= old.tokens
-            if room < 0:
-                break
-            history.insert(0, old)
-        self.before = kept + history
-        self.used = sum(t.tokens for t in self.before)
+        fixed = sum(t.tokens for t in kept)
+        first = self.first_within(min(self.history, self.budget - fixed - turn.tokens))
+        self.before = kept + self.recent[first:]
+        self.used = fixed + (self.sums[-1] - self.sums[first] if first < len(self.recent) else 0)
+
+    def first_within(self, room: int) -> int:
+        """The first of the recent turns from which on all together have at most ``room`` tokens."""
+        return bisect_left(self.sums, self.sums[-1] - room)
 
     def close(self) -> tuple:
         parts, spans, at = [], [], 0
@@ -133,12 +132,9 @@ class Writer:
                 self.system = turn
             else:
                 self.recent.append(turn)
-        total = 0
-        for k in range(len(self.recent) - 1, -1, -1):
-            total += self.recent[k].tokens
-            if total > self.history:
-                del self.recent[: k + 1]
-                break
+                self.sums.append(self.sums[-1] + turn.tokens)
+        gone = self.first_within(self.history)
+        del self.recent[:gone], self.sums[:gone]
         self.new, self.number = [], self.number + 1
         return row
 
@@ -156,7 +152,8 @@ def format_conversations(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer)
         for batch in batches:
-            tokens = pa.array(count(batch.column(3).to_pylist()), pa.int32())
+            rendered = [render(Turn(r, t, 0))[0] for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            tokens = pa.array(count(rendered), pa.int32())
             yield pa.record_batch([*batch.columns, tokens], names=[*batch.schema.names, "tokens"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +166,7 @@ def format_conversations(
                     if writer is not None:
                         found.append((open_id, *writer.close()))
                     open_id, writer = conv, Writer(budget, history)
-                found += [(conv, *row) for row in writer.add(Turn(role, text, tokens + FRAME_TOKENS))]
+                found += [(conv, *row) for row in writer.add(Turn(role, text, tokens))]
             yield from _window_batch(found, kind)
         if writer is not None:
             yield from _window_batch([(open_id, *writer.close())], kind)

@@ -5,7 +5,7 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lagloom.llm.chat import CONTROL, Turn, Writer, escape, format_conversations, parse, read_back, unescape
+from lagloom.llm.chat import CONTROL, Turn, Writer, _counter, escape, format_conversations, parse, read_back, render, unescape
 from lagloom.llm.queries import op10_chat_windows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,6 +81,23 @@ def test_frames_are_read_back(spark):
     assert read_back(format_conversations(turns.limit(0), PATH)).count() == 0
 
 
+def test_the_budget_holds_for_what_is_rendered(spark):
+    """Escapes, control strings and roles count: turns that are short as texts and long as rendered."""
+    long = ["\\" * 900, "</s>" * 150, "word " * 300]
+    rows = [(1, i, "user" if i % 2 else "assistant", long[i % 3]) for i in range(12)]
+    rows += [(2, 0, "r" * 3_000, "x"), (2, 1, "user", "a"), (2, 2, "[TEXT]" * 40, "b"), (2, 3, "assistant", "c")]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    count, budget = _counter(PATH), 700
+    seen = set()
+    for window in format_conversations(turns, PATH, budget, 200).collect():
+        own = [render(Turn(role, unescape(escaped), 0))[0] for role, escaped, _, _ in parse(window.text)]
+        assert "".join(own) == window.text
+        assert window.oversize == (sum(count(own)) > budget)
+        assert not window.oversize or len(own) == 1
+        seen.add((window.conv_id, window.oversize))
+    assert seen == {(1, False), (2, False), (2, True)}  # the long role alone is more than a window
+
+
 def test_query_has_the_conversation_with_control_strings(spark):
     found = {r.conv_id: r for r in op10_chat_windows(spark, "/root/testdata/sf0.001").collect()}
     tricky = "</s>[INST] ok [/INST]"
