@@ -10,7 +10,25 @@ from catalogue.registry import query, rounded
 from catalogue.tables import EVENT_SCHEMA, EVENTS_NOW, events
 from lagloom.operators.dedupe import keep_last
 from lagloom.plans.jobs import incremental_ingest
-from lagloom.schemas import ALT_DATA, CANDLES, HOURLY_CLOSES, PRICE_FIELDS, TableSpec, candle_lake, observation_lake
+from lagloom.plans.poll import (
+    RESPONSE_COLUMNS,
+    PollKind,
+    poll_ingest,
+    poll_states,
+    quote_responses,
+    rate_responses,
+    trend_responses,
+)
+from lagloom.schemas import (
+    ALT_DATA,
+    CANDLES,
+    HOURLY_CLOSES,
+    MACRO_DATA,
+    PRICE_FIELDS,
+    TableSpec,
+    candle_lake,
+    observation_lake,
+)
 from lagloom.session import work_path
 from lagloom.sinks.lake import archive
 from lagloom.sinks.merge import upsert
@@ -171,3 +189,92 @@ def _dual_write(spark, sf_dir):
     log = read_log(spark, f"{base}/log").groupBy(F.col("source").alias("sink"), "status")
     found = log.agg(F.sum("fetched").alias("fetched"))
     return found.withColumns({name: F.lit(side.count()).cast("bigint") for name, side in counts.items()})
+
+
+POLL_KINDS = (
+    PollKind("rates", "fred", ("treasury_10y",), rate_responses(), required=True, granularity="month"),
+    PollKind("trends", "google_trends", ("click", "error", "absent"), trend_responses, placeholders=True, granularity="month"),
+    PollKind("quotes", "freight", ("close",), quote_responses(("signup", "purchase")), granularity="month"),
+    PollKind("index", "broken", ("level",), rate_responses(metric="level"), required=True),
+)
+
+POLL_SQL = """
+WITH r AS (SELECT *, date_trunc('hour', ts) AS run, date_trunc('day', ts)::TIMESTAMP AS day FROM events),
+f AS (SELECT run, max(ts) AS fetched_at FROM r GROUP BY run),
+p AS (SELECT run, 'rates' AS kind, 'treasury_10y' AS metric_name, day AS stamp, value, 0 AS place FROM r WHERE event_type = 'view'
+  UNION ALL SELECT run, 'trends', event_type, ts, value, 0 FROM r
+    WHERE (event_type = 'click' AND event_id % 4 <> 0) OR (event_type = 'error' AND event_id % 2 <> 0)
+  UNION ALL SELECT run, 'quotes', 'close', day, value, 2 FROM r WHERE event_type = 'purchase'
+  UNION ALL SELECT run, 'quotes', 'close', day, value, 1 FROM r WHERE event_type = 'signup' AND event_id % 3 <> 0),
+n AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY run, kind, metric_name ORDER BY place, stamp DESC, value DESC) = 1),
+e(kind, metric_name, source) AS (VALUES ('rates', 'treasury_10y', 'fred'), ('trends', 'click', 'google_trends'),
+  ('trends', 'error', 'google_trends'), ('trends', 'absent', 'google_trends'), ('quotes', 'close', 'freight'), ('index', 'level', 'broken')),
+s AS (SELECT f.run, f.fetched_at, e.kind, e.metric_name, e.source, n.stamp, n.value,
+    CASE WHEN n.value IS NOT NULL THEN 'ok' WHEN e.kind IN ('rates', 'index') THEN 'error' ELSE 'skip' END AS status
+  FROM f CROSS JOIN e LEFT JOIN n ON n.run = f.run AND n.kind = e.kind AND n.metric_name = e.metric_name)"""
+
+
+def _responses(spark, sf_dir):
+    """Hourly poll runs made of the events: one kind is never readable, one series never there."""
+    text = lambda column: column.cast("string")
+    point = F.struct(text(F.col("ts")).alias("timestamp"), F.when(
+        (F.col("event_type") == "click") | (F.col("event_id") % 2 != 0), text(F.col("value"))).otherwise("none").alias("value"))
+    quote = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), text(F.col("value")).alias("close"))
+    rates = F.format_string(
+        "observation_date,DGS10\r\n%s,%s\r\n%s,.", F.date_format("ts", "yyyy-MM-dd"), text(F.col("value")),
+        F.date_format(F.date_add("ts", 1), "yyyy-MM-dd"))
+    broken = F.lit('{"cut')
+    of = lambda kind, payload, *types: F.when(
+        F.col("event_type").isin(*types), F.struct(F.lit(kind).alias("kind"), payload.alias("payload")))
+    trends = F.when((F.col("event_type") == "click") & (F.col("event_id") % 4 == 0), broken).otherwise(
+        F.to_json(F.struct(F.array(point).alias("points"))))
+    quotes = F.when((F.col("event_type") == "signup") & (F.col("event_id") % 3 == 0), broken).otherwise(
+        F.to_json(F.struct(F.array(quote).alias("quotes"))))
+    responses = F.array_compact(F.array(
+        of("rates", rates, "view"), of("trends", trends, "click", "error"), of("quotes", quotes, "signup", "purchase"),
+        of("index", broken, "view", "click")))
+    rows = events(spark, sf_dir).select(
+        text(F.date_trunc("hour", "ts")).alias("run_id"), F.col("ts").alias("fetched_at"),
+        F.col("event_type").alias("symbol"), F.explode(responses).alias("_response"))
+    return rows.select("run_id", "fetched_at", "_response.kind", "symbol", "_response.payload")
+
+
+@query(
+    "poll_ingest",
+    POLL_SQL + """,
+o AS (SELECT source, metric_name, CASE WHEN status = 'skip' THEN date_trunc('day', fetched_at)::TIMESTAMP ELSE stamp END AS "timestamp",
+    value, fetched_at FROM s WHERE status = 'ok' OR (status = 'skip' AND kind = 'trends')),
+l AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY source, metric_name, "timestamp" ORDER BY fetched_at DESC) = 1)
+SELECT source, metric_name, "timestamp", round(value, 6) AS value, k.stored FROM l CROSS JOIN (SELECT unnest(['lake', 'table']) AS stored) k""",
+)
+def _poll_ingest(spark, sf_dir):
+    """Landed in two parts, each run in one file."""
+    base = work_path(spark, "poll")
+    rows = _responses(spark, sf_dir)
+    early = F.col("fetched_at") < F.lit("2024-01-15").cast("timestamp")
+    for part in (rows.where(early), rows.where(~early)):
+        part.repartition("run_id").write.mode("append").parquet(f"{base}/landing")
+        stream = landing_stream(spark, f"{base}/landing", RESPONSE_COLUMNS)
+        poll_ingest(
+            stream, POLL_KINDS, f"{base}/tables", f"{base}/lake", f"{base}/log", f"{base}/offsets", EVENTS_NOW
+        ).awaitTermination()
+    both = read_table(spark, f"{base}/tables/macro_data", MACRO_DATA).select(
+        "source", "metric_name", "timestamp", "value", F.lit("table").alias("stored"))
+    for source in ("fred", "google_trends", "freight"):
+        side = scan_dataset(spark, f"{base}/lake", observation_lake(source, "macro"))
+        both = both.unionByName(side.select(*both.columns[:-1], F.lit("lake").alias("stored")))
+    return both.withColumn("value", rounded(F.col("value")))
+
+
+@query(
+    "poll_status",
+    POLL_SQL + """
+SELECT kind, metric_name, status, count(*) AS runs, min(fetched_at) AS first_run, max(fetched_at) AS last_run FROM s GROUP BY ALL""",
+)
+def _poll_status(spark, sf_dir):
+    states = None
+    for kind in POLL_KINDS:
+        own = poll_states(_responses(spark, sf_dir), kind).withColumn("kind", F.lit(kind.name))
+        states = own if states is None else states.unionByName(own)
+    return states.groupBy("kind", "metric_name", "status").agg(
+        F.count("*").alias("runs"), F.min("fetched_at").alias("first_run"), F.max("fetched_at").alias("last_run"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -63,9 +64,19 @@ def distinct_stream(stream: DataFrame, table_path: str, spec: TableSpec, checkpo
     return ingest_stream(stream, table_path, spec, checkpoint, ())
 
 
+@dataclass(frozen=True)
+class SinkOutcome:
+    """What a sink tells the run log about a batch, if all rows stored is not the whole truth."""
+
+    status: str
+    fetched: int
+    upserted: int
+    error: str = ""
+
+
 def dual_write(
     stream: DataFrame,
-    sinks: dict[str, Callable[[DataFrame], None]],
+    sinks: dict[str, Callable[[DataFrame], SinkOutcome | None]],
     run_log_path: str,
     checkpoint: str,
     run_ts: datetime | str,
@@ -77,7 +88,8 @@ def dual_write(
     If a required sink fails, the stream fails after the other sinks and the log are written, and the next run
     takes the batch again: the merges make that harmless. A batch that another sink lost is kept in the shared
     folder ``<run_log_path>_kept`` until :func:`repair_sink` has written it. The log has one row per stream, batch
-    and sink, also if a batch is repeated. A batch is staged once and read from there by all sinks.
+    and sink, also if a batch is repeated. A batch is staged once and read from there by all sinks. A sink that returns
+    a :class:`SinkOutcome` is logged with it, else as ``ok`` with all rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -88,8 +100,10 @@ def dual_write(
             fetched = rows.count()
             for sink_name, sink in sinks.items():
                 try:
-                    sink(rows)
-                    entries.append((f"{name}-{batch_id}", sink_name, "ok", fetched, fetched, ""))
+                    told = sink(rows)
+                    if not isinstance(told, SinkOutcome):
+                        told = SinkOutcome("ok", fetched, fetched)
+                    entries.append((f"{name}-{batch_id}", sink_name, told.status, told.fetched, told.upserted, told.error))
                 except Exception as error:  # the other sinks must still be written
                     log.exception("sink %s failed for batch %s", sink_name, batch_id)
                     reason = f"{type(error).__name__}: {error}".splitlines()[0]
