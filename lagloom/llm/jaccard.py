@@ -8,9 +8,10 @@ a prefix token in two further orders, both by other hashes, before sets are comp
 Steps: (1) count hashed tokens over all documents and keep the most frequent buckets, a bounded list; (2) per
 document the set's size, two sums that identify it, and its three prefixes; equal sets become one; (3) sets meet by
 prefix token, tokens shared by the same sets as one group, a group of many in blocks of pairs of parts; inside a group
-the filters are intersected and only a spanning star of what is left goes on, never the pairs; (4) stars give candidate clusters; (5) sets of a cluster meet
-once, a large cluster again in blocks of pairs of parts, and all its pairs of fitting sizes are verified exactly;
-(6) links, again as stars, give the components. No pair is dropped at any step.
+the filters are intersected and only a spanning star of what is left goes on, never the pairs; (4) stars give candidate clusters; (5) a set of a
+cluster is written as its difference from the cluster's smallest set, which for near copies is a small part of it and
+gives sizes of intersections as exactly: |A ^ B| is that of the differences; sets of a cluster meet once, a large
+cluster again in blocks of pairs of parts, and all its pairs of fitting sizes are verified exactly; (6) links, again as stars, give the components. No pair is dropped at any step.
 
 Defined results: a text without words (null, empty, white space) has an empty set and links with nothing; a text with
 fewer words than a shingle has its whole sequence as its only shingle; equal sets link; rows with one doc_id and
@@ -39,10 +40,14 @@ COUNT_RANGES = 64
 #: Bits of the fixed-size filters in front of joins.
 MARK_BITS = 1 << 24
 #: Members of a part of a large token group or cluster; a task holds two parts.
-GROUP_PART = 512
-CLUSTER_PART = 768
-#: Bytes of set hashes of a part of a cluster.
+GROUP_PART = 1024
+CLUSTER_PART = 1536
+#: Bytes of the differences of a part of a cluster.
 CLUSTER_PART_BYTES = 12 << 20
+#: Bytes of set hashes that meet one copy of their cluster's reference.
+REFERENCE_SHARE_BYTES = 64 << 20
+#: Rows of a matrix of pairs that are worked on at once.
+PAIR_ROWS = 256
 
 _SEEDS = (np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
@@ -260,8 +265,10 @@ def _stars(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     """Edges that span the same components as the boolean matrix: every member with the smallest id of its component."""
     label = ids.copy()
     while True:
-        near = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        new = np.minimum(label, near)
+        new = label.copy()
+        for first in range(0, len(ids), PAIR_ROWS):
+            near = np.where(linked[first : first + PAIR_ROWS], label[None, :], np.iinfo(np.int64).max).min(axis=1)
+            new[first : first + PAIR_ROWS] = np.minimum(label[first : first + PAIR_ROWS], near)
         if (new == label).all():
             break
         label = new
@@ -348,8 +355,10 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
 
 def _fitting(sizes: np.ndarray, percent: int) -> np.ndarray:
     """Pairs of different rows whose sizes allow the similarity."""
-    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    fits = 100 * small >= percent * large
+    fits = np.zeros((len(sizes), len(sizes)), dtype=bool)
+    for first in range(0, len(sizes), PAIR_ROWS):
+        own = sizes[first : first + PAIR_ROWS, None]
+        fits[first : first + PAIR_ROWS] = 100 * np.minimum(own, sizes) >= percent * np.maximum(own, sizes)
     np.fill_diagonal(fits, False)
     return fits
 
@@ -358,17 +367,17 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*edges)], names=["a", "b"])
 
 
-def _placed(clusters: DataFrame, percent: int) -> DataFrame:
-    """The blocks every set of the clusters is compared in: (id, doc, component, pair, class, part, low, high, copies).
+def _placed(sets: DataFrame, percent: int) -> DataFrame:
+    """The blocks every set (id, component, n, differing) is compared in: (id, component, pair, class, part, low, high).
 
     A small cluster is one block. In others sets are compared inside their class of sizes and with the next one;
     a class is as wide as linked sizes can differ. What is still too large is cut into pairs of parts.
     """
-    totals = [F.count("*").alias("members"), F.sum("n").alias("tokens")]
-    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("tokens") * 8 / CLUSTER_PART_BYTES)).cast("int")
-    small = clusters.groupBy("component").agg(*totals).select("component", (parts <= 1).alias("small"))
+    totals = [F.count("*").alias("members"), F.sum("differing").alias("tokens")]
+    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("tokens") * 8 / CLUSTER_PART_BYTES, F.lit(1))).cast("int")
+    small = sets.groupBy("component").agg(*totals).select("component", (parts <= 1).alias("small"))
     size_class = F.floor(F.log("n") / float(np.log(100 / percent + 1e-6))).cast("int")
-    sets = clusters.join(small, "component").withColumn("class", F.when(F.col("small"), 0).otherwise(size_class)).drop("small")
+    sets = sets.join(small, "component").withColumn("class", F.when(F.col("small"), 0).otherwise(size_class)).drop("small")
     by_class = Window.partitionBy("component").orderBy("class")  # as many rows as sizes have classes
     near = lambda step: F.lead("class", step).over(by_class) == F.col("class") + step
     more = lambda name: F.col(name) + F.when(near(1), F.lead(name).over(by_class)).otherwise(0)
@@ -379,14 +388,12 @@ def _placed(clusters: DataFrame, percent: int) -> DataFrame:
     own = F.when(F.col("below"), F.array(F.col("class") - 1, "class")).otherwise(F.array("class"))
     sets = sets.join(classes.select("component", "class", "below"), ["component", "class"]).withColumn("pair", F.explode(own))
     placed = _paired(sets.join(pairs, ["component", "pair"]), F.col("parts"), "id")
-    return placed.select("id", "doc", "component", "pair", "class", "part", "low", "high", "copies")
+    return placed.select("id", "component", "pair", "class", "part", "low", "high")
 
 
-def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, root, links) of the sets of all clusters (id, component, doc, n, copies): exact links, as stars and numbers.
+def set_hashes(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(doc, id, hashes) of the sets of all rows whose doc_id is in ``wanted.doc``, and of some others."""
 
-    A row says that the set links, directly or not, with ``root`` inside its block, and how many documents it links with.
-    """
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             sets = shingle_sets(texts_of(piece), size)
@@ -394,31 +401,75 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             columns = [piece.column(0).cast(pa.int64()), pa.array(set_keys(sets)[0]), pa.array(blobs, pa.binary())]
             yield pa.record_batch(columns, names=["doc", "id", "hashes"])
 
-    placed = _placed(clusters, percent)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")  # hashed as ``doc`` is
-    sets = marked(own, "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
+    return marked(own, "doc_id", marks(wanted, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
+
+
+def differences(docs: DataFrame, clusters: DataFrame, size: int) -> DataFrame:
+    """(id, component, n, copies, differing, difference): what every set and its cluster's smallest one don't share.
+
+    At most n + (size of the smallest) hashes, so never more than twice the set. The reference is sent once for every
+    REFERENCE_SHARE_BYTES of its cluster, so that no task holds or streams a large cluster alone.
+    """
+    smallest = clusters.groupBy("component").agg(
+        F.min(F.struct("n", "id", "doc")).alias("least"),
+        F.ceil(F.sum("n") * 8 / REFERENCE_SHARE_BYTES).cast("int").alias("shares"),
+    )
+    smallest = staged(smallest.select("component", "least.id", "least.doc", "shares"), "jaccard-references")
+    references = set_hashes(docs, smallest, size).join(smallest, ["id", "doc"]).dropDuplicates(["component"])
+    share = F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
+    references = references.select("component", share.alias("share"), F.col("hashes").alias("reference"))
+    own = clusters.join(smallest.select("component", "shares"), "component")
+    own = own.withColumn("share", F.pmod(F.xxhash64("id", F.lit(11)), F.col("shares")).cast("int")).drop("shares")
+    sets = set_hashes(docs, clusters, size).join(own, ["id", "doc"]).join(references, ["component", "share"])
+    sets = sets.select("id", "component", "n", "copies", "hashes", "reference")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.setxor1d(np.frombuffer(a.as_py(), "<u8"), np.frombuffer(b.as_py(), "<u8"), assume_unique=True)
+                for a, b in zip(batch.column(4), batch.column(5))
+            ]
+            columns = [pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())]
+            names = ["id", "component", "n", "copies", "differing", "difference"]
+            yield pa.record_batch([*batch.columns[:4], *columns], names=names)
+
+    schema = "id long, component long, n long, copies long, differing long, difference binary"
+    return sets.mapInArrow(differ, schema).dropDuplicates(["id"])  # a repeated row is one set
+
+
+def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, root, links) of the sets of all clusters (id, component, doc, n, copies): exact links, as stars and numbers.
+
+    A row says that the set links, directly or not, with ``root`` inside its block, and how many documents it links with.
+    """
+    sets = staged(differences(docs, clusters, size), "jaccard-differences")
     keys = ["component", "pair", "low", "high"]
-    ordered = sets.join(placed, ["id", "doc"]).repartition(*keys).sortWithinPartitions(*keys)
-    ordered = ordered.select(*keys, "part", "class", "id", "copies", "hashes")
+    placed = _placed(sets.select("id", "component", "n", "differing"), percent)
+    ordered = sets.select("id", "n", "copies", "difference").join(placed, "id").repartition(*keys).sortWithinPartitions(*keys)
+    ordered = ordered.select(*keys, "part", "class", "id", "n", "copies", "difference")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, len(keys)):
-            firsts = np.unique(group.column("id").to_numpy(), return_index=True)[1]  # a repeated row is one set
-            group = group.take(pa.array(firsts))
-            ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
+            ids, copies, sizes = (group.column(c).to_numpy() for c in ("id", "copies", "n"))
             own = group.column("part").to_numpy()
-            lists = [np.frombuffer(b.as_py(), "<u8") for b in group.column("hashes")]
-            sizes = np.array([len(x) for x in lists])
+            lists = [np.frombuffer(b.as_py(), "<u8") for b in group.column("difference")]
+            apart = np.array([len(x) for x in lists])
             linked = _fitting(sizes, percent)
             if group.column("low")[0].as_py() != group.column("high")[0].as_py():
                 linked &= own[:, None] != own[None, :]  # pairs inside a part belong to that part's own block
             upper = group.column("class").to_numpy() > group.column("pair").to_numpy()
             linked &= ~(upper[:, None] & upper[None, :])  # and pairs of the upper class to the next pair of classes
             if linked.any():
-                common = _overlaps(lists).astype(np.int64)
-                linked &= 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+                common = _overlaps(lists)
+                for first in range(0, len(ids), PAIR_ROWS):
+                    rows = slice(first, first + PAIR_ROWS)
+                    both = sizes[rows, None] + sizes  # intersection and union are (both - differ) / 2 and (both + differ) / 2
+                    differ = apart[rows, None] + apart - 2 * common[rows].astype(np.int64)
+                    linked[rows] &= 100 * (both - differ) >= percent * (both + differ)
             roots = dict((b, a) for a, b in _stars(linked, ids))
-            columns = [pa.array(ids), pa.array([roots.get(i, i) for i in ids.tolist()], pa.int64()), pa.array(linked @ copies)]
+            links = [int(copies[row].sum()) for row in linked]
+            columns = [pa.array(ids), pa.array([roots.get(i, i) for i in ids.tolist()], pa.int64()), pa.array(links, pa.int64())]
             yield pa.record_batch(columns, names=["id", "root", "links"])
 
     return ordered.mapInArrow(compare, "id long, root long, links long")
