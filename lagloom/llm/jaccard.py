@@ -391,51 +391,51 @@ def _placed(sets: DataFrame, percent: int) -> DataFrame:
     return placed.select("id", "component", "pair", "class", "part", "low", "high")
 
 
-def set_hashes(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(doc, id, hashes) of the sets of all rows whose doc_id is in ``wanted.doc``, and of some others."""
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            sets = shingle_sets(texts_of(piece), size)
-            blobs = [sets.hashes[a:b].astype("<u8").tobytes() for a, b in zip(sets.rows[:-1], sets.rows[1:])]
-            columns = [piece.column(0).cast(pa.int64()), pa.array(set_keys(sets)[0]), pa.array(blobs, pa.binary())]
-            yield pa.record_batch(columns, names=["doc", "id", "hashes"])
-
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")  # hashed as ``doc`` is
-    return marked(own, "doc_id", marks(wanted, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
-
-
 def differences(docs: DataFrame, clusters: DataFrame, size: int) -> DataFrame:
     """(id, component, n, copies, differing, difference): what every set and its cluster's smallest one don't share.
 
-    At most n + (size of the smallest) hashes, so never more than twice the set. The reference is sent once for every
-    REFERENCE_SHARE_BYTES of its cluster, so that no task holds or streams a large cluster alone.
+    At most n + (size of the smallest) hashes, so never more than twice the set. Texts travel, not hashes, which are
+    larger and don't compress. A cluster is dealt to shares of REFERENCE_SHARE_BYTES of hashes, each with a copy of the
+    reference in front, so that no task has a large cluster alone.
     """
-    smallest = clusters.groupBy("component").agg(
-        F.min(F.struct("n", "id", "doc")).alias("least"),
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            key = pa.array(set_keys(shingle_sets(texts_of(piece), size))[0])
+            yield pa.record_batch([piece.column(0), key, texts_of(piece)], names=["doc", "id", "text"])
+
+    least = clusters.groupBy("component").agg(
+        F.min(F.struct("n", "id")).alias("least"),
         F.ceil(F.sum("n") * 8 / REFERENCE_SHARE_BYTES).cast("int").alias("shares"),
     )
-    smallest = staged(smallest.select("component", "least.id", "least.doc", "shares"), "jaccard-references")
-    references = set_hashes(docs, smallest, size).join(smallest, ["id", "doc"]).dropDuplicates(["component"])
-    share = F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
-    references = references.select("component", share.alias("share"), F.col("hashes").alias("reference"))
-    own = clusters.join(smallest.select("component", "shares"), "component")
-    own = own.withColumn("share", F.pmod(F.xxhash64("id", F.lit(11)), F.col("shares")).cast("int")).drop("shares")
-    sets = set_hashes(docs, clusters, size).join(own, ["id", "doc"]).join(references, ["component", "share"])
-    sets = sets.select("id", "component", "n", "copies", "hashes", "reference")
+    own = clusters.join(least.select("component", F.col("least.id").alias("reference"), "shares"), "component")
+    own = own.withColumn("first", F.col("id") == F.col("reference"))
+    share = F.pmod(F.xxhash64("id", F.lit(11)), F.col("shares")).cast("int")
+    own = own.withColumn("share", F.explode(F.when(F.col("first"), F.sequence(F.lit(0), F.col("shares") - 1)).otherwise(F.array(share))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")  # hashed as ``doc`` is
+    texts = marked(texts, "doc_id", marks(clusters, "doc")).mapInArrow(keyed, "doc long, id long, text string")
+    texts = texts.dropDuplicates(["id", "doc"]).join(own.drop("reference", "shares"), ["id", "doc"])
+    ordered = texts.repartition("component", "share").sortWithinPartitions("component", "share", F.desc("first"), "id")
+    ordered = ordered.select("id", "component", "n", "copies", "share", "first", "text")
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                np.setxor1d(np.frombuffer(a.as_py(), "<u8"), np.frombuffer(b.as_py(), "<u8"), assume_unique=True)
-                for a, b in zip(batch.column(4), batch.column(5))
-            ]
+        reference = np.zeros(0, dtype=np.uint64)
+        for piece in pieces(batches):
+            sets = shingle_sets(texts_of(piece), size)
+            found, kept = [], []
+            for row, (first, share) in enumerate(zip(piece.column(5).to_pylist(), piece.column(4).to_pylist())):
+                hashes = sets.hashes[sets.rows[row] : sets.rows[row + 1]]
+                if first:
+                    reference = hashes.copy()
+                if not first or not share:  # the copies of a reference are no further sets
+                    found.append(np.setxor1d(hashes, reference, assume_unique=True).astype("<u8"))
+                    kept.append(row)
             columns = [pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())]
             names = ["id", "component", "n", "copies", "differing", "difference"]
-            yield pa.record_batch([*batch.columns[:4], *columns], names=names)
+            rows = pa.array(kept, pa.int64())
+            yield pa.record_batch([*(piece.column(k).take(rows) for k in range(4)), *columns], names=names)
 
-    schema = "id long, component long, n long, copies long, differing long, difference binary"
-    return sets.mapInArrow(differ, schema).dropDuplicates(["id"])  # a repeated row is one set
+    return ordered.mapInArrow(differ, "id long, component long, n long, copies long, differing long, difference binary")
 
 
 def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
