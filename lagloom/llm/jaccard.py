@@ -307,6 +307,11 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
 
     A set leaves a token's group if no other there has a fitting size (the next smaller or larger one would). Tokens
     that the same sets share are one group. ``reps`` has the id of every set and the row that stands for it.
+
+    Every set goes with its prefixes to one group first, the widest it is in. Groups that then lie inside one component
+    have nothing to add, as sets of a cluster are verified pair by pair anyway; the others meet as one group for each
+    mixture of components, where the first order is filtered again. So the prefixes of a long set are not sent once for
+    every subset of its near copies that shares a token.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,11 +331,28 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
     members, group_key = F.count("*").over(group), F.bit_xor(F.xxhash64("id", F.lit(3))).over(group)
     shared = tokens.withColumn("members", members).withColumn("group", group_key).where("members > 1")
     shared = staged(shared.select("group", "members", "id").distinct(), "jaccard-groups")
-    sketches = marked(described.selectExpr("key1 as id", "n", "second", "third"), "id", marks(shared, "id"))
-    shared = shared.join(sketches.dropDuplicates(["id"]), "id")
-    blocks = _paired(shared, F.ceil(F.col("members") / GROUP_PART), "id")
+    # one group for every set first: most groups of a family of near copies then lie inside one component
+    widest = shared.groupBy("id").agg(F.max(F.struct("members", "group")).alias("widest")).select("widest.*", "id")
+    near = staged(_filtered_stars(described, widest, percent, ("second", "third")), "jaccard-near")
+    labels = staged(components(near), "jaccard-near-labels")
+    placed = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    spanned = placed.select("group", "members", "component").distinct().groupBy("group", "members")
+    spanned = spanned.agg(F.count("*").alias("components"), F.bit_xor(F.xxhash64("component", F.lit(5))).alias("mixture"))
+    rest = shared.join(spanned.where("components > 1"), ["group", "members"]).select(F.col("mixture").alias("group"), "id").distinct()
+    rest = staged(rest, "jaccard-rest")
+    rest = rest.join(rest.groupBy("group").agg(F.count("*").alias("members")), "group")
+    far = _filtered_stars(described, rest, percent, ("first", "second", "third"))
+    return contracted(near.unionByName(far))
+
+
+def _filtered_stars(described: DataFrame, groups: DataFrame, percent: int, orders: tuple[str, ...]) -> DataFrame:
+    """Edges spanning the pairs inside the groups (group, members, id) that share prefix tokens in the given orders."""
+    sketches = marked(described.selectExpr("key1 as id", "n", *orders), "id", marks(groups, "id"))
+    rows = groups.join(sketches.dropDuplicates(["id"]), "id")
+    blocks = _paired(rows, F.ceil(F.col("members") / GROUP_PART), "id")
     keys = ["group", "members", "low", "high"]
-    ordered = blocks.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "id", "n", "second", "third")
+    ordered = blocks.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "id", "n", *orders)
+    tokens = {"first": "<u8", "second": "<u4", "third": "<u4"}
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = []
@@ -339,9 +361,9 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
                 continue
             ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
             linked = _fitting(sizes, percent)
-            for name in ("second", "third"):
+            for name in orders:
                 if linked.any():
-                    lists = [np.unique(np.frombuffer(b.as_py(), "<u4")) for b in group.column(name)]
+                    lists = [np.unique(np.frombuffer(b.as_py(), tokens[name])) for b in group.column(name)]
                     linked &= _overlaps(lists) > 0
             edges += _stars(linked, ids)
             if len(edges) > 10_000:
