@@ -75,7 +75,6 @@ def test_components_and_links_are_those_of_all_pairs(spark, size, percent):
 def test_large_groups_in_parts_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "GROUP_PART", 3)
     monkeypatch.setattr(jaccard, "CLUSTER_PART", 4)
-    monkeypatch.setattr(jaccard, "REFERENCE_SHARE_BYTES", 2000)
     monkeypatch.setattr(jaccard, "FREQUENT_LEAST", 2)
     rows = corpus(9)
     assert result(jaccard_components(frame(spark, rows), 3, 90)) == brute(rows, 3, 90)
