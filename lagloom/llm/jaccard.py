@@ -386,20 +386,19 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
     """(id, root, links) of the sets of all clusters (id, component, doc, n, copies): exact links, as stars and numbers.
 
     A row says that the set links, directly or not, with ``root`` inside its block, and how many documents it links with.
+    Texts travel to the blocks, which compress, and not their hashes, which are larger and don't.
     """
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            sets = shingle_sets(texts_of(piece), size)
-            blobs = [sets.hashes[a:b].astype("<u8").tobytes() for a, b in zip(sets.rows[:-1], sets.rows[1:])]
-            columns = [piece.column(0).cast(pa.int64()), pa.array(set_keys(sets)[0]), pa.array(blobs, pa.binary())]
-            yield pa.record_batch(columns, names=["doc", "id", "hashes"])
+            key = pa.array(set_keys(shingle_sets(texts_of(piece), size))[0])
+            yield pa.record_batch([piece.column(0), key, texts_of(piece)], names=["doc", "id", "text"])
 
     placed = _placed(clusters, percent)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")  # hashed as ``doc`` is
-    sets = marked(own, "doc_id", marks(clusters, "doc")).mapInArrow(sets_of, "doc long, id long, hashes binary")
+    sets = marked(own, "doc_id", marks(clusters, "doc")).mapInArrow(keyed, "doc long, id long, text string")
     keys = ["component", "pair", "low", "high"]
     ordered = sets.join(placed, ["id", "doc"]).repartition(*keys).sortWithinPartitions(*keys)
-    ordered = ordered.select(*keys, "part", "class", "id", "copies", "hashes")
+    ordered = ordered.select(*keys, "part", "class", "id", "copies", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, len(keys)):
@@ -407,7 +406,10 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             group = group.take(pa.array(firsts))
             ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
             own = group.column("part").to_numpy()
-            lists = [np.frombuffer(b.as_py(), "<u8") for b in group.column("hashes")]
+            lists = []
+            for piece in pieces(group.select(["text"]).to_batches()):
+                sets = shingle_sets(texts_of(piece), size)
+                lists += [sets.hashes[a:b] for a, b in zip(sets.rows[:-1], sets.rows[1:])]
             sizes = np.array([len(x) for x in lists])
             linked = _fitting(sizes, percent)
             if group.column("low")[0].as_py() != group.column("high")[0].as_py():
