@@ -2,15 +2,17 @@
 
 Two sets of sizes m <= n with a Jaccard similarity of s / 100 or more share a token among the first
 n - ceil(s * n / 100) + 1 tokens of each, whatever global order the tokens are sorted in. Candidates come from the
-first order, in which tokens that are frequent in the corpus come last and others follow a hash; they must also share
-a prefix token in two further orders, both by other hashes, before sets are compared.
+first order, in which tokens that are frequent in the corpus come last and others follow a hash. Before sets are
+compared they must also share enough of a longer prefix in an order by another hash: of p and q tokens of sets of sizes m
+and n that have t tokens in common, p - (m - t) or q - (n - t) are shared, whichever is less. One shared token tells little
+about long texts, a third of the prefix does.
 
 Steps: (1) count hashed tokens over all documents and keep the most frequent buckets, a bounded list; (2) per
-document the set's size, two sums that identify it, and its three prefixes; equal sets become one; (3) sets meet by
+document the set's size, two sums that identify it, and its two prefixes; equal sets become one; (3) sets meet by
 prefix token, tokens shared by the same sets as one group, a group of many in blocks of pairs of parts; inside a group
-the filters are intersected and only a spanning star of what is left goes on, never the pairs; (4) stars give candidate clusters; (5) sets of a cluster meet
-once, a large cluster again in blocks of pairs of parts, and all its pairs of fitting sizes are verified exactly;
-(6) links, again as stars, give the components. No pair is dropped at any step.
+the filter is applied to all pairs and only a spanning star of what is left goes on, never the pairs; (4) stars give
+candidate clusters; (5) sets of a cluster meet once, a large cluster again in blocks of pairs of parts, and all its pairs
+of fitting sizes are verified exactly; (6) links, again as stars, give the components. No pair is dropped at any step.
 
 Defined results: a text without words (null, empty, white space) has an empty set and links with nothing; a text with
 fewer words than a shingle has its whole sequence as its only shingle; equal sets link; rows with one doc_id and
@@ -144,8 +146,10 @@ def frequent_buckets(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
     return values[order], np.minimum(counts[order], (1 << 32) - 1).astype(np.uint32)
 
 
-def prefixes(sets: Sets, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per order the tokens of all rows' prefixes and where those of each row begin."""
+def prefixes(
+    sets: Sets, frequent: tuple[np.ndarray, np.ndarray], percent: int, seeds: tuple[np.uint64, ...] = _SEEDS
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per order, one for each seed, the tokens of all rows' prefixes and where those of each row begin."""
     sizes = np.diff(sets.rows)
     keep = np.where(sizes > 0, sizes - least_common(sizes, percent) + 1, 0)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -158,12 +162,41 @@ def prefixes(sets: Sets, frequent: tuple[np.ndarray, np.ndarray], percent: int)
         found = frequent[0][at] == bucket(sets.hashes)
         weight[found] = frequent[1][at[found]]
     result = []
-    for number, seed in enumerate(_SEEDS):
+    for number, seed in enumerate(seeds):
         order = np.lexsort((mix64(sets.hashes + seed), weight, owner) if not number else (mix64(sets.hashes + seed), owner))
         result.append((sets.hashes[order][kept], ends))
     return result
 
 
+def long_prefix(m: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens in the long prefix of a set of size m: half as many again as must be looked at for one shared token."""
+    missing = m - least_common(m, percent)
+    return np.where(m > 0, np.minimum(m, missing + missing // 2 + 1), 0)
+
+
+def long_prefixes(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The long prefixes in an order by hash as sorted distinct 16-bit tokens, and where those of each row begin."""
+    sizes = np.diff(sets.rows)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    rank_in_row = np.arange(len(owner)) - np.repeat(sets.rows[:-1], sizes)
+    kept = rank_in_row < np.repeat(long_prefix(sizes, percent), sizes)  # after sorting within rows
+    order = np.lexsort((mix64(sets.hashes + _SEEDS[1]), owner))[kept]
+    tokens = np.unique(owner[order] << 16 | (sets.hashes[order] >> np.uint64(48)).astype(np.int64))
+    return (tokens & 0xFFFF).astype("<u2"), np.searchsorted(tokens >> 16, np.arange(len(sizes) + 1))
+
+
+def _sharing(lists: list[np.ndarray], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs whose long prefixes share as many tokens as those of linked sets do at least.
+
+    Tokens of one prefix that became equal when they were shortened are taken off what a pair needs.
+    """
+    together = sizes[:, None] + sizes[None, :]
+    outside = sizes - long_prefix(sizes, percent)
+    equal = long_prefix(sizes, percent) - np.array([len(x) for x in lists])
+    need = -(-percent * together // (100 + percent)) - np.maximum.outer(outside, outside) - np.minimum.outer(equal, equal)
+    return _overlaps(lists) >= need
+
+
 def _row_sums(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sums modulo 2^64 of the values of each row."""
     upto = np.zeros(len(values) + 1, dtype=np.uint64)
@@ -177,9 +210,9 @@ def set_keys(sets: Sets) -> list[np.ndarray]:
 
 
 def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row doc_id, n, two sums that identify the set, and the prefixes of the three orders as bytes.
+    """Per row doc_id, n, two sums that identify the set, and its prefix and long prefix as bytes.
 
-    Tokens of the first order are 64-bit, of the others their high 32 bits: those can only let more candidates through.
+    Tokens of the prefix are 64-bit, of the long one their high 16 bits: those can only let more candidates through.
     """
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, size))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -188,13 +221,12 @@ def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
         for piece in pieces(batches):
             sets = shingle_sets(texts_of(piece), size)
             blobs = []
-            for number, (tokens, ends) in enumerate(prefixes(sets, frequent.value, percent)):
-                tokens = tokens.astype("<u8") if not number else bucket(tokens).astype("<u4")
+            for tokens, ends in (*prefixes(sets, frequent.value, percent, _SEEDS[:1]), long_prefixes(sets, percent)):
                 blobs.append(pa.array([tokens[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()))
             columns = [piece.column(0), pa.array(np.diff(sets.rows)), *map(pa.array, set_keys(sets)), *blobs]
-            yield pa.record_batch(columns, names=["doc_id", "n", "key1", "key2", "first", "second", "third"])
+            yield pa.record_batch(columns, names=["doc_id", "n", "key1", "key2", "first", "second"])
 
-    schema = f"doc_id {id_type}, n long, key1 long, key2 long, first binary, second binary, third binary"
+    schema = f"doc_id {id_type}, n long, key1 long, key2 long, first binary, second binary"
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
@@ -296,7 +328,7 @@ def marked(frame: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
 
 
 def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) spanning the candidates: sets that share prefix tokens in all orders and have fitting sizes.
+    """Edges (a, b) spanning the candidates: sets of fitting sizes that share a prefix token and enough of the long prefix.
 
     A set leaves a token's group if no other there has a fitting size (the next smaller or larger one would). Tokens
     that the same sets share are one group. ``reps`` has the id of every set and the row that stands for it.
@@ -319,11 +351,11 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
     members, group_key = F.count("*").over(group), F.bit_xor(F.xxhash64("id", F.lit(3))).over(group)
     shared = tokens.withColumn("members", members).withColumn("group", group_key).where("members > 1")
     shared = staged(shared.select("group", "members", "id").distinct(), "jaccard-groups")
-    sketches = marked(described.selectExpr("key1 as id", "n", "second", "third"), "id", marks(shared, "id"))
+    sketches = marked(described.selectExpr("key1 as id", "n", "second"), "id", marks(shared, "id"))
     shared = shared.join(sketches.dropDuplicates(["id"]), "id")
     blocks = _paired(shared, F.ceil(F.col("members") / GROUP_PART), "id")
     keys = ["group", "members", "low", "high"]
-    ordered = blocks.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "id", "n", "second", "third")
+    ordered = blocks.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "id", "n", "second")
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = []
@@ -332,10 +364,8 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
                 continue
             ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
             linked = _fitting(sizes, percent)
-            for name in ("second", "third"):
-                if linked.any():
-                    lists = [np.unique(np.frombuffer(b.as_py(), "<u4")) for b in group.column(name)]
-                    linked &= _overlaps(lists) > 0
+            if linked.any():
+                linked &= _sharing([np.frombuffer(b.as_py(), "<u2") for b in group.column("second")], sizes, percent)
             edges += _stars(linked, ids)
             if len(edges) > 10_000:
                 yield _edge_batch(edges)

@@ -108,6 +108,36 @@ def test_linked_sets_share_a_prefix_token_in_every_order():
                     assert a & b
 
 
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
+def test_linked_sets_share_enough_of_the_long_prefix(size, percent):
+    texts = [t for _, t, *_ in corpus(7) + edge_rows()] + [" ".join(f"t{i * k % 60_013}" for i in range(1, 60_000)) for k in (1, 2, 3)]
+    texts += [f"{texts[-1]} and one more", texts[-1][: len(texts[-1]) * 91 // 100]]  # so long that 16-bit tokens repeat
+    sets = shingle_sets(texts_of(pa.record_batch([pa.array(texts)], names=["text"])), size)
+    tokens, ends = jaccard.long_prefixes(sets, percent)
+    own = [set(sets.hashes[a:b].tolist()) for a, b in zip(sets.rows[:-1], sets.rows[1:])]
+    lists = [tokens[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    assert all(len(np.unique(x)) == len(x) for x in lists)
+    passed = jaccard._sharing(lists, np.diff(sets.rows), percent)
+    linked = np.array([[len(a & b) * 100 >= percent * len(a | b) and len(a) > 0 for b in own] for a in own])
+    other = ~np.eye(len(own), dtype=bool)
+    assert (linked & other).any() and passed[linked & other].all() and not passed[~linked & other].all()
+
+
+def test_long_texts_that_share_little_are_not_compared(spark, monkeypatch):
+    shared = [prose(5000 + i, 12) for i in range(30)]
+    rows = [(i, " ".join(f"{part} {prose(100 * i + k, 24)}" for k, part in enumerate(shared)), None, None, None) for i in range(8)]
+    rows += [(50, rows[0][1] + " end", None, None, None)]
+    compared, verified = [], jaccard.verified
+
+    def spy(docs, clusters, *more):
+        compared.append(sorted(r.doc for r in clusters.collect()))
+        return verified(docs, clusters, *more)
+
+    monkeypatch.setattr(jaccard, "verified", spy)
+    found = result(jaccard_components(frame(spark, rows), 3, 90))
+    assert found == brute(rows, 3, 90) and compared == [[0, 50]]
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 230)]
