@@ -43,14 +43,19 @@ HIDDEN = 32
 ROUNDS = 2
 LEARNING_RATE = 0.1
 BATCH = 512
-#: Words scored at once.
-CHUNK = 1 << 15
+#: High bits of a hash by which the known words are looked up.
+SLOT_BITS = 16
+#: Words scored at once: their logits, 4 bytes for each class, fit into a core's cache.
+CHUNK = 1 << 12
 SLICE = 1 << 14
 #: Logarithms of counts are summed in whole numbers of 1 / LOG_UNIT.
 LOG_UNIT = 1 << 32
 #: Copies of a model averaged in one group.
 COPIES = 64
 
+#: Of 16 bits, which are sorted by radix.
+NUMBER = np.min_scalar_type(VOCABULARY + HASHED - 1)
+
 BOUNDARY, RARE = 0, 1
 
 
@@ -71,8 +76,16 @@ class Lexicon(NamedTuple):
         hashed = VOCABULARY + (words >> np.uint64(64 - HASHED_BITS)).astype(np.int64)
         if not len(self.hashes):
             return hashed
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, self.numbers[at], hashed)
+        slots = np.arange((1 << SLOT_BITS) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - SLOT_BITS)
+        first = np.searchsorted(self.hashes, slots)  # of the known words with the same high bits; a few at most
+        deepest = int(np.diff(first, append=len(self.hashes)).max())
+        at = first[words >> np.uint64(64 - SLOT_BITS)]
+        known = np.concatenate([self.hashes, np.zeros(deepest, dtype=np.uint64)])
+        numbers = np.concatenate([self.numbers, np.zeros(deepest, dtype=np.int64)])
+        for step in range(deepest):
+            hits = np.flatnonzero((known[at + step] == words) & (at + step < len(self.hashes)))
+            hashed[hits] = numbers[at[hits] + step]
+        return hashed
 
 
 def as_targets(numbers: np.ndarray) -> np.ndarray:
@@ -146,13 +159,16 @@ class Network(NamedTuple):
 
 def neighbours(numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The numbers of the REACH words before and after each word, BOUNDARY beyond its row."""
-    counts = np.diff(rows)
-    begin, end = np.repeat(rows[:-1], counts), np.repeat(rows[1:], counts)
-    at = np.arange(len(numbers))
     found = np.full((len(numbers), 2 * REACH), BOUNDARY, dtype=np.int64)
-    for k, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        inside = (at + step >= begin) & (at + step < end)
-        found[inside, k] = numbers[at[inside] + step]
+    begin, end = rows[:-1], rows[1:]
+    for k, step in enumerate(range(-REACH, 0)):
+        found[-step:, k] = numbers[:step]
+        for first in range(-step):  # words with fewer before them in their row
+            found[(begin + first)[begin + first < end], k] = BOUNDARY
+    for k, step in enumerate(range(1, REACH + 1), REACH):
+        found[:-step, k] = numbers[step:]
+        for last in range(1, step + 1):
+            found[(end - last)[end - last >= begin], k] = BOUNDARY
     return found
 
 
@@ -163,12 +179,15 @@ def targets(rows: np.ndarray, number: int, rounds: int) -> np.ndarray:
 
 def train_batch(net: Network, context: np.ndarray, target: np.ndarray, rate: float) -> None:
     """One gradient step on the mean negative log-likelihood of the targets' classes, in place."""
-    inputs = net.embed[context].reshape(len(target), -1)  # batch, position and width
+    inputs = net.embed.take(context.ravel(), axis=0).reshape(len(target), -1)  # batch, position and width
     project = net.project.reshape(-1, HIDDEN)
-    hidden = np.tanh(inputs @ project + net.bias)
-    logits = hidden @ net.out + net.out_bias
-    logits -= logits.max(axis=1, keepdims=True)
-    delta = np.exp(logits)
+    hidden = inputs @ project
+    hidden += net.bias
+    np.tanh(hidden, out=hidden)
+    delta = hidden @ net.out
+    delta += net.out_bias
+    delta -= delta.max(axis=1, keepdims=True)
+    np.exp(delta, out=delta)
     delta /= delta.sum(axis=1, keepdims=True)
     delta[np.arange(len(target)), target] -= 1
     delta *= rate / len(target)
@@ -178,10 +197,11 @@ def train_batch(net: Network, context: np.ndarray, target: np.ndarray, rate: flo
     net.out_bias[...] -= delta.sum(axis=0)
     net.project[...] -= (inputs.T @ back).reshape(net.project.shape)
     net.bias[...] -= back.sum(axis=0)
-    flat = context.ravel()
+    flat = context.ravel().astype(NUMBER)
     order = np.argsort(flat, kind="stable")  # sums per word first: much faster than np.subtract.at
-    begins = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0]))
-    net.embed[flat[order[begins]]] -= np.add.reduceat(inner.reshape(-1, WIDTH)[order], begins)
+    flat = flat[order]
+    begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    net.embed[flat[begins]] -= np.add.reduceat(inner.reshape(-1, WIDTH).take(order, axis=0), begins)
 
 
 AVERAGED = ["slice", "part", "weights", "seen"]
@@ -239,7 +259,7 @@ class Scorer:
 
     def __init__(self, net: Network, lexicon: Lexicon) -> None:
         self.net, self.lexicon = net, lexicon
-        self.tables = np.einsum("vw,pwh->pvh", net.embed, net.project, optimize=True)
+        self.tables = np.ascontiguousarray(np.einsum("vw,pwh->pvh", net.embed, net.project, optimize=True))
 
     def words(self, numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
         found = np.zeros(len(numbers), dtype=np.float64)
@@ -247,12 +267,17 @@ class Scorer:
         for first in range(0, len(numbers), CHUNK):
             some = context[first : first + CHUNK]
             target = as_targets(numbers[first : first + CHUNK])
-            hidden = np.tanh(sum(self.tables[p][some[:, p]] for p in range(2 * REACH)) + self.net.bias)
-            logits = hidden @ self.net.out + self.net.out_bias
+            hidden = self.tables[0].take(some[:, 0], axis=0)
+            for p in range(1, 2 * REACH):
+                hidden += self.tables[p].take(some[:, p], axis=0)
+            hidden += self.net.bias
+            logits = np.tanh(hidden, out=hidden) @ self.net.out
+            logits += self.net.out_bias
+            own = logits[np.arange(len(target)), self.lexicon.classes[target]]
             top = logits.max(axis=1)
-            total = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
-            kind = self.lexicon.classes[target]
-            found[first : first + CHUNK] = logits[np.arange(len(target)), kind] - total + self.lexicon.within[target]
+            logits -= top[:, None]
+            total = top + np.log(np.exp(logits, out=logits).sum(axis=1))
+            found[first : first + CHUNK] = own - total + self.lexicon.within[target]
         return found
 
 

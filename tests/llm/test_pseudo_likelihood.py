@@ -7,11 +7,15 @@ import pytest
 from lagloom.llm.batches import words_of
 from lagloom.llm.pseudo_likelihood import (
     BOUNDARY,
+    CHUNK,
     CLASSES,
+    HASHED,
+    NUMBER,
     RARE,
     REACH,
     ROUNDS,
     VOCABULARY,
+    Lexicon,
     Network,
     Scorer,
     average,
@@ -45,6 +49,43 @@ def test_context_is_what_stands_around_in_the_same_row():
     assert BOUNDARY == 0 and REACH == 2
 
 
+def test_neighbours_are_those_of_each_row_by_itself():
+    pick = np.random.default_rng(4)
+    counts = [0, 1, 0, 2, 3, 4, 0, 0, 9, 1, 1, 5, 0]
+    rows = np.concatenate([[0], np.cumsum(counts)])
+    numbers = pick.integers(2, 99, rows[-1])
+    want = []
+    for a, b in zip(rows[:-1], rows[1:]):
+        padded = [BOUNDARY] * REACH + numbers[a:b].tolist() + [BOUNDARY] * REACH
+        want += [padded[i : i + REACH] + padded[i + REACH + 1 : i + 2 * REACH + 1] for i in range(b - a)]
+    assert neighbours(numbers, rows).tolist() == want
+    assert neighbours(numbers[:0], np.array([0, 0])).shape == (0, 2 * REACH)
+    assert neighbours(numbers[:1], np.array([0, 1])).tolist() == [[BOUNDARY] * 2 * REACH]
+
+
+def test_known_words_are_found_and_others_hashed():
+    pick = np.random.default_rng(6)
+    near = np.uint64(7 << 48) + np.arange(40, dtype=np.uint64)  # with the same high bits
+    known = np.unique(np.concatenate([near, pick.integers(0, 1 << 64, 900, dtype=np.uint64), np.array([0, (1 << 64) - 1], dtype=np.uint64)]))
+    lexicon = Lexicon(known, np.arange(len(known)) + 2, np.zeros(1), np.zeros(1), "")
+    others = np.concatenate([near + np.uint64(40), known[5:9] + np.uint64(1), pick.integers(0, 1 << 64, 500, dtype=np.uint64)])
+    number = {int(h): i + 2 for i, h in enumerate(known)}
+    for words in (np.concatenate([known, others]), others[:0], known[:1], known[-1:]):
+        assert lexicon.lookup(words).tolist() == [number.get(w, VOCABULARY + (w >> 52)) for w in words.tolist()]
+    few = Lexicon(known[1:-1], np.arange(len(known) - 2) + 2, np.zeros(1), np.zeros(1), "")
+    assert few.lookup(known[[0, -1]]).tolist() == [VOCABULARY, VOCABULARY + HASHED - 1]
+
+
+def test_tables_are_gathered_from_without_a_copy():
+    scorer = Scorer(Network.start(), Lexicon(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(2, dtype=np.int64), np.zeros(2), ""))
+    assert all(table.flags.c_contiguous for table in scorer.tables)
+
+
+def test_what_is_scored_and_sorted_at_once_stays_small():
+    assert CHUNK * CLASSES * 4 <= 1 << 20  # the logits of a chunk, in a core's cache
+    assert np.dtype(NUMBER).itemsize == 2 and np.iinfo(NUMBER).max >= VOCABULARY + HASHED - 1  # sorted by radix
+
+
 def test_every_word_is_a_target_once():
     rows = np.array([0, 1, 1, 6, 8, 21])
     for rounds in (1, ROUNDS, 6):
