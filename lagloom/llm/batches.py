@@ -14,12 +14,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 21
-SPACES = b" \t\n\x0b\x0c\r"
-
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[list(SPACES)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_POSITIONS = 32
@@ -79,12 +73,17 @@ class Words(NamedTuple):
     rows: np.ndarray
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return data + ((data - np.uint8(65)) < 26) * np.uint8(32)
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of every word; a word never reaches over the end of a row."""
     size = len(data)
     if not size:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    inside = ~_IS_SPACE[data]
+    inside = (data != 32) & ((data - np.uint8(9)) > 4)
     cut = np.zeros(size + 1, dtype=bool)
     cut[offsets] = True
     first, last = inside.copy(), inside.copy()
@@ -96,26 +95,34 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every byte span; spans are ascending, not empty and don't overlap.
 
-    The sum over a span of a random value for each (byte, position) pair, with the length mixed in.
+    The sum over a span of a random value for each (byte, position) pair, with the length mixed in. Spans are taken from
+    the longest to the shortest, so that those which have a position are the first ones.
     """
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     lengths = ends - starts
-    heads = np.cumsum(lengths) - lengths
-    total = int(heads[-1] + lengths[-1])
-    at = np.arange(total, dtype=np.int64) - np.repeat(heads, lengths)
-    code = at * 256 + data[at + np.repeat(starts, lengths)]
-    values = _TABLE[np.minimum(code, len(_TABLE) - 1)]
-    if len(far := np.flatnonzero(at >= _TABLE_POSITIONS)):
-        values[far] = _byte_at(code[far])
-    return mix64(np.add.reduceat(values, heads) + lengths.astype(np.uint64) * GOLDEN)
+    near = np.minimum(lengths, _TABLE_POSITIONS).astype(np.uint8)  # sorted by radix
+    order = np.argsort(near, kind="stable")[::-1]
+    at, sums = starts[order], np.zeros(len(starts), dtype=np.uint64)
+    for position, count in enumerate(len(starts) - np.cumsum(np.bincount(near))[:-1]):
+        sums[:count] += _TABLE[256 * position : 256 * position + 256].take(data.take(at[:count]))
+        at[:count] += 1
+    values = np.empty_like(sums)
+    values[order] = sums
+    if len(far := np.flatnonzero(lengths > _TABLE_POSITIONS)):
+        rest = lengths[far] - _TABLE_POSITIONS
+        heads = np.cumsum(rest) - rest
+        behind = np.arange(heads[-1] + rest[-1]) - np.repeat(heads, rest) + _TABLE_POSITIONS
+        codes = behind * 256 + data[behind + np.repeat(starts[far], rest)]
+        values[far] += np.add.reduceat(_byte_at(codes), heads)
+    return mix64(values + lengths.astype(np.uint64) * GOLDEN)
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
     """Words of all rows of a piece; with ``lower``, A-Z count as a-z."""
     data, offsets = buffers(texts)
     if lower:
-        data = _LOWER[data]
+        data = lowered(data)
     starts, ends = word_bounds(data, offsets)
     return Words(hash_spans(data, starts, ends), np.searchsorted(starts, offsets).astype(np.int64))
 

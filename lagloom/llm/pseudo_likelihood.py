@@ -197,11 +197,25 @@ def train_batch(net: Network, context: np.ndarray, target: np.ndarray, rate: flo
     net.out_bias[...] -= delta.sum(axis=0)
     net.project[...] -= (inputs.T @ back).reshape(net.project.shape)
     net.bias[...] -= back.sum(axis=0)
-    flat = context.ravel().astype(NUMBER)
-    order = np.argsort(flat, kind="stable")  # sums per word first: much faster than np.subtract.at
-    flat = flat[order]
-    begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    net.embed[flat[begins]] -= np.add.reduceat(inner.reshape(-1, WIDTH).take(order, axis=0), begins)
+    subtract_sums(net.embed, context.ravel(), inner.reshape(-1, WIDTH))
+
+
+def subtract_sums(table: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> None:
+    """Subtracts each row from the table's row of its number, summed per number first: much faster than np.subtract.at.
+
+    Nearly all numbers have two rows (a word between two targets is a neighbour of both), which are added at once.
+    """
+    flat = numbers.astype(NUMBER)
+    order = np.argsort(flat, kind="stable")
+    flat = flat.take(order)
+    bounds = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]]))
+    begins, sizes = bounds[:-1], np.diff(bounds)
+    two = sizes == 2
+    first = begins[two]
+    table[flat.take(first)] -= rows.take(order.take(first), axis=0) + rows.take(order.take(first + 1), axis=0)
+    if len(rest := np.flatnonzero(~two)):
+        sums = np.add.reduceat(rows.take(order[np.repeat(~two, sizes)], axis=0), np.cumsum(sizes[rest]) - sizes[rest])
+        table[flat.take(begins[rest])] -= sums
 
 
 AVERAGED = ["slice", "part", "weights", "seen"]

@@ -23,6 +23,7 @@ from lagloom.llm.pseudo_likelihood import (
     neighbours,
     pseudo_likelihood,
     score,
+    subtract_sums,
     targets,
     train,
     train_batch,
@@ -119,6 +120,20 @@ def test_gradient_is_the_slope_of_the_loss():
     assert loss(start) - loss(moved) == pytest.approx(float(step @ step) / 1e-3, rel=0.02)
 
 
+def test_rows_are_subtracted_by_number_as_summed_one_by_one():
+    pick = np.random.default_rng(8)
+    mixed = pick.permutation(np.repeat(np.arange(40), [1, 2, 2, 2, 2, 2, 2, 3, 4, 20] * 4))
+    for number in (mixed, mixed[:1], np.arange(9), np.repeat(np.arange(9), 2)):  # also without pairs, and with pairs only
+        rows = pick.normal(size=(len(number), 3)).astype(np.float32)
+        order = np.argsort(number, kind="stable")
+        begins = np.flatnonzero(np.diff(number[order], prepend=-1))
+        want = np.ones((40, 3), np.float32)
+        want[number[order][begins]] -= np.add.reduceat(rows[order], begins)
+        found = np.ones((40, 3), np.float32)
+        subtract_sums(found, number, rows)
+        assert found.tolist() == want.tolist()
+
+
 def test_scores_are_summed_conditional_probabilities(spark):
     docs = frame(spark, corpus(60))
     lexicon = build_lexicon(docs)
