@@ -37,7 +37,11 @@ from lagloom.llm.staging import staged
 #: The list of frequent buckets has at most so many entries (4 + 4 bytes each in a broadcast).
 FREQUENT_MOST = 1 << 20
 FREQUENT_LEAST = 8
-COUNT_RANGES = 64
+#: Ranges of the 32-bit buckets. A task counts one at a time, so its memory follows a range's width, not the corpus.
+COUNT_RANGES = 2048
+#: Buckets that a task holds before it packs them, and those of a range before they become counts.
+SEND_HELD = 1 << 22
+COUNT_HELD = 1 << 20
 #: Bits of the fixed-size filters in front of joins.
 MARK_BITS = 1 << 24
 #: Members of a part of a large token group or cluster; a task holds two parts.
@@ -94,8 +98,8 @@ def bucket(hashes: np.ndarray) -> np.ndarray:
 def frequent_buckets(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent 32-bit buckets of shingle hashes over all documents, and their counts.
 
-    Tasks send their sorted buckets as one row for each range, the high 16 bits as counts per value. Which buckets make
-    the list only decides how long the work takes.
+    Tasks send their sorted buckets as one row for each range, the high 16 bits as counts per value; rows of a range
+    follow each other in the task that counts it. Which buckets make the list only decides how long the work takes.
     """
     cells = (1 << 16) // COUNT_RANGES
 
@@ -104,33 +108,35 @@ def frequent_buckets(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
         for piece in pieces(batches):
             held.append(bucket(shingle_sets(texts_of(piece), size).hashes))
             total += len(held[-1])
-            if total > 1 << 22:
-                yield packed(np.sort(np.concatenate(held)))
-                held, total = [], 0
+            if total > SEND_HELD:
+                yield packed(held)
+                total = 0
         if total:
-            yield packed(np.sort(np.concatenate(held)))
-
-    def packed(values: np.ndarray) -> pa.RecordBatch:
-        counts = np.bincount(values >> np.uint32(16), minlength=1 << 16).astype("<u4").reshape(COUNT_RANGES, cells)
-        ends = np.concatenate([[0], np.cumsum(counts.sum(axis=1, dtype=np.int64))])
-        low = (values & np.uint32(0xFFFF)).astype("<u2")
-        blobs = [counts[r].tobytes() + low[ends[r] : ends[r + 1]].tobytes() for r in range(COUNT_RANGES)]
-        return pa.record_batch([pa.array(range(COUNT_RANGES), pa.int32()), pa.array(blobs, pa.binary())], names=["range", "blob"])
-
-    def count(group: pa.Table) -> pa.Table:
-        first = group.column("range")[0].as_py() * cells
-        parts = []
-        for blob in group.column("blob"):
-            blob = blob.as_py()
-            counts = np.frombuffer(blob, "<u4", cells)
-            high = np.repeat(np.arange(first, first + cells, dtype=np.uint32), counts)
-            parts.append(high << np.uint32(16) | np.frombuffer(blob, "<u2", offset=4 * cells))
-        values, counts = np.unique(np.concatenate(parts), return_counts=True)
-        often = counts >= FREQUENT_LEAST
-        return pa.table([pa.array(values[often].astype(np.int64)), pa.array(counts[often])], names=["bucket", "n"])
-
-    counted = docs.select("text").mapInArrow(send, "range int, blob binary").groupBy("range")
-    counted = staged(counted.applyInArrow(count, "bucket long, n long"), "jaccard-counts")
+            yield packed(held)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.concatenate(held)
+        held.clear()
+        values.sort()
+        ends = np.searchsorted(values, np.arange(1, 1 << 16, dtype=np.uint32) << np.uint32(16))
+        ends = np.concatenate([[0], ends, [len(values)]])
+        counts = np.diff(ends).astype("<u4").reshape(COUNT_RANGES, cells)
+        low, ends = values.astype("<u2"), ends[::cells]  # the low 16 bits
+        own = np.flatnonzero(np.diff(ends))
+        columns = [[counts[r].tobytes() for r in own], [low[ends[r] : ends[r + 1]].tobytes() for r in own]]
+        return pa.record_batch([pa.array(own, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["range", "cells", "low"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, values, counts in range_counts(batches, cells):
+            often = np.flatnonzero(counts >= FREQUENT_LEAST)
+            for first in range(0, len(often), 1 << 16):
+                at = often[first : first + (1 << 16)]
+                found = [own * (cells << 16) + values[at].astype(np.int64), counts[at].astype(np.int64)]
+                yield pa.record_batch([pa.array(c) for c in found], names=["bucket", "n"])
+
+    sent = docs.select("text").mapInArrow(send, "range int, cells binary, low binary")
+    counted = sent.repartition("range").sortWithinPartitions("range").mapInArrow(count, "bucket long, n long")
+    counted = staged(counted, "jaccard-counts")
     levels = counted.groupBy(F.floor(F.log2("n") * 4).alias("level")).count().orderBy(F.desc("level")).collect()
     total, lowest = 0, None  # a few dozen levels
     for level in levels:
@@ -146,6 +152,45 @@ def frequent_buckets(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
     return values[order], np.minimum(counts[order], (1 << 32) - 1).astype(np.uint32)
 
 
+def range_counts(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per range, whose rows (range, cells, low) follow each other: it, its distinct values from its start on, their counts.
+
+    Few values are sorted; more go to an array of the range's width, a bounded number at once.
+    """
+    current, held, total, dense = None, [], 0, None
+
+    def summed() -> np.ndarray:
+        found = np.bincount(np.concatenate(held), minlength=cells << 16)
+        return found if dense is None else np.add(dense, found, out=dense)
+
+    def ended() -> tuple[int, np.ndarray, np.ndarray]:
+        if dense is None:
+            return current, *np.unique(np.concatenate(held), return_counts=True)
+        counts = summed() if held else dense
+        values = np.flatnonzero(counts)
+        return current, values, counts[values]
+
+    for batch in batches:
+        ranges = np.asarray(batch.column(0))
+        cuts = [0, *(np.flatnonzero(ranges[1:] != ranges[:-1]) + 1).tolist(), len(ranges)]
+        for first, stop in zip(cuts[:-1], cuts[1:]):
+            if first == stop:
+                continue
+            if current is not None and current != ranges[first]:
+                yield ended()
+                held, total, dense = [], 0, None
+            current = int(ranges[first])
+            counts = np.frombuffer(b"".join(batch.column(1)[first:stop].to_pylist()), "<u4")
+            low = np.frombuffer(b"".join(batch.column(2)[first:stop].to_pylist()), "<u2")
+            high = np.repeat(np.tile(np.arange(cells, dtype=np.int32) << 16, stop - first), counts)
+            held.append(high | low)
+            total += len(low)
+            if total > COUNT_HELD:
+                dense, held, total = summed(), [], 0
+    if current is not None:
+        yield ended()
+
+
 def prefixes(
     sets: Sets, frequent: tuple[np.ndarray, np.ndarray], percent: int, seeds: tuple[np.uint64, ...] = _SEEDS
 ) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -190,11 +235,15 @@ def _sharing(lists: list[np.ndarray], sizes: np.ndarray, percent: int) -> np.nda
 
     Tokens of one prefix that became equal when they were shortened are taken off what a pair needs.
     """
-    together = sizes[:, None] + sizes[None, :]
     outside = sizes - long_prefix(sizes, percent)
     equal = long_prefix(sizes, percent) - np.array([len(x) for x in lists])
-    need = -(-percent * together // (100 + percent)) - np.maximum.outer(outside, outside) - np.minimum.outer(equal, equal)
-    return _overlaps(lists) >= need
+    common = _overlaps(lists)
+    shared = np.zeros(common.shape, dtype=bool)
+    for rows in _slices(len(lists)):
+        together = sizes[rows, None] + sizes[None, :]
+        need = -(-percent * together // (100 + percent)) - np.maximum.outer(outside[rows], outside) - np.minimum.outer(equal[rows], equal)
+        shared[rows] = common[rows] >= need
+    return shared
 
 
 def _row_sums(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -278,21 +327,26 @@ def _overlaps(lists: list[np.ndarray]) -> np.ndarray:
     common = np.zeros((len(lists), len(lists)), dtype=np.float32)
     if not len(owner):
         return common
-    column = np.unique(column, return_inverse=True)[1]
-    width = 1 + int(column.max())
+    column = np.concatenate([[0], np.cumsum(column[1:] != column[:-1])])  # ascending
+    width = 1 + int(column[-1])
     for first in range(0, width, 4096):  # a bounded slice of the incidence matrix at once
-        inside = (column >= first) & (column < first + 4096)
+        inside = slice(*np.searchsorted(column, [first, first + 4096]))
         held = np.zeros((len(lists), min(4096, width - first)), dtype=np.float32)
         held[owner[inside], column[inside] - first] = 1
         common += held @ held.T
     return common
 
 
+def _slices(count: int) -> list[slice]:
+    """Rows of a matrix of pairs, a bounded number at once: numbers of 64 bits for all pairs are large."""
+    return [slice(first, first + 128) for first in range(0, count, 128)] or [slice(0, 0)]
+
+
 def _stars(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     """Edges that span the same components as the boolean matrix: every member with the smallest id of its component."""
     label = ids.copy()
     while True:
-        near = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+        near = np.concatenate([np.where(linked[rows], label[None, :], np.iinfo(np.int64).max).min(axis=1) for rows in _slices(len(ids))])
         new = np.minimum(label, near)
         if (new == label).all():
             break
@@ -378,8 +432,8 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
 
 def _fitting(sizes: np.ndarray, percent: int) -> np.ndarray:
     """Pairs of different rows whose sizes allow the similarity."""
-    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    fits = 100 * small >= percent * large
+    fits = (100 * sizes)[:, None] >= (percent * sizes)[None, :]
+    fits &= fits.T.copy()
     np.fill_diagonal(fits, False)
     return fits
 
@@ -447,10 +501,13 @@ def verified(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             upper = group.column("class").to_numpy() > group.column("pair").to_numpy()
             linked &= ~(upper[:, None] & upper[None, :])  # and pairs of the upper class to the next pair of classes
             if linked.any():
-                common = _overlaps(lists).astype(np.int64)
-                linked &= 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+                overlaps = _overlaps(lists)
+                for rows in _slices(len(ids)):
+                    common = overlaps[rows].astype(np.int64)
+                    linked[rows] &= 100 * common >= percent * (sizes[rows, None] + sizes[None, :] - common)
             roots = dict((b, a) for a, b in _stars(linked, ids))
-            columns = [pa.array(ids), pa.array([roots.get(i, i) for i in ids.tolist()], pa.int64()), pa.array(linked @ copies)]
+            links = np.concatenate([linked[rows] @ copies for rows in _slices(len(ids))])
+            columns = [pa.array(ids), pa.array([roots.get(i, i) for i in ids.tolist()], pa.int64()), pa.array(links)]
             yield pa.record_batch(columns, names=["id", "root", "links"])
 
     return ordered.mapInArrow(compare, "id long, root long, links long")

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +139,41 @@ def test_long_texts_that_share_little_are_not_compared(spark, monkeypatch):
     assert found == brute(rows, 3, 90) and compared == [[0, 50]]
 
 
+@pytest.mark.parametrize("held", [1 << 20, 5])
+def test_buckets_of_a_range_are_counted_in_its_width(monkeypatch, held):
+    monkeypatch.setattr(jaccard, "COUNT_HELD", held)
+    pick, cells = np.random.default_rng(held), 32
+    many, wanted = (200, {3: 0, 7: 0, 9: 0}) if held > 5 else (6, {3: 0, 7: 0, 9: 0})
+
+    def rows():
+        for own in wanted:
+            total = np.zeros(cells << 16, dtype=np.int64)
+            for _ in range(many if own == 7 else 2):
+                values = np.sort(pick.integers(0, cells << 16, 1 << (17 if own == 7 and held > 5 else 4)))
+                total += np.bincount(values, minlength=cells << 16)
+                counts = np.bincount(values >> 16, minlength=cells).astype("<u4")
+                yield pa.record_batch([pa.array([own], pa.int32()), pa.array([counts.tobytes()]), pa.array([values.astype("<u2").tobytes()])], names=["range", "cells", "low"])
+            wanted[own] = total
+
+    tracemalloc.start()
+    found = {own: (values.tolist(), counts.tolist()) for own, values, counts in jaccard.range_counts(rows(), cells) if own != 7 or held <= 5}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20  # the 26 million buckets of the largest range would take 105 MB, and as much again joined
+    assert list(found) == ([3, 9] if held > 5 else [3, 7, 9])
+    for own, (values, counts) in found.items():
+        assert values == np.flatnonzero(wanted[own]).tolist() and counts == wanted[own][values].tolist()
+
+
+def test_frequent_buckets_are_those_of_all_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FREQUENT_LEAST", 2)
+    texts = [t for _, t, *_ in corpus(8) + edge_rows()]
+    sets = shingle_sets(texts_of(pa.record_batch([pa.array(texts, pa.string())], names=["text"])), 3)
+    values, counts = np.unique(jaccard.bucket(sets.hashes), return_counts=True)
+    found = jaccard.frequent_buckets(frame(spark, corpus(8) + edge_rows()), 3)
+    assert found[0].tolist() == values[counts > 1].tolist() and found[1].tolist() == counts[counts > 1].tolist()
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 230)]
