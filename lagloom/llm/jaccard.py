@@ -381,11 +381,12 @@ def marked(frame: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
     return frame.mapInArrow(some, frame.schema).drop("_bit")
 
 
-def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) spanning the candidates: sets of fitting sizes that share a prefix token and enough of the long prefix.
+def token_groups(described: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(group, members, id): the sets that share a prefix token; tokens that the same sets share are one group.
 
-    A set leaves a token's group if no other there has a fitting size (the next smaller or larger one would). Tokens
-    that the same sets share are one group. ``reps`` has the id of every set and the row that stands for it.
+    A set leaves a token's group if no other there has a fitting size (the next smaller or larger one would). ``reps`` has
+    the id of every set and the row that stands for it. Copies of that row, and other rows of the set that pass the marks,
+    bring a token again: they must not count, else two of them cancel out in the group's key.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,13 +399,19 @@ def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> Data
     own = marked(described.selectExpr("cast(doc_id as long) as doc_id", "key1 as id", "cast(n as int) as n", "first"), "doc_id", marks(reps, "doc"))
     tokens = own.select("id", "n", "first").mapInArrow(spread, "token long, id long, n int")
     by_size = Window.partitionBy("token").orderBy("n", "id")
+    tokens = tokens.withColumn("_before", F.lag("id").over(by_size)).where("_before is null or _before <> id").drop("_before")
     smaller, larger = F.lag("n").over(by_size).cast("long"), F.lead("n").over(by_size).cast("long")
     tokens = tokens.withColumn("_fits", (100 * smaller >= percent * F.col("n")) | (100 * F.col("n").cast("long") >= percent * larger))
     tokens = tokens.where("_fits")
     group = Window.partitionBy("token")
     members, group_key = F.count("*").over(group), F.bit_xor(F.xxhash64("id", F.lit(3))).over(group)
     shared = tokens.withColumn("members", members).withColumn("group", group_key).where("members > 1")
-    shared = staged(shared.select("group", "members", "id").distinct(), "jaccard-groups")
+    return shared.select("group", "members", "id").distinct()
+
+
+def candidate_stars(described: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) spanning the candidates: sets of fitting sizes that share a prefix token and enough of the long prefix."""
+    shared = staged(token_groups(described, reps, percent), "jaccard-groups")
     sketches = marked(described.selectExpr("key1 as id", "n", "second"), "id", marks(shared, "id"))
     shared = shared.join(sketches.dropDuplicates(["id"]), "id")
     blocks = _paired(shared, F.ceil(F.col("members") / GROUP_PART), "id")

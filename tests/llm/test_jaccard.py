@@ -174,6 +174,22 @@ def test_frequent_buckets_are_those_of_all_sets(spark, monkeypatch):
     assert found[0].tolist() == values[counts > 1].tolist() and found[1].tolist() == counts[counts > 1].tolist()
 
 
+def test_repeated_rows_make_no_groups_of_unrelated_sets(spark, monkeypatch):
+    rows = [(i, prose(900 + i, 40), None, None, None) for i in range(40)]
+    rows += [(90, rows[0][1] + " end", None, None, None)]
+    groups, paired = [], jaccard._paired
+
+    def spy(shared, parts, member):
+        if "group" in shared.columns:
+            groups.extend(tuple(r) for r in shared.groupBy("group", "members").count().collect())
+        return paired(shared, parts, member)
+
+    monkeypatch.setattr(jaccard, "_paired", spy)
+    found = result(jaccard_components(frame(spark, rows + rows), 3, 90))
+    assert found == brute(rows + rows, 3, 90)
+    assert groups and all(members == count == 2 for _, members, count in groups)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 230)]
